@@ -230,3 +230,29 @@ def tc3_auto(df: DataFrame, key, value: str, order, max_lag: int = 16,
     slots = _triple_slots(base.join(taus, keys), keys, value, "tau")
     feats = _tc3_from_slots(slots, keys, digits)
     return feats.join(taus, keys).select(*keys, "tau", *[c for c in feats.columns if c not in keys])
+
+
+def flatten_features(df: DataFrame, struct_col: str, func: str,
+                     widths: dict[str, int] | None = None) -> DataFrame:
+    """Feature results (a struct of scalars and vectors) -> flat columns.
+
+    A scalar field ``key`` becomes ``<func>_<key>``; a vector field becomes
+    ``<func>_<key>_1 .. _n``.  ``n`` comes from ``widths`` or, when not given,
+    from one aggregate over the data (the longest vector).
+    """
+    from pyspark.sql.types import ArrayType
+    fields = df.schema[struct_col].dataType.fields
+    widths = dict(widths or {})
+    vec = [f.name for f in fields if isinstance(f.dataType, ArrayType) and f.name not in widths]
+    if vec:
+        row = df.agg(*[F.max(F.size(F.col(f"{struct_col}.{n}"))).alias(n) for n in vec]).first()
+        widths.update({n: int(row[n] or 0) for n in vec})
+    keep = [c for c in df.columns if c != struct_col]
+    out = []
+    for f in fields:
+        src = F.col(f"{struct_col}.{f.name}")
+        if isinstance(f.dataType, ArrayType):
+            out += [src.getItem(i).alias(f"{func}_{f.name}_{i + 1}") for i in range(widths[f.name])]
+        else:
+            out.append(src.alias(f"{func}_{f.name}"))
+    return df.select(*keep, *out)

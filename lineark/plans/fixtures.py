@@ -126,6 +126,14 @@ VIEWS.update({
          o_orderkey % 2 = 0 AS job_ready,
          'init ' || o_orderpriority AS init_message,
          'pod ' || o_orderstatus AS pod_message
+  FROM orders""",
+    # who owns which object
+    "f_owners": """
+  SELECT 'ark:99999/part-' || CAST(c_custkey * 3 AS STRING) AS object_id, c_custkey AS user_id FROM customer""",
+    # script each job runs (scripts are catalogued objects too)
+    "f_scripts": """
+  SELECT 'ark:99999/job-' || CAST(o_orderkey AS STRING) AS job_id, o_custkey AS user_id,
+         'ark:99999/part-' || CAST(o_orderkey % 97 AS STRING) AS script_id
   FROM orders""",
     # IDs asked about (about one in five is unknown)
     "f_asked": """
