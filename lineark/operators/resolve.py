@@ -161,3 +161,12 @@ def last_distribution(dist_long: DataFrame, id_col: str = "id", pos: str = "pos"
     rest = [c for c in dist_long.columns if c != id_col]
     agg = dist_long.groupBy(id_col).agg(F.max_by(F.struct(*rest), F.col(pos)).alias("_last"))
     return agg.select(id_col, *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
+def first_error(resolved: DataFrame, job: str = "job_id", pos: str = "pos",
+                carry: list[str] | None = None, ok: str = "ok") -> DataFrame:
+    """First failing item per job in request order (``min`` over ``(pos, ...)``
+    with partial aggregation)."""
+    carry = carry or []
+    first = resolved.where(~F.col(ok)).groupBy(job).agg(F.min(F.struct(pos, *carry)).alias("_f"))
+    return first.select(job, *[F.col(f"_f.{c}").alias(c) for c in [pos, *carry]])

@@ -256,3 +256,39 @@ def flatten_features(df: DataFrame, struct_col: str, func: str,
         else:
             out.append(src.alias(f"{func}_{f.name}"))
     return df.select(*keep, *out)
+
+
+def status_changes(df: DataFrame, key, phase: str, order, ts: str) -> DataFrame:
+    """Rows where a job's phase differs from the one before, with the time until
+    the next change (``seconds_in_phase``; NULL for the last phase).
+
+    Previous/next rows are found through the skew-safe position index and an
+    equi-shuffle on ``(key, position)``, not a per-job window, so one very
+    chatty job is still spread over many tasks.
+    """
+    keys, ords = _cols(key), _cols(order)
+    ix = with_series_index(df.select(*keys, *ords, phase, *([ts] if ts not in ords else [])), keys, ords)
+    pair = F.array(F.struct(F.col("idx").alias("i"), F.lit(0).alias("r")),
+                   F.struct((F.col("idx") + 1).alias("i"), F.lit(1).alias("r")))
+    ex = ix.select(*keys, ts, phase, F.explode(pair).alias("_s")).select(
+        *keys, ts, phase, F.col("_s.i").alias("i"), F.col("_s.r").alias("r"))
+    g = ex.groupBy(*keys, "i").agg(
+        F.max(F.when(F.col("r") == 0, F.struct(F.col(ts).alias("ts"), F.col(phase).alias("ph")))).alias("_own"),
+        F.max(F.when(F.col("r") == 1, F.col(phase))).alias("prev_phase"))
+    own = g.where(F.col("_own").isNotNull()).select(
+        *keys, "i", F.col("_own.ts").alias(ts), F.col("_own.ph").alias(phase), "prev_phase")
+    changes = own.where(F.col("prev_phase").isNull() | (F.col("prev_phase") != F.col(phase)))
+    cx = with_series_index(changes, keys, ["i"], name="c")
+    pair2 = F.array(F.struct(F.col("c").alias("j"), F.lit(0).alias("r")),
+                    F.struct((F.col("c") - 1).alias("j"), F.lit(1).alias("r")))
+    ex2 = cx.select(*keys, ts, phase, "prev_phase", F.explode(pair2).alias("_s")).select(
+        *keys, ts, phase, "prev_phase", F.col("_s.j").alias("j"), F.col("_s.r").alias("r"))
+    g2 = ex2.groupBy(*keys, "j").agg(
+        F.max(F.when(F.col("r") == 0, F.struct(F.col(ts).alias("ts"), F.col(phase).alias("ph"),
+                                               F.col("prev_phase").alias("pp")))).alias("_own"),
+        F.max(F.when(F.col("r") == 1, F.col(ts))).alias("next_change_ts"))
+    return g2.where(F.col("_own").isNotNull()).select(
+        *keys, F.col("_own.ts").alias(ts), F.col("_own.ph").alias(phase), F.col("_own.pp").alias("prev_phase"),
+        "next_change_ts",
+        (F.unix_micros(F.col("next_change_ts").cast("timestamp")) -
+         F.unix_micros(F.col("_own.ts").cast("timestamp"))).alias("micros_in_phase"))

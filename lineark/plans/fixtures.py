@@ -152,6 +152,79 @@ VIEWS.update({
          CASE o_orderkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS side,
          CAST(o_orderkey AS STRING) AS k
   FROM orders""",
+    # declared ports of workflow nodes (some used ports are not declared)
+    "f_ports": """
+  SELECT DISTINCT 'part' || CAST(l_partkey AS STRING) AS node,
+         l_linestatus || CAST(l_linenumber AS STRING) AS port, 'in' AS direction
+  FROM lineitem WHERE l_quantity < 45
+  UNION
+  SELECT DISTINCT 'part' || CAST(l_partkey AS STRING) AS node,
+         'F' || CAST(l_linenumber + 4 AS STRING) AS port, 'in' AS direction
+  FROM lineitem WHERE l_tax < 0.02
+  UNION
+  SELECT DISTINCT 'supp' || CAST(l_suppkey AS STRING) AS node, l_returnflag AS port, 'out' AS direction
+  FROM lineitem WHERE l_discount < 0.09""",
+    # node interfaces; some supplier nodes are I/O nodes
+    "f_node_info": """
+  SELECT 'part' || CAST(p_partkey AS STRING) AS node,
+         'nipype.interfaces.utility.' || replace(lower(p_type), ' ', '_') AS interface FROM part
+  UNION ALL
+  SELECT 'supp' || CAST(s_suppkey AS STRING) AS node,
+         CASE WHEN s_suppkey % 5 = 0 THEN 'nipype.interfaces.io.DataSink'
+              ELSE 'nipype.interfaces.fsl.BET' END AS interface FROM supplier""",
+    # outputs that already have IDs (node.port -> several IDs)
+    "f_output_ids": """
+  SELECT DISTINCT 'supp' || CAST(l_suppkey AS STRING) || '.' || l_returnflag AS port,
+         l_linenumber AS seq,
+         'ark:99999/out-' || CAST(l_suppkey AS STRING) || '-' || l_returnflag || '-' || CAST(l_linenumber AS STRING) AS id
+  FROM lineitem WHERE l_discount < 0.03""",
+    # file inputs of nodes
+    "f_file_inputs": """
+  SELECT DISTINCT 'part' || CAST(l_partkey AS STRING) AS node,
+         '/work/' || CASE WHEN l_orderkey % 3 = 0 THEN 'c' ELSE 'b' END || CAST(l_orderkey AS STRING) AS input
+  FROM lineitem WHERE l_linenumber = 1""",
+    # path -> id of files that were inputs
+    "f_location_ids": """
+  SELECT path, 'ark:99999/loc' || substr(path, 6) AS id FROM (
+    SELECT '/work/a' || CAST(o_orderkey AS STRING) AS path FROM orders WHERE o_orderkey % 2 = 0
+    UNION ALL
+    SELECT '/work/b' || CAST(o_orderkey AS STRING) AS path FROM orders) t""",
+    # iterable inputs of nodes (long form)
+    "f_sweep": """
+  SELECT 'part' || CAST(p_partkey AS STRING) AS node, 'fwhm' AS param, 1 AS pos,
+         CAST(p_size % 4 + 1 AS STRING) AS value FROM part WHERE p_partkey % 4 = 0
+  UNION ALL
+  SELECT 'part' || CAST(p_partkey AS STRING), 'fwhm', 2, CAST(p_size % 4 + 5 AS STRING) FROM part WHERE p_partkey % 4 = 0
+  UNION ALL
+  SELECT 'part' || CAST(p_partkey AS STRING), 'thresh', 1, 'lo' FROM part WHERE p_partkey % 4 = 0
+  UNION ALL
+  SELECT 'part' || CAST(p_partkey AS STRING), 'thresh', 2, 'hi' FROM part WHERE p_partkey % 4 = 0
+  UNION ALL
+  SELECT 'part' || CAST(p_partkey AS STRING), 'thresh', 3, 'mid' FROM part WHERE p_partkey % 8 = 0""",
+    # workflow-level and node-level settings
+    "f_wf_settings": """
+  SELECT DISTINCT p_brand AS workflow, 'crash_dump' AS key,
+         CASE WHEN p_brand < 'Brand#3' THEN 'true' ELSE 'false' END AS value FROM part
+  UNION ALL
+  SELECT DISTINCT p_brand AS workflow, 'stop_on_first_crash' AS key, 'true' AS value FROM part
+  WHERE p_brand > 'Brand#2'""",
+    "f_node_settings": """
+  SELECT 'part' || CAST(p_partkey AS STRING) AS node, 'mem_gb' AS key, CAST(p_size AS STRING) AS value
+  FROM part WHERE p_size % 3 = 0
+  UNION ALL
+  SELECT 'part' || CAST(p_partkey AS STRING) AS node, 'crash_dump' AS key, 'false' AS value
+  FROM part WHERE p_size % 5 = 0""",
+    # node input dicts with file paths, numbers and nesting
+    "f_node_params": """
+  SELECT 'ark:99999/job-' || CAST(o_orderkey AS STRING) AS job_id,
+         '{"in_file":"/work/a' || CAST(o_orderkey AS STRING) || '","opt":{"ref":"/work/b' ||
+         CAST(o_orderkey AS STRING) || '","n":' || CAST(o_orderkey % 4 AS STRING) ||
+         '},"files":["/work/a' || CAST(o_orderkey AS STRING) || '","/work/c' || CAST(o_orderkey AS STRING) ||
+         '",3,null],"x":' || CAST(o_orderkey AS STRING) || ',"none":null}' AS params
+  FROM orders""",
+    # ports already fed by an edge
+    "f_found": """
+  SELECT 'ark:99999/job-' || CAST(o_orderkey AS STRING) AS job_id, 'x' AS key FROM orders WHERE o_orderkey % 4 = 0""",
 })
 
 _registered: dict[int, str] = {}
@@ -178,7 +251,12 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(VIEWS[name])
 
 
-def with_views(names: list[str] | tuple[str, ...], body: str) -> str:
-    """Oracle text: the named views as CTEs in front of ``body``."""
+def with_views(names: list[str] | tuple[str, ...], body: str, recursive: bool = False) -> str:
+    """Oracle text: the named views as CTEs in front of ``body``.  A body that
+    starts with ``,`` continues the WITH list with its own CTEs."""
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
-    return f"WITH {ctes}\n{body}" if names else body
+    head = "WITH RECURSIVE" if recursive else "WITH"
+    body = body.lstrip("\n")
+    if body.startswith(","):
+        return f"{head} {ctes}{body}"
+    return f"{head} {ctes}\n{body}" if names else body
