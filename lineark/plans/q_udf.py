@@ -1 +1,88 @@
-"""Queries (to be filled)."""
+"""User-function queries."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from lineark.operators import series, udf
+from lineark.plans.fixtures import table
+from lineark.plans.registry import query
+from lineark.session import scratch_path
+from lineark.sources import files
+
+_FEATURE_SCHEMA = "vec_id long, raw double, abs double, num double, absnum double, denom double"
+
+
+def _tc3_numpy(y: np.ndarray, tau: int) -> tuple[float, float, float, float, float]:
+    """tc3 of one series with numpy (NaN when there is no complete triple)."""
+    m = len(y) - 2 * tau
+    if m <= 0:
+        return (np.nan,) * 5
+    a, b, c = y[:m], y[tau:tau + m], y[2 * tau:2 * tau + m]
+    num = float(np.mean(a * b * c))
+    denom = float(abs(np.mean(a * b)) ** 1.5)
+    raw = num / denom if denom != 0 else np.nan
+    return raw, abs(raw), num, abs(num), denom
+
+
+def tc3_frame(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Grouped-map body: one series per group (the sample job's layout)."""
+    rows = []
+    for vid, emb in zip(pdf["vec_id"], pdf["embedding"]):
+        raw, ab, num, absnum, denom = _tc3_numpy(np.asarray(emb, dtype=np.float64), 10)
+        rows.append((vid, raw, ab, num, absnum, denom))
+    out = pd.DataFrame(rows, columns=["vec_id", "raw", "abs", "num", "absnum", "denom"])
+    return out.round(6)
+
+
+@query("grouped_map", oracle="""WITH e AS (
+  SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS y,
+         unnest(generate_series(0, len(embedding) - 1)) AS i
+  FROM embeddings),
+g AS (
+  SELECT a.vec_id, COUNT(*) AS n, SUM(a.y * b.y * c.y) AS s3, SUM(a.y * b.y) AS s2
+  FROM e a JOIN e b ON b.vec_id = a.vec_id AND b.i = a.i + 10
+           JOIN e c ON c.vec_id = a.vec_id AND c.i = a.i + 20
+  GROUP BY a.vec_id),
+f AS (SELECT vec_id, s3 / n AS num, pow(abs(s2 / n), 1.5) AS denom FROM g)
+SELECT vec_id, round(num / NULLIF(denom, 0), 6) + 0.0 AS raw, round(abs(num / NULLIF(denom, 0)), 6) AS abs,
+       round(num, 6) + 0.0 AS num, round(abs(num), 6) AS absnum, round(denom, 6) AS denom FROM f""")
+def q_grouped_map(spark, sf_dir):
+    """tc3 of every embedding through a pandas grouped map (one series per group)."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    out = udf.grouped_map(emb, ["vec_id"], tc3_frame, _FEATURE_SCHEMA)
+    return out.select("vec_id", *[(F.col(c) + F.lit(0.0)).alias(c) for c in ("raw", "abs", "num", "absnum", "denom")])
+
+
+@query("row_key", oracle="""
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                                   l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS row_key,
+       l_orderkey, l_linenumber, l_partkey, l_suppkey
+FROM lineitem""")
+def q_row_key(spark, sf_dir):
+    """A stable row key for every line item (declared order, ties broken on all columns)."""
+    li = table(spark, sf_dir, "lineitem")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    return series.with_series_index(li, [], order, name="row_key").select(
+        "row_key", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query("job_contract")
+def q_job_contract(spark, sf_dir):
+    """A user job run through the contract: wide series in, tc3 features out, result written."""
+    emb = table(spark, sf_dir, "embeddings").withColumn("time", F.concat(F.lit("label"), F.col("label").cast("string")))
+    src = scratch_path(spark, "job-in")
+    files.wide_series_text(emb, "vec_id", "time", "embedding").write.text(src)
+
+    def features(df, params):
+        tau = int(params.get("tau", 10))
+        y = F.split("value", ",")
+        wide = df.select(F.element_at(y, -1).alias("series_id"),
+                         F.transform(F.slice(y, 1, F.size(y) - 2), lambda x: x.try_cast("double")).alias("y"))
+        return series.tc3_array(wide, "series_id", "y", tau, digits=6)
+
+    return udf.run_job(spark, features, [src], scratch_path(spark, "job-out"), {"tau": 10}, fmt="text",
+                       out_fmt="parquet")
