@@ -1 +1,57 @@
-"""Queries (to be filled)."""
+"""Streaming queries.  The status feed is written in two parts in
+time order; the stream runs ``availableNow`` after each part with the same
+checkpoint, so state carried between runs decides what is emitted."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lineark.plans.fixtures import fixture, with_views
+from lineark.plans.registry import query
+from lineark.session import scratch_path
+from lineark.streaming import completion
+
+
+def _feed(spark, sf_dir):
+    """Status events split at the median time into two appended parts."""
+    st = fixture(spark, sf_dir, "f_status").select("job_id", "event_id", "ts", "phase")
+    cut = st.agg(F.percentile_approx("ts", 0.5)).scalar()
+    return st.where(F.col("ts") < cut), st.where(F.col("ts") >= cut), st.schema
+
+
+def _run(spark, sf_dir, light=False):
+    first, second, schema = _feed(spark, sf_dir)
+    src, out, ckpt = scratch_path(spark, "status"), scratch_path(spark, "done"), scratch_path(spark, "ckpt")
+    first.write.mode("append").parquet(src)
+    completion.run_available(spark, src, schema, out, ckpt, light=light)
+    second.write.mode("append").parquet(src)
+    completion.run_available(spark, src, schema, out, ckpt, light=light)
+    return spark.read.parquet(out)
+
+
+_FIRST = with_views(["f_status"], """
+SELECT job_id, event_id, ts, phase,
+       CASE WHEN phase = 'Failed' THEN 'Command Unrecognized.' ELSE '' END AS logs
+FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ts, event_id) AS rn
+      FROM f_status WHERE phase IN ('Succeeded', 'Failed')) t WHERE rn = 1""")
+
+
+@query("completion_stream", oracle=_FIRST)
+def q_completion_stream(spark, sf_dir):
+    """One row per job when it first reaches a terminal phase (keyed state, two stream runs)."""
+    out = completion.with_logs(_run(spark, sf_dir))
+    return out.select("job_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "phase", "logs")
+
+
+@query("finalise_batch")
+def q_finalise_batch(spark, sf_dir):
+    """Completed jobs finalised per micro-batch: outputs listed, records minted, rows written."""
+    first, second, schema = _feed(spark, sf_dir)
+    src, table_dir, ckpt = scratch_path(spark, "status"), scratch_path(spark, "final"), scratch_path(spark, "ckpt")
+    outputs = fixture(spark, sf_dir, "f_outputs").select(
+        F.concat(F.lit("ark:99999/"), F.split_part("path", F.lit("/"), F.lit(2))).alias("job_id"), "path")
+    first.write.mode("append").parquet(src)
+    completion.run_finalise(spark, src, schema, outputs, table_dir, ckpt)
+    second.write.mode("append").parquet(src)
+    completion.run_finalise(spark, src, schema, outputs, table_dir, ckpt)
+    return spark.read.parquet(table_dir).drop("batch")
