@@ -104,7 +104,18 @@ def q_delete_records(spark, sf_dir):
     return records.delete_records(fixture(spark, sf_dir, "f_jobs").select("job_id", "job_type", "phase"), gone)
 
 
-@query("record_json")
+@query("record_json", oracle=with_views(["f_jobs", "f_used", "f_scripts", "f_job_containers"], """,
+ds AS (SELECT job_id, to_json(list(json_object('@id', dataset_id) ORDER BY pos)) AS l FROM f_used GROUP BY job_id)
+SELECT j.job_id, CAST(json_object(
+  '@type', 'evi:Computation', 'name', 'Computation',
+  'startTime', strftime(j.start_ts, '%A, %B %d, %Y %I:%M:%S'),
+  'evi:usedDataset', coalesce(ds.l, CAST('[]' AS JSON)),
+  'evi:usedSoftware', CASE WHEN j.job_type = 'custom'
+      THEN json_array(json_object('@id', s.script_id), json_object('@id', c.container_id))
+      ELSE json_object('@id', s.script_id) END,
+  'status', j.phase) AS VARCHAR) AS doc
+FROM f_jobs j JOIN f_scripts s ON s.job_id = j.job_id JOIN f_job_containers c ON c.job_id = j.job_id
+LEFT JOIN ds ON ds.job_id = j.job_id"""))
 def q_record_json(spark, sf_dir):
     """JSON-LD Computation document of every job."""
     jobs = (fixture(spark, sf_dir, "f_jobs").select("job_id", "job_type", "start_ts", F.col("phase").alias("status"))

@@ -43,7 +43,17 @@ def q_completion_stream(spark, sf_dir):
     return out.select("job_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "phase", "logs")
 
 
-@query("finalise_batch")
+@query("finalise_batch", oracle=with_views(["f_status", "f_outputs"], """,
+first AS (SELECT job_id, ts, phase FROM (
+  SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ts, event_id) AS rn
+  FROM f_status WHERE phase IN ('Succeeded', 'Failed')) t WHERE rn = 1),
+o AS (SELECT 'ark:99999/' || split_part(path, '/', 2) AS job_id, path FROM f_outputs),
+sup AS (SELECT job_id, COUNT(*) AS n,
+               string_agg('ark:99999/' || substr(sha256('Dataset|' || job_id || '|' || path), 1, 32), ',' ORDER BY path) AS s
+        FROM o GROUP BY job_id)
+SELECT 'ark:99999/job-' || CAST(f.job_id AS VARCHAR) AS job_id, f.phase AS status, f.ts AS end_ts,
+       CAST(coalesce(sup.n, 0) AS INTEGER) AS n_outputs, coalesce(sup.s, '') AS supports
+FROM first f LEFT JOIN sup ON sup.job_id = 'ark:99999/job-' || CAST(f.job_id AS VARCHAR)"""))
 def q_finalise_batch(spark, sf_dir):
     """Completed jobs finalised per micro-batch: outputs listed, records minted, rows written."""
     first, second, schema = _feed(spark, sf_dir)
@@ -54,4 +64,5 @@ def q_finalise_batch(spark, sf_dir):
     completion.run_finalise(spark, src, schema, outputs, table_dir, ckpt)
     second.write.mode("append").parquet(src)
     completion.run_finalise(spark, src, schema, outputs, table_dir, ckpt)
-    return spark.read.parquet(table_dir).drop("batch")
+    out = spark.read.parquet(table_dir).drop("batch")
+    return out.withColumn("end_ts", F.col("end_ts").cast("timestamp_ntz"))

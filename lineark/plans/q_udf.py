@@ -70,7 +70,23 @@ def q_row_key(spark, sf_dir):
         "row_key", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-@query("job_contract")
+@query("job_contract", oracle="""WITH e AS (
+  SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS y,
+         unnest(generate_series(0, len(embedding) - 1)) AS i
+  FROM embeddings),
+g AS (
+  SELECT a.vec_id, COUNT(*) AS n, SUM(a.y * b.y * c.y) AS s3, SUM(a.y * b.y) AS s2
+  FROM e a JOIN e b ON b.vec_id = a.vec_id AND b.i = a.i + 10
+           JOIN e c ON c.vec_id = a.vec_id AND c.i = a.i + 20
+  GROUP BY a.vec_id),
+f AS (
+  SELECT v.vec_id, CAST(COALESCE(g.n, 0) AS INTEGER) AS n_triples, g.s3 / g.n AS num,
+         pow(abs(g.s2 / g.n), 1.5) AS denom
+  FROM embeddings v LEFT JOIN g ON g.vec_id = v.vec_id)
+SELECT CAST(vec_id AS VARCHAR) AS series_id, n_triples, round(num / NULLIF(denom, 0), 6) + 0.0 AS raw,
+       round(abs(num / NULLIF(denom, 0)), 6) AS abs, round(num, 6) + 0.0 AS num,
+       round(abs(num), 6) AS absnum, round(denom, 6) AS denom
+FROM f""")
 def q_job_contract(spark, sf_dir):
     """A user job run through the contract: wide series in, tc3 features out, result written."""
     emb = table(spark, sf_dir, "embeddings").withColumn("time", F.concat(F.lit("label"), F.col("label").cast("string")))
@@ -84,5 +100,7 @@ def q_job_contract(spark, sf_dir):
                          F.transform(F.slice(y, 1, F.size(y) - 2), lambda x: x.try_cast("double")).alias("y"))
         return series.tc3_array(wide, "series_id", "y", tau, digits=6)
 
-    return udf.run_job(spark, features, [src], scratch_path(spark, "job-out"), {"tau": 10}, fmt="text",
-                       out_fmt="parquet")
+    out = udf.run_job(spark, features, [src], scratch_path(spark, "job-out"), {"tau": 10}, fmt="text",
+                      out_fmt="parquet")
+    return out.select("series_id", "n_triples", *[(F.col(c) + F.lit(0.0)).alias(c)
+                                                 for c in ("raw", "abs", "num", "absnum", "denom")])
