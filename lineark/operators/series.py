@@ -252,7 +252,7 @@ def flatten_features(df: DataFrame, struct_col: str, func: str,
     for f in fields:
         src = F.col(f"{struct_col}.{f.name}")
         if isinstance(f.dataType, ArrayType):
-            out += [src.getItem(i).alias(f"{func}_{f.name}_{i + 1}") for i in range(widths[f.name])]
+            out += [F.get(src, i).alias(f"{func}_{f.name}_{i + 1}") for i in range(widths[f.name])]
         else:
             out.append(src.alias(f"{func}_{f.name}"))
     return df.select(*keep, *out)
