@@ -68,14 +68,17 @@ def ordered_index(levels: DataFrame, node: str = "node", level: str = "level") -
 
 
 def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src", dst: str = "dst",
-            reverse: bool = False, max_rounds: int = 1_000_000) -> DataFrame:
+            reverse: bool = False, prune_every: int = 4, max_rounds: int = 1_000_000) -> DataFrame:
     """Everything reachable from each root, with the BFS distance: ``(root, node, dist)``.
 
     ``reverse=False`` follows ``src -> dst``; ``reverse=True`` follows edges
-    backwards.  Semi-naive: each round extends only the newest frontier and
-    drops pairs already seen, so shared ancestors are visited once per root.
-    All roots run together (default: every node).  A node that is in many
-    roots' frontiers is a hot join key; AQE splits such partitions.
+    backwards.  All roots run together (default: every node).  Each round
+    extends only the newest frontier; every ``prune_every`` rounds the
+    frontier is also cut against every pair seen so far, which bounds the
+    work on shared ancestors and ends the loop on cyclic graphs.  Between
+    cuts a pair may be reached again by a longer path; the final ``min(dist)``
+    keeps the shortest, so distances are exact.  A node in many roots'
+    frontiers is a hot join key; AQE splits such partitions.
     """
     a, b = (dst, src) if reverse else (src, dst)
     adj = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct().checkpoint()
@@ -86,17 +89,22 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",
     seen = frontier
     layers = []
     for d in range(1, max_rounds + 1):
-        step = (frontier.join(adj, "node").select("root", F.col("next").alias("node")).distinct()
-                .join(seen, ["root", "node"], "left_anti")).checkpoint()
+        step = (frontier.join(adj, "node").select("root", F.col("next").alias("node"))
+                .where(F.col("root") != F.col("node")).distinct())
+        if d % prune_every == 0:
+            step = step.join(seen, ["root", "node"], "left_anti")
+        step = step.checkpoint()
         if not step.take(1):
             break
         layers.append(step.withColumn("dist", F.lit(d).cast("bigint")))
         seen = seen.unionByName(step)
         frontier = step
-    out = layers[0] if layers else frontier.limit(0).withColumn("dist", F.lit(0).cast("bigint"))
+    if not layers:
+        return frontier.limit(0).withColumn("dist", F.lit(0).cast("bigint"))
+    out = layers[0]
     for layer in layers[1:]:
         out = out.unionByName(layer)
-    return out
+    return out.groupBy("root", "node").agg(F.min("dist").alias("dist"))
 
 
 def evidence_graph(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",
