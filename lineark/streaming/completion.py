@@ -24,17 +24,21 @@ STATE_SCHEMA = "done boolean"
 
 
 def _first_terminal(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per job: emit the earliest terminal event once; later ones are ignored."""
-    if state.exists:
-        for _ in pdfs:
-            pass
+    """Per job: emit the earliest terminal event once; later ones are ignored.
+
+    The group's rows arrive as Arrow batches; only the running earliest row is
+    kept, so a job with a very long feed never sits in memory at once."""
+    best = None
+    for pdf in pdfs:
+        if state.exists or not len(pdf):
+            continue
+        top = pdf.sort_values(["ts", "event_id"]).head(1)
+        if best is None or (top["ts"].iloc[0], top["event_id"].iloc[0]) < (best["ts"].iloc[0], best["event_id"].iloc[0]):
+            best = top
+    if best is None:
         return
-    frames = [p for p in pdfs if len(p)]
-    if not frames:
-        return
-    pdf = pd.concat(frames, ignore_index=True).sort_values(["ts", "event_id"])
     state.update((True,))
-    yield pdf.head(1)[["job_id", "event_id", "ts", "phase"]]
+    yield best[["job_id", "event_id", "ts", "phase"]]
 
 
 def completion_events(stream: DataFrame, job: str = "job_id") -> DataFrame:
@@ -69,7 +73,7 @@ def with_logs(completions: DataFrame, logs: DataFrame | None = None, job: str =
     return out.withColumn("logs", log_default(F.col("phase"), F.coalesce(log, F.lit(""))))
 
 
-def finalise_batch_writer(outputs: DataFrame, table_dir: str, job_key=None):
+def finalise_batch_writer(outputs: DataFrame, table_dir: str):
     """``foreachBatch`` body: for the jobs completed in a batch, list their
     outputs, mint the records and write the finished computation rows.  Each
     batch overwrites its own folder, so a replayed batch writes the same rows."""
