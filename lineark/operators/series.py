@@ -20,6 +20,14 @@ def _cols(x):
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL-safe equality (a NULL series key is a series too);
+    the key columns appear once, from the left side."""
+    r = right.select(*[F.col(c).alias(f"_rk_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = [left[k].eqNullSafe(r[f"_rk_{k}"]) for k in keys]
+    return left.join(r, cond, how).drop(*[f"_rk_{k}" for k in keys])
+
+
 def with_series_index(df: DataFrame, key, order, name: str = "idx",
                       partitions: int | None = None) -> DataFrame:
     """Add the 0-based position of each row inside its series (ordered by ``order``).
@@ -51,7 +59,7 @@ def with_series_index(df: DataFrame, key, order, name: str = "idx",
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     chunks = chunks.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    out = (ranged.join(chunks.select("_pid", *keys, "_first", "_off"), ["_pid", *keys])
+    out = (_join(ranged, chunks.select("_pid", *keys, "_first", "_off"), ["_pid", *keys])
            .withColumn(name, F.col("_loc") - F.col("_first") + F.col("_off"))
            .drop("_pid", "_loc", "_first", "_off"))
     return out
@@ -187,27 +195,27 @@ def first_zero_lag(df: DataFrame, key, value: str, order, max_lag: int = 16) ->
 
 def _first_zero(base: DataFrame, keys: list[str], value: str, max_lag: int) -> DataFrame:
     stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("_S"))
-    centred = (base.join(stats, keys)
+    centred = (_join(base, stats, keys)
                .select(*keys, "idx", "n", (F.col("n") * F.col(value) - F.col("_S")).alias("d")))
     found = []
     pending = stats.select(*keys, "n")
     lo = 1
     while True:
         hi = lo + max_lag - 1
-        live = centred if lo == 1 else centred.join(pending.select(*keys), keys, "left_semi")
+        live = centred if lo == 1 else _join(centred, pending.select(*keys), keys, "left_semi")
         lags = F.sequence(F.lit(lo), F.least(F.lit(hi), F.col("n") - 1 - F.col("idx")))
         left = (live.where(F.col("idx") + lo < F.col("n"))
                 .select(*keys, "idx", "d", F.explode(lags).alias("lag")))
         right = live.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
                             F.col("idx").alias("_j"), F.col("d").alias("_dj"))
-        cond = [F.col(k) == F.col(f"_r{i}") for i, k in enumerate(keys)]
+        cond = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
         prods = (left.join(right, [*cond, F.col("idx") + F.col("lag") == F.col("_j")])
                  .select(*keys, "lag", (F.col("d") * F.col("_dj")).alias("p")))
         acf = prods.groupBy(*keys, "lag").agg(F.sum("p").alias("c"))
         # one row per answered series: small, fixed once so the loop test below is cheap
         hit = acf.where(F.col("c") <= 0).groupBy(*keys).agg(F.min("lag").alias("tau")).checkpoint()
         found.append(hit)
-        pending = pending.join(hit.select(*keys), keys, "left_anti").where(F.col("n") - 1 > hi)
+        pending = _join(pending, hit.select(*keys), keys, "left_anti").where(F.col("n") - 1 > hi)
         if not pending.take(1):
             break
         pending = pending.checkpoint()
@@ -217,7 +225,7 @@ def _first_zero(base: DataFrame, keys: list[str], value: str, max_lag: int) -> D
     hits = found[0]
     for h in found[1:]:
         hits = hits.unionByName(h)
-    return (stats.select(*keys, "n").join(hits, keys, "left")
+    return (_join(stats.select(*keys, "n"), hits, keys, "left")
             .select(*keys, F.coalesce(F.col("tau"), F.col("n")).cast("bigint").alias("tau")))
 
 
@@ -227,9 +235,9 @@ def tc3_auto(df: DataFrame, key, value: str, order, max_lag: int = 16,
     keys, ords = _cols(key), _cols(order)
     base = with_series_index(df.select(*keys, *ords, value), keys, ords)
     taus = _first_zero(base, keys, value, max_lag)
-    slots = _triple_slots(base.join(taus, keys), keys, value, "tau")
+    slots = _triple_slots(_join(base, taus, keys), keys, value, "tau")
     feats = _tc3_from_slots(slots, keys, digits)
-    return feats.join(taus, keys).select(*keys, "tau", *[c for c in feats.columns if c not in keys])
+    return _join(feats, taus, keys).select(*keys, "tau", *[c for c in feats.columns if c not in keys])
 
 
 def flatten_features(df: DataFrame, struct_col: str, func: str,

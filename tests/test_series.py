@@ -121,3 +121,15 @@ def test_status_changes(spark):
     out = series.status_changes(df, "job", "phase", ["ts", "eid"], "ts").orderBy("ts").collect()
     assert [r.phase for r in out] == ["Pending", "Running", "Succeeded"]
     assert [r.micros_in_phase for r in out] == [2_000_000, 2_000_000, None]
+
+
+def test_null_series_key_is_kept(spark):
+    rows = [(None, i, float(i % 5)) for i in range(30)] + [("a", i, float(i % 3)) for i in range(30)]
+    df = spark.createDataFrame(rows, "sid string, ts long, y double")
+    ix = series.with_series_index(df, "sid", ["ts"])
+    assert ix.count() == 60
+    assert ix.where("sid IS NULL").agg(F.max("idx")).first()[0] == 29
+    out = {r.sid: r.n_triples for r in series.tc3(df, "sid", "y", ["ts"], 2).collect()}
+    assert out == {None: 26, "a": 26}
+    taus = {r.sid: r.tau for r in series.first_zero_lag(df, "sid", "y", ["ts"]).collect()}
+    assert set(taus) == {None, "a"}
