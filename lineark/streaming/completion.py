@@ -48,6 +48,57 @@ def completion_events(stream: DataFrame, job: str = "job_id") -> DataFrame:
         _first_terminal, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
+SILENT = "Silent"
+TIMED_STATE_SCHEMA = "done boolean, last_us long"
+
+
+def _first_terminal_or_silent(silent_us: int):
+    """State function with an event-time timer: a job that shows no terminal
+    phase and no new event for ``silent_us`` of event time (by the watermark)
+    emits one ``Silent`` row instead."""
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            done, last_us = state.get
+            if not done:
+                state.update((True, last_us))
+                yield pd.DataFrame({"job_id": [key[0]], "event_id": [None], "phase": [SILENT],
+                                    "ts": [pd.Timestamp(last_us, unit="us")]})[["job_id", "event_id", "ts", "phase"]]
+            return
+        done, last_us = state.get if state.exists else (False, None)
+        best = None
+        for pdf in pdfs:
+            if done or not len(pdf):
+                continue
+            stamp = int(pdf["ts"].max().value // 1000)
+            last_us = stamp if last_us is None else max(last_us, stamp)
+            term = pdf[pdf["phase"].isin(TERMINAL)]
+            if len(term):
+                top = term.sort_values(["ts", "event_id"]).head(1)
+                if best is None or (top["ts"].iloc[0], top["event_id"].iloc[0]) < \
+                        (best["ts"].iloc[0], best["event_id"].iloc[0]):
+                    best = top
+        if done:
+            return
+        if best is not None:
+            state.update((True, last_us))
+            yield best[["job_id", "event_id", "ts", "phase"]]
+            return
+        state.update((False, last_us))
+        state.setTimeoutTimestamp(last_us // 1000 + silent_us // 1000)
+    return fn
+
+
+def completion_events_timed(stream: DataFrame, silent_after_s: int, delay: str = "10 minutes",
+                            job: str = "job_id") -> DataFrame:
+    """Like :func:`completion_events`, but every event counts as a sign of life
+    and a job silent for ``silent_after_s`` seconds of event time is closed
+    with a ``Silent`` row, so no job is tracked forever."""
+    events = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    return events.groupBy(job).applyInPandasWithState(
+        _first_terminal_or_silent(silent_after_s * 1_000_000), OUT_SCHEMA, TIMED_STATE_SCHEMA, "append",
+        GroupStateTimeout.EventTimeTimeout)
+
+
 def completion_events_light(stream: DataFrame, job: str = "job_id", delay: str = "1 hour") -> DataFrame:
     """Watermark form: drop repeated terminal rows of a job within ``delay``
     (state is bounded by the watermark; a duplicate later than that re-emits)."""
