@@ -129,8 +129,8 @@ def _tc3_from_slots(slots: DataFrame, key: list[str], digits: int | None) -> Dat
     if digits is not None:
         out = out.select(*key, "n_triples",
                          *[F.round(c, d).alias(c) for c, d in
-                           (("raw", digits), ("abs", digits), ("num", digits - 2),
-                            ("absnum", digits - 2), ("denom", digits - 2))])
+                           (("raw", digits), ("abs", digits), ("num", digits - 4),
+                            ("absnum", digits - 4), ("denom", digits - 4))])
     return out
 
 
@@ -141,7 +141,8 @@ def tc3(df: DataFrame, key, value: str, order, tau: int, method: str = "index",
     ``num = mean(y_i y_{i+tau} y_{i+2tau})``, ``denom = |mean(y_i y_{i+tau})|^1.5``,
     ``raw = num / denom``, plus ``abs`` and ``absnum``.  Series with no complete
     triple (N <= 2 tau) give NULL features.  A DECIMAL value column is summed
-    exactly before the final division.
+    exactly before the final division.  ``digits`` rounds raw/abs to that many
+    decimals and the large-magnitude num/absnum/denom to ``digits - 4``.
     """
     keys, ords = _cols(key), _cols(order)
     if method == "window":

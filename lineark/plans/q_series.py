@@ -14,14 +14,13 @@ DIGITS = 6
 
 
 def user_series(spark, sf_dir):
-    """``events`` as one series per user; values carry two decimals."""
+    """``events`` as one series per user, ordered by ``(ts, event_id)``."""
     return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("series_id"), "ts", "event_id",
-        F.col("value").cast("decimal(12,2)").alias("y"))
+        F.col("user_id").alias("series_id"), "ts", "event_id", F.col("value").alias("y"))
 
 
 _S = """s AS (
-  SELECT user_id AS series_id, CAST(value AS DECIMAL(12,2)) AS y,
+  SELECT user_id AS series_id, value AS y,
          ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx
   FROM events)"""
 
@@ -43,8 +42,8 @@ f AS (
 SELECT f.series_id, {tau_col} f.n_triples,
        round(num / NULLIF(denom, 0), {DIGITS}) + 0.0 AS raw,
        round(abs(num / NULLIF(denom, 0)), {DIGITS}) AS abs,
-       round(num, {DIGITS - 2}) + 0.0 AS num, round(abs(num), {DIGITS - 2}) AS absnum,
-       round(denom, {DIGITS - 2}) AS denom
+       round(num, {DIGITS - 4}) + 0.0 AS num, round(abs(num), {DIGITS - 4}) AS absnum,
+       round(denom, {DIGITS - 4}) AS denom
 FROM f {final_join}"""
 
 
