@@ -192,15 +192,15 @@ VIEWS.update({
     # iterable inputs of nodes (long form)
     "f_sweep": """
   SELECT 'part' || CAST(p_partkey AS STRING) AS node, 'fwhm' AS param, 1 AS pos,
-         CAST(p_size % 4 + 1 AS STRING) AS value FROM part WHERE p_partkey % 4 = 0
+         CAST(p_size % 4 + 1 AS STRING) AS value FROM part
   UNION ALL
-  SELECT 'part' || CAST(p_partkey AS STRING), 'fwhm', 2, CAST(p_size % 4 + 5 AS STRING) FROM part WHERE p_partkey % 4 = 0
+  SELECT 'part' || CAST(p_partkey AS STRING), 'fwhm', 2, CAST(p_size % 4 + 5 AS STRING) FROM part
   UNION ALL
-  SELECT 'part' || CAST(p_partkey AS STRING), 'thresh', 1, 'lo' FROM part WHERE p_partkey % 4 = 0
+  SELECT 'part' || CAST(p_partkey AS STRING), 'thresh', 1, 'lo' FROM part
   UNION ALL
-  SELECT 'part' || CAST(p_partkey AS STRING), 'thresh', 2, 'hi' FROM part WHERE p_partkey % 4 = 0
+  SELECT 'part' || CAST(p_partkey AS STRING), 'thresh', 2, 'hi' FROM part
   UNION ALL
-  SELECT 'part' || CAST(p_partkey AS STRING), 'thresh', 3, 'mid' FROM part WHERE p_partkey % 8 = 0""",
+  SELECT 'part' || CAST(p_partkey AS STRING), 'thresh', 3, 'mid' FROM part WHERE p_size > 25""",
     # workflow-level and node-level settings
     "f_wf_settings": """
   SELECT DISTINCT p_brand AS workflow, 'crash_dump' AS key,
