@@ -65,6 +65,18 @@ def with_series_index(df: DataFrame, key, order, name: str = "idx",
     return out
 
 
+def row_key(df: DataFrame, name: str = "row_key", order=None) -> DataFrame:
+    """A unique ID per row, usable as a grouping key.
+
+    Without ``order`` it is ``monotonically_increasing_id()`` (unique, not
+    stable across reruns).  With ``order`` (a total order) it is the stable
+    0-based position from :func:`with_series_index`, computed without a
+    global window."""
+    if order is None:
+        return df.withColumn(name, F.monotonically_increasing_id())
+    return with_series_index(df, [], _cols(order), name=name)
+
+
 def _triple_slots(indexed: DataFrame, key: list[str], value: str, tau) -> DataFrame:
     """Group the values at positions i, i+tau, i+2tau under the triple start i.
 

@@ -66,7 +66,7 @@ def q_row_key(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-    return series.with_series_index(li, [], order, name="row_key").select(
+    return series.row_key(li, "row_key", order).select(
         "row_key", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
