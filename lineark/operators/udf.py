@@ -18,15 +18,19 @@ def grouped_map(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.
                 schema, single_row_groups: bool = False) -> DataFrame:
     """Run ``fn(pandas frame) -> pandas frame`` per group with a declared schema.
 
-    When every group is one row (the sample job groups by a unique row key),
-    ``mapInPandas`` gives the same answer without a shuffle; say so with
-    ``single_row_groups=True``.
+    General groups go through ``groupBy(keys).applyInPandas`` (one shuffle;
+    each group is one pandas frame, so groups must fit a task).  When every
+    group is a single row by construction (the sample job groups by a
+    generated row key), say ``single_row_groups=True``: ``fn`` is then applied
+    to whole Arrow batches with ``mapInPandas``, no shuffle and no per-row
+    call.  That form requires ``fn`` to treat rows independently, so that
+    ``fn(batch)`` equals ``fn`` applied row by row and concatenated.
     """
     if single_row_groups:
         def per_batch(batches):
             for pdf in batches:
                 if len(pdf):
-                    yield pd.concat([fn(pdf.iloc[[i]]) for i in range(len(pdf))], ignore_index=True)
+                    yield fn(pdf)
         return df.mapInPandas(per_batch, schema)
     return df.groupBy(*keys).applyInPandas(fn, schema)
 

@@ -29,7 +29,7 @@ def _tc3_numpy(y: np.ndarray, tau: int) -> tuple[float, float, float, float, flo
 
 def tc3_frame(pdf: pd.DataFrame) -> pd.DataFrame:
     """Grouped-map body: one series per group (the sample job's layout)."""
-    rows = []
+    rows = []    # row by row: each row is its own series
     for vid, emb in zip(pdf["vec_id"], pdf["embedding"]):
         raw, ab, num, absnum, denom = _tc3_numpy(np.asarray(emb, dtype=np.float64), 10)
         rows.append((vid, raw, ab, num, absnum, denom))
@@ -50,9 +50,10 @@ f AS (SELECT vec_id, s3 / n AS num, pow(abs(s2 / n), 1.5) AS denom FROM g)
 SELECT vec_id, round(num / NULLIF(denom, 0), 6) + 0.0 AS raw, round(abs(num / NULLIF(denom, 0)), 6) AS abs,
        round(num, 6) + 0.0 AS num, round(abs(num), 6) AS absnum, round(denom, 6) AS denom FROM f""")
 def q_grouped_map(spark, sf_dir):
-    """tc3 of every embedding through a pandas grouped map (one series per group)."""
-    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    out = udf.grouped_map(emb, ["vec_id"], tc3_frame, _FEATURE_SCHEMA)
+    """tc3 of every embedding through a pandas grouped map, grouped like the sample
+    job by a generated row key; single-row groups run as mapInPandas."""
+    emb = series.row_key(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "id2")
+    out = udf.grouped_map(emb, ["id2"], tc3_frame, _FEATURE_SCHEMA, single_row_groups=True)
     return out.select("vec_id", *[(F.col(c) + F.lit(0.0)).alias(c) for c in ("raw", "abs", "num", "absnum", "denom")])
 
 

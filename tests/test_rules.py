@@ -212,3 +212,17 @@ def test_sink_result_refuses_existing_folder(spark, tmp_path):
     with pytest.raises(Exception):
         files.sink_result(df, out, fmt="parquet")
     assert os.path.isdir(out)
+
+
+def test_grouped_map_forms_agree(spark):
+    import pandas as pd
+    from lineark.operators import udf
+
+    def double(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"k": pdf["k"], "v2": pdf["v"] * 2})
+
+    df = spark.createDataFrame([(i, float(i)) for i in range(50)], "k long, v double")
+    a = sorted(tuple(r) for r in udf.grouped_map(df, ["k"], double, "k long, v2 double").collect())
+    b = sorted(tuple(r) for r in udf.grouped_map(df, ["k"], double, "k long, v2 double",
+                                                 single_row_groups=True).collect())
+    assert a == b == [(i, 2.0 * i) for i in range(50)]
