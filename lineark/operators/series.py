@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition row number in the low 33 bits
+BROADCAST_ROWS = 1_000_000  # largest per-(partition, key) count table that is broadcast
 
 
 def _cols(x):
@@ -36,9 +37,10 @@ def with_series_index(df: DataFrame, key, order, name: str = "idx",
     Rows are range-partitioned on ``(key, order)``, numbered inside each
     partition, and shifted by the row counts of the same series in earlier
     partitions.  The per-(partition, series) count table has at most
-    ``#series + #partitions`` rows; AQE broadcasts it when it is small and
-    falls back to a shuffle join on ``(partition, key)`` otherwise, which stays
-    balanced because a hot series is split over many partitions.
+    ``#series + #partitions`` rows; it is broadcast when its counted size is
+    under ``BROADCAST_ROWS`` and joined by a shuffle on ``(partition, key)``
+    otherwise, which stays balanced because a hot series is split over many
+    partitions.
     """
     keys, ords = _cols(key), _cols(order)
     spark = df.sparkSession
@@ -58,8 +60,14 @@ def with_series_index(df: DataFrame, key, order, name: str = "idx",
                                                F.min("_loc").alias("_first"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    chunks = chunks.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    out = (_join(ranged, chunks.select("_pid", *keys, "_first", "_off"), ["_pid", *keys])
+    chunks = chunks.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))) \
+        .select("_pid", *keys, "_first", "_off")
+    # The count table is broadcast only after its size is checked; the rows
+    # then stay in their balanced range partitions.  Beyond the limit the join
+    # shuffles on (partition, key), which a hot key cannot unbalance either.
+    if chunks.count() <= BROADCAST_ROWS:
+        chunks = F.broadcast(chunks)
+    out = (_join(ranged, chunks, ["_pid", *keys])
            .withColumn(name, F.col("_loc") - F.col("_first") + F.col("_off"))
            .drop("_pid", "_loc", "_first", "_off"))
     return out

@@ -133,3 +133,20 @@ def test_null_series_key_is_kept(spark):
     assert out == {None: 26, "a": 26}
     taus = {r.sid: r.tau for r in series.first_zero_lag(df, "sid", "y", ["ts"]).collect()}
     assert set(taus) == {None, "a"}
+
+
+def test_hot_series_spreads_over_partitions(spark):
+    # one series holds 90% of the rows; no task may end up with most of it
+    rows = [("hot", i, float(i % 7)) for i in range(9000)] + [(f"s{i % 100}", i, 1.0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "sid string, ts long, y double")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")      # tiny data would otherwise be merged into one partition
+    try:
+        ix = series.with_series_index(df, "sid", ["ts"], partitions=8)
+        sizes = ix.where("sid = 'hot'").rdd.glom().map(len).collect()
+        hot = ix.where("sid = 'hot'").agg(F.min("idx"), F.max("idx"), F.countDistinct("idx")).first()
+    finally:
+        spark.conf.set(key, old)
+    assert sum(sizes) == 9000 and max(sizes) < 9000 / 2
+    assert tuple(hot) == (0, 8999, 9000)
