@@ -319,5 +319,4 @@ def status_changes(df: DataFrame, key, phase: str, order, ts: str) -> DataFrame:
     return g2.where(F.col("_own").isNotNull()).select(
         *keys, F.col("_own.ts").alias(ts), F.col("_own.ph").alias(phase), F.col("_own.pp").alias("prev_phase"),
         "next_change_ts",
-        (F.unix_micros(F.col("next_change_ts").cast("timestamp")) -
-         F.unix_micros(F.col("_own.ts").cast("timestamp"))).alias("micros_in_phase"))
+        F.expr("timestampdiff(MICROSECOND, _own.ts, next_change_ts)").alias("micros_in_phase"))

@@ -19,7 +19,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from lineark.functions.text import log_default
 
 TERMINAL = ("Succeeded", "Failed")
-OUT_SCHEMA = "job_id long, event_id long, ts timestamp, phase string"
+OUT_SCHEMA = "job_id long, event_id long, ts timestamp_ntz, phase string"
+TIMED_OUT_SCHEMA = "job_id long, event_id long, ts timestamp, phase string"
 STATE_SCHEMA = "done boolean"
 
 
@@ -42,8 +43,9 @@ def _first_terminal(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Ite
 
 
 def completion_events(stream: DataFrame, job: str = "job_id") -> DataFrame:
-    """Keyed-state form: one output row per job, at its first terminal phase."""
-    terminal = stream.where(F.col("phase").isin(*TERMINAL)).withColumn("ts", F.col("ts").cast("timestamp"))
+    """Keyed-state form: one output row per job, at its first terminal phase.
+    Needs no watermark, so event times keep their type (no time-zone cast)."""
+    terminal = stream.where(F.col("phase").isin(*TERMINAL))
     return terminal.groupBy(job).applyInPandasWithState(
         _first_terminal, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
@@ -95,13 +97,15 @@ def completion_events_timed(stream: DataFrame, silent_after_s: int, delay: str =
     with a ``Silent`` row, so no job is tracked forever."""
     events = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
     return events.groupBy(job).applyInPandasWithState(
-        _first_terminal_or_silent(silent_after_s * 1_000_000), OUT_SCHEMA, TIMED_STATE_SCHEMA, "append",
+        _first_terminal_or_silent(silent_after_s * 1_000_000), TIMED_OUT_SCHEMA, TIMED_STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout)
 
 
 def completion_events_light(stream: DataFrame, job: str = "job_id", delay: str = "1 hour") -> DataFrame:
     """Watermark form: drop repeated terminal rows of a job within ``delay``
-    (state is bounded by the watermark; a duplicate later than that re-emits)."""
+    (state is bounded by the watermark; a duplicate later than that re-emits).
+    Watermarks need TIMESTAMP, so event times are read in the session time
+    zone (keep it UTC)."""
     terminal = stream.where(F.col("phase").isin(*TERMINAL)).withColumn("ts", F.col("ts").cast("timestamp"))
     return terminal.withWatermark("ts", delay).dropDuplicatesWithinWatermark([job])
 
