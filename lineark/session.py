@@ -19,6 +19,9 @@ def get_spark(master: str | None = None, partitions: int | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # in local mode the driver JVM is the whole cluster: size its heap
+            builder = builder.config("spark.driver.memory", os.environ.get("LINEARK_DRIVER_MEMORY", "16g"))
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(partitions or cpus))
@@ -29,6 +32,11 @@ def get_spark(master: str | None = None, partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpointed rounds (closure, levels, series index) write rows with
+        # this serializer; Kryo is markedly cheaper than Java serialization
+        .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
+        # remove a loop's checkpoint files once its DataFrames are garbage
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
