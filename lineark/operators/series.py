@@ -1,11 +1,11 @@
 """Time-series features: lag alignment, third-order autocovariance (tc3), first zero of the ACF.
 
 Long form input is ``(key, order..., value)``.  A single series may hold a large
-share of all rows, so nothing here puts one series into one task: positions are
+share of all rows, so no unbounded series is put into one task: positions are
 computed by range partitioning (a hot series spans many partitions) and lagged
 values are brought together by an equi-shuffle on ``(key, position)``.  The
-``window`` method (``lead`` over a per-series window) is kept for comparison and
-for data known to have many small series.
+``window`` method (``lead`` over a per-series window) is cheaper when every
+series is small; ``auto`` measures the longest series and picks it only then.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition row number in the low 33 bits
 BROADCAST_ROWS = 1_000_000  # largest per-(partition, key) count table that is broadcast
+WINDOW_MAX_ROWS = 1_000_000  # longest series a per-series window may hold in one task
 
 
 def _cols(x):
@@ -107,6 +108,16 @@ def _triple_slots(indexed: DataFrame, key: list[str], value: str, tau) -> DataFr
     )
 
 
+def _pick_method(df: DataFrame, keys: list[str], method: str) -> str:
+    """``auto``: measure the longest series (one partial aggregate) and use the
+    per-series window only when every series is under ``WINDOW_MAX_ROWS``;
+    otherwise the skew-safe position index."""
+    if method != "auto":
+        return method
+    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return "window" if (longest or 0) <= WINDOW_MAX_ROWS else "index"
+
+
 def _window_slots(df: DataFrame, key: list[str], value: str, order: list[str], tau: int) -> DataFrame:
     w = Window.partitionBy(*key).orderBy(*order)
     return df.select(
@@ -119,10 +130,10 @@ def _window_slots(df: DataFrame, key: list[str], value: str, order: list[str], t
 
 
 def lag_triples(df: DataFrame, key, value: str, order, tau: int,
-                method: str = "index") -> DataFrame:
+                method: str = "auto") -> DataFrame:
     """Aligned values ``(y_i, y_{i+tau}, y_{i+2tau})`` for every complete triple."""
     keys, ords = _cols(key), _cols(order)
-    if method == "window":
+    if _pick_method(df, keys, method) == "window":
         slots = _window_slots(df, keys, value, ords, tau)
     else:
         slots = _triple_slots(with_series_index(df.select(*keys, *ords, value), keys, ords),
@@ -154,7 +165,7 @@ def _tc3_from_slots(slots: DataFrame, key: list[str], digits: int | None) -> Dat
     return out
 
 
-def tc3(df: DataFrame, key, value: str, order, tau: int, method: str = "index",
+def tc3(df: DataFrame, key, value: str, order, tau: int, method: str = "auto",
         digits: int | None = None) -> DataFrame:
     """Normalised third-order autocovariance at lag ``tau``, one row per series.
 
@@ -165,7 +176,7 @@ def tc3(df: DataFrame, key, value: str, order, tau: int, method: str = "index",
     decimals and the large-magnitude num/absnum/denom to ``digits - 4``.
     """
     keys, ords = _cols(key), _cols(order)
-    if method == "window":
+    if _pick_method(df, keys, method) == "window":
         slots = _window_slots(df, keys, value, ords, tau)
     else:
         slots = _triple_slots(with_series_index(df.select(*keys, *ords, value), keys, ords),
@@ -287,15 +298,28 @@ def flatten_features(df: DataFrame, struct_col: str, func: str,
     return df.select(*keep, *out)
 
 
-def status_changes(df: DataFrame, key, phase: str, order, ts: str) -> DataFrame:
+def _status_changes_window(df: DataFrame, keys: list[str], phase: str, ords: list[str], ts: str) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*ords)
+    marked = df.select(*keys, *ords, *([ts] if ts not in ords else []), phase,
+                       F.lag(phase).over(w).alias("prev_phase"))
+    changes = marked.where(F.col("prev_phase").isNull() | (F.col("prev_phase") != F.col(phase)))
+    nxt = changes.withColumn("next_change_ts", F.lead(ts).over(w))
+    return nxt.select(*keys, ts, phase, "prev_phase", "next_change_ts",
+                      F.expr(f"timestampdiff(MICROSECOND, {ts}, next_change_ts)").alias("micros_in_phase"))
+
+
+def status_changes(df: DataFrame, key, phase: str, order, ts: str, method: str = "auto") -> DataFrame:
     """Rows where a job's phase differs from the one before, with the time until
-    the next change (``seconds_in_phase``; NULL for the last phase).
+    the next change (``micros_in_phase``; NULL for the last phase).
 
-    Previous/next rows are found through the skew-safe position index and an
-    equi-shuffle on ``(key, position)``, not a per-job window, so one very
-    chatty job is still spread over many tasks.
+    With ``method='auto'`` a per-job window is used only when every job's feed
+    is under ``WINDOW_MAX_ROWS``; otherwise previous/next rows are found through
+    the skew-safe position index and an equi-shuffle on ``(key, position)``, so
+    one very chatty job is still spread over many tasks.
     """
     keys, ords = _cols(key), _cols(order)
+    if _pick_method(df, keys, method) == "window":
+        return _status_changes_window(df, keys, phase, ords, ts)
     ix = with_series_index(df.select(*keys, *ords, phase, *([ts] if ts not in ords else [])), keys, ords)
     pair = F.array(F.struct(F.col("idx").alias("i"), F.lit(0).alias("r")),
                    F.struct((F.col("idx") + 1).alias("i"), F.lit(1).alias("r")))

@@ -53,7 +53,7 @@ def test_series_index_dense_under_skew(spark, long_series):
     assert first.eid == 0
 
 
-@pytest.mark.parametrize("method", ["index", "window"])
+@pytest.mark.parametrize("method", ["index", "window", "auto"])
 def test_tc3_matches_numpy(long_series, method):
     df, data = long_series
     out = {r.sid: r for r in series.tc3(df, "sid", "y", ["ts", "eid"], 3, method=method).collect()}
@@ -118,9 +118,10 @@ def test_status_changes(spark):
     rows = [(1, i, i, p) for i, p in enumerate(["Pending", "Pending", "Running", "Running", "Succeeded"])]
     df = spark.createDataFrame(rows, "job long, eid long, ts long, phase string") \
         .withColumn("ts", F.timestamp_seconds("ts").cast("timestamp_ntz"))
-    out = series.status_changes(df, "job", "phase", ["ts", "eid"], "ts").orderBy("ts").collect()
-    assert [r.phase for r in out] == ["Pending", "Running", "Succeeded"]
-    assert [r.micros_in_phase for r in out] == [2_000_000, 2_000_000, None]
+    for method in ("index", "window"):
+        out = series.status_changes(df, "job", "phase", ["ts", "eid"], "ts", method).orderBy("ts").collect()
+        assert [r.phase for r in out] == ["Pending", "Running", "Succeeded"]
+        assert [r.micros_in_phase for r in out] == [2_000_000, 2_000_000, None]
 
 
 def test_null_series_key_is_kept(spark):
