@@ -34,7 +34,8 @@ def flatten_params(df: DataFrame, owner: str, json_col: str,
     advances ``i`` but is dropped; a null dict value is kept.  Keys listed in
     ``found`` (``(owner, key)``: ports already fed by an edge) are skipped at
     any depth.  Only the top-level type marker is implied; nested markers are
-    not produced.  Levels are expanded in a loop until no container is left.
+    not produced.  Levels are expanded in a loop until no container is left;
+    each level is checkpointed so later levels do not recompute earlier ones.
     """
     v = F.try_parse_json(F.col(json_col))
     top = df.select(F.col(owner).alias("owner"), F.explode(F.try_variant_get(v, "$", _OBJ)).alias("k", "v"))
@@ -69,8 +70,9 @@ def flatten_params(df: DataFrame, owner: str, json_col: str,
             "owner", F.concat("name", F.lit("_"), F.col("i").cast("string"), "suffix").alias("key"),
             "v", F.lit(True).alias("in_list"))
         leaves.append(list_scalars.where(_vtype(F.col("v")) != "null"))
-        frontier = from_obj.unionByName(from_list_dicts)
-        if not frontier.take(1):
+        # fix this level once: the next level and its leaves read it, not its lineage
+        frontier = from_obj.unionByName(from_list_dicts).checkpoint()
+        if frontier.isEmpty():
             break
     out = leaves[0]
     for leaf in leaves[1:]:
