@@ -178,3 +178,38 @@ def supports_list(outputs: DataFrame, known: DataFrame, inputs: DataFrame, job:
             .distinct().withColumn("kind", F.lit("output")))
     other = outputs_minus_inputs(known, inputs, outs, job, id_col).withColumn("kind", F.lit("other"))
     return outs.unionByName(other)
+
+
+def write_records(df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite") -> None:
+    """Write a record table partitioned by ``partition_by``.  With
+    ``mode='overwrite'`` only the partitions present in ``df`` are replaced
+    (dynamic partition overwrite), so an upsert rewrites little."""
+    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
+def upsert_table(spark, path: str, updates: DataFrame, key: str = "job_id",
+                 partition_by: list[str] | None = None) -> DataFrame:
+    """Apply :func:`upsert_computation` to the record table at ``path``.
+
+    Only the partitions the updates touch are read (a semi join on the
+    partition columns, which partition pruning turns into a directory filter)
+    and rewritten; the merged rows are checkpointed first, so the table is
+    never overwritten while it is being read.  Updates must carry the
+    partition columns.  Returns the rewritten rows."""
+    parts = partition_by or ["job_type"]
+    base = spark.read.parquet(path)
+    touched = updates.select(*parts).distinct()
+    affected = base.join(touched, parts, "left_semi")
+    upd = updates.select(key, *parts, *[c for c in ("status", "logs", "end_ts", "supports") if c in updates.columns])
+    known = upd.join(affected.select(key), key, "left_semi").drop(*parts)
+    merged = upsert_computation(affected, known, key)
+    # unknown jobs become new rows, in the partition their update names
+    new_rows = upd.join(affected.select(key), key, "left_anti")
+    if new_rows.take(1):
+        fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema.fields
+                if f.name not in new_rows.columns]
+        merged = merged.unionByName(new_rows.select(*new_rows.columns, *fill).select(*merged.columns))
+    merged = merged.checkpoint()
+    write_records(merged, path, parts)
+    return merged

@@ -226,3 +226,24 @@ def test_grouped_map_forms_agree(spark):
     b = sorted(tuple(r) for r in udf.grouped_map(df, ["k"], double, "k long, v2 double",
                                                  single_row_groups=True).collect())
     assert a == b == [(i, 2.0 * i) for i in range(50)]
+
+
+def test_upsert_table_rewrites_only_touched_partitions(spark, tmp_path):
+    from lineark.operators.records import upsert_table, write_records
+    path = str(tmp_path / "comp")
+    base = spark.createDataFrame(
+        [("j1", "custom", "Running", None, []), ("j2", "nipype", "Running", None, ["s"]),
+         ("j3", "nipype", "Running", None, [])],
+        "job_id string, job_type string, status string, logs string, supports array<string>") \
+        .withColumn("end_ts", F.lit(None).cast("timestamp_ntz"))
+    write_records(base, path, ["job_type"])
+    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "comp").iterdir() if p.is_dir()}
+    upd = spark.createDataFrame([("j2", "nipype", "Succeeded", "ok", ["o1"]), ("j9", "nipype", "Failed", "", [])],
+                                "job_id string, job_type string, status string, logs string, supports array<string>") \
+        .withColumn("end_ts", F.lit(None).cast("timestamp_ntz"))
+    upsert_table(spark, path, upd)
+    got = {r.job_id: (r.job_type, r.status, r.supports) for r in spark.read.parquet(path).collect()}
+    assert got == {"j1": ("custom", "Running", []), "j2": ("nipype", "Succeeded", ["o1"]),
+                   "j3": ("nipype", "Running", []), "j9": ("nipype", "Failed", [])}
+    after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "comp").iterdir() if p.is_dir()}
+    assert after["job_type=custom"] == before["job_type=custom"]     # untouched partition kept
