@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lineark.session import shared_dir
+from lineark.session import ship_package, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,7 @@ def query(name: str, oracle: str | None = None):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             shared_dir(spark)          # checkpoints and written tables need the shared folder
+            ship_package(spark)        # Python workers import the operators' functions
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

@@ -69,3 +69,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh location under the shared folder for a table a job writes."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/lineark-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lineark`` importable in Python workers (pandas UDFs, stream state
+    functions): zip the package once per SparkContext and add it with
+    ``addPyFile``, which Spark distributes to every executor."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _shipped:
+        return
+    import lineark
+    pkg = os.path.dirname(os.path.abspath(lineark.__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="lineark-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _shipped.add(key)
