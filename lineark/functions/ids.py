@@ -30,13 +30,19 @@ def strip_ark(full_id) -> Column:
     return url_location(full_id)
 
 
+def _escape(c: Column) -> Column:
+    return F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit(_SEP), F.lit("\\" + _SEP))
+
+
 def mint_id(kind: str, *natural_key, ns: str = DEFAULT_NS) -> Column:
     """A new identifier that is the same every time for the same record.
 
     ``ark:<ns>/`` + the first 32 hex digits of ``sha256(kind|key1|key2...)``.  A
     retried or repeated job therefore writes the same IDs instead of new ones.
+    ``\\`` and ``|`` inside a key are escaped, so different keys never share
+    an encoding.
     """
-    parts = [F.lit(kind)] + [F.coalesce(_c(k).cast("string"), F.lit("")) for k in natural_key]
+    parts = [F.lit(kind)] + [_escape(F.coalesce(_c(k).cast("string"), F.lit(""))) for k in natural_key]
     digest = F.sha2(F.concat_ws(_SEP, *parts), 256)
     return F.concat(F.lit(f"ark:{ns}/"), F.substring(digest, 1, 32))
 

@@ -247,3 +247,9 @@ def test_upsert_table_rewrites_only_touched_partitions(spark, tmp_path):
                    "j3": ("nipype", "Running", []), "j9": ("nipype", "Failed", [])}
     after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "comp").iterdir() if p.is_dir()}
     assert after["job_type=custom"] == before["job_type=custom"]     # untouched partition kept
+
+
+def test_mint_id_separator_cannot_collide(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a\\", "|c"), ("a", "b|c")], "x string, y string")
+    m = [r.m for r in df.select(ids.mint_id("K", "x", "y").alias("m")).collect()]
+    assert len({m[0], m[1], m[2]}) == 3 and m[1] == m[3]
