@@ -199,7 +199,7 @@ def run_provenance(nodes: DataFrame, edges: DataFrame, reports: DataFrame, locat
     """
     outs = workflow.node_outputs(reports)      # node, output_name, file_path, seq
     is_file = F.col("file_path") != "Not A File"
-    loc = location_ids.select(F.col("path").alias("file_path"), F.col("id").alias("_known")).dropDuplicates(["file_path"])
+    loc = location_ids.groupBy(F.col("path").alias("file_path")).agg(F.min("id").alias("_known"))
     gen = (outs.join(loc, "file_path", "left")
            .select("node", "output_name", "file_path", "seq",
                    F.coalesce("_known", F.when(is_file, mint_id("Dataset", "file_path"))

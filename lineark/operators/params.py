@@ -155,7 +155,9 @@ def config_merge(nodes: DataFrame, node_settings: DataFrame, workflow_settings:
     long (``key``, ``value``); each level becomes a map per node/workflow and
     the maps are merged key-wise.  Gives ``(node, key, value)``."""
     def as_map(df, k):
-        return df.groupBy(k).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias(f"_{k}_m"))
+        # one value per (level, key); a key set twice at one level keeps the largest
+        one = df.groupBy(k, "key").agg(F.max("value").alias("value"))
+        return one.groupBy(k).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias(f"_{k}_m"))
     g = F.create_map(*[x for kv in sorted(global_settings.items()) for x in (F.lit(kv[0]), F.lit(kv[1]))]) \
         if global_settings else F.create_map().cast("map<string,string>")
     empty = F.create_map().cast("map<string,string>")

@@ -133,9 +133,11 @@ def lookup_or_insert(keys: DataFrame, catalogue: DataFrame, key: str = "interfac
     Returns ``(resolved keys, new catalogue rows)``; the new rows are what a
     caller appends to the catalogue table."""
     distinct = keys.select(key).distinct()
-    new = (distinct.join(catalogue.select(key), key, "left_anti")
+    # a catalogue may list an interface twice: keep one ID per key (the smallest)
+    cat = catalogue.groupBy(key).agg(F.min(id_col).alias(id_col))
+    new = (distinct.join(cat.select(key), key, "left_anti")
            .select(key, mint_id(kind, key).alias(id_col)))
-    full = catalogue.select(key, id_col).withColumn("is_new", F.lit(False)).unionByName(
+    full = cat.withColumn("is_new", F.lit(False)).unionByName(
         new.withColumn("is_new", F.lit(True)))
     return keys.join(full, key, "left"), new
 
@@ -144,7 +146,7 @@ def known_path_outputs(outputs: DataFrame, location_ids: DataFrame, path: str =
                        id_col: str = "id") -> DataFrame:
     """Outputs whose path already has an ID reuse it (not minted again); the
     rest get new IDs.  Adds ``id`` and ``is_known``."""
-    known = location_ids.select(path, F.col(id_col).alias("_known_id")).dropDuplicates([path])
+    known = location_ids.groupBy(path).agg(F.min(id_col).alias("_known_id"))
     j = outputs.join(known, path, "left")
     return j.select(*outputs.columns,
                     F.coalesce("_known_id", mint_id("Dataset", path)).alias(id_col),
@@ -154,8 +156,8 @@ def known_path_outputs(outputs: DataFrame, location_ids: DataFrame, path: str =
 def id_map_merge(known: DataFrame, new: DataFrame, path: str = "path", id_col: str = "id") -> DataFrame:
     """Union of the known and the newly minted ``path -> id`` entries; the new
     entry wins on the same path (full outer join, no ranking window)."""
-    k = known.select(path, F.col(id_col).alias("_k"))
-    n = new.select(path, F.col(id_col).alias("_n"))
+    k = known.groupBy(path).agg(F.min(id_col).alias("_k"))
+    n = new.groupBy(path).agg(F.min(id_col).alias("_n"))
     return k.join(n, path, "full_outer").select(path, F.coalesce("_n", "_k").alias(id_col))
 
 

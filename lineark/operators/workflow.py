@@ -31,7 +31,7 @@ def input_id_precedence(inputs: DataFrame, output_ids: DataFrame, location_ids:
     """Resolve node inputs: the output-ID map first (a multi-valued hit gives
     all its IDs), then the location map (path -> id).  ``(node, input, id, source)``."""
     outs = output_ids.select(F.col("port").alias(inp), F.col("id").alias("_oid"), F.col("seq"))
-    locs = location_ids.select(F.col("path").alias(inp), F.col("id").alias("_lid")).dropDuplicates([inp])
+    locs = location_ids.groupBy(F.col("path").alias(inp)).agg(F.min("id").alias("_lid"))
     by_out = inputs.join(outs, inp).select(node, inp, F.col("_oid").alias("id"), F.lit("output").alias("source"))
     rest = inputs.join(outs.select(inp).distinct(), inp, "left_anti")
     by_loc = rest.join(locs, inp).select(node, inp, F.col("_lid").alias("id"), F.lit("location").alias("source"))

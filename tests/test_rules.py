@@ -253,3 +253,15 @@ def test_mint_id_separator_cannot_collide(spark):
     df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a\\", "|c"), ("a", "b|c")], "x string, y string")
     m = [r.m for r in df.select(ids.mint_id("K", "x", "y").alias("m")).collect()]
     assert len({m[0], m[1], m[2]}) == 3 and m[1] == m[3]
+
+
+def test_duplicate_keys_resolve_deterministically(spark):
+    keys = spark.createDataFrame([(1, "I1")], "node long, interface string")
+    cat = spark.createDataFrame([("I1", "b"), ("I1", "a")], "interface string, id string")
+    out, new_rows = records.lookup_or_insert(keys, cat)
+    assert [r.id for r in out.collect()] == ["a"] and new_rows.count() == 0
+    nodes = spark.createDataFrame([("n", "w")], "node string, workflow string")
+    ns = spark.createDataFrame([("n", "k", "1"), ("n", "k", "2")], "node string, key string, value string")
+    ws = spark.createDataFrame([], "workflow string, key string, value string")
+    got = [(r.key, r.value) for r in params.config_merge(nodes, ns, ws, {}).collect()]
+    assert got == [("k", "2")]
