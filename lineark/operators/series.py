@@ -186,7 +186,9 @@ def tc3(df: DataFrame, key, value: str, order, tau: int, method: str = "auto",
 
 def tc3_array(df: DataFrame, id_col: str, arr_col: str, tau: int,
               digits: int | None = None) -> DataFrame:
-    """tc3 per row of an array column: one series per row, no shuffle at all."""
+    """tc3 per row of an array column: one series per row, no shuffle at all.
+    Higher-order functions sum the triples in place; ``digits`` rounds every
+    output to that many decimals."""
     y = f"transform({arr_col}, x -> CAST(x AS DOUBLE))"
     m = f"(size({arr_col}) - {2 * tau})"
     seq = f"sequence(0, {m} - 1)"
