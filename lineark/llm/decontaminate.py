@@ -23,8 +23,9 @@ from lineark.llm.common import ascii_lower
 MASKS = ("11011011", "1110100111")
 RUN = 13
 SIMILARITY = 0.8
-#: bits of each bitmap; a longer benchmark lets more windows through to the join, and loses none
-BITMAP_BITS = 1 << 20
+#: bits of each bitmap, about 16 for each benchmark window; with fewer, more windows pass to the
+#: join, and none is lost
+BITMAP_BITS = 1 << 18
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -38,25 +39,23 @@ def _at(h: Column, i: Column, mask: str) -> Column:
     return F.xxhash64(*(F.get(h, i + k) for k, c in enumerate(mask) if c == "1"), F.lit(mask))
 
 
-def _bitmap(values: DataFrame) -> Column:
-    """Scalar subquery: ``BITMAP_BITS`` bits as ARRAY<LONG>, two bits set for each value ``v``."""
-    spark = values.sparkSession
-    n = BITMAP_BITS // 64
-    bits = values.select(F.explode(F.array(*_places(F.col("v")))).alias("p")).distinct()
-    words = bits.groupBy((F.shiftright("p", 6)).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b"))
-    full = spark.range(n).withColumnRenamed("id", "w").join(words, "w", "left").select("w", F.coalesce("b", F.lit(0)).alias("b"))
-    row = full.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "b"))), lambda x: x["b"]).alias("bits"))
-    return row.scalar()
+def _bitmap(values: DataFrame, bits: int) -> Column:
+    """Scalar subquery: ``bits`` bits as ARRAY<LONG>, those of ``_place`` set for each value ``v``."""
+    n = bits // 64
+    words = values.select(*(x.alias(c) for x, c in zip(_place(F.col("v"), bits), ("w", "p")))).groupBy("w").agg(
+        F.bit_or(F.expr("shiftleft(1L, p)")).alias("b"))
+    full = values.sparkSession.range(n).select(F.col("id").cast("int").alias("w")).join(words, "w", "left").select("w", F.coalesce("b", F.lit(0)).alias("b"))
+    return full.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "b"))), lambda x: x["b"]).alias("bits")).scalar()
 
 
-def _places(v: Column) -> list[Column]:
-    return [F.pmod(v, F.lit(BITMAP_BITS)), F.pmod(F.shiftright(v, 24), F.lit(BITMAP_BITS))]
+def _place(v: Column, bits: int) -> tuple[Column, Column]:
+    """A hash's word in the bitmap and its bit in that word."""
+    return F.shiftrightunsigned(v, 6).bitwiseAND(F.lit(bits // 64 - 1)).cast("int"), v.bitwiseAND(F.lit(63)).cast("int")
 
 
-def _in(bits: Column, v: Column) -> Column:
-    tests = [F.getbit(F.get(bits, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63))) == 1 for p in _places(v)]
-    return tests[0] & tests[1]
+def _in(bitmap: str, v: Column, bits: int) -> Column:
+    word, bit = _place(v, bits)
+    return F.getbit(F.get(bitmap, word), bit) == 1
 
 
 def _windows(h: Column, mask: str) -> Column:
@@ -65,8 +64,14 @@ def _windows(h: Column, mask: str) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last))
 
 
+def _seeds_at(mask: str) -> Column:
+    """(i, seed) of the windows that start at the positions ``at`` of the words ``h``."""
+    fits = F.filter("at", lambda i: i + len(mask) <= F.size("h"))
+    return F.transform(fits, lambda i: F.struct(i.alias("i"), _at(F.col("h"), i, mask).alias("seed")))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS, run: int = RUN,
-             similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text",
+             similarity: float = SIMILARITY, bitmap_bits: int = BITMAP_BITS, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Verified overlaps: one row per document and benchmark item,
     ``doc_id, doc_hash, item_id, n_hits, n_matched, first_word``.
@@ -86,25 +91,26 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS
                .select("item_id", "q", "p", _at(F.col("q"), F.col("p"), mask).alias("seed")))
         seeds = one if seeds is None else seeds.union(one)
     seeds = seeds.distinct()
-    pair_bits = _bitmap(seeds.select(_at(F.col("q"), F.col("p"), "11").alias("v")))
-    seed_bits = _bitmap(seeds.select(F.col("seed").alias("v")))
-
-    # words, then their positions that pass: kept apart so that no step is computed twice
-    words = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("doc_hash"),
-                        _word_hashes(F.col(text_col)).alias("h"))
-    starts = words.select("doc_id", "doc_hash", "h", F.filter(
-        F.when(F.size("h") >= min(map(len, masks)), F.sequence(F.lit(0), F.size("h") - min(map(len, masks)))),
-        lambda i: _in(pair_bits, _at(F.col("h"), i, "11"))).alias("at"))
+    pair = lambda a, b: F.xxhash64(a, b)
+    pair_bits = _bitmap(seeds.select(pair(F.get("q", F.col("p")), F.get("q", F.col("p") + 1)).alias("v")), bitmap_bits)
+    seed_bits = _bitmap(seeds.select(F.col("seed").alias("v")), bitmap_bits)
+
+    # each step is a column of its own, so that no hash is computed twice
+    words = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("doc_hash"), _word_hashes(F.col(text_col)).alias("h"))
+    words = words.where(F.size("h") >= min(map(len, masks)))
+    pairs = words.select("doc_id", "doc_hash", "h", F.zip_with("h", F.slice("h", F.lit(2), F.size("h") - 1), pair).alias("v"), pair_bits.alias("bits"))
+    starts = pairs.select("doc_id", "doc_hash", "h", F.array_compact(
+        F.transform("v", lambda v, i: F.when(_in("bits", v, bitmap_bits), i))).alias("at"))
+    starts = starts.where(F.size("at") > 0).select("*", seed_bits.alias("bits"))
     around = run - 1
-    hits = None
+    seeded = []
     for mask in masks:
-        seeded = F.filter("at", lambda i, mask=mask: (i + len(mask) <= F.size("h")) & _in(seed_bits, _at(F.col("h"), i, mask)))
+        starts = starts.withColumn(f"s{mask}", _seeds_at(mask))
         # a fixed number of words on both sides of the hit travels with it
-        near = F.transform(seeded, lambda i, mask=mask: F.struct(
-            i.alias("i"), _at(F.col("h"), i, mask).alias("seed"), F.greatest(i - around, F.lit(0)).alias("from"),
-            F.slice("h", F.greatest(i - around, F.lit(0)) + 1, 2 * around + span).alias("d")))
-        hits = near if hits is None else F.concat(hits, near)
-    hits = starts.select("doc_id", "doc_hash", F.explode(hits).alias("hit")).select("doc_id", "doc_hash", "hit.*")
+        seeded.append(F.transform(F.filter(f"s{mask}", lambda x: _in("bits", x["seed"], bitmap_bits)), lambda x: F.struct(
+            x["i"].alias("i"), x["seed"].alias("seed"), F.greatest(x["i"] - around, F.lit(0)).alias("from"),
+            F.slice("h", F.greatest(x["i"] - around, F.lit(0)) + 1, F.lit(2 * around + span)).alias("d"))))
+    hits = starts.select("doc_id", "doc_hash", F.explode(F.concat(*seeded)).alias("hit")).select("doc_id", "doc_hash", "hit.*")
     joined = hits.join(seeds, "seed")
 
     # item word k stands against document word i + k - p; compare run after run that covers the seed's neighbourhood

@@ -19,7 +19,6 @@ HASHED_WORDS = 1 << 12
 FACTORS = 4
 #: partitions of the training rows, so that a fit does not depend on the cluster
 TRAIN_PARTS = 6
-STATISTICS = 14
 
 
 def _statistics(text: Column, words: str, n_chars: Column) -> Column:
@@ -30,12 +29,13 @@ def _statistics(text: Column, words: str, n_chars: Column) -> Column:
     kinds = F.size(F.array_distinct(words)).cast("double")
     lines = F.split(text, "\n")
     n_lines = F.size(lines).cast("double")
+    again = F.size(F.filter(F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: a == b), lambda x: x)).cast("double")
     letters = 1 - count(r"\p{L}+") / chars
     return F.array(
         letters, 1 - count(r"\p{Lu}+") / chars, 1 - count(r"\p{N}+") / chars, 1 - count(r"[\s]+") / chars,
-        F.least(F.lit(1.0), 5 * (1 - count(r"[#$%&*|@^~<>{}=\\+_]+") / chars)), F.least(F.lit(1.0), 5 * (1 - count(r"[!?]+") / chars)),
+        F.least(F.lit(1.0), 10 * (1 - count(r"[#$%&*|@^~<>{}=\\+_]+") / chars)), F.least(F.lit(1.0), 5 * (1 - count(r"[!?]+") / chars)),
         F.least(F.lit(1.0), 5 * (1 - count(r"[.,;:]+") / chars)),
-        kinds / n, F.size(F.array_distinct(lines)) / n_lines,
+        kinds / n, again / n, F.size(F.array_distinct(lines)) / n_lines,
         F.least(F.lit(3.0), chars / n / 8), F.log1p(n) / 10, F.log1p(n_lines) / 10, F.log1p(n / n_lines) / 5,
         F.log1p(F.greatest(F.coalesce(n_chars, F.length(text)).cast("double"), F.lit(0.0))) / 15)
 
@@ -71,7 +71,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = sample.repartition(TRAIN_PARTS, "id").sortWithinPartitions("id").persist()
     try:
         return FMClassifier(featuresCol="__x", labelCol="label", predictionCol="__predicted", probabilityCol="__p", rawPredictionCol="__raw",
-                            factorSize=FACTORS, solver="adamW", stepSize=0.1, maxIter=60, regParam=1e-4, initStd=0.02, seed=7).fit(sample)
+                            factorSize=FACTORS, solver="adamW", stepSize=0.05, maxIter=80, regParam=1e-3, initStd=0.02, seed=7).fit(sample)
     finally:
         sample.unpersist()
 
