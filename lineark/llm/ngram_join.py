@@ -14,11 +14,17 @@ order of the hashes.  That order is cut into fragments twice:
 * **Verification.**  Each candidate pair's overlap is counted apart in every one of
   ``PARTS`` fragments and summed per pair; the exact Jaccard test follows.
 
+Between the two, exact filters thin the candidates out.  A set that links with any other
+shares at least (fragments - H) of its non-empty fragments with it, so a set with fewer shared
+fragments goes.  Among the sets that stay, n-grams are ordered by how many sets hold them,
+rare ones first, and only a set's prefix in that order makes buckets; positions in it
+bound a pair's overlap before it is counted.
+
 Documents with equal sets form one class and are never paired.  A bucket never emits all
-its pairs: rows are range-partitioned by (bucket, class), so a hot bucket is split over
-tasks, and every class meets the bucket's first class of its task only.  Classes that
-are linked already need no further comparison, so later rounds take only buckets whose
-members are still in different components, with a growing number of centres per bucket,
+its pairs: signature rows are range-partitioned by (bucket, class), so a hot bucket is split
+over tasks, and a bucket's classes meet a few centres only, those with the fewest n-grams of
+their own.  Classes that are linked need no further comparison, so each round takes only
+buckets whose members are still in different components, with more centres per bucket,
 until none is left.  No link between components is lost, and no cap is involved.
 """
 
@@ -35,8 +41,8 @@ from lineark.llm.common import Cache, as_bytes, map_rows, stored
 PARTS = 8
 #: bits of the map-side filter that keeps only candidates' texts for verification
 FILTER_BITS = 1 << 25
-#: centres per bucket in the first full round; each later round takes four times as many
-CENTRES = 8
+#: centres per bucket in the first round; each later round takes four times as many
+CENTRES = 1
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -86,21 +92,25 @@ class Cuts:
         k = int(np.searchsorted(self.start, size, "right")) - 1
         return [k, k + 1] if size * self.den // self.num >= self.start[k + 1] else [k]
 
-    def signatures(self, x: np.ndarray) -> np.ndarray:
-        out = []
+    def signatures(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Fragment hashes, and for each the quota of its cut: the cut's number * 2**32 + how many of
+        the set's hashes in this cut any linked set shares at least."""
+        out, quota = [], []
         for k in self.schemes(len(x)):
             h = self.apart[k]
             if not h:                   # such small sets link only if they are equal
                 continue
-            n = h + 3 + h // 16
+            n = h + 3 + h // 8
             at = ((x >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
             name = _mix(at[first] + np.uint64(k << 40))
             out.append(_mix(np.add.reduceat(_mix(x), first) ^ name))
+            quota.append(np.full(len(first), (k << 32) + max(1, len(first) - h)))
             if len(first) <= h:
                 keep = len(x) - -(-self.num * len(x) // self.den) + 1
                 out.append(_mix(x[:keep] ^ _mix(np.uint64([k + (1 << 50)]))))
-        return np.concatenate(out) if out else x[:0]
+                quota.append(np.full(keep, (k << 32) + 1))
+        return (np.concatenate(out), np.concatenate(quota)) if out else (x[:0], np.zeros(0, np.int64))
 
 
 def _class_of(x: np.ndarray) -> int | None:
@@ -120,58 +130,61 @@ def _sets(df: DataFrame, width: int) -> DataFrame:
 
 
 def _signatures(df: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(sig, cid, n): every class's fragment hashes, once per task."""
+    """(sig, cid, n, quota): every class's fragment hashes, once per task."""
     def make():
         grams, cuts, seen = Shingler(width), Cuts(num, den), set()
 
         def step(cols):
-            sig, cid, n = [], [], []
+            out = {"sig": [], "cid": [], "n": [], "quota": []}
             for t in cols["t"]:
                 x = grams(t)
                 c = _class_of(x)
                 if c is None or c in seen:
                     continue
                 seen.add(c)
-                s = cuts.signatures(x)
-                sig.append(s.astype(np.int64))
-                cid.append(np.full(len(s), c, np.int64))
-                n.append(np.full(len(s), len(x), np.int64))
-            if sig:
-                return {"sig": np.concatenate(sig), "cid": np.concatenate(cid), "n": np.concatenate(n)}
+                sig, quota = cuts.signatures(x)
+                out["sig"].append(sig.astype(np.int64))
+                out["cid"].append(np.full(len(sig), c, np.int64))
+                out["n"].append(np.full(len(sig), len(x), np.int64))
+                out["quota"].append(quota)
+            if out["sig"]:
+                return {k: np.concatenate(v) for k, v in out.items()}
         return step
-    return map_rows(df.select("t"), make, "sig long, cid long, n long")
+    return map_rows(df.select("t"), make, "sig long, cid long, n long, quota long")
 
 
-def _stars(batches):
-    """From rows sorted by (sig, cid): a row (sig, a, na, b, nb) for each class b other than the
-    first class a of its bucket in this partition; the first and the last bucket of
-    a partition, which may go on elsewhere, also give (sig, a, na, a, na)."""
+def _shared(batches):
+    """Of rows (sig, cid, n, quota) sorted by (sig, cid): those of buckets with several classes, each class
+    once; and those of the first and the last bucket of a partition, which may go on elsewhere."""
     import pyarrow as pa
-    names, carry, begun, last_self = ["sig", "a", "na", "b", "nb"], None, False, None
+    names, carry, opened = ["sig", "cid", "n", "quota"], None, None
+
+    def rows(cols, take):
+        return pa.RecordBatch.from_arrays([pa.array(c[take]) for c in cols], names)
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, cid, n = (batch.column(i).to_numpy() for i in range(3))
-        if carry is not None:           # the open bucket's centre and its last class
-            sig, cid, n = (np.concatenate((c, v)) for c, v in zip(carry, (sig, cid, n)))
-        new = np.concatenate(([True], sig[1:] != sig[:-1]))
-        centre = np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))
-        again = np.concatenate(([False], cid[1:] == cid[:-1]))
-        take = (cid != cid[centre]) & ~(again & ~new)
-        if carry is not None:
-            take[:len(carry[0])] = False
-        if not begun:
-            take[0], begun = True, True
-            last_self = sig[0]
-        i, j = np.flatnonzero(take), centre[take]
-        if len(i):
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (sig[i], cid[j], n[j], cid[i], n[i])], names)
-        c, e = centre[-1], len(sig) - 1
-        keep = [c] if c == e else [c, e]
-        carry = tuple(v[keep] for v in (sig, cid, n))
-    if carry is not None and carry[0][0] != last_self:
-        s, c, m = (v[:1] for v in carry)
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (s, c, m, c, m)], names)
+        cols = [batch.column(i).to_numpy() for i in range(4)]
+        if carry is not None:           # the last row, and whether it was given out already
+            cols = [np.concatenate((c, v)) for c, v in zip(carry[0], cols)]
+        new = np.concatenate(([True], (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])))
+        given = carry is not None and carry[1]
+        at = np.flatnonzero(new)        # each class of each bucket once
+        sig = cols[0][at]
+        near = sig[1:] == sig[:-1]
+        several = np.concatenate(([False], near)) | np.concatenate((near, [False]))
+        if opened is None:
+            opened = sig[0]
+        several |= sig == opened
+        if given:
+            several[0] = False
+        last_given = several[-1] or (given and len(at) == 1)
+        if several.any():
+            yield rows(cols, at[several])
+        carry = ([c[at[-1]:at[-1] + 1] for c in cols], last_given)
+    if carry is not None and not carry[1]:
+        yield rows(carry[0], slice(None))
 
 
 def _slots(col) -> F.Column:
@@ -254,6 +267,32 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def _candidates(members: DataFrame) -> DataFrame:
+    """The rows of buckets with several classes, of classes that have as many of them as their quota
+    asks; applied until a pass removes few rows (it only ever removes rows that can't matter)."""
+    count = None
+    while True:
+        several = members.groupBy("sig").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo <> hi").select("sig")
+        members = members.join(several, "sig", "left_semi")
+        enough = (members.groupBy("cid", "quota").agg(F.count("*").alias("k"))
+                  .where(F.col("k") >= F.col("quota").bitwiseAND(F.lit((1 << 32) - 1))).select("cid", "quota"))
+        members = stored(members.join(enough, ["cid", "quota"], "left_semi"), "members")
+        before, count = count, members.count()
+        if count == 0 or before is not None and count > 0.9 * before:
+            return members
+
+
+def _prefixes(tokens: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """(sig, cid, n, pos): the n-grams of each class's prefix that other classes hold too; ``pos`` is the
+    n-gram's place, from 1, in the class's n-grams ordered by number of classes and hash."""
+    one = tokens.select("cid", F.explode("grams").alias("sig"))
+    held = one.groupBy("sig").agg(F.count("*").alias("df")).where("df > 1")
+    listed = one.join(held, "sig").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("x"))   # one text's own
+    place = listed.join(classes, "cid").select("cid", "n", F.posexplode("x").alias("i", "x"), (F.col("n") - F.size("x")).alias("own"))
+    place = place.select("x.sig", "cid", "n", (F.col("own") + F.col("i") + 1).alias("pos"))
+    return place.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1)
+
+
 def _grouped(docs: DataFrame, width: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, doc_hash, n, g) of every row; g names its component, NULL for an empty set."""
     spark = docs.sparkSession
@@ -262,51 +301,39 @@ def _grouped(docs: DataFrame, width: int, num: int, den: int, id_col: str, text_
 
     sigs = _signatures(df, width, num, den)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    stars = stored(sigs.repartitionByRange(parts, "sig", "cid").sortWithinPartitions("sig", "cid")
-                   .mapInArrow(_stars, "sig long, a long, na long, b long, nb long"), "stars")
-
-    # every bucket's members; buckets that ended as one class are left out
-    members = stars.select("sig", F.col("a").alias("cid"), F.col("na").alias("n")).union(stars.select("sig", "b", "nb")).distinct()
-    several = members.groupBy("sig").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low <> high")
-    live = stored(members.join(several.select("sig", "low"), "sig"), "members")
-    tokens = stored(_tokens(df, live.select("cid").distinct(), sets, width), "tokens")
-
-    near = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
-    first = live.where("cid = low").select("sig", F.col("cid").alias("c"), F.col("n").alias("nc"))
-    shared = (stars.where("a <> b").select(F.col("a").alias("c"), F.col("na").alias("nc"), F.col("b").alias("m"), F.col("nb").alias("nm"))
-              .union(stars.where("a = b").join(first, "sig").where("c <> b").select("c", "nc", F.col("b").alias("m"), F.col("nb").alias("nm")))
-              .groupBy("c", "nc", "m", "nm").agg(F.count("*").alias("k")))
-    best = shared.groupBy("m", "nm").agg(F.max_by(F.struct("c", "nc"), F.struct("k", F.negative("c"))).alias("x"))
-    ordered = lambda a, na, b, nb: (
-        F.least(a, b).alias("a"), F.when(a < b, na).otherwise(nb).alias("na"),
-        F.greatest(a, b).alias("b"), F.when(a < b, nb).otherwise(na).alias("nb"))
-    pairs = best.select(*ordered(F.col("x.c"), F.col("x.nc"), F.col("m"), F.col("nm"))).where(near).distinct()
-    tested = stored(pairs, "pairs")
-    links = stored(_verified(tested, tokens, num, den), "links")
-    comps = components(links)
-
-    live, centres = live.select("sig", "cid", "n"), CENTRES
+    members = stored(sigs.repartitionByRange(parts, "sig", "cid").sortWithinPartitions("sig", "cid")
+                     .mapInArrow(_shared, "sig long, cid long, n long, quota long"), "shared").distinct()
+    classes = stored(_candidates(members).select("cid", "n").distinct(), "classes")
+    tokens = stored(_tokens(df, classes.select("cid"), sets, width), "tokens")
+
+    live = stored(_prefixes(tokens, classes, num, den), "prefixes")
+    comps = spark.createDataFrame([], "cid long, comp long")
+    tested = links = None
+    centres = CENTRES
     while True:
-        named = live.join(comps, "cid", "left").select("sig", "cid", "n", F.coalesce("comp", "cid").alias("comp"))
+        named = live.join(comps, "cid", "left").select("sig", "cid", "n", "pos", F.coalesce("comp", "cid").alias("comp"))
         split = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
         live = stored(named.join(split, "sig", "left_semi"), "live")
         if live.isEmpty():
             break
         salt = F.pmod(F.xxhash64("cid", F.lit(centres)), F.lit(centres))
-        centre = live.groupBy("sig", salt.alias("salt")).agg(F.min(F.struct("cid", "n", "comp")).alias("x")).select(
-            "sig", F.col("x.cid").alias("c"), F.col("x.n").alias("nc"), F.col("x.comp").alias("cc"))
-        centre = stored(centre, "centres")
-        pairs = (live.join(centre, "sig").where("comp <> cc")
-                 .select(*ordered(F.col("c"), F.col("nc"), F.col("cid"), F.col("n"))).where(near).distinct()
-                 .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-        pairs = stored(pairs.select(*tested.columns), "pairs")
+        centre = stored(live.groupBy("sig", salt.alias("salt")).agg(F.min(F.struct("pos", "cid", "n", "comp")).alias("c")).select("sig", "c"), "centres")
+        # what is left of both sets at this n-gram bounds the overlap of a pair that first meets here
+        needed = F.ceil((F.col("n") + F.col("c.n")) * num / (num + den))
+        left = F.least(F.col("n") - F.col("pos"), F.col("c.n") - F.col("c.pos")) + 1
+        smaller = F.col("c.cid") < F.col("cid")
+        pairs = live.join(centre, "sig").where(F.col("comp") != F.col("c.comp")).where(left >= needed).select(
+            F.least("c.cid", "cid").alias("a"), F.when(smaller, F.col("c.n")).otherwise(F.col("n")).alias("na"),
+            F.greatest("c.cid", "cid").alias("b"), F.when(smaller, F.col("n")).otherwise(F.col("c.n")).alias("nb")).distinct()
+        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs.select("a", "na", "b", "nb"), "pairs")
         found = stored(_verified(pairs, tokens, num, den), "links")
-        tested, links = tested.union(pairs), links.union(found)
+        tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
+        links = found if links is None else links.union(found)
         if not found.isEmpty():
             comps = components(links)
-        live = live.join(centre.select("sig", F.col("c").alias("cid")), ["sig", "cid"], "left_anti").select("sig", "cid", "n")
+        live = live.join(centre.select("sig", F.col("c.cid").alias("cid")), ["sig", "cid"], "left_anti").select("sig", "cid", "n", "pos")
         centres *= 4
-
     return sets.join(comps, "cid", "left").select("doc_id", "doc_hash", "n", F.coalesce("comp", "cid").alias("g"))
 
 
