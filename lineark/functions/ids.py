@@ -39,10 +39,10 @@ def mint_id(kind: str, *natural_key, ns: str = DEFAULT_NS) -> Column:
 
     ``ark:<ns>/`` + the first 32 hex digits of ``sha256(kind|key1|key2...)``.  A
     retried or repeated job therefore writes the same IDs instead of new ones.
-    ``\\`` and ``|`` inside a key are escaped, so different keys never share
-    an encoding.
+    ``\\`` and ``|`` inside a key are escaped and NULL has an encoding of its
+    own, so different keys never share one.
     """
-    parts = [F.lit(kind)] + [_escape(F.coalesce(_c(k).cast("string"), F.lit(""))) for k in natural_key]
+    parts = [F.lit(kind)] + [F.coalesce(_escape(_c(k).cast("string")), F.lit("\\0")) for k in natural_key]
     digest = F.sha2(F.concat_ws(_SEP, *parts), 256)
     return F.concat(F.lit(f"ark:{ns}/"), F.substring(digest, 1, 32))
 

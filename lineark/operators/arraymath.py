@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineark.operators.series import with_series_index
+from lineark.operators.series import _join, with_series_index
 
 
 def _cols(x):
@@ -23,10 +23,12 @@ def _cols(x):
 
 def exact_quantiles(df: DataFrame, keys, v: str, qs: dict[str, float], tie: str | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles per group (same rule as
-    ``percentile``/``quantile_cont``), from each value's rank in its group."""
+    ``percentile``/``quantile_cont``), from each value's rank in its group.  NULL
+    values do not count; a NULL group key is a group; a group without values
+    has no row."""
     keys = _cols(keys)
     order = [v] + ([tie] if tie else [])
-    ranked = with_series_index(df.select(*keys, *order), keys, order, name="_r")
+    ranked = with_series_index(df.where(F.col(v).isNotNull()).select(*keys, *order), keys, order, name="_r")
     n = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     picks = []
     for name, q in qs.items():
@@ -36,7 +38,7 @@ def exact_quantiles(df: DataFrame, keys, v: str, qs: dict[str, float], tie: str
     want = n.select(*keys, F.explode(F.array(*picks)).alias("_p")).select(*keys, "_p.*")
     lo = ranked.select(*keys, F.col("_r").alias("lo"), F.col(v).alias("_vlo"))
     hi = ranked.select(*keys, F.col("_r").alias("hi"), F.col(v).alias("_vhi"))
-    got = want.join(lo, [*keys, "lo"]).join(hi, [*keys, "hi"])
+    got = _join(_join(want, lo, [*keys, "lo"]), hi, [*keys, "hi"])
     val = F.col("_vlo") + F.col("frac") * (F.col("_vhi") - F.col("_vlo"))
     return got.groupBy(*keys).pivot("q", list(qs)).agg(F.first(val))
 
@@ -49,7 +51,7 @@ def reduce_over_dim(df: DataFrame, keep, dim: str, v: str = "v") -> DataFrame:
         F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
         F.max(v).alias("max"), F.max_by(dim, F.struct(F.col(v), -F.col(dim))).alias("argmax"))
     q = exact_quantiles(df, keep, v, {"median": 0.5, "p90": 0.9}, tie=dim)
-    return base.join(q, keep)
+    return _join(base, q, keep, "left")
 
 
 def ar1_over_dim(df: DataFrame, keep, dim: str, v: str = "v") -> DataFrame:
@@ -57,11 +59,11 @@ def ar1_over_dim(df: DataFrame, keep, dim: str, v: str = "v") -> DataFrame:
     ``sum(x_t x_{t-1}) / sum(x_t^2)``.  The lag is an equi-join on ``dim - 1``."""
     keep = _cols(keep)
     m = df.groupBy(*keep).agg(F.avg(v).alias("_m"))
-    x = df.join(m, keep).select(*keep, dim, (F.col(v) - F.col("_m")).alias("x"))
+    x = _join(df, m, keep).select(*keep, dim, (F.col(v) - F.col("_m")).alias("x"))
     prev = x.select(*keep, (F.col(dim) + 1).alias(dim), F.col("x").alias("_xp"))
-    num = x.join(prev, [*keep, dim]).groupBy(*keep).agg(F.sum(F.col("x") * F.col("_xp")).alias("_num"))
+    num = _join(x, prev, [*keep, dim]).groupBy(*keep).agg(F.sum(F.col("x") * F.col("_xp")).alias("_num"))
     den = x.groupBy(*keep).agg(F.sum(F.col("x") * F.col("x")).alias("_den"))
-    return den.join(num, keep, "left").select(*keep, F.try_divide("_num", "_den").alias("ar1"))
+    return _join(den, num, keep, "left").select(*keep, F.try_divide("_num", "_den").alias("ar1"))
 
 
 def threshold_values(df: DataFrame, v: str, below: float) -> DataFrame:
@@ -136,7 +138,7 @@ def _neighbours(df: DataFrame, keys: list[str], dim: str, v: str, radius: int, w
         *keys, (F.col(dim) + F.col("_o")).alias(dim), F.col(v).alias("_v"), "_o")
     if weight is not None:
         sent = sent.withColumn("_w", weight(F.col("_o")))
-    return sent.join(df.select(*keys, dim), [*keys, dim], "left_semi")
+    return _join(sent, df.select(*keys, dim).distinct(), [*keys, dim])
 
 
 def gaussian_smooth_1d(df: DataFrame, keys, dim: str, v: str = "v", sigma: float = 1.0) -> DataFrame:
@@ -154,7 +156,7 @@ def temporal_filter(df: DataFrame, keys, dim: str, v: str = "v", fine: float = 1
     keys = _cols(keys)
     a = gaussian_smooth_1d(df, keys, dim, v, fine).withColumnRenamed(v, "_a")
     b = gaussian_smooth_1d(df, keys, dim, v, coarse).withColumnRenamed(v, "_b")
-    return a.join(b, [*keys, dim]).select(*keys, dim, (F.col("_a") - F.col("_b")).alias(v))
+    return _join(a, b, [*keys, dim]).select(*keys, dim, (F.col("_a") - F.col("_b")).alias(v))
 
 
 def dilate_erode(df: DataFrame, keys, dim: str, v: str = "v", radius: int = 1) -> DataFrame:
@@ -169,7 +171,7 @@ def flag_outliers(df: DataFrame, keys, v: str = "v", k: float = 2.0) -> DataFram
     (statistics by grouped aggregate joined back, not a per-series window)."""
     keys = _cols(keys)
     st = df.groupBy(*keys).agg(F.avg(v).alias("_m"), F.stddev_samp(v).alias("_s"))
-    return df.join(st, keys).select(
+    return _join(df, st, keys).select(
         *df.columns, (F.abs(F.col(v) - F.col("_m")) > F.lit(k) * F.col("_s")).alias("is_outlier"))
 
 
@@ -178,6 +180,6 @@ def regress_out(df: DataFrame, keys, v: str, x: str) -> DataFrame:
     residual = v - (intercept + slope * x), fitted per series."""
     keys = _cols(keys)
     fit = df.groupBy(*keys).agg(F.regr_slope(v, x).alias("_b"), F.regr_intercept(v, x).alias("_a"))
-    return df.join(fit, keys).select(
+    return _join(df, fit, keys).select(
         *[(F.col(v) - (F.col("_a") + F.col("_b") * F.col(x))).alias(v) if c == v else F.col(c)
           for c in df.columns])

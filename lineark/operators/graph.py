@@ -8,6 +8,8 @@ and a lost executor re-reads instead of recomputing earlier rounds.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +23,7 @@ def _nodes(edges: DataFrame, src: str, dst: str) -> DataFrame:
         edges.select(F.col(dst).alias("node"))).distinct()
 
 
-def peel_levels(edges: DataFrame, src: str = "src", dst: str = "dst",
-                max_rounds: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def peel_levels(edges: DataFrame, src: str = "src", dst: str = "dst") -> tuple[DataFrame, DataFrame]:
     """Kahn's algorithm by rounds.  Round r removes the nodes whose predecessors
     are all gone, so r is the length of the longest path from a root.  Returns
     ``(levels(node, level), left(node))``; ``left`` holds the nodes on or
@@ -30,7 +31,7 @@ def peel_levels(edges: DataFrame, src: str = "src", dst: str = "dst",
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct().checkpoint()
     left = _nodes(e, "src", "dst").checkpoint()
     done = []
-    for r in range(max_rounds):
+    for r in count():
         ready = left.join(e.select(F.col("dst").alias("node")), "node", "left_anti") \
             .withColumn("level", F.lit(r).cast("bigint")).checkpoint()
         if not ready.take(1):
@@ -68,17 +69,15 @@ def ordered_index(levels: DataFrame, node: str = "node", level: str = "level") -
 
 
 def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src", dst: str = "dst",
-            reverse: bool = False, prune_every: int = 4, max_rounds: int = 1_000_000) -> DataFrame:
+            reverse: bool = False) -> DataFrame:
     """Everything reachable from each root, with the BFS distance: ``(root, node, dist)``.
 
     ``reverse=False`` follows ``src -> dst``; ``reverse=True`` follows edges
     backwards.  All roots run together (default: every node).  Each round
-    extends only the newest frontier; every ``prune_every`` rounds the
-    frontier is also cut against every pair seen so far, which bounds the
-    work on shared ancestors and ends the loop on cyclic graphs.  Between
-    cuts a pair may be reached again by a longer path; the final ``min(dist)``
-    keeps the shortest, so distances are exact.  A node in many roots'
-    frontiers is a hot join key; AQE splits such partitions.
+    extends only the newest frontier and cuts it against every pair seen so
+    far, so a pair is reached once, by its shortest path, and the loop ends on
+    cyclic graphs too.  A node in many roots' frontiers is a hot join key; AQE
+    splits such partitions.
     """
     a, b = (dst, src) if reverse else (src, dst)
     adj = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct().checkpoint()
@@ -88,12 +87,10 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",
         .withColumn("node", F.col("root")).checkpoint()
     seen = frontier
     layers = []
-    for d in range(1, max_rounds + 1):
+    for d in count(1):
         step = (frontier.join(adj, "node").select("root", F.col("next").alias("node"))
                 .where(F.col("root") != F.col("node")).distinct())
-        if d % prune_every == 0:
-            step = step.join(seen, ["root", "node"], "left_anti")
-        step = step.checkpoint()
+        step = step.join(seen, ["root", "node"], "left_anti").checkpoint()
         if not step.take(1):
             break
         layers.append(step.withColumn("dist", F.lit(d).cast("bigint")))
@@ -104,7 +101,7 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",
     out = layers[0]
     for layer in layers[1:]:
         out = out.unionByName(layer)
-    return out.groupBy("root", "node").agg(F.min("dist").alias("dist"))
+    return out
 
 
 def evidence_graph(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",
@@ -127,20 +124,22 @@ def provenance_edges(used: DataFrame, generated: DataFrame) -> DataFrame:
     return u.unionByName(g).distinct()
 
 
-def hierarchy_paths(containment: DataFrame, parent: str = "parent", node: str = "node",
-                    max_depth: int = 64) -> DataFrame:
+def hierarchy_paths(containment: DataFrame, parent: str = "parent", node: str = "node") -> DataFrame:
     """Dotted path from the top for every node in a containment tree:
-    ``(node, path, is_leaf)``.  Depth is small; one join per level."""
+    ``(node, path, is_leaf)``.  One join per level, to any depth; a containment
+    cycle raises ValueError."""
     c = containment.select(F.col(parent).alias("parent"), F.col(node).alias("node")).distinct()
     up = c.select(F.col("node").alias("cur"), F.col("parent").alias("up"))
     tops = c.select(F.col("parent").alias("node")).distinct().join(c.select("node"), "node", "left_anti")
     paths = c.select("node", F.col("node").alias("path"), F.col("parent").alias("cur"))
-    for _ in range(max_depth):
+    while True:
         paths = (paths.join(up, "cur", "left")
                  .select("node", F.concat_ws(".", "cur", "path").alias("path"), F.col("up").alias("cur")))
         paths = paths.checkpoint()
         if not paths.where(F.col("cur").isNotNull()).take(1):
             break
+        if paths.where(F.col("cur") == F.col("node")).take(1):
+            raise ValueError("containment has a cycle: a node is inside itself")
     paths = paths.select("node", "path").unionByName(tops.select("node", F.col("node").alias("path")))
     parents = c.select(F.col("parent").alias("node")).distinct().withColumn("_p", F.lit(True))
     return paths.join(parents, "node", "left").select("node", "path", F.col("_p").isNull().alias("is_leaf"))
@@ -157,7 +156,7 @@ def list_node_names(containment: DataFrame, parent: str = "parent", node: str =
 
 
 def flatten_hierarchy(containment: DataFrame, edges: DataFrame, parent: str = "parent",
-                      node: str = "node", max_depth: int = 64) -> DataFrame:
+                      node: str = "node") -> DataFrame:
     """Rewrite edges that name a container port ``child.port`` to the inner
     leaf: the endpoint becomes the leaf's dotted path and the port the rest.
     Nested containers are unwrapped one level per round."""
@@ -166,7 +165,7 @@ def flatten_hierarchy(containment: DataFrame, edges: DataFrame, parent: str = "p
     e = edges.select("src", "src_port", "dst", "dst_port")
     for side in ("src", "dst"):
         p = f"{side}_port"
-        for _ in range(max_depth):
+        while True:     # every round takes one name off a port, so it ends
             cand = e.withColumn("_k", F.substring_index(F.col(p), ".", 1)).withColumn("_c", F.col(side))
             hit = cand.join(kids.withColumn("_ok", F.lit(True)), ["_c", "_k"], "left")
             move = F.coalesce(F.col("_ok"), F.lit(False)) & F.col(p).contains(".")

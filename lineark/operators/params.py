@@ -25,7 +25,7 @@ def _vtype(v: Column) -> Column:
 
 
 def flatten_params(df: DataFrame, owner: str, json_col: str,
-                   found: DataFrame | None = None, max_depth: int = 32) -> DataFrame:
+                   found: DataFrame | None = None) -> DataFrame:
     """Nested parameters -> ``(owner, key, value, vtype, in_list)``, one row per leaf.
 
     Naming: a dict entry ``k`` under ``p`` is ``p_k``; a scalar at list index
@@ -44,7 +44,7 @@ def flatten_params(df: DataFrame, owner: str, json_col: str,
     found_keys = found.select(F.col(found.columns[0]).alias("owner"), F.col(found.columns[1]).alias("k")) \
         if found is not None else None
     leaves = []
-    for _ in range(max_depth):
+    while True:
         if found_keys is not None:
             frontier = frontier.join(found_keys, ["owner", "k"], "left_anti")
         obj = F.try_variant_get("v", "$", _OBJ)
@@ -96,8 +96,10 @@ def split_params_files(leaves: DataFrame, objects: DataFrame, path: str = "path"
     file; other dict-level values are parameters; non-file strings inside
     lists are dropped.  Adds ``kind`` (``input_file`` / ``parameter``)."""
     files = objects.select(F.col(path).alias("value")).distinct().withColumn("_file", F.lit(True))
-    j = leaves.join(files, "value", "left")
-    is_file = (F.col("vtype") == "string") & F.col("_file").isNotNull()
+    # only strings can name a file: hot numbers and flags never enter the join
+    text = leaves.where(F.col("vtype") == "string").join(files, "value", "left").select(*leaves.columns, "_file")
+    j = text.unionByName(leaves.where(F.col("vtype") != "string").withColumn("_file", F.lit(None).cast("boolean")))
+    is_file = F.col("_file").isNotNull()
     kind = F.when(is_file, "input_file").when(
         ~(F.col("in_list") & (F.col("vtype") == "string")), "parameter")
     return j.withColumn("kind", kind).where(F.col("kind").isNotNull()).drop("_file")
@@ -215,8 +217,9 @@ def register_edge_function(name: str, fn: Callable[..., Column]) -> None:
 
 
 def edge_function(df: DataFrame, value: str, fn: str, out: str = "value_in") -> DataFrame:
-    """Apply the edge's named function (``fn`` column; NULL = pass through)."""
-    expr = F.col(value)
+    """Apply the edge's named function (``fn`` column; NULL = pass through).  A
+    name that is not registered fails the query."""
+    expr = F.raise_error(F.concat(F.lit("unknown edge function: "), F.col(fn))).cast(df.schema[value].dataType)
     for name, f in EDGE_FUNCTIONS.items():
         expr = F.when(F.col(fn) == name, f(F.col(value))).otherwise(expr)
     return df.withColumn(out, F.when(F.col(fn).isNull(), F.col(value)).otherwise(expr))

@@ -84,8 +84,12 @@ def upsert_computation(base: DataFrame, updates: DataFrame, key: str = "job_id")
     """Finish computation records: ``status``, ``logs`` and ``end_ts`` come from
     the update; ``supports`` is replaced only when the update lists outputs
     (non-empty), otherwise the old value stays.  Other fields are kept; updates
-    for unknown jobs become new rows."""
-    u = updates.select(key, *[F.col(c).alias(f"_u_{c}") for c in ("status", "logs", "end_ts", "supports")])
+    for unknown jobs become new rows.  Of several updates of one job the one
+    that ended last counts."""
+    fields = ("status", "logs", "end_ts", "supports")
+    newest = F.max_by(F.struct(*fields), F.struct("end_ts", "status", "logs"))      # of several updates of one job
+    u = (updates.groupBy(key).agg(newest.alias("_u"))
+         .select(key, *[F.col(f"_u.{c}").alias(f"_u_{c}") for c in fields]))
     j = base.join(u, key, "full_outer")
     has_out = F.coalesce(F.size(F.col("_u_supports")) > 0, F.lit(False))
     cols = []

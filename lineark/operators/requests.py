@@ -91,7 +91,9 @@ def running_jobs(pods: DataFrame, name: str = "name") -> DataFrame:
 def active_filter(asked: DataFrame, jobs: DataFrame, key: str = "job_id",
                   phase: str = "phase") -> DataFrame:
     """``active`` = phase is Running or Pending; an unknown job is not active."""
-    state = jobs.select(key, phase)
+    # a job listed twice counts once: active if any of its rows is
+    live = F.max(F.struct(F.col(phase).isin(*ACTIVE_PHASES).alias("_on"), F.col(phase).alias("_phase")))
+    state = jobs.groupBy(key).agg(live.alias("_p")).select(key, F.col("_p._phase").alias(phase))
     return (asked.join(state, key, "left")
             .withColumn("active", F.coalesce(F.col(phase).isin(*ACTIVE_PHASES), F.lit(False))))
 
@@ -112,6 +114,7 @@ def failure_stage(df: DataFrame, n_stages: str = "n_stages", job_ready: str = "j
 def job_status(asked: DataFrame, computations: DataFrame, key: str = "job_id",
                status: str = "status") -> DataFrame:
     """Status of each asked job; unknown job or record without status -> error text."""
-    st = computations.select(key, status)
+    # a record stored twice answers once, with a status if any row has one
+    st = computations.groupBy(key).agg(F.max(status).alias(status))
     return (asked.join(st, key, "left")
             .withColumn("error", F.when(F.col(status).isNull(), F.lit(MSG_NO_JOB))))

@@ -64,13 +64,16 @@ def resolve_distribution(ids: DataFrame, docs: DataFrame, pointers: DataFrame,
         F.when(inline, url_location(F.col("content_url"))).alias("_inline"),
         (F.when(~inline | F.col("dist_type").isNull(), F.col("dist_ref")) if mode == "last"
          else F.lit(None).cast("string")).alias("_ref"))
+    # one answer per ID: of a document or pointer stored twice the smallest counts
+    entry = entry.groupBy("id").agg(F.min(F.struct("_inline", "_ref")).alias("_e")).select("id", "_e._inline", "_e._ref")
     known = docs.select(F.col(key).alias("id")).distinct()
     asked = ids.select(F.col(key).alias("id")).distinct()
-    ptr = pointers.select(F.col("dist_id").alias("_ref"), F.col("name").alias("_ptr_name"))
-    answers = (asked.join(known.withColumn("_known", F.lit(True)), "id", "left")
-               .join(entry, "id", "left")
-               .join(ptr, "_ref", "left")
-               .select("id", "_known", F.coalesce("_inline", "_ptr_name").alias("location")))
+    ptr = pointers.groupBy(F.col("dist_id").alias("_ref")).agg(F.min("name").alias("_ptr_name"))
+    found = (asked.join(known.withColumn("_known", F.lit(True)), "id", "left").join(entry, "id", "left"))
+    # inline entries have no pointer: they stay out of the join, where they would be one hot NULL key
+    pointed = found.where(F.col("_ref").isNotNull()).join(ptr, "_ref", "left").select(
+        "id", "_known", F.coalesce("_inline", "_ptr_name").alias("location"))
+    answers = pointed.unionByName(found.where(F.col("_ref").isNull()).select("id", "_known", F.col("_inline").alias("location")))
     answers = answers.select(
         F.col("id").alias(key),
         F.when(F.col("_known").isNotNull(), F.col("location")).alias("location"),
@@ -108,8 +111,8 @@ def image_lookup(asked: DataFrame, container_docs: DataFrame, key: str = "contai
                  doc_col: str = "doc") -> DataFrame:
     """Container ID -> ``image``; unknown ID or document without image -> error text."""
     docs = container_docs.select(
-        F.col(key), F.lit(True).alias("_known"),
-        F.try_variant_get(F.try_parse_json(F.col(doc_col)), "$.image", "string").alias("image"))
+        F.col(key), F.try_variant_get(F.try_parse_json(F.col(doc_col)), "$.image", "string").alias("image"))
+    docs = docs.groupBy(key).agg(F.lit(True).alias("_known"), F.min("image").alias("image"))    # one answer per ID
     out = asked.join(docs, key, "left")
     return out.select(
         *asked.columns, "image",

@@ -3,9 +3,8 @@
 Long form input is ``(key, order..., value)``.  A single series may hold a large
 share of all rows, so no unbounded series is put into one task: positions are
 computed by range partitioning (a hot series spans many partitions) and lagged
-values are brought together by an equi-shuffle on ``(key, position)``.  The
-``window`` method (``lead`` over a per-series window) is cheaper when every
-series is small; ``auto`` measures the longest series and picks it only then.
+values are brought together by an equi-shuffle on ``(key, position)``.  The same
+route serves series of every length.
 """
 
 from __future__ import annotations
@@ -14,8 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition row number in the low 33 bits
-BROADCAST_ROWS = 1_000_000  # largest per-(partition, key) count table that is broadcast
-WINDOW_MAX_ROWS = 1_000_000  # longest series a per-series window may hold in one task
 
 
 def _cols(x):
@@ -38,9 +35,9 @@ def with_series_index(df: DataFrame, key, order, name: str = "idx",
     Rows are range-partitioned on ``(key, order)``, numbered inside each
     partition, and shifted by the row counts of the same series in earlier
     partitions.  The per-(partition, series) count table has at most
-    ``#series + #partitions`` rows; it is broadcast when its counted size is
-    under ``BROADCAST_ROWS`` and joined by a shuffle on ``(partition, key)``
-    otherwise, which stays balanced because a hot series is split over many
+    ``#series + #partitions`` rows; the join with it is left to Spark, which
+    broadcasts it if its measured size allows and otherwise shuffles on
+    ``(partition, key)``, balanced because a hot series is split over many
     partitions.
     """
     keys, ords = _cols(key), _cols(order)
@@ -63,11 +60,6 @@ def with_series_index(df: DataFrame, key, order, name: str = "idx",
         Window.unboundedPreceding, -1)
     chunks = chunks.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))) \
         .select("_pid", *keys, "_first", "_off")
-    # The count table is broadcast only after its size is checked; the rows
-    # then stay in their balanced range partitions.  Beyond the limit the join
-    # shuffles on (partition, key), which a hot key cannot unbalance either.
-    if chunks.count() <= BROADCAST_ROWS:
-        chunks = F.broadcast(chunks)
     out = (_join(ranged, chunks, ["_pid", *keys])
            .withColumn(name, F.col("_loc") - F.col("_first") + F.col("_off"))
            .drop("_pid", "_loc", "_first", "_off"))
@@ -94,50 +86,26 @@ def _triple_slots(indexed: DataFrame, key: list[str], value: str, tau) -> DataFr
     """
     t = F.lit(tau) if isinstance(tau, int) else F.col(tau)
     slots = F.array(
-        F.struct(F.col("idx").alias("i"), F.lit(0).alias("r")),
-        F.struct((F.col("idx") - t).alias("i"), F.lit(1).alias("r")),
-        F.struct((F.col("idx") - 2 * t).alias("i"), F.lit(2).alias("r")),
+        F.struct(F.col("_ix").alias("_i"), F.lit(0).alias("_r")),
+        F.struct((F.col("_ix") - t).alias("_i"), F.lit(1).alias("_r")),
+        F.struct((F.col("_ix") - 2 * t).alias("_i"), F.lit(2).alias("_r")),
     )
     exploded = (indexed.select(*key, F.col(value).alias("_y"), F.explode(slots).alias("_s"))
-                .select(*key, "_y", F.col("_s.i").alias("i"), F.col("_s.r").alias("r"))
-                .where(F.col("i") >= 0))
-    return exploded.groupBy(*key, "i").agg(
-        F.max(F.when(F.col("r") == 0, F.col("_y"))).alias("y0"),
-        F.max(F.when(F.col("r") == 1, F.col("_y"))).alias("y1"),
-        F.max(F.when(F.col("r") == 2, F.col("_y"))).alias("y2"),
+                .select(*key, "_y", F.col("_s._i").alias("_i"), F.col("_s._r").alias("_r"))
+                .where(F.col("_i") >= 0))
+    return exploded.groupBy(*key, "_i").agg(
+        F.max(F.when(F.col("_r") == 0, F.col("_y"))).alias("y0"),
+        F.max(F.when(F.col("_r") == 1, F.col("_y"))).alias("y1"),
+        F.max(F.when(F.col("_r") == 2, F.col("_y"))).alias("y2"),
     )
 
 
-def _pick_method(df: DataFrame, keys: list[str], method: str) -> str:
-    """``auto``: measure the longest series (one partial aggregate) and use the
-    per-series window only when every series is under ``WINDOW_MAX_ROWS``;
-    otherwise the skew-safe position index."""
-    if method != "auto":
-        return method
-    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return "window" if (longest or 0) <= WINDOW_MAX_ROWS else "index"
-
-
-def _window_slots(df: DataFrame, key: list[str], value: str, order: list[str], tau: int) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.select(
-        *key,
-        (F.row_number().over(w) - 1).alias("i"),
-        F.col(value).alias("y0"),
-        F.lead(value, tau).over(w).alias("y1"),
-        F.lead(value, 2 * tau).over(w).alias("y2"),
-    )
-
-
-def lag_triples(df: DataFrame, key, value: str, order, tau: int,
-                method: str = "auto") -> DataFrame:
-    """Aligned values ``(y_i, y_{i+tau}, y_{i+2tau})`` for every complete triple."""
+def lag_triples(df: DataFrame, key, value: str, order, tau: int) -> DataFrame:
+    """Aligned values ``(y_i, y_{i+tau}, y_{i+2tau})`` for every complete triple,
+    with ``i`` (no key may have that name) the position of the first."""
     keys, ords = _cols(key), _cols(order)
-    if _pick_method(df, keys, method) == "window":
-        slots = _window_slots(df, keys, value, ords, tau)
-    else:
-        slots = _triple_slots(with_series_index(df.select(*keys, *ords, value), keys, ords),
-                              keys, value, tau)
+    slots = _triple_slots(with_series_index(df.select(*keys, *ords, value), keys, ords, name="_ix"),
+                          keys, value, tau).withColumnRenamed("_i", "i")
     return slots.where(F.col("y1").isNotNull() & F.col("y2").isNotNull())
 
 
@@ -165,7 +133,7 @@ def _tc3_from_slots(slots: DataFrame, key: list[str], digits: int | None) -> Dat
     return out
 
 
-def tc3(df: DataFrame, key, value: str, order, tau: int, method: str = "auto",
+def tc3(df: DataFrame, key, value: str, order, tau: int,
         digits: int | None = None) -> DataFrame:
     """Normalised third-order autocovariance at lag ``tau``, one row per series.
 
@@ -176,11 +144,8 @@ def tc3(df: DataFrame, key, value: str, order, tau: int, method: str = "auto",
     decimals and the large-magnitude num/absnum/denom to ``digits - 4``.
     """
     keys, ords = _cols(key), _cols(order)
-    if _pick_method(df, keys, method) == "window":
-        slots = _window_slots(df, keys, value, ords, tau)
-    else:
-        slots = _triple_slots(with_series_index(df.select(*keys, *ords, value), keys, ords),
-                              keys, value, tau)
+    slots = _triple_slots(with_series_index(df.select(*keys, *ords, value), keys, ords, name="_ix"),
+                          keys, value, tau)
     return _tc3_from_slots(slots, keys, digits)
 
 
@@ -223,27 +188,27 @@ def first_zero_lag(df: DataFrame, key, value: str, order, max_lag: int = 16) ->
     ``sum((n*y_i - S)(n*y_j - S))``, which is exact for DECIMAL input.
     """
     keys, ords = _cols(key), _cols(order)
-    base = with_series_index(df.select(*keys, *ords, value), keys, ords)
+    base = with_series_index(df.select(*keys, *ords, value), keys, ords, name="_ix")
     return _first_zero(base, keys, value, max_lag)
 
 
 def _first_zero(base: DataFrame, keys: list[str], value: str, max_lag: int) -> DataFrame:
     stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("_S"))
     centred = (_join(base, stats, keys)
-               .select(*keys, "idx", "n", (F.col("n") * F.col(value) - F.col("_S")).alias("d")))
+               .select(*keys, "_ix", "n", (F.col("n") * F.col(value) - F.col("_S")).alias("d")))
     found = []
     pending = stats.select(*keys, "n")
     lo = 1
     while True:
         hi = lo + max_lag - 1
         live = centred if lo == 1 else _join(centred, pending.select(*keys), keys, "left_semi")
-        lags = F.sequence(F.lit(lo), F.least(F.lit(hi), F.col("n") - 1 - F.col("idx")))
-        left = (live.where(F.col("idx") + lo < F.col("n"))
-                .select(*keys, "idx", "d", F.explode(lags).alias("lag")))
+        lags = F.sequence(F.lit(lo), F.least(F.lit(hi), F.col("n") - 1 - F.col("_ix")))
+        left = (live.where(F.col("_ix") + lo < F.col("n"))
+                .select(*keys, "_ix", "d", F.explode(lags).alias("lag")))
         right = live.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
-                            F.col("idx").alias("_j"), F.col("d").alias("_dj"))
+                            F.col("_ix").alias("_j"), F.col("d").alias("_dj"))
         cond = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
-        prods = (left.join(right, [*cond, F.col("idx") + F.col("lag") == F.col("_j")])
+        prods = (left.join(right, [*cond, F.col("_ix") + F.col("lag") == F.col("_j")])
                  .select(*keys, "lag", (F.col("d") * F.col("_dj")).alias("p")))
         acf = prods.groupBy(*keys, "lag").agg(F.sum("p").alias("c"))
         # one row per answered series: small, fixed once so the loop test below is cheap
@@ -267,7 +232,7 @@ def tc3_auto(df: DataFrame, key, value: str, order, max_lag: int = 16,
              digits: int | None = None) -> DataFrame:
     """tc3 where each series uses its own ``tau`` from :func:`first_zero_lag`."""
     keys, ords = _cols(key), _cols(order)
-    base = with_series_index(df.select(*keys, *ords, value), keys, ords)
+    base = with_series_index(df.select(*keys, *ords, value), keys, ords, name="_ix")
     taus = _first_zero(base, keys, value, max_lag)
     slots = _triple_slots(_join(base, taus, keys), keys, value, "tau")
     feats = _tc3_from_slots(slots, keys, digits)
@@ -300,48 +265,35 @@ def flatten_features(df: DataFrame, struct_col: str, func: str,
     return df.select(*keep, *out)
 
 
-def _status_changes_window(df: DataFrame, keys: list[str], phase: str, ords: list[str], ts: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*ords)
-    marked = df.select(*keys, *ords, *([ts] if ts not in ords else []), phase,
-                       F.lag(phase).over(w).alias("prev_phase"))
-    changes = marked.where(F.col("prev_phase").isNull() | (F.col("prev_phase") != F.col(phase)))
-    nxt = changes.withColumn("next_change_ts", F.lead(ts).over(w))
-    return nxt.select(*keys, ts, phase, "prev_phase", "next_change_ts",
-                      F.expr(f"timestampdiff(MICROSECOND, {ts}, next_change_ts)").alias("micros_in_phase"))
-
-
-def status_changes(df: DataFrame, key, phase: str, order, ts: str, method: str = "auto") -> DataFrame:
+def status_changes(df: DataFrame, key, phase: str, order, ts: str) -> DataFrame:
     """Rows where a job's phase differs from the one before, with the time until
     the next change (``micros_in_phase``; NULL for the last phase).
 
-    With ``method='auto'`` a per-job window is used only when every job's feed
-    is under ``WINDOW_MAX_ROWS``; otherwise previous/next rows are found through
-    the skew-safe position index and an equi-shuffle on ``(key, position)``, so
-    one very chatty job is still spread over many tasks.
+    A change into or out of a NULL phase counts.  Previous and next rows are
+    found through the position index and an equi-shuffle on ``(key, position)``,
+    so one very chatty job is still spread over many tasks.
     """
     keys, ords = _cols(key), _cols(order)
-    if _pick_method(df, keys, method) == "window":
-        return _status_changes_window(df, keys, phase, ords, ts)
-    ix = with_series_index(df.select(*keys, *ords, phase, *([ts] if ts not in ords else [])), keys, ords)
-    pair = F.array(F.struct(F.col("idx").alias("i"), F.lit(0).alias("r")),
-                   F.struct((F.col("idx") + 1).alias("i"), F.lit(1).alias("r")))
+    ix = with_series_index(df.select(*keys, *ords, phase, *([ts] if ts not in ords else [])), keys, ords, name="_ix")
+    pair = F.array(F.struct(F.col("_ix").alias("_i"), F.lit(0).alias("_r")),
+                   F.struct((F.col("_ix") + 1).alias("_i"), F.lit(1).alias("_r")))
     ex = ix.select(*keys, ts, phase, F.explode(pair).alias("_s")).select(
-        *keys, ts, phase, F.col("_s.i").alias("i"), F.col("_s.r").alias("r"))
-    g = ex.groupBy(*keys, "i").agg(
-        F.max(F.when(F.col("r") == 0, F.struct(F.col(ts).alias("ts"), F.col(phase).alias("ph")))).alias("_own"),
-        F.max(F.when(F.col("r") == 1, F.col(phase))).alias("prev_phase"))
+        *keys, ts, phase, F.col("_s._i").alias("_i"), F.col("_s._r").alias("_r"))
+    g = ex.groupBy(*keys, "_i").agg(
+        F.max(F.when(F.col("_r") == 0, F.struct(F.col(ts).alias("ts"), F.col(phase).alias("ph")))).alias("_own"),
+        F.max(F.when(F.col("_r") == 1, F.col(phase))).alias("prev_phase"))
     own = g.where(F.col("_own").isNotNull()).select(
-        *keys, "i", F.col("_own.ts").alias(ts), F.col("_own.ph").alias(phase), "prev_phase")
-    changes = own.where(F.col("prev_phase").isNull() | (F.col("prev_phase") != F.col(phase)))
-    cx = with_series_index(changes, keys, ["i"], name="c")
-    pair2 = F.array(F.struct(F.col("c").alias("j"), F.lit(0).alias("r")),
-                    F.struct((F.col("c") - 1).alias("j"), F.lit(1).alias("r")))
+        *keys, "_i", F.col("_own.ts").alias(ts), F.col("_own.ph").alias(phase), "prev_phase")
+    changes = own.where((F.col("_i") == 0) | ~F.col("prev_phase").eqNullSafe(F.col(phase)))
+    cx = with_series_index(changes, keys, ["_i"], name="_c")
+    pair2 = F.array(F.struct(F.col("_c").alias("_j"), F.lit(0).alias("_r")),
+                    F.struct((F.col("_c") - 1).alias("_j"), F.lit(1).alias("_r")))
     ex2 = cx.select(*keys, ts, phase, "prev_phase", F.explode(pair2).alias("_s")).select(
-        *keys, ts, phase, "prev_phase", F.col("_s.j").alias("j"), F.col("_s.r").alias("r"))
-    g2 = ex2.groupBy(*keys, "j").agg(
-        F.max(F.when(F.col("r") == 0, F.struct(F.col(ts).alias("ts"), F.col(phase).alias("ph"),
+        *keys, ts, phase, "prev_phase", F.col("_s._j").alias("_j"), F.col("_s._r").alias("_r"))
+    g2 = ex2.groupBy(*keys, "_j").agg(
+        F.max(F.when(F.col("_r") == 0, F.struct(F.col(ts).alias("ts"), F.col(phase).alias("ph"),
                                                F.col("prev_phase").alias("pp")))).alias("_own"),
-        F.max(F.when(F.col("r") == 1, F.col(ts))).alias("next_change_ts"))
+        F.max(F.when(F.col("_r") == 1, F.col(ts))).alias("next_change_ts"))
     return g2.where(F.col("_own").isNotNull()).select(
         *keys, F.col("_own.ts").alias(ts), F.col("_own.ph").alias(phase), F.col("_own.pp").alias("prev_phase"),
         "next_change_ts",

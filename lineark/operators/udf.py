@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def scale_column(df: DataFrame, src: str, dst: str, factor) -> DataFrame:
-    """``dst = src * factor`` (the service's sample job, as a column expression)."""
+    """``dst = src * factor`` (a scaled copy of one column)."""
     return df.withColumn(dst, F.col(src) * F.lit(factor))
 
 
@@ -44,4 +44,4 @@ def run_job(spark: SparkSession, fn: Callable[[DataFrame, dict], DataFrame], inp
     df = scan_files(spark, inputs, fmt=fmt, header=header)
     result = fn(df, dict(params or {}))
     sink_result(result, output, fmt=out_fmt)
-    return result
+    return spark.read.format(out_fmt).schema(result.schema).load(output)

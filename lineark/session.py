@@ -20,12 +20,13 @@ def get_spark(master: str | None = None, partitions: int | None = None,
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
+            builder = builder.config("spark.sql.shuffle.partitions", str(partitions or os.environ.get("BENCH_CPUS", "8")))
             # in local mode the driver JVM is the whole cluster: size its heap
             builder = builder.config("spark.driver.memory", os.environ.get("LINEARK_DRIVER_MEMORY", "16g"))
-    cpus = os.environ.get("BENCH_CPUS", "8")
+    if partitions and not (master or "").startswith("local"):
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     builder = (
-        builder.config("spark.sql.shuffle.partitions", str(partitions or cpus))
-        .config("spark.ui.enabled", "false")
+        builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -49,8 +50,9 @@ def get_spark(master: str | None = None, partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests) a
-    folder is chosen and set, so that ``DataFrame.checkpoint`` works.
+    Read from the session.  Only a local session without the setting gets a
+    folder of its own, so that ``DataFrame.checkpoint`` works; on a cluster
+    the setting must be there, since a folder of one machine is no use.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -58,6 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="lineark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():

@@ -53,10 +53,9 @@ def test_series_index_dense_under_skew(spark, long_series):
     assert first.eid == 0
 
 
-@pytest.mark.parametrize("method", ["index", "window", "auto"])
-def test_tc3_matches_numpy(long_series, method):
+def test_tc3_matches_numpy(long_series):
     df, data = long_series
-    out = {r.sid: r for r in series.tc3(df, "sid", "y", ["ts", "eid"], 3, method=method).collect()}
+    out = {r.sid: r for r in series.tc3(df, "sid", "y", ["ts", "eid"], 3).collect()}
     for sid, y in data.items():
         ref = tc3_numpy(y, 3)
         r = out[sid]
@@ -118,10 +117,18 @@ def test_status_changes(spark):
     rows = [(1, i, i, p) for i, p in enumerate(["Pending", "Pending", "Running", "Running", "Succeeded"])]
     df = spark.createDataFrame(rows, "job long, eid long, ts long, phase string") \
         .withColumn("ts", F.timestamp_seconds("ts").cast("timestamp_ntz"))
-    for method in ("index", "window"):
-        out = series.status_changes(df, "job", "phase", ["ts", "eid"], "ts", method).orderBy("ts").collect()
-        assert [r.phase for r in out] == ["Pending", "Running", "Succeeded"]
-        assert [r.micros_in_phase for r in out] == [2_000_000, 2_000_000, None]
+    out = series.status_changes(df, "job", "phase", ["ts", "eid"], "ts").orderBy("ts").collect()
+    assert [r.phase for r in out] == ["Pending", "Running", "Succeeded"]
+    assert [r.micros_in_phase for r in out] == [2_000_000, 2_000_000, None]
+
+
+def test_status_changes_with_null_phase_and_plain_key_names(spark):
+    rows = [(1, i, p) for i, p in enumerate([None, "Running", None, None, "Running"])]
+    for key in ("i", "j", "r", "c"):
+        df = spark.createDataFrame(rows, f"{key} long, ts long, phase string").withColumn("ts", F.timestamp_seconds("ts").cast("timestamp_ntz"))
+        out = series.status_changes(df, key, "phase", ["ts"], "ts").orderBy("ts").collect()
+        assert [r.phase for r in out] == [None, "Running", None, "Running"]
+        assert series.tc3(df.withColumn("y", F.lit(1.0)), key, "y", ["ts"], 1).first().n_triples == 3
 
 
 def test_null_series_key_is_kept(spark):
