@@ -1,0 +1,155 @@
+"""Quality, secrets, URLs, licenses and the pipeline."""
+import random
+import re
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from lineark.llm import license_scan, quality, secret_scan, url_filter
+
+SF = "/root/testdata/sf0.001"
+
+
+def prose(r, n):
+    return " ".join(r.choice(["the", "house", "green", "river", "walks", "over", "small", "stone", "evening", "light"]) + r.choice(["", "s", "."]) for _ in range(n))
+
+
+def test_quality_held_out_accuracy(shipped):
+    r = random.Random(1)
+    docs, labels = [], []
+    for i in range(240):
+        good = i % 3 != 0
+        text = prose(r, r.randrange(20, 120)) if good else " ".join(w.upper() + "!!" for w in prose(r, 40).split()) if i % 2 else " | ".join(["buy"] * 30)
+        docs.append((i, text, len(text), "en", 9.9))
+        labels.append((i, int(good), 0))
+    docs += [(240, None, None, None, None), (241, "", 0, None, None), (None, "x", 1, None, None), (0, docs[0][1], len(docs[0][1]), "en", 1.0)]
+    df = shipped.createDataFrame(docs, "doc_id long, text string, n_chars long, lang string, score double")
+    lf = shipped.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rows = quality.quality(df, lf).collect()
+    assert len(rows) == len(docs) and all(0 <= x.score <= 1 and x.predicted == (x.score >= 0.5) for x in rows)
+    for x in rows:
+        assert x.held_out == (x.doc_id is not None and zlib.crc32(str(x.doc_id).encode()) % 3 == 1)
+    held = [x for x in rows if x.held_out and x.doc_id < 240]
+    assert sum(x.predicted == int(x.doc_id % 3 != 0) for x in held) >= 0.95 * len(held)
+    kept = quality.accepted(df, lf)
+    assert kept.columns == df.columns
+    assert {x.doc_id for x in kept.collect()} >= {i for i in range(240) if i % 3 != 0}
+    none = lf.where("false")
+    assert {x.score for x in quality.quality(df, none).collect()} == {0.5}
+    assert quality.accepted(df, none).count() == len(docs)
+    assert quality.quality(df.where("false"), lf).count() == 0
+
+
+def test_secret_scan_and_redaction(shipped):
+    r = random.Random(2)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    rows, secrets = [], {}
+    for i in range(120):
+        hexa = "".join(r.choice("0123456789abcdef") for _ in range(30)) + "a1"
+        key = "AKIA" + "".join(r.choice(alphabet) for _ in range(15)) + "7"
+        card = "4" + "".join(r.choice("0123456789") for _ in range(15))
+        middle = [f"password={hexa}", key, card, f'token = "{hexa}"', "evening2024stones"][i % 5]
+        rows.append((i, f"{prose(r, 20)} {middle} {prose(r, 20)}", "src1", "v"))
+        if i % 5 in (0, 1, 3):
+            secrets[i] = key if i % 5 == 1 else hexa
+    rows += [(200, None, None, "v"), (201, "", "s", "v"), rows[0], (None, rows[1][1], None, "v")]
+    df = shipped.createDataFrame(rows, "doc_id long, text string, source string, value string")
+    found = secret_scan.secret_scan(df).collect()
+    text = {(x[0]): x[1] for x in rows}
+    assert all(text[x.doc_id][x.start:x.end] == x.value for x in found)
+    got = {x.doc_id: x.value for x in found if x.is_secret}
+    assert got == secrets | {None: secrets[1]}
+    assert sum(x.doc_id == 0 for x in found) == 2
+    clean = secret_scan.redact(df, secret_scan.secret_scan(df))
+    assert clean.columns == df.columns
+    want = Counter((i, t.replace(got[i], "[SECRET]") if i in got else t) for i, t, *_ in rows)
+    assert Counter((x.doc_id, x.text) for x in clean.collect()) == want
+    assert secret_scan.secret_scan(df.where("false")).count() == 0
+
+
+RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+def test_url_rules(shipped):
+    urls = ["http://a.Example.com/en/1", "https://www.example.com/en/", "http://WWW.EXAMPLE.COM/en", "http://x.com?q=1", "http://net/es/?a#b", "https://a.net/fr/x#y",
+            "http://b.net/de/", "notld", None, "", "ftp://ecom/", "http://example.com.evil.org/en/", "x://y://z.com/p", "http://examplecom/en/", "http://a.com/\nb"]
+    urls += [f"http://s{i}.com/p/{i}" for i in range(30)] + [f"http://s{i}.net/es/{i}" for i in range(30)]
+    df = shipped.createDataFrame([(i, u, "z") for i, u in enumerate(urls)] + [(None, urls[0], "z"), (0, urls[0], "z")], "page_id long, url string, host string")
+    got = url_filter.url_filter(df, RULES)
+    assert got.count() == len(urls) + 2
+
+    def brute(u):
+        m = re.search(r"(?s)://(.*)", u or "")
+        rest = m[1] if m else ""
+        host = re.split(r"[/?#]", rest)[0]
+        path = re.split(r"[?#]", rest[len(host):])[0]
+        host = host.lower()
+        fit = [(v, h + p) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fit, key=lambda x: len(x[1]), default=(None, None))
+        return host, path, best[1], best[0]
+    for x in got.collect():
+        host, path, rule, verdict = brute(urls[x.page_id or 0])
+        assert (x.host, x.path, x.rule) == (host, path, rule)
+        assert x.verdict == verdict if verdict else x.verdict in ("allow", "block")
+    assert url_filter.url_filter(df.where("false"), RULES).count() == 0
+
+
+def test_url_trees_learn_labelled_urls(shipped):
+    r = random.Random(3)
+    good = [f"https://blog{i}.site.org/post/{r.randrange(99)}" for i in range(150)]
+    bad = [f"http://x{r.randrange(10**9)}.biz/?{'&'.join(f'p{k}={r.random()}' for k in range(5))}" for i in range(150)]
+    known = shipped.createDataFrame([(u, 0) for u in good[:100]] + [(u, 1) for u in bad[:100]], "url string, label int")
+    new = shipped.createDataFrame([(i, u) for i, u in enumerate(good[100:] + bad[100:])], "page_id long, url string")
+    assert {x.page_id for x in url_filter.url_filter(new, (), known).where("verdict = 'block'").collect()} == set(range(50, 100))
+
+
+def test_automaton():
+    a = license_scan.Automaton("use of <<beginOptional>>the<<endOptional>> code by <<var;min=1;max=2>> is free")
+    w = lambda s: s.encode().split()
+    assert a.match(w("use of code by me is free now"), 0) == 7
+    assert a.match(w("use of the code by my friend is free"), 0) == 9
+    assert a.match(w("use of the code by is free"), 0) is None
+    assert a.match(w("use of the the code by me is free"), 0) is None
+    assert a.match(w("use of code by one two three is free"), 0) is None
+
+
+def test_license_scan(edge_docs, shipped):
+    texts = ["All rights reserved. ALL RIGHTS-RESERVED all rights", "licensed under CC BY-NC 4.0. cc by cc by", "This work is licensed under the GNU General Public License, version 3.",
+             "Licensed under the Apache License, Version 2.0.", "Licensed under the Apache Licence 2.0", "general public\nlicense énd", None]
+    df = shipped.createDataFrame([(i, t, "n") for i, t in enumerate(texts)], "doc_id long, text string, labels string")
+    got = {x.doc_id: x for x in license_scan.license_scan(df).collect()}
+    assert (got[0].n_base, got[0].first_word, got[0].last_word, got[0].base_labels) == (2, 0, 3, "reserved")
+    assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].labels) == (3, 2, 9, "cc-by,cc-by-notice")
+    assert got[2].labels == "gpl,gpl-notice" and got[2].score == 1.0
+    assert got[3].labels == "apache-2.0" and got[3].n_base == 0 and got[3].first_word is None
+    assert got[4].labels == "" and got[4].score == 0.0
+    assert (got[5].base_labels, got[5].n_words, got[5].score) == ("gpl", 4, 0.5)
+    assert (got[6].n_words, got[6].base_labels) == (0, "")
+    assert license_scan.license_scan(edge_docs).count() == edge_docs.count()
+    assert license_scan.license_scan(df.where("false")).count() == 0
+
+
+def test_pipeline_stages(shipped):
+    import corpus_pipeline as P
+    docs = shipped.read.parquet(f"{SF}/documents.parquet")
+    seen = docs
+    for name, stage in P.STAGES:
+        out = stage(shipped, seen, SF)
+        if name == "bpe":
+            assert out.count() == seen.count()
+            same = out.join(seen.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("want")), "doc_id").where("want <> decoded_sha256")
+            assert same.isEmpty()
+            break
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        out = out.checkpoint()
+        assert out.select("doc_id").exceptAll(seen.select("doc_id")).isEmpty()
+        if name == "secrets":
+            assert out.count() == seen.count()
+            assert out.where(F.col("text").rlike(r"\bAKIA[A-Z0-9]{16}\b")).isEmpty()
+        seen = out
+    empty = docs.where("false")
+    for name, stage in P.STAGES:
+        assert stage(shipped, empty, SF).count() == 0
+
+
