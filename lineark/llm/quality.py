@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import FMClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
+from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler, VectorSizeHint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +17,8 @@ from lineark.llm.common import fold, stored
 TRAIN_ROWS = 20_000
 HASHED_WORDS = 1 << 12
 FACTORS = 4
+#: entries of the statistics vector
+STATISTICS = 15
 #: partitions of the training rows, so that a fit does not depend on the cluster
 TRAIN_PARTS = 6
 
@@ -48,6 +50,7 @@ def features(docs: DataFrame, text_col: str, size_col: str | None) -> DataFrame:
     words = text.withColumn("__words", F.split(F.lower("__text"), r"\s+"))
     stats = words.withColumn("__s", array_to_vector(_statistics(F.col("__text"), "__words", size)))
     stats = stats.withColumn("__words", F.array_distinct("__words"))
+    stats = VectorSizeHint(inputCol="__s", size=STATISTICS, handleInvalid="optimistic").transform(stats)    # else a job reads a row for it
     hashed = HashingTF(numFeatures=HASHED_WORDS, binary=True, inputCol="__words", outputCol="__h").transform(stats)
     scaled = Normalizer(inputCol="__h", outputCol="__n").transform(hashed)
     return VectorAssembler(inputCols=["__s", "__n"], outputCol="__x").transform(scaled).select(*docs.columns, "__x")
