@@ -117,40 +117,33 @@ def _class_of(x: np.ndarray) -> int | None:
     return int(_mix(np.add.reduce(_mix(_mix(x)), keepdims=True) + np.uint64(len(x)))[0].astype(np.int64)) if len(x) else None
 
 
-def _sets(df: DataFrame, width: int) -> DataFrame:
-    """(doc_id, doc_hash, n, cid) of every row; cid names the set, NULL for an empty one."""
+def _sets(df: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(doc_id, doc_hash, n, cid, sig, quota) of every row; cid names the set, NULL for an empty one.
+    ``sig`` and ``quota`` are the class's fragment hashes, NULL where the task gave them before."""
     def make():
-        grams = Shingler(width)
+        grams, cuts, seen = Shingler(width), Cuts(num, den), set()
 
         def step(cols):
             x = [grams(t) for t in cols["t"]]
-            return {"doc_id": cols["doc_id"], "doc_hash": cols["doc_hash"], "n": [len(v) for v in x], "cid": [_class_of(v) for v in x]}
+            out = {"doc_id": cols["doc_id"], "doc_hash": cols["doc_hash"], "n": [len(v) for v in x],
+                   "cid": [_class_of(v) for v in x], "sig": [], "quota": []}
+            for v, c in zip(x, out["cid"]):
+                sig = quota = None
+                if c is not None and c not in seen:
+                    seen.add(c)
+                    sig, quota = cuts.signatures(v)
+                    sig = sig.astype(np.int64)
+                out["sig"].append(sig)
+                out["quota"].append(quota)
+            return out
         return step
-    return map_rows(df, make, f"doc_id {dict(df.dtypes)['doc_id']}, doc_hash long, n long, cid long")
+    return map_rows(df, make, f"doc_id {dict(df.dtypes)['doc_id']}, doc_hash long, n long, cid long, sig array<long>, quota array<long>")
 
 
-def _signatures(df: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(sig, cid, n, quota): every class's fragment hashes, once per task."""
-    def make():
-        grams, cuts, seen = Shingler(width), Cuts(num, den), set()
-
-        def step(cols):
-            out = {"sig": [], "cid": [], "n": [], "quota": []}
-            for t in cols["t"]:
-                x = grams(t)
-                c = _class_of(x)
-                if c is None or c in seen:
-                    continue
-                seen.add(c)
-                sig, quota = cuts.signatures(x)
-                out["sig"].append(sig.astype(np.int64))
-                out["cid"].append(np.full(len(sig), c, np.int64))
-                out["n"].append(np.full(len(sig), len(x), np.int64))
-                out["quota"].append(quota)
-            if out["sig"]:
-                return {k: np.concatenate(v) for k, v in out.items()}
-        return step
-    return map_rows(df.select("t"), make, "sig long, cid long, n long, quota long")
+def _signatures(sets: DataFrame) -> DataFrame:
+    """(sig, cid, n, quota): a row per fragment hash of a class, once or more."""
+    each = sets.select("cid", "n", F.explode(F.arrays_zip("sig", "quota")).alias("x"))
+    return each.select("x.sig", "cid", "n", "x.quota")
 
 
 def _shared(batches):
@@ -297,9 +290,10 @@ def _grouped(docs: DataFrame, width: int, num: int, den: int, id_col: str, text_
     """(doc_id, doc_hash, n, g) of every row; g names its component, NULL for an empty set."""
     spark = docs.sparkSession
     df = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("doc_hash"), as_bytes(F.col(text_col)).alias("t"))
-    sets = stored(_sets(df, width), "sets")
+    sets = stored(_sets(df, width, num, den), "sets")
 
-    sigs = _signatures(df, width, num, den)
+    # from the table, so that the range sampler's extra pass does not read the texts again
+    sigs = _signatures(sets)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     members = stored(sigs.repartitionByRange(parts, "sig", "cid").sortWithinPartitions("sig", "cid")
                      .mapInArrow(_shared, "sig long, cid long, n long, quota long"), "shared").distinct()
