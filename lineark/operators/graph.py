@@ -184,34 +184,41 @@ def flatten_hierarchy(containment: DataFrame, edges: DataFrame, parent: str = "p
                     F.coalesce("_dp", "dst").alias("dst"), "dst_port"))
 
 
-def run_provenance(nodes: DataFrame, edges: DataFrame, reports: DataFrame, location_ids: DataFrame,
-                   catalogue: DataFrame) -> dict[str, DataFrame]:
-    """Provenance of a whole workflow run, for all nodes at once.
-
-    Output IDs are hashes of the file path (or of ``node.port`` for values
-    that are not files), so they do not depend on the order nodes ran in and
-    the reference's level-by-level pass collapses into set operations: known
-    paths reuse their ID, node inputs match upstream outputs through the edges
-    and fall back to the location map, each node gets a software ID from the
-    catalogue (minted once per new interface) and a computation ID.
-    Returns ``computations``, ``used``, ``generated``, ``new_software``.
+def run_provenance(nodes: DataFrame, edges: DataFrame, reports: DataFrame, node_inputs: DataFrame,
+                   location_ids: DataFrame, catalogue: DataFrame) -> dict[str, DataFrame]:
+    """Provenance of whole workflow runs, for all runs and nodes at once.
+
+    ``nodes(run, node, interface)``, ``reports(run, node, port, seq, value)`` and
+    ``node_inputs(run, node, input)``, the files a node names itself, are per run;
+    ``edges`` are the workflow's and hold in every run; ``location_ids(path, id)`` are
+    the files known before.  Every new ID is a hash of the run and the file path (of the
+    run and ``node.port`` for values that are not files), so two runs never share a record,
+    and the result does not depend on the order nodes ran in: the whole pass is a few joins.
+
+    A known path reuses its ID and replaces what its port held before; a new output is
+    appended to its port.  A node used what its edges bring and its own input files; an
+    input is looked up among its run's outputs first, then in the location map.
+    Each node gets a software ID from the catalogue (minted once per new interface) and
+    a record ID.  Returns ``computations``, ``used``, ``generated``, ``new_software``.
     """
-    outs = workflow.node_outputs(reports)      # node, output_name, file_path, seq
+    outs = workflow.node_outputs(reports.select("run", "node", "port", "seq", "value"))
     is_file = F.col("file_path") != "Not A File"
     loc = location_ids.groupBy(F.col("path").alias("file_path")).agg(F.min("id").alias("_known"))
     gen = (outs.join(loc, "file_path", "left")
-           .select("node", "output_name", "file_path", "seq",
-                   F.coalesce("_known", F.when(is_file, mint_id("Dataset", "file_path"))
-                              .otherwise(mint_id("Value", "output_name"))).alias("id")))
-    output_ids = gen.select(F.col("output_name").alias("port"), "seq", "id")
-    matched = workflow.edge_input_match(edges, output_ids).select(
-        F.col("dst").alias("node"), "input")
-    used_ids = workflow.input_id_precedence(matched, output_ids, location_ids)
-    sw, new_sw = records.lookup_or_insert(nodes.select("node", "interface"), catalogue, "interface", "id")
-    comps = sw.select("node", F.col("id").alias("software_id"),
-                      mint_id("Computation", "node").alias("computation_id"))
-    used = used_ids.join(comps.select("node", "computation_id"), "node").select(
-        "computation_id", "input", "id", "source")
-    generated = gen.join(comps.select("node", "computation_id"), "node").select(
-        "computation_id", "output_name", "file_path", "id")
+           .select("run", "node", "output_name", "file_path", "seq", F.col("_known").isNotNull().alias("_is_known"),
+                   F.coalesce("_known", F.when(is_file, records.file_id("run", "file_path"))
+                              .otherwise(mint_id("Value", "run", "output_name"))).alias("id")))
+    # the last known path of a port drops the entries before it
+    last = gen.where("_is_known").groupBy("run", "output_name").agg(F.max("seq").alias("_from"))
+    held = gen.join(last, ["run", "output_name"], "left").where(F.col("_from").isNull() | (F.col("seq") >= F.col("_from")))
+    output_ids = held.select("run", F.col("output_name").alias("port"), "seq", "id")
+    matched = workflow.edge_input_match(edges, output_ids, run="run").select("run", F.col("dst").alias("node"), "input")
+    inputs = matched.unionByName(node_inputs.select("run", "node", "input")).distinct()
+    used_ids = workflow.input_id_precedence(inputs, output_ids, location_ids, run="run")
+    sw, new_sw = records.lookup_or_insert(nodes.select("run", "node", "interface"), catalogue, "interface", "id")
+    comps = sw.select("run", "node", F.col("id").alias("software_id"),
+                      mint_id("Computation", "run", "node").alias("computation_id"))
+    ids = comps.select("run", "node", "computation_id")
+    used = used_ids.join(ids, ["run", "node"]).select("computation_id", "input", "id", "source")
+    generated = gen.join(ids, ["run", "node"]).select("computation_id", "output_name", "file_path", "id")
     return {"computations": comps, "used": used, "generated": generated, "new_software": new_sw}

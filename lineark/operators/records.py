@@ -9,17 +9,21 @@ writes the same records and every step can be repeated safely.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineark.functions.ids import mint_id
+from lineark.functions.ids import DEFAULT_NS, mint_id
 from lineark.functions.paths import file_format, file_name
 from lineark.functions.text import to_record_time
 
 # Record vocabulary.
 EVI = "evi:"
-OBJECT_STORE_URL = "minio:9000"
-STORE_ROOT = "/breakfast/"
+
+
+def file_id(run, path, ns: str = DEFAULT_NS) -> Column:
+    """ID of the file that ``run`` (a job or a workflow run) wrote at ``path``: the one rule
+    by which every operator names a file, so their results join."""
+    return mint_id("Dataset", run, path, ns=ns)
 
 
 def used_datasets(items: DataFrame, jobs: DataFrame, job: str = "job_id", pos: str = "pos",
@@ -55,18 +59,20 @@ def location_list(resolved: DataFrame, job: str = "job_id", pos: str = "pos",
                         .alias("locations"))
 
 
-def mint_outputs(outputs: DataFrame, job: str = "job_id", path: str = "path",
-                 ns: str = "99999", store_url: str = OBJECT_STORE_URL) -> DataFrame:
-    """Two linked records per output file: a ``Download`` (where the bytes are)
-    and a ``Dataset`` generated by the job that points at it.  Deterministic
-    IDs make a repeated finalisation write the same rows.  ``error`` is set for
-    rows that cannot be minted (no path)."""
-    name = F.concat(F.lit(STORE_ROOT), F.col(path))
+def mint_outputs(outputs: DataFrame, store_url: str, root: str, job: str = "job_id", path: str = "path",
+                 ns: str = DEFAULT_NS) -> DataFrame:
+    """Two linked records per output file: a ``Download`` (where the bytes are, under
+    ``root`` of the store at ``store_url``) and a ``Dataset`` that points at it, with the
+    job in ``generated_by``.  Deterministic IDs make a repeated finalisation write the
+    same rows.  ``error`` is set, and the IDs and ``generated_by`` are NULL, for rows that
+    cannot be minted (no path)."""
+    name = F.concat(F.lit(root), F.col(path))
     ok = F.col(path).isNotNull() & (F.col(path) != "")
     return outputs.select(
         job, path,
         F.when(ok, mint_id("Download", job, path, ns=ns)).alias("download_id"),
-        F.when(ok, mint_id("Dataset", job, path, ns=ns)).alias("dataset_id"),
+        F.when(ok, file_id(job, path, ns)).alias("dataset_id"),
+        F.when(ok, F.col(job)).alias("generated_by"),
         name.alias("download_name"),
         file_name(F.col(path)).alias("name"),
         file_format(F.col(path)).alias("file_format"),
@@ -146,14 +152,14 @@ def lookup_or_insert(keys: DataFrame, catalogue: DataFrame, key: str = "interfac
     return keys.join(full, key, "left"), new
 
 
-def known_path_outputs(outputs: DataFrame, location_ids: DataFrame, path: str = "path",
+def known_path_outputs(outputs: DataFrame, location_ids: DataFrame, run: str, path: str = "path",
                        id_col: str = "id") -> DataFrame:
     """Outputs whose path already has an ID reuse it (not minted again); the
-    rest get new IDs.  Adds ``id`` and ``is_known``."""
+    rest get new IDs from their ``run`` column and path.  Adds ``id`` and ``is_known``."""
     known = location_ids.groupBy(path).agg(F.min(id_col).alias("_known_id"))
     j = outputs.join(known, path, "left")
     return j.select(*outputs.columns,
-                    F.coalesce("_known_id", mint_id("Dataset", path)).alias(id_col),
+                    F.coalesce("_known_id", file_id(run, path)).alias(id_col),
                     F.col("_known_id").isNotNull().alias("is_known"))
 
 
@@ -180,7 +186,7 @@ def supports_list(outputs: DataFrame, known: DataFrame, inputs: DataFrame, job:
     ID that is not an input.  ``(job, id, kind)`` with kind ``output``/``other``."""
     kn = known.select(job, path, F.col(id_col).alias("_kid"))
     outs = (outputs.select(job, path).join(kn, [job, path], "left")
-            .select(job, F.coalesce("_kid", mint_id("Dataset", job, path)).alias(id_col))
+            .select(job, F.coalesce("_kid", file_id(job, path)).alias(id_col))
             .distinct().withColumn("kind", F.lit("output")))
     other = outputs_minus_inputs(known, inputs, outs, job, id_col).withColumn("kind", F.lit("other"))
     return outs.unionByName(other)

@@ -52,7 +52,7 @@ def validate_requests(df: DataFrame, raw: str = "raw", job_type: str | None = No
 
 
 def request_defaults(df: DataFrame, doc: str = "doc") -> DataFrame:
-    """Typed request fields with the service defaults filled in.
+    """Typed request fields with the defaults filled in.
 
     ``datasetID`` may be one ID or a list and always comes out as an array.
     Missing and JSON-null fields are treated alike; ``qualifer`` stays NULL

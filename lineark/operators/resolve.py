@@ -1,6 +1,6 @@
 """Identifier resolution as joins: dataset -> location, container -> image, access checks.
 
-The reference asks a metadata service once per ID; here the distinct IDs are
+Instead of one metadata request per ID, the distinct IDs are
 resolved in one join against the identifier documents, and the answers are
 joined back to the (possibly much larger and skewed) request side.  Catalogue
 sides are small per key; AQE turns the joins into broadcasts when their

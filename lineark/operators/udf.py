@@ -20,7 +20,7 @@ def grouped_map(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.
 
     General groups go through ``groupBy(keys).applyInPandas`` (one shuffle;
     each group is one pandas frame, so groups must fit a task).  When every
-    group is a single row by construction (the sample job groups by a
+    group is a single row by construction (a job that groups by a
     generated row key), say ``single_row_groups=True``: ``fn`` is then applied
     to whole Arrow batches with ``mapInPandas``, no shuffle and no per-row
     call.  That form requires ``fn`` to treat rows independently, so that

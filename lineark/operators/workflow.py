@@ -1,8 +1,8 @@
 """Workflow graphs as tables: ``nodes(node, interface)``, ``edges(src, src_port, dst, dst_port[, fn])``,
 declared ``ports(node, port, direction)`` and containment ``(parent, node)``.
 
-Checks and expansions are joins and aggregates over all nodes at once; the
-reference scans the adjacency once per node.
+Checks and expansions are joins and aggregates over all nodes at once, not one
+scan of the adjacency per node.
 """
 
 from __future__ import annotations
@@ -17,24 +17,29 @@ def output_name(node: str = "src", port: str = "src_port"):
     return F.concat_ws(".", F.col(node), F.col(port))
 
 
-def edge_input_match(edges: DataFrame, output_ids: DataFrame, port: str = "port") -> DataFrame:
+def edge_input_match(edges: DataFrame, output_ids: DataFrame, port: str = "port", run: str | None = None) -> DataFrame:
     """For every node, the inputs fed by an upstream output that already has an
     ID: ``src.src_port`` matched against the output-ID map (a function edge
-    matches on its source port; the function is ignored)."""
-    names = output_ids.select(F.col(port).alias("_out")).distinct()
+    matches on its source port; the function is ignored).  With ``run``, a column of
+    ``output_ids``, the edges hold in every run and each match names its run."""
+    key = [run] if run else []
+    names = output_ids.select(*key, F.col(port).alias("_out")).distinct()
     e = edges.withColumn("_out", output_name())
-    return e.join(names, "_out", "left_semi").select("dst", "dst_port", F.col("_out").alias("input"))
+    return e.join(names, "_out").select(*key, "dst", "dst_port", F.col("_out").alias("input"))
 
 
 def input_id_precedence(inputs: DataFrame, output_ids: DataFrame, location_ids: DataFrame,
-                        node: str = "node", inp: str = "input") -> DataFrame:
+                        node: str = "node", inp: str = "input", run: str | None = None) -> DataFrame:
     """Resolve node inputs: the output-ID map first (a multi-valued hit gives
-    all its IDs), then the location map (path -> id).  ``(node, input, id, source)``."""
-    outs = output_ids.select(F.col("port").alias(inp), F.col("id").alias("_oid"), F.col("seq"))
+    all its IDs), then the location map (path -> id).  ``(node, input, id, source)``, with
+    ``run`` in front where it names a column of ``inputs`` and ``output_ids``: outputs
+    then only meet inputs of their own run."""
+    key = [run] if run else []
+    outs = output_ids.select(*key, F.col("port").alias(inp), F.col("id").alias("_oid"), F.col("seq"))
     locs = location_ids.groupBy(F.col("path").alias(inp)).agg(F.min("id").alias("_lid"))
-    by_out = inputs.join(outs, inp).select(node, inp, F.col("_oid").alias("id"), F.lit("output").alias("source"))
-    rest = inputs.join(outs.select(inp).distinct(), inp, "left_anti")
-    by_loc = rest.join(locs, inp).select(node, inp, F.col("_lid").alias("id"), F.lit("location").alias("source"))
+    by_out = inputs.join(outs, [*key, inp]).select(*key, node, inp, F.col("_oid").alias("id"), F.lit("output").alias("source"))
+    rest = inputs.join(outs.select(*key, inp).distinct(), [*key, inp], "left_anti")
+    by_loc = rest.join(locs, inp).select(*key, node, inp, F.col("_lid").alias("id"), F.lit("location").alias("source"))
     return by_out.unionByName(by_loc)
 
 

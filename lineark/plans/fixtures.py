@@ -99,7 +99,7 @@ VIEWS: dict[str, str] = {
 }
 
 # Further input views of our own, in the same spirit: rows shaped like the
-# records the reference handles, built from the driver tables.
+# records that the operators take, built from the driver tables.
 VIEWS.update({
     # container documents (image look-up): one per supplier, some without image
     "f_container_docs": """
@@ -182,7 +182,26 @@ VIEWS.update({
     "f_file_inputs": """
   SELECT DISTINCT 'part' || CAST(l_partkey AS STRING) AS node,
          '/work/' || CASE WHEN l_orderkey % 3 = 0 THEN 'c' ELSE 'b' END || CAST(l_orderkey AS STRING) AS input
-  FROM lineitem WHERE l_linenumber = 1""",
+  FROM lineitem""",
+    # two runs of one workflow: nodes, reported outputs (some at known paths), files named as inputs
+    "f_run_nodes": """
+  SELECT run, node, interface FROM (
+    SELECT 'part' || CAST(p_partkey AS STRING) AS node,
+           'nipype.interfaces.utility.' || replace(lower(p_type), ' ', '_') AS interface FROM part
+    UNION ALL
+    SELECT 'supp' || CAST(s_suppkey AS STRING) AS node, 'nipype.interfaces.fsl.BET' AS interface FROM supplier) n
+  CROSS JOIN (SELECT DISTINCT 'run' || CAST(r_regionkey % 2 AS STRING) AS run FROM region) r""",
+    "f_run_reports": """
+  SELECT DISTINCT 'run' || CAST(l_orderkey % 2 AS STRING) AS run, 'supp' || CAST(l_suppkey AS STRING) AS node,
+         l_returnflag AS port, l_linenumber AS seq,
+         CASE WHEN l_linenumber = 3 AND l_suppkey % 2 = 0 THEN '/work/b' || CAST(l_suppkey AS STRING)
+              ELSE '/work/s' || CAST(l_suppkey AS STRING) || '_' || l_returnflag || CAST(l_linenumber AS STRING) || '.nii'
+         END AS value
+  FROM lineitem""",
+    "f_run_inputs": """
+  SELECT DISTINCT 'run' || CAST(l_orderkey % 2 AS STRING) AS run, 'part' || CAST(l_partkey AS STRING) AS node,
+         '/work/' || CASE WHEN l_orderkey % 3 = 0 THEN 'c' ELSE 'b' END || CAST(l_orderkey AS STRING) AS input
+  FROM lineitem""",
     # path -> id of files that were inputs
     "f_location_ids": """
   SELECT path, 'ark:99999/loc' || substr(path, 6) AS id FROM (

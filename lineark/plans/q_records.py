@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lineark.functions import ids, text
+from lineark.functions import text
 from lineark.operators import params, records, resolve, series
 from lineark.plans.fixtures import fixture, with_views
 from lineark.plans.q_resolve import _items, _resolved, _sql
@@ -12,6 +12,10 @@ from lineark.plans.q_workflow import _REPORT
 from lineark.plans.registry import query
 
 
+#: where the example jobs keep their files
+STORE = {"store_url": "objects:9000", "root": "/results/"}
+
+
 def _mint_sql(kind: str, *parts: str) -> str:
     return "'ark:99999/' || substr(sha256('" + kind + "|' || " + " || '|' || ".join(parts) + "), 1, 32)"
 
@@ -51,20 +55,20 @@ o AS (SELECT 'ark:99999/' || split_part(path, '/', 2) AS job_id, path FROM f_out
 @query("mint_outputs", oracle=with_views(["f_outputs"], _OUT_SQL + f"""
 SELECT job_id, path, {_mint_sql('Download', 'job_id', 'path')} AS download_id,
        {_mint_sql('Dataset', 'job_id', 'path')} AS dataset_id,
-       '/breakfast/' || path AS download_name, regexp_extract(path, '([^/]*)$', 1) AS name,
+       job_id AS generated_by, '/results/' || path AS download_name, regexp_extract(path, '([^/]*)$', 1) AS name,
        regexp_extract(regexp_extract(path, '([^/]*)$', 1), '([^.]*)$', 1) AS file_format,
-       'minio:9000/breakfast/' || path AS content_url, CAST(NULL AS VARCHAR) AS error
+       'objects:9000/results/' || path AS content_url, CAST(NULL AS VARCHAR) AS error
 FROM o"""))
 def q_mint_outputs(spark, sf_dir):
     """Download and Dataset records for every file in every job's output folder."""
-    return records.mint_outputs(_outputs(spark, sf_dir))
+    return records.mint_outputs(_outputs(spark, sf_dir), **STORE)
 
 
 def _finished(spark, sf_dir):
     jobs = fixture(spark, sf_dir, "f_jobs")
     logs = fixture(spark, sf_dir, "f_logs")
     fin = jobs.where(F.col("phase").isin("Succeeded", "Failed")).select("job_id", "start_ts")
-    minted = records.mint_outputs(_outputs(spark, sf_dir))
+    minted = records.mint_outputs(_outputs(spark, sf_dir), **STORE)
     sup = records.ordered_list(minted, "job_id", "path", "dataset_id", "supports")
     return (fin.join(logs, "job_id")
             .select("job_id", "status", text.log_default("status", "log").alias("logs"),
@@ -141,21 +145,21 @@ def _report_files(spark, sf_dir):
 
 
 @query("known_path_outputs", oracle=with_views(["f_port_text", "f_objects", "f_location_ids"], _REPORT + f"""
-SELECT rep.k, rep.port, rep.value AS path, coalesce(l.id, {_mint_sql('Dataset', 'rep.value')}) AS id,
+SELECT rep.k, rep.port, rep.value AS path, coalesce(l.id, {_mint_sql('Dataset', 'CAST(rep.k AS VARCHAR)', 'rep.value')}) AS id,
        l.id IS NOT NULL AS is_known
 FROM rep LEFT JOIN f_location_ids l ON l.path = rep.value WHERE rep.value <> 'Not A File'"""))
 def q_known_path_outputs(spark, sf_dir):
     """Node outputs at known paths reuse their ID; the others are minted."""
-    return records.known_path_outputs(_report_files(spark, sf_dir), fixture(spark, sf_dir, "f_location_ids"))
+    return records.known_path_outputs(_report_files(spark, sf_dir), fixture(spark, sf_dir, "f_location_ids"), "k")
 
 
 @query("id_map_merge", oracle=with_views(["f_port_text", "f_objects", "f_location_ids"], _REPORT + f""",
-n AS (SELECT DISTINCT value AS path, {_mint_sql('Dataset', 'value')} AS id FROM rep WHERE value <> 'Not A File')
+n AS (SELECT value AS path, min({_mint_sql('Dataset', 'CAST(k AS VARCHAR)', 'value')}) AS id FROM rep WHERE value <> 'Not A File' GROUP BY value)
 SELECT coalesce(n.path, l.path) AS path, coalesce(n.id, l.id) AS id
 FROM f_location_ids l FULL OUTER JOIN n ON n.path = l.path"""))
 def q_id_map_merge(spark, sf_dir):
     """Known and newly minted ``path -> id`` entries merged; the new entry wins."""
-    new = _report_files(spark, sf_dir).select("path").distinct().withColumn("id", ids.mint_id("Dataset", "path"))
+    new = _report_files(spark, sf_dir).select("path", records.file_id("k", "path").alias("id"))
     return records.id_map_merge(fixture(spark, sf_dir, "f_location_ids"), new)
 
 
@@ -169,7 +173,7 @@ WHERE NOT EXISTS (SELECT 1 FROM f_used u WHERE u.job_id = k.job_id AND u.dataset
 def q_outputs_minus_inputs(spark, sf_dir):
     """Known IDs of each job that are neither its inputs nor its listed outputs."""
     used = _items(spark, sf_dir).select("job_id", F.col("dataset_id").alias("id"))
-    minted = records.mint_outputs(_outputs(spark, sf_dir)).select("job_id", F.col("dataset_id").alias("id"))
+    minted = records.mint_outputs(_outputs(spark, sf_dir), **STORE).select("job_id", F.col("dataset_id").alias("id"))
     scripts = fixture(spark, sf_dir, "f_scripts").select("job_id", F.col("script_id").alias("id"))
     known = used.unionByName(scripts).unionByName(minted)
     return records.outputs_minus_inputs(known, used, minted)

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lineark.plans.fixtures import fixture, with_views
+from lineark.plans.q_records import STORE
 from lineark.plans.registry import query
 from lineark.session import scratch_path
 from lineark.streaming import completion
@@ -61,8 +62,8 @@ def q_finalise_batch(spark, sf_dir):
     outputs = fixture(spark, sf_dir, "f_outputs").select(
         F.concat(F.lit("ark:99999/"), F.split_part("path", F.lit("/"), F.lit(2))).alias("job_id"), "path")
     first.write.mode("append").parquet(src)
-    completion.run_finalise(spark, src, schema, outputs, table_dir, ckpt)
+    completion.run_finalise(spark, src, schema, outputs, table_dir, ckpt, id_prefix="ark:99999/job-", **STORE)
     second.write.mode("append").parquet(src)
-    completion.run_finalise(spark, src, schema, outputs, table_dir, ckpt)
+    completion.run_finalise(spark, src, schema, outputs, table_dir, ckpt, id_prefix="ark:99999/job-", **STORE)
     out = spark.read.parquet(table_dir).drop("batch")
     return out.withColumn("end_ts", F.col("end_ts").cast("timestamp_ntz"))

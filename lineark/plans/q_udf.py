@@ -28,7 +28,7 @@ def _tc3_numpy(y: np.ndarray, tau: int) -> tuple[float, float, float, float, flo
 
 
 def tc3_frame(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Grouped-map body: one series per group (the sample job's layout)."""
+    """Grouped-map body: one series per group (one array column)."""
     rows = []    # row by row: each row is its own series
     for vid, emb in zip(pdf["vec_id"], pdf["embedding"]):
         raw, ab, num, absnum, denom = _tc3_numpy(np.asarray(emb, dtype=np.float64), 10)

@@ -100,17 +100,16 @@ def q_node_outputs(spark, sf_dir):
     return workflow.node_outputs(r)
 
 
-@query("edge_function", oracle=with_views(["f_port_text"], """
-SELECT k, fn, CASE fn WHEN 'basename' THEN regexp_extract(v, '([^/]*)$', 1)
-                      WHEN 'upper' THEN upper(v) ELSE v END AS value_in
-FROM (SELECT k, CASE k % 3 WHEN 0 THEN 'basename' WHEN 1 THEN 'upper' END AS fn,
-             split_part(split_part(report, chr(10), 1), ' = ', 2) AS v FROM f_port_text) t"""))
+@query("edge_function", oracle=with_views(["f_port_text", "f_objects"], _REPORT + """
+SELECT k, port, seq, fn, CASE fn WHEN 'basename' THEN regexp_extract(value, '([^/]*)$', 1)
+                                 WHEN 'upper' THEN upper(value) ELSE value END AS value_in
+FROM (SELECT *, CASE k % 3 WHEN 0 THEN 'basename' WHEN 1 THEN 'upper' END AS fn FROM rep) t"""))
 def q_edge_function(spark, sf_dir):
-    """Named edge functions applied to the upstream ``out_file`` value of every node."""
-    r = _report(spark, sf_dir).where(F.col("port") == "out_file")
-    e = r.select("k", F.when(F.col("k") % 3 == 0, "basename").when(F.col("k") % 3 == 1, "upper")
+    """Named edge functions applied to the upstream values of every port of every node."""
+    r = _report(spark, sf_dir)
+    e = r.select("k", "port", "seq", F.when(F.col("k") % 3 == 0, "basename").when(F.col("k") % 3 == 1, "upper")
                  .alias("fn"), "value")
-    return params.edge_function(e, "value", "fn").select("k", "fn", "value_in")
+    return params.edge_function(e, "value", "fn").select("k", "port", "seq", "fn", "value_in")
 
 
 @query("output_id_accumulate", oracle="""

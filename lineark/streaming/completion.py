@@ -1,6 +1,6 @@
 """Job completion tracking with Structured Streaming.
 
-The reference polls each job every 30 s from its own thread.  Here a stream of
+Instead of one polling thread per job, a stream of
 status events ``(job_id, event_id, ts, phase)`` is keyed by job; a job emits
 exactly one row the first time it leaves Pending/Running, and the keyed state
 remembers that it did, across micro-batches and restarts (checkpointed state,
@@ -128,17 +128,18 @@ def with_logs(completions: DataFrame, logs: DataFrame | None = None, job: str =
     return out.withColumn("logs", log_default(F.col("phase"), F.coalesce(log, F.lit(""))))
 
 
-def finalise_batch_writer(outputs: DataFrame, table_dir: str):
+def finalise_batch_writer(outputs: DataFrame, table_dir: str, store_url: str, root: str, id_prefix: str):
     """``foreachBatch`` body: for the jobs completed in a batch, list their
-    outputs, mint the records and write the finished computation rows.  Each
+    outputs, mint the records and write the finished job rows.  A job's record ID is
+    ``id_prefix`` and its job ID; ``store_url`` and ``root`` say where outputs lie.  Each
     batch overwrites its own folder, so a replayed batch writes the same rows."""
     from lineark.operators import records
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        done = batch.select(F.concat(F.lit("ark:99999/job-"), F.col("job_id").cast("string")).alias("job"),
+        done = batch.select(F.concat(F.lit(id_prefix), F.col("job_id").cast("string")).alias("job"),
                             "phase", "ts")
         outs = outputs.join(done.select(F.col("job").alias("job_id")), "job_id", "left_semi")
-        minted = records.mint_outputs(outs)
+        minted = records.mint_outputs(outs, store_url, root)
         sup = records.ordered_list(minted, "job_id", "path", "dataset_id", "supports")
         rows = (done.join(sup, done["job"] == sup["job_id"], "left")
                 .select(F.col("job").alias("job_id"), F.col("phase").alias("status"),
@@ -151,8 +152,8 @@ def finalise_batch_writer(outputs: DataFrame, table_dir: str):
 
 
 def run_finalise(spark: SparkSession, source_dir: str, schema, outputs: DataFrame, table_dir: str,
-                 checkpoint: str) -> None:
+                 checkpoint: str, store_url: str, root: str, id_prefix: str) -> None:
     stream = spark.readStream.schema(schema).parquet(source_dir)
-    q = (completion_events(stream).writeStream.foreachBatch(finalise_batch_writer(outputs, table_dir))
+    q = (completion_events(stream).writeStream.foreachBatch(finalise_batch_writer(outputs, table_dir, store_url, root, id_prefix))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
