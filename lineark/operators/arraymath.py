@@ -10,6 +10,7 @@ group's values gathered in one task.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,11 +176,26 @@ def flag_outliers(df: DataFrame, keys, v: str = "v", k: float = 2.0) -> DataFram
         *df.columns, (F.abs(F.col(v) - F.col("_m")) > F.lit(k) * F.col("_s")).alias("is_outlier"))
 
 
-def regress_out(df: DataFrame, keys, v: str, x: str) -> DataFrame:
-    """Remove one design column from each series by least squares:
-    residual = v - (intercept + slope * x), fitted per series."""
-    keys = _cols(keys)
-    fit = df.groupBy(*keys).agg(F.regr_slope(v, x).alias("_b"), F.regr_intercept(v, x).alias("_a"))
-    return _join(df, fit, keys).select(
-        *[(F.col(v) - (F.col("_a") + F.col("_b") * F.col(x))).alias(v) if c == v else F.col(c)
-          for c in df.columns])
+def regress_out(df: DataFrame, keys, v: str, x) -> DataFrame:
+    """Remove design columns ``x`` (one name or several) from each series by least squares
+    with an intercept: ``v`` becomes the residual, fitted per series.
+
+    One column after another is taken out of ``v`` and of the columns still to come, so
+    every step is one grouped aggregate and one join.  A column that the ones before it
+    already determine changes nothing.  Rows with a NULL in ``v`` or ``x`` take no part in
+    the fit and get NULL."""
+    keys, xs = _cols(keys), _cols(x)
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [v, *xs]])
+    left = {c: f"_left_{i}" for i, c in enumerate([v, *xs])}
+    given = {c: f"_given_{i}" for i, c in enumerate([v, *xs])}
+    work = df.select("*", *[F.when(whole, F.col(c).cast("double")).alias(n) for names in (left, given) for c, n in names.items()])
+    for j, c in enumerate(xs):
+        by, targets = left[c], [left[v], *[left[t] for t in xs[j + 1:]]]
+        spread = F.var_pop(by) > 1e-12 * F.var_pop(given[c])
+        fit = work.groupBy(*keys).agg(
+            F.avg(by).alias("_mean"),
+            *[F.avg(t).alias(f"_a{t}") for t in targets],
+            *[F.coalesce(F.when(spread, F.regr_slope(t, by)), F.lit(0.0)).alias(f"_b{t}") for t in targets])
+        new = {t: F.col(t) - (F.col(f"_a{t}") + F.col(f"_b{t}") * (F.col(by) - F.col("_mean"))) for t in targets}
+        work = _join(work, fit, keys).select(*[new[n].alias(n) if n in new else F.col(n) for n in work.columns])
+    return work.select(*[F.col(left[v]).alias(v) if n == v else F.col(n) for n in df.columns])

@@ -75,3 +75,20 @@ def test_unknown_edge_function_fails(spark):
     assert [r.value_in for r in params.edge_function(df, "v", "fn").collect()] == ["b.txt", "x"]
     with pytest.raises(Exception, match="unknown edge function"):
         params.edge_function(df.withColumn("fn", F.lit("nope")), "v", "fn").collect()
+
+
+def test_regress_out_of_several_columns(spark):
+    """Residuals equal numpy's least squares; a dependent column and rows with NULL change nothing."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    rows = [(g, i, float(rng.normal()), float(i), float(i * i), 2.0 * i + 1) for g in ("a", None) for i in range(12)]
+    rows.append(("a", 12, None, 1.0, 1.0, 3.0))
+    df = spark.createDataFrame(rows, "g string, i int, v double, x double, y double, z double")
+    got = {(r.g, r.i): r.v for r in arraymath.regress_out(df, "g", "v", ["x", "y", "z"]).collect()}
+    assert len(got) == 25 and got["a", 12] is None
+    for g in ("a", None):
+        own = [r for r in rows if r[0] == g and r[2] is not None]
+        design = np.array([[1, r[3], r[4]] for r in own])
+        want = np.array([r[2] for r in own])
+        want = want - design @ np.linalg.lstsq(design, want, rcond=None)[0]
+        assert np.allclose([got[g, r[1]] for r in own], want, atol=1e-8)
