@@ -30,6 +30,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def per_label(df: DataFrame, counts: dict[float, int], rows: int, *order: str) -> DataFrame:
+    """At most ``rows`` rows of ``df``, the first of each ``label`` by ``order``: half of them for the
+    rarer label or all that it has, the rest for the other.  ``counts`` has the rows of each label."""
+    left, out = rows, df.limit(0)
+    for at, label in enumerate(sorted(counts, key=lambda k: (counts[k], k))):
+        take = min(counts[label], left // (len(counts) - at))
+        left -= take
+        out = out.unionByName(df.where(F.col("label") == label).orderBy(*order).limit(take))
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is; null becomes empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

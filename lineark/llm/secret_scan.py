@@ -14,9 +14,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineark.llm.common import stored
+from lineark.llm.common import per_label, stored
 
-#: most labelled findings that training reads; those with the smallest hashes
+#: most labelled findings that training reads; those of each label with the smallest hashes
 TRAIN_ROWS = 20_000
 TREES, DEPTH = 24, 7
 #: a value: at least 12 characters of common encodings, one of them a digit
@@ -130,9 +130,9 @@ def secret_scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
 
     ``labelled`` has reviewed findings (the columns of ``candidates`` and ``label`` 0/1); if it is
     None, ``rule_labels`` of the candidates are used.  At most ``rows`` distinct ones train the
-    forest.  Returns one row per candidate: ``doc_id, doc_hash, i, start, end, value`` (see
+    forest; up to half of them are of the rarer label, however rare it is.  Returns one row per candidate: ``doc_id, doc_hash, i, start, end, value`` (see
     ``candidates``), ``score`` DOUBLE (the forest's probability of a secret) and ``is_secret``
-    BOOLEAN (score >= 0.5).  With labels of one kind only, all candidates take that label; with
+    BOOLEAN (score >= 0.5).  If all labels are of one kind, all candidates take that label; with
     none, all are kept as secrets (score 1), so that nothing leaks.  Null or empty texts have no
     candidates; repeated rows give equal, repeated findings; ids may be null; other columns
     are ignored.
@@ -149,8 +149,9 @@ def secret_scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
         vectors = stored(features(both, docs, text_col), "features")
         sample = vectors.where("label is not null")
         vectors = vectors.where("own")
-    sample = stored(sample.select(F.xxhash64(*CONTEXT).alias("h"), "label", "x").orderBy("h").limit(rows), "labelled")
-    kinds = sorted(r["label"] for r in sample.select("label").distinct().collect())
+    counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}      # of all labels: two rows at most
+    kinds = sorted(counts)
+    sample = stored(per_label(sample.select(F.xxhash64(*CONTEXT).alias("h"), "label", "x"), counts, rows, "h"), "labelled")
     if len(kinds) < 2:
         scored = vectors.select(*CONTEXT, F.lit(kinds[0] if kinds else 1.0).alias("score"))
     else:

@@ -68,6 +68,19 @@ def test_secret_scan_and_redaction(shipped):
     assert secret_scan.secret_scan(df.where("false")).count() == 0
 
 
+def test_rare_secrets_are_in_the_sample(shipped):
+    r = random.Random(5)
+    number = lambda: "".join(r.choice("0123456789") for _ in range(16))
+    hexa = lambda: "".join(r.choice("0123456789abcdef") for _ in range(30)) + "a1"
+    rows = [(i, f"order {number()} shipped") for i in range(600)] + [(i, f'login password="{hexa()}" works') for i in range(600, 603)]
+    df = shipped.createDataFrame(rows, "doc_id long, text string")
+    found = secret_scan.secret_scan(df, path_col=None, rows=20)           # fewer than 1 in 20 labels is a secret
+    assert {x.doc_id for x in found.where("is_secret").collect()} == {600, 601, 602}
+    reviewed = secret_scan.candidates(df, path_col=None).withColumn("label", (F.col("doc_id") >= 600).cast("int"))
+    found = secret_scan.secret_scan(df, reviewed, path_col=None, rows=20)
+    assert {x.doc_id for x in found.where("is_secret").collect()} == {600, 601, 602}
+
+
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 
 
