@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 
 from lineark.llm.common import ascii_lower
 
-#: all masks keep their first two positions, which the word-pair test uses
-MASKS = ("11011011", "1110100111")
+#: all masks keep their first two positions, which the word-pair test uses; however two words of a run of
+#: 13, or every fifth word of a longer one, are exchanged, one of these finds a seed
+MASKS = ("11011011", "1110100111", "1101111")
+#: besides, for items shorter than a run: with them every exchange that ``similarity`` allows in 8 to 12 words leaves a seed
+SHORT_MASKS = ("110111", "110001011")
+LEAST = 8
 RUN = 13
 SIMILARITY = 0.8
 #: bits of each bitmap, about 16 for each benchmark window; with fewer, more windows pass to the
@@ -58,6 +62,13 @@ def _in(bitmap: str, v: Column, bits: int) -> Column:
     return F.getbit(F.get(bitmap, word), bit) == 1
 
 
+def masks_of(n: int, masks: Sequence[str] = MASKS, run: int = RUN) -> tuple[str, ...]:
+    """The masks whose seeds an item of ``n`` words has."""
+    if n < LEAST:
+        return ()
+    return (*masks, *(SHORT_MASKS if n < run else ()))
+
+
 def _windows(h: Column, mask: str) -> Column:
     """Start positions at which the mask fits; NULL if there is none (a sequence would run backwards)."""
     last = F.size(h) - len(mask)
@@ -79,15 +90,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS
     ``doc_hash`` is a hash of id and text, so rows that share an id stay apart; ``n_hits``
     counts seed hits that were verified, ``n_matched`` is the most equal words in a compared
     run, ``first_word`` the first hit's word position.  Repeated rows give one row.  Null or
-    empty texts, on either side, and items or documents shorter than every mask match nothing.
+    empty texts, on either side, and items of fewer than ``LEAST`` words match nothing.
     Ids may be null.  Other columns are ignored.  Benchmark items may repeat.
     """
-    span = max(map(len, masks))
-    items = (benchmark.select(F.col(item_col).alias("item_id"), _word_hashes(F.col(item_text_col)).alias("q"))
-             .where(F.size("q") >= min(map(len, masks))))
+    items = benchmark.select(F.col(item_col).alias("item_id"), _word_hashes(F.col(item_text_col)).alias("q")).where(F.size("q") > 0)
+    # the items' lengths, those from a run on as one; each mask is kept for the lengths that use it
+    lengths = sorted(r["n"] for r in items.select(F.least(F.size("q"), F.lit(run)).alias("n")).distinct().collect())
+    users: dict[str, list[int]] = {mask: [] for mask in masks}
+    for n in lengths:
+        for mask in masks_of(n, masks, run):
+            users.setdefault(mask, []).append(n)
+    masks = list(users)
+    span, least = max(map(len, masks)), min(map(len, masks))
     seeds = None
     for mask in masks:
-        one = (items.select("item_id", "q", F.explode(_windows(F.col("q"), mask)).alias("p"))
+        mine = items.where(F.least(F.size("q"), F.lit(run)).isin(users[mask]))
+        one = (mine.select("item_id", "q", F.explode(_windows(F.col("q"), mask)).alias("p"))
                .select("item_id", "q", "p", _at(F.col("q"), F.col("p"), mask).alias("seed")))
         seeds = one if seeds is None else seeds.union(one)
     seeds = seeds.distinct()
@@ -97,7 +115,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS
 
     # each step is a column of its own, so that no hash is computed twice
     words = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("doc_hash"), _word_hashes(F.col(text_col)).alias("h"))
-    words = words.where(F.size("h") >= min(map(len, masks)))
+    words = words.where(F.size("h") >= least)
     pairs = words.select("doc_id", "doc_hash", "h", F.zip_with("h", F.slice("h", F.lit(2), F.size("h") - 1), pair).alias("v"), pair_bits.alias("bits"))
     starts = pairs.select("doc_id", "doc_hash", "h", F.array_compact(
         F.transform("v", lambda v, i: F.when(_in("bits", v, bitmap_bits), i))).alias("at"))

@@ -1,4 +1,6 @@
 """N-gram join, decontamination and top-k search against brute force."""
+import itertools
+import math
 import random
 from collections import Counter
 
@@ -145,6 +147,35 @@ def test_decontaminate(shipped):
     assert {(x["doc_id"], x["item_id"]) for x in small.collect()} == want
 
 
+def tolerated(n):
+    """All ways to exchange as many of a run's ``n`` words as ``similarity`` allows."""
+    return itertools.combinations(range(n), n - math.ceil(n * decontaminate.SIMILARITY - 1e-9))
+
+
+def test_masks_cover_the_tolerance():
+    def seeded(n, changed):
+        return any(all(mask[k] == "0" or at + k not in changed for k in range(len(mask)))
+                   for mask in decontaminate.masks_of(n) for at in range(n - len(mask) + 1))
+    for n in range(decontaminate.LEAST, decontaminate.RUN + 1):
+        assert [x for x in tolerated(n) if not seeded(n, x)] == []
+    for phase in range(5):
+        assert seeded(60, set(range(phase, 60, 5)))
+    assert all(mask.startswith("11") for mask in (*decontaminate.MASKS, *decontaminate.SHORT_MASKS))
+
+
+def test_exchanged_words_are_found(shipped):
+    item = [f"word{i}" for i in range(60)]
+    lengths = [13, 12, 11, 10, 9, 8]
+    bench = shipped.createDataFrame([(n, " ".join(f"n{n}x{i}" for i in range(n))) for n in lengths] + [(60, " ".join(item))], "item_id long, text string")
+    docs = []
+    for n in lengths:
+        docs += [(n, " ".join(["before", *("changed" if i in x else f"n{n}x{i}" for i in range(n)), "after"])) for x in tolerated(n)]
+    docs += [(60, " ".join("changed" if i % 5 == phase else w for i, w in enumerate(item))) for phase in (3,)]
+    found = decontaminate.overlaps(shipped.createDataFrame(docs, EMPTY), bench).collect()
+    assert Counter(x["item_id"] for x in found) == Counter(i for i, _ in docs)
+    assert all(x["doc_id"] == x["item_id"] for x in found)
+
+
 def test_top_k(shipped):
     r = np.random.default_rng(2)
     vectors = [(i, [float(x) for x in v]) for i, v in enumerate(r.normal(size=(300, 20)))]
