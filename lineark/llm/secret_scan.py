@@ -19,10 +19,32 @@ from lineark.llm.common import per_label, stored
 #: most labelled findings that training reads; those of each label with the smallest hashes
 TRAIN_ROWS = 20_000
 TREES, DEPTH = 24, 7
-#: a value: at least 12 characters of common encodings, one of them a digit
-VALUE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}"
 # Names that often stand before a secret, and words that mark a sample.
-NAMES = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)s?"
+_NAME = r"pass[ _-]?(?:word|wd|phrase|code|key)?|pwd|secret(?:[ _-]?key)?|token|(?:api|access|private)[ _-]?key|auth(?!or)|credential"
+NAMES = rf"(?i)(?:{_NAME})s?"
+#: what stands before an assigned value: a name, perhaps its quote, and a sign.  All parts are bounded, as Java
+#: wants them in a look-behind; the cheap tests before it keep it from most places.
+_SET = rf"(?<=[\s:=>\"'`])(?=[^\s])(?<=[:=>][ \t]{{0,16}}[\"'`]?)(?<=(?i:{_NAME})(?i:s?)(?:[_\-][\w\-]{{0,20}}|[0-9]{{0,3}})[\"'`\]]{{0,2}}[ \t]{{0,16}}(?::=|=>|==|[:=>])[ \t]{{0,16}}"
+_END = r"\\?[\"'`](?:[\s,;:)\]}>]|\z)"
+VALUES = (
+    # a whole private key; without its end, the lines that follow
+    r"-{4,5} ?BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)? ?-{4,5}(?:(?>[\s\S]*?-{4,5}) ?END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)? ?-{4,5}"
+    r"|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{16,}+={0,2})++)",
+    # a password in a URL
+    r"(?<=:)(?<=://[^\s/:@]{0,128}:)[^\s/\"'<>]+(?=@[^\s@])",
+    # quoted or not, what a secret's name is set to
+    _SET + r"\")(?:[^\"\\\r\n]|\\.){6,}+(?=\")",
+    _SET + r"')(?:[^'\\\r\n]|\\.){6,}+(?=')",
+    _SET + r"`)[^`\r\n]{6,}+(?=`)",
+    _SET + r"[\"'`]?)(?![\"'`])(?:(?![;&,][\w.\-]{1,40}=|[.,;:)\]}]{1,3}(?:\s|\z)|</|" + _END + r")\S){6,}+",
+    # at least 12 characters of common encodings, one of them a digit
+    r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}",
+)
+VALUE = "|".join(VALUES)
+PEM = r"\A-{4,5} ?BEGIN "
+IN_URL = r"://[^\s/:@]{0,128}:\z"
+#: what stands where a value will be filled in, or code that gets it
+UNFILLED = r"(?i)\A(?:[$%]?[{(<\[]|%\w+%|\$\w+\z|[*.x]+\z|(?:none|null|true|false|undefined|password|secret)\z)|\A[\w.]+[(\[]"
 SAMPLES = r"(?i)(example|sample|dummy|placeholder|changeme|xxxx|test|todo|your[_-])"
 _CLASSES = ("[a-z]", "[A-Z]", "[0-9]")
 
@@ -103,7 +125,7 @@ def features(found: DataFrame, docs: DataFrame, text_col: str = "text") -> DataF
         n, *(_count(v, c) / n for c in _CLASSES), _count(v, "[^A-Za-z0-9]") / n, (~v.rlike("[^0-9a-fA-F]")).cast("double"),
         changes, F.size(F.array_distinct(F.split(v, ""))).cast("double") / F.least(n, F.lit(40.0)),
         F.coalesce("transition", F.lit(-6.0)), F.coalesce(F.col("covered") / n, F.lit(0.0)), F.log1p(F.coalesce("most", F.lit(0)).cast("double")),
-        named.rlike(NAMES).cast("double"), F.col("before").rlike(r"[:=]\s*[\"']?\z").cast("double"), F.col("before").rlike(r"[\"']\z").cast("double"),
+        named.rlike(NAMES).cast("double"), v.rlike(PEM).cast("double"), F.col("before").rlike(IN_URL).cast("double"), v.rlike(UNFILLED).cast("double"), F.col("before").rlike(r"[:=]\s*[\"']?\z").cast("double"), F.col("before").rlike(r"[\"']\z").cast("double"),
         F.concat_ws(" ", v, "left_word").rlike(SAMPLES).cast("double"), F.length("left_word").cast("double"), F.length("right_word").cast("double"),
         F.col("path").rlike(SAMPLES).cast("double"), F.length("path").cast("double"), _count(F.col("path"), "[/.]"),
         *flags("left_word", "l"), *flags("right_word", "r"), *flags("path", "p"))))
@@ -111,14 +133,22 @@ def features(found: DataFrame, docs: DataFrame, text_col: str = "text") -> DataF
 
 def rule_labels(found: DataFrame) -> DataFrame:
     """Labelled findings from public rules, for corpora without reviewed ones: ``label`` 1 for a
-    value in a vendor's key format, or of mixed hexadecimal assigned to a secret's name; 0 for
-    digits only, for marked samples, and for values beside no name, quote or assignment that are
-    not in a key format.  Others have no label (null)."""
+    whole private key, a value in a vendor's key format, a password in a URL, or letters mixed with
+    other characters assigned to a secret's name (16 or more, or 6 or more in quotes or for a
+    password); 0 for digits only, for marked samples, for what is yet to be filled in, and for
+    values beside no name, quote or assignment that are not in a key format.  Others have no
+    label (null)."""
     v, near = F.col("value"), F.concat_ws(" ", "left_word", F.right("before", F.lit(24)))
     vendor = v.rlike(r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^xox[abprs]-|^sk_live_|^AIza")
-    assigned = near.rlike(NAMES + r"[\"']?\s*[:=]\s*[\"']?\z") & v.rlike("[0-9]") & v.rlike("[a-zA-Z]") & (F.length(v) >= 16)
-    sample = F.concat_ws(" ", v, "left_word").rlike(SAMPLES) | ~v.rlike("[A-Za-z]")
-    return found.withColumn("label", F.when(sample, 0.0).when(vendor | assigned, 1.0).when(~F.col("before").rlike(r"[:=\"']\s*\z") & ~near.rlike(NAMES), 0.0))
+    named = lambda names, end: near.rlike(f"(?i)(?:{names})s?(?:[_\\-][\\w\\-]{{0,20}}|[0-9]{{0,3}})[\"'`\\]]{{0,2}}\\s*(?::=|=>|==|[:=>])\\s*{end}\\z")
+    mixed = v.rlike("[a-zA-Z]") & v.rlike("[^a-zA-Z\\s]") & ~v.rlike(r"\s")
+    assigned = mixed & ((named(_NAME, "[\"'`]?") & v.rlike("[0-9]") & (F.length(v) >= 16)) | named(_NAME, "[\"'`]")
+                        | (named("pass(?:word|wd|phrase|code)?|pwd", "") & v.rlike("[0-9]")))
+    in_url = F.col("before").rlike(IN_URL)
+    digits = ~v.rlike("[A-Za-z]") & ~in_url
+    sample = F.concat_ws(" ", v, "left_word").rlike(SAMPLES) | v.rlike(UNFILLED) | digits
+    return found.withColumn("label", F.when(v.rlike(PEM), 1.0).when(sample, 0.0).when(vendor | assigned | in_url, 1.0)
+                            .when(~F.col("before").rlike(r"[:=\"']\s*\z") & ~near.rlike(NAMES), 0.0))
 
 
 CONTEXT = ["value", "before", "left_word", "right_word", "path"]
@@ -131,7 +161,8 @@ def secret_scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
     ``labelled`` has reviewed findings (the columns of ``candidates`` and ``label`` 0/1); if it is
     None, ``rule_labels`` of the candidates are used.  At most ``rows`` distinct ones train the
     forest; up to half of them are of the rarer label, however rare it is.  Returns one row per candidate: ``doc_id, doc_hash, i, start, end, value`` (see
-    ``candidates``), ``score`` DOUBLE (the forest's probability of a secret) and ``is_secret``
+    ``candidates``), ``score`` DOUBLE (the forest's probability of a secret; 1 for a
+    whole private key and for what was reviewed as a secret) and ``is_secret``
     BOOLEAN (score >= 0.5).  If all labels are of one kind, all candidates take that label; with
     none, all are kept as secrets (score 1), so that nothing leaks.  Null or empty texts have no
     candidates; repeated rows give equal, repeated findings; ids may be null; other columns
@@ -146,19 +177,24 @@ def secret_scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
     else:
         marked = labelled.select(*CONTEXT, F.col("label").cast("double")).where("label in (0, 1)").groupBy(*CONTEXT).agg(F.max("label").alias("label"))
         both = distinct.withColumn("label", F.lit(None).cast("double")).withColumn("own", F.lit(True)).unionByName(marked.withColumn("own", F.lit(False)))
+        both = both.groupBy(*CONTEXT).agg(F.max("label").alias("label"), F.max("own").alias("own"))
         vectors = stored(features(both, docs, text_col), "features")
         sample = vectors.where("label is not null")
         vectors = vectors.where("own")
     counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}      # of all labels: two rows at most
     kinds = sorted(counts)
     sample = stored(per_label(sample.select(F.xxhash64(*CONTEXT).alias("h"), "label", "x"), counts, rows, "h"), "labelled")
+    # a whole private key is one by its form, however few of them the trees have seen, unless a review says otherwise
+    sure = F.when(F.col("value").rlike(PEM) & F.coalesce(F.col("label") == 1, F.lit(True)), 1.0)
+    if labelled is not None:
+        sure = F.coalesce(sure, F.when(F.col("label") == 1, 1.0))
     if len(kinds) < 2:
-        scored = vectors.select(*CONTEXT, F.lit(kinds[0] if kinds else 1.0).alias("score"))
+        scored = vectors.select(*CONTEXT, F.coalesce(sure, F.lit(kinds[0] if kinds else 1.0)).alias("score"))
     else:
         ordered = sample.repartition(4, "h").sortWithinPartitions("h").persist()
         model = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=7).fit(ordered)
         ordered.unpersist()
-        scored = model.transform(vectors).select(*CONTEXT, vector_to_array("probability")[1].alias("score"))
+        scored = model.transform(vectors).select(*CONTEXT, F.coalesce(sure, vector_to_array("probability")[1]).alias("score"))
     scored = scored.withColumn("key", F.xxhash64(*CONTEXT)).drop("before", "path", "left_word", "right_word")
     return (all_found.withColumn("key", F.xxhash64(*CONTEXT)).join(scored, ["key", "value"])
             .select("doc_id", "doc_hash", "i", "start", "end", "value", "score", (F.col("score") >= 0.5).alias("is_secret")))
