@@ -10,9 +10,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineark.llm.common import ascii_lower, stored
+from lineark.llm.common import ascii_lower, per_label, stored
 
-#: most labelled URLs that training reads; those with the smallest hashes
+#: most labelled URLs that training reads; those of each label with the smallest hashes
 TRAIN_ROWS = 20_000
 TREES, DEPTH = 20, 4
 
@@ -66,7 +66,7 @@ def url_filter(pages: DataFrame, rules: Sequence[Rule], labelled: DataFrame | No
 
     ``labelled`` has ``url`` and ``label`` (1: block, 0: allow); if it is None, the urls of ``pages``
     that a rule decides are the labelled ones, with that rule's verdict.  Training reads at most
-    ``rows`` distinct labelled urls; suffix statistics (how often a host's last label was
+    ``rows`` distinct labelled urls, up to half of them of the rarer label; suffix statistics (how often a host's last label was
     labelled, and blocked) come from all of them.
 
     Returns one row per input row: the id column, ``host``, ``path``, ``rule`` (null if none
@@ -89,8 +89,11 @@ def url_filter(pages: DataFrame, rules: Sequence[Rule], labelled: DataFrame | No
     known = known.withColumn("suffix", F.element_at(F.split("host", r"\."), -1))
     suffixes = stored(known.groupBy("suffix").agg(F.count("*").alias("seen"), F.avg("label").alias("blocked")), "suffixes")
     mean = F.coalesce(F.col("blocked"), F.lit(0.5))
-    sample = (known.groupBy("url", "host", "path", "suffix").agg(F.max("label").alias("label"))
-              .orderBy(F.xxhash64("url"), "url").limit(rows))
+    distinct = known.groupBy("url", "host", "path", "suffix").agg(F.max("label").alias("label")).withColumn("h", F.xxhash64("url"))
+    first = [distinct.where(F.col("label") == label).orderBy("h", "url").limit(rows) for label in (0.0, 1.0)]
+    first = stored(first[0].unionByName(first[1]), "first")          # a label is missing here only if none has it
+    counts = {r["label"]: r["count"] for r in first.groupBy("label").count().collect()}
+    sample = per_label(first, counts, rows, "h", "url")
 
     def vector(df: DataFrame, *keep: str) -> DataFrame:
         joined = df.join(suffixes, "suffix", "left")
@@ -98,8 +101,7 @@ def url_filter(pages: DataFrame, rules: Sequence[Rule], labelled: DataFrame | No
             *_lexical(F.col("url"), F.col("host"), F.col("path")), F.log1p(F.coalesce("seen", F.lit(0)).cast("double")), mean)).alias("x"))
 
     sample = stored(vector(sample, "url", "label"), "labelled")
-    kinds = {r["label"] for r in sample.select("label").distinct().collect()}
-    if len(kinds) < 2:
+    if len(counts) < 2:
         scored = base.withColumn("score", F.lit(0.0))
     else:
         ordered = sample.repartition(4, "url").sortWithinPartitions("url").persist()

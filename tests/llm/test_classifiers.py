@@ -142,6 +142,16 @@ def test_url_trees_learn_labelled_urls(shipped):
     assert {x.page_id for x in url_filter.url_filter(new, (), known).where("verdict = 'block'").collect()} == set(range(50, 100))
 
 
+def test_rare_blocks_are_in_the_sample(shipped):
+    r = random.Random(7)
+    good = [f"https://blog{i}.site.org/post/{r.randrange(99)}" for i in range(400)]
+    bad = [f"http://x{r.randrange(10**9)}.biz/?{'&'.join(f'p{k}={r.random()}' for k in range(5))}" for i in range(14)]
+    known = shipped.createDataFrame([(u, 0) for u in good[:380]] + [(u, 1) for u in bad[:4]], "url string, label int")
+    new = shipped.createDataFrame([(i, u) for i, u in enumerate(good[380:] + bad[4:])], "page_id long, url string")
+    got = url_filter.url_filter(new, (), known, rows=12)          # fewer than 1 in 12 is a block
+    assert {x.page_id for x in got.where("verdict = 'block'").collect()} == set(range(20, 30))
+
+
 def test_automaton():
     a = license_scan.Automaton("use of <<beginOptional>>the<<endOptional>> code by <<var;min=1;max=2>> is free")
     w = lambda s: s.encode().split()
