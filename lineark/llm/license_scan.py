@@ -31,7 +31,7 @@ TEMPLATES = (
                    " <<beginOptional>>version<<endOptional>> <<var;min=0;max=1>>"),
     ("gpl-notice", "under the terms of the gnu general public license as published by the free software foundation"),
     ("cc-by-notice", "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>creative commons<<endOptional>> cc by"
-                     " <<beginOptional>>nc<<endOptional>> <<beginOptional>>sa<<endOptional>> <<beginOptional>>nd<<endOptional>> <<var;min=1;max=2>>"),
+                     " <<beginOptional>>nc<<endOptional>> <<beginOptional>>sa<<endOptional>> <<beginOptional>>nd<<endOptional>> <<var;min=0;max=2>>"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("reserved-notice", "copyright <<var;min=1;max=8>> all rights reserved"),
 )

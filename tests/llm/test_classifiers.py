@@ -152,6 +152,13 @@ def test_rare_blocks_are_in_the_sample(shipped):
     assert {x.page_id for x in got.where("verdict = 'block'").collect()} == set(range(20, 30))
 
 
+def test_license_notice_ends_the_text(shipped):
+    df = shipped.createDataFrame([(0, "licensed under CC BY"), (1, "licensed under a Creative Commons CC BY-NC"), (2, "licensed under CC")], "doc_id long, text string")
+    got = {x.doc_id: x for x in license_scan.license_scan(df).collect()}
+    assert [(got[i].labels, got[i].score) for i in (0, 1)] == [("cc-by,cc-by-notice", 1.0)] * 2
+    assert got[2].labels == ""
+
+
 def test_automaton():
     a = license_scan.Automaton("use of <<beginOptional>>the<<endOptional>> code by <<var;min=1;max=2>> is free")
     w = lambda s: s.encode().split()
