@@ -12,6 +12,8 @@ from lineark.session import scratch_path
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: rows handed to Python code at a time, so that a batch of long texts stays small
 STEP = 256
+#: longest entry, in bytes, of a table that is broadcast; longer ones take the way of the rare ones
+ENTRY_BYTES = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:

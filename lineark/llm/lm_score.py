@@ -22,7 +22,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineark.llm.common import STEP, as_bytes, fold, map_rows, stored
+from lineark.llm.common import ENTRY_BYTES, STEP, as_bytes, fold, map_rows, stored
 
 HOT = 1 << 17
 #: distinct words a task counts before it hands on its partial counts
@@ -146,7 +146,7 @@ def lm_score(docs: DataFrame, model_path: str, folds: int = 7, held: int = 2, id
         return lambda cols: {"w": cols["w"], "c": cols["c"], "lp": [lattice(w.decode("utf-8", "replace")) if w else end for w in cols["w"]]}
 
     words = stored(map_rows(counts, weigh, "w binary, c long, lp double"), "words")
-    top = words.orderBy(F.desc("c"), "w").limit(HOT)
+    top = words.where(F.length("w") <= ENTRY_BYTES).orderBy(F.desc("c"), "w").limit(HOT)
     hot = spark.sparkContext.broadcast({bytes(r["w"]): (r["c"] > 0, math.log10((r["c"] + 1) / floor), r["lp"]) for r in top.toLocalIterator()})
 
     def split():

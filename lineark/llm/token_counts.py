@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineark.llm.common import STEP, Cache, as_bytes, map_rows
+from lineark.llm.common import ENTRY_BYTES, STEP, Cache, as_bytes, map_rows
 
 MARK = "▁"
 TASK_TOP = 4_096
@@ -58,8 +58,8 @@ class PieceCounter:
 
 
 def frequent(texts: DataFrame, table_size: int = TABLE_SIZE) -> DataFrame:
-    """The ``table_size`` pre-tokens with the largest counts over the tasks' own top lists:
-    ``token``, ``n``.  ``texts`` has one BINARY column ``t``."""
+    """The ``table_size`` pre-tokens with the largest counts over the tasks' own top lists,
+    none longer than ``ENTRY_BYTES``: ``token``, ``n``.  ``texts`` has one BINARY column ``t``."""
 
     def run(batches):
         import pyarrow as pa
@@ -70,7 +70,7 @@ def frequent(texts: DataFrame, table_size: int = TABLE_SIZE) -> DataFrame:
                     seen.update(pretokens(t.decode("utf-8", "replace")))
                 if len(seen) > COUNTER_SIZE:
                     seen = Counter(dict(seen.most_common(COUNTER_SIZE // 4)))
-        top = seen.most_common(TASK_TOP)
+        top = Counter({x: n for x, n in seen.items() if len(x.encode("utf-8")) <= ENTRY_BYTES}).most_common(TASK_TOP)
         yield pa.RecordBatch.from_pydict({"token": pa.array([x for x, _ in top], pa.string()),
                                           "n": pa.array([n for _, n in top], pa.int64())})
 

@@ -78,6 +78,12 @@ def test_token_counts(edge_docs, spark):
     assert token_counts.token_counts(spark.createDataFrame([], EMPTY), MODEL, 100).count() == 0
 
 
+def test_long_pretokens_stay_out_of_the_table(spark):
+    texts = spark.createDataFrame([("漢" * 30 + " word",)] * 5 + [("y" * 5000,)] * 5, "t string").selectExpr("cast(t as binary) t")
+    got = [r["token"] for r in token_counts.frequent(texts).collect()]
+    assert got == ["▁word"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("ab Z0.\n\t▁é漢 ☃<>s")), max_size=40))
 def test_pretokens_count_like_the_library(t):
