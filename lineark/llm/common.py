@@ -21,15 +21,41 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
+#: removes the shuffle files of a write once it has ended; nothing reads them again
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under ``spark.checkpoint.dir`` and read back.
 
     Cuts the lineage: a lost executor costs a re-read of a shared file, never a
-    re-run of the steps before.
+    re-run of the steps before.  The write's own shuffle files go when it ends.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` wrote; for those whose last reader has run."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def with_row(df: DataFrame, **cols: Column) -> DataFrame:
+    """``cols`` beside ``row``, a struct of all columns of ``df``: no name can clash with the table's own.
+    ``select("row.*")`` gives the table back."""
+    return df.select(F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in df.columns)).alias("row"), *(c.alias(name) for name, c in cols.items()))
 
 
 def per_label(df: DataFrame, counts: dict[float, int], rows: int, *order: str) -> DataFrame:

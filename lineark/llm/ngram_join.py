@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineark.llm.common import Cache, as_bytes, map_rows, stored
+from lineark.llm.common import Cache, as_bytes, discard, map_rows, stored, with_row
 
 PARTS = 8
 #: bits of the map-side filter that keeps only candidates' texts for verification
@@ -84,6 +84,8 @@ class Cuts:
             self.start.append(self.start[-1] * den * den // (num * num) + 1)
         top = [(s - 1) for s in self.start[1:]]
         self.apart = [(den - num) * (2 * s * den // (den + num)) // den for s in top]
+        #: low bits of a fragment's hash, which hold the number of its cut
+        self.bits = len(self.start).bit_length()
         self.start = np.array(self.start)
 
     def schemes(self, size: int) -> list[int]:
@@ -92,10 +94,11 @@ class Cuts:
         k = int(np.searchsorted(self.start, size, "right")) - 1
         return [k, k + 1] if size * self.den // self.num >= self.start[k + 1] else [k]
 
-    def signatures(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Fragment hashes, and for each the quota of its cut: the cut's number * 2**32 + how many of
-        the set's hashes in this cut any linked set shares at least."""
+    def signatures(self, x: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """Fragment hashes, whose low bits name their cut, and the quota of each cut: its number * 2**32 +
+        how many of the set's hashes in this cut any linked set shares at least."""
         out, quota = [], []
+        tag = lambda h, k: h >> np.uint64(self.bits) << np.uint64(self.bits) | np.uint64(k)
         for k in self.schemes(len(x)):
             h = self.apart[k]
             if not h:                   # such small sets link only if they are equal
@@ -104,13 +107,12 @@ class Cuts:
             at = ((x >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
             name = _mix(at[first] + np.uint64(k << 40))
-            out.append(_mix(np.add.reduceat(_mix(x), first) ^ name))
-            quota.append(np.full(len(first), (k << 32) + max(1, len(first) - h)))
+            out.append(tag(_mix(np.add.reduceat(_mix(x), first) ^ name), k))
+            quota.append((k << 32) + max(1, len(first) - h))
             if len(first) <= h:
                 keep = len(x) - -(-self.num * len(x) // self.den) + 1
-                out.append(_mix(x[:keep] ^ _mix(np.uint64([k + (1 << 50)]))))
-                quota.append(np.full(keep, (k << 32) + 1))
-        return (np.concatenate(out), np.concatenate(quota)) if out else (x[:0], np.zeros(0, np.int64))
+                out.append(tag(_mix(x[:keep] ^ _mix(np.uint64([k + (1 << 50)]))), k))
+        return (np.concatenate(out), quota) if out else (x[:0], [])
 
 
 def _class_of(x: np.ndarray) -> int | None:
@@ -119,7 +121,7 @@ def _class_of(x: np.ndarray) -> int | None:
 
 def _sets(df: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(doc_id, doc_hash, n, cid, sig, quota) of every row; cid names the set, NULL for an empty one.
-    ``sig`` and ``quota`` are the class's fragment hashes, NULL where the task gave them before."""
+    ``sig`` and ``quota`` are the class's fragment hashes and its cuts' quotas, NULL where the task gave them before."""
     def make():
         grams, cuts, seen = Shingler(width), Cuts(num, den), set()
 
@@ -140,17 +142,11 @@ def _sets(df: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return map_rows(df, make, f"doc_id {dict(df.dtypes)['doc_id']}, doc_hash long, n long, cid long, sig array<long>, quota array<long>")
 
 
-def _signatures(sets: DataFrame) -> DataFrame:
-    """(sig, cid, n, quota): a row per fragment hash of a class, once or more."""
-    each = sets.select("cid", "n", F.explode(F.arrays_zip("sig", "quota")).alias("x"))
-    return each.select("x.sig", "cid", "n", "x.quota")
-
-
 def _shared(batches):
-    """Of rows (sig, cid, n, quota) sorted by (sig, cid): those of buckets with several classes, each class
+    """Of rows (sig, cid) sorted by both: those of buckets with several classes, each class
     once; and those of the first and the last bucket of a partition, which may go on elsewhere."""
     import pyarrow as pa
-    names, carry, opened = ["sig", "cid", "n", "quota"], None, None
+    names, carry, opened = ["sig", "cid"], None, None
 
     def rows(cols, take):
         return pa.RecordBatch.from_arrays([pa.array(c[take]) for c in cols], names)
@@ -158,7 +154,7 @@ def _shared(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        cols = [batch.column(i).to_numpy() for i in range(4)]
+        cols = [batch.column(i).to_numpy() for i in range(2)]
         if carry is not None:           # the last row, and whether it was given out already
             cols = [np.concatenate((c, v)) for c, v in zip(carry[0], cols)]
         new = np.concatenate(([True], (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])))
@@ -242,7 +238,7 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): (cid, comp), comp the smallest node reachable.
 
     Alternates star contraction steps until nothing changes; each step is a grouped
-    minimum and a join, written to the shared folder.
+    minimum and a join, written to the shared folder in the place of the step before.
     """
     e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     state = None
@@ -253,25 +249,31 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select("u", F.col("m").alias("v")).union(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        e = stored(small.distinct(), "edges")
+        before, e = e, stored(small.distinct(), "edges")
+        discard(before)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
-            return e.select(F.col("u").alias("cid"), F.col("v").alias("comp"))
+            comps = e.select(F.col("u").alias("cid"), F.col("v").alias("comp"))
+            comps.stored_at = e.stored_at
+            return comps
         state = now
 
 
-def _candidates(members: DataFrame) -> DataFrame:
-    """The rows of buckets with several classes, of classes that have as many of them as their quota
-    asks; applied until a pass removes few rows (it only ever removes rows that can't matter)."""
-    count = None
+def _candidates(members: DataFrame, quotas: DataFrame, bits: int) -> DataFrame:
+    """The rows (sig, cid) of buckets with several classes, of classes that have as many of them as the
+    quota of the cut asks; applied until a pass removes few rows (it only ever removes rows that
+    can't matter)."""
+    count, before = None, None
+    cut = F.col("sig").bitwiseAND(F.lit((1 << bits) - 1)).alias("cut")
     while True:
         several = members.groupBy("sig").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo <> hi").select("sig")
-        members = members.join(several, "sig", "left_semi")
-        enough = (members.groupBy("cid", "quota").agg(F.count("*").alias("k"))
-                  .where(F.col("k") >= F.col("quota").bitwiseAND(F.lit((1 << 32) - 1))).select("cid", "quota"))
-        members = stored(members.join(enough, ["cid", "quota"], "left_semi"), "members")
-        before, count = count, members.count()
-        if count == 0 or before is not None and count > 0.9 * before:
+        kept = members.join(several, "sig", "left_semi").select("sig", "cid", cut)
+        enough = kept.groupBy("cid", "cut").agg(F.count("*").alias("k")).join(quotas, ["cid", "cut"]).where("k >= quota").select("cid", "cut")
+        members = stored(kept.join(enough, ["cid", "cut"], "left_semi").select("sig", "cid"), "members")
+        if before is not None:
+            discard(before)
+        before, last, count = members, count, members.count()
+        if count == 0 or last is not None and count > 0.9 * last:
             return members
 
 
@@ -290,24 +292,33 @@ def _grouped(docs: DataFrame, width: int, num: int, den: int, id_col: str, text_
     """(doc_id, doc_hash, n, g) of every row; g names its component, NULL for an empty set."""
     spark = docs.sparkSession
     df = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("doc_hash"), as_bytes(F.col(text_col)).alias("t"))
-    sets = stored(_sets(df, width, num, den), "sets")
+    full = stored(_sets(df, width, num, den), "sets")
+    sets = stored(full.drop("sig", "quota"), "rows")
+    low = F.col("q").bitwiseAND(F.lit((1 << 32) - 1))
+    quotas = stored(full.select("cid", F.explode("quota").alias("q")).select("cid", F.shiftright("q", 32).alias("cut"), low.alias("quota")).distinct(), "quotas")
 
     # from the table, so that the range sampler's extra pass does not read the texts again
-    sigs = _signatures(sets)
+    sigs = full.select(F.explode("sig").alias("sig"), "cid")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    members = stored(sigs.repartitionByRange(parts, "sig", "cid").sortWithinPartitions("sig", "cid")
-                     .mapInArrow(_shared, "sig long, cid long, n long, quota long"), "shared").distinct()
-    classes = stored(_candidates(members).select("cid", "n").distinct(), "classes")
+    shared = stored(sigs.repartitionByRange(parts, "sig", "cid").sortWithinPartitions("sig", "cid").mapInArrow(_shared, "sig long, cid long"), "shared")
+    discard(full)
+    members = _candidates(shared.distinct(), quotas, Cuts(num, den).bits)
+    sizes = sets.join(members, "cid", "left_semi").select("cid", "n").distinct()
+    classes = stored(sizes, "classes")
+    discard(shared, members, quotas)
     tokens = stored(_tokens(df, classes.select("cid"), sets, width), "tokens")
 
     live = stored(_prefixes(tokens, classes, num, den), "prefixes")
+    discard(classes)
     comps = spark.createDataFrame([], "cid long, comp long")
     tested = links = None
-    centres = CENTRES
+    centres, used, left_over = CENTRES, live, []
     while True:
         named = live.join(comps, "cid", "left").select("sig", "cid", "n", "pos", F.coalesce("comp", "cid").alias("comp"))
         split = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
         live = stored(named.join(split, "sig", "left_semi"), "live")
+        discard(used, *left_over)
+        used = live
         if live.isEmpty():
             break
         salt = F.pmod(F.xxhash64("cid", F.lit(centres)), F.lit(centres))
@@ -324,10 +335,14 @@ def _grouped(docs: DataFrame, width: int, num: int, den: int, id_col: str, text_
         found = stored(_verified(pairs, tokens, num, den), "links")
         tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
         links = found if links is None else links.union(found)
+        left_over = [centre]
         if not found.isEmpty():
+            if hasattr(comps, "stored_at"):
+                left_over.append(comps)
             comps = components(links)
         live = live.join(centre.select("sig", F.col("c.cid").alias("cid")), ["sig", "cid"], "left_anti").select("sig", "cid", "n", "pos")
         centres *= 4
+    discard(live, tokens)
     return sets.join(comps, "cid", "left").select("doc_id", "doc_hash", "n", F.coalesce("comp", "cid").alias("g"))
 
 
@@ -355,6 +370,6 @@ def one_of_each(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100,
     they are.  Rows without words all stay, but of rows with equal id and text one stays."""
     named = _grouped(docs, width, num, den, id_col, text_col)
     first = named.where("g is not null").groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "doc_hash")).alias("x"))
-    kept = first.select(F.col("x.doc_hash").alias("__doc_hash")).union(named.where("g is null").select("doc_hash")).distinct()
-    keyed = docs.withColumn("__doc_hash", F.xxhash64(id_col, text_col))
-    return keyed.join(kept, "__doc_hash", "left_semi").dropDuplicates(["__doc_hash"]).select(*docs.columns)
+    kept = first.select(F.col("x.doc_hash").alias("hash")).union(named.where("g is null").select(F.col("doc_hash").alias("hash"))).distinct()
+    keyed = with_row(docs, hash=F.xxhash64(id_col, text_col))
+    return keyed.join(kept, "hash", "left_semi").dropDuplicates(["hash"]).select("row.*")
