@@ -1,12 +1,15 @@
 """Exact top-k search on binary codes by incremental multi-index hashing.
 
 A vector's code has one bit per dimension (1 where the value is positive).  Codes are cut
-into ``m`` segments of about log2(number of codes) bits.  Round r looks up, in every
-segment's index, the values at Hamming distance exactly r from the query's segment.  After
-round r every code at distance m*(r+1)-1 or less has been seen, since such a code has a
-segment at distance r or less.  A query is finished when its k-th best verified distance
-is within that; only the others go on to the next radius.
-
+into ``m`` segments of about log2(number of codes) bits.  One segment's radius grows at a time: step
+s = m*r + j looks up, in segment j's index, the values at Hamming distance exactly r from the
+query's segment.  After step s every code at distance s or less has been seen, since such a
+code has one of the segments 0..j at distance r or less, or one of the others at r-1 or
+less.  A query is finished when its k-th best verified distance is within that; only the
+others go on to the next step.
+
+The values at distance r are made by flipping one bit more than at r-1, above the last one
+flipped, so that each comes once; they are rows of a join with the index, never a broadcast.
 Equal codes are one entry, with the smallest ids of its rows, so a vector that a third
 of all rows share costs one look-up.
 """
@@ -18,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lineark.llm.common import stored
+from lineark.llm.common import discard, stored
 
 
 def codes(vectors: DataFrame, width: int, bits: int, id_col: str, vector_col: str) -> DataFrame:
@@ -34,17 +37,13 @@ def _distance(m: int) -> Column:
     return sum((F.bit_count(F.get("q", j).bitwiseXOR(F.get("code", j))) for j in range(m)), F.lit(0))
 
 
-def _masks(width: int, radius: int) -> list[int]:
-    """All ``width``-bit numbers with ``radius`` bits set, smallest first."""
-    if radius == 0:
-        return [0]
-    x, out = (1 << radius) - 1, []
-    while x >> width == 0:
-        out.append(x)
-        low = x & -x
-        up = x + low
-        x = up | (((x ^ up) >> 2) // low)
-    return out
+def _sphere(active: DataFrame, j: int, width: int, radius: int) -> DataFrame:
+    """(q, bound, v): the values ``v`` of ``width`` bits at distance ``radius`` from segment ``j`` of each query."""
+    rows = active.select("q", "bound", F.get("q", j).alias("v"), F.lit(-1).alias("top"))
+    for _ in range(radius):
+        flips = rows.where(F.col("top") < width - 1).select("q", "bound", "v", F.explode(F.sequence(F.col("top") + 1, F.lit(width - 1))).alias("top"))
+        rows = flips.select("q", "bound", F.col("v").bitwiseXOR(F.expr("shiftleft(1L, top)")).alias("v"), "top")
+    return rows.drop("top")
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -72,22 +71,25 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_i
     queries = rows.where(F.pmod("id", F.lit(every)) == 0)
     active = stored(queries.select(F.col("code").alias("q")).distinct().withColumn("bound", F.lit(bits)), "active")
     best = None
-    for radius in range(width + 1):
-        probe = active.select("q", "bound", F.posexplode("q").alias("j", "s")).select(
-            "q", "bound", "j", F.explode(F.transform(F.lit(_masks(width, radius)).cast("array<long>"), lambda x: x.bitwiseXOR(F.col("s")))).alias("v"))
-        seen = (probe.join(index, ["j", "v"]).select("q", "bound", "ids", _distance(m).alias("d")).where("d <= bound")
+    for step in range(m * (width + 1)):
+        radius, j = divmod(step, m)
+        probe = _sphere(active, j, min(width, bits - j * width), radius)
+        mine = index.where(F.col("j") == j).select("v", "code", "ids")
+        # the planner does not see how many rows the probe has: no side may be broadcast
+        seen = (probe.hint("merge").join(mine, "v").select("q", "bound", "ids", _distance(m).alias("d")).where("d <= bound")
                 .select("q", "d", F.explode("ids").alias("id")))
         seen = seen if best is None else seen.unionByName(best)
         once = seen.groupBy("q", "id").agg(F.min("d").alias("d"))
         place = F.row_number().over(Window.partitionBy("q").orderBy("d", "id"))
-        best = stored(once.withColumn("place", place).where(F.col("place") <= k + 1).select("q", "d", "id"), "best")
+        old_best, best = best, stored(once.withColumn("place", place).where(F.col("place") <= k + 1).select("q", "d", "id"), "best")
         state = best.groupBy("q").agg(F.count("*").alias("n"), F.max("d").alias("kth"))
-        covered = m * (radius + 1) - 1
         open_ = active.select("q").join(state, "q", "left").where(
-            (F.coalesce("n", F.lit(0)) < wanted) | (F.col("kth") > covered))
-        active = stored(open_.select("q", F.when(F.col("n") >= wanted, F.col("kth")).otherwise(bits).alias("bound")), "active")
+            (F.coalesce("n", F.lit(0)) < wanted) | (F.col("kth") > step))
+        old_active, active = active, stored(open_.select("q", F.when(F.col("n") >= wanted, F.col("kth")).otherwise(bits).alias("bound")), "active")
+        discard(old_active, *([old_best] if old_best is not None else []))
         if active.isEmpty():
             break
+    discard(index, entries, active)
     found = queries.select(F.col("id").alias("query_id"), F.col("code").alias("q")).join(best, "q").where("id <> query_id")
     found = found.groupBy("query_id", F.col("id").alias("neighbour_id")).agg(F.min("d").alias("distance"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "neighbour_id"))
