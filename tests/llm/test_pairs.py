@@ -2,7 +2,7 @@
 import itertools
 import math
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -193,3 +193,83 @@ def test_top_k(shipped):
     few = shipped.createDataFrame([(0, [1.0]), (1, [-1.0])], "vec_id long, embedding array<double>")
     assert [tuple(x) for x in topk_codes.top_k(few).collect()] == [(0, 1, 1, 1)]
     assert topk_codes.top_k(few.where("false")).count() == 0
+
+
+def all_alignments(docs, items, run=13, share=0.8):
+    """(doc, item) pairs with a run of aligned words, at any alignment, of which enough are equal: all
+    words of an item of fewer than 8."""
+    import re
+    words = lambda t: re.findall(r"[0-9A-Za-z]+", (t or "").lower())
+    out = set()
+    for d, text in docs:
+        h = words(text)
+        for item, other in items:
+            q = words(other)
+            n = min(run, len(q))
+            for shift in range(-len(q) + 1, len(h)):
+                m = [0 <= shift + k < len(h) and h[shift + k] == q[k] for k in range(len(q))]
+                if n and max(sum(m[s:s + n]) for s in range(len(q) - n + 1)) >= (n if n < 8 else share * n):
+                    out.add((d, item))
+                    break
+    return out
+
+
+def test_decontamination_equals_a_scan_of_all_alignments(shipped):
+    r = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(60)]           # few words, so that chance overlaps of some words are many
+    items = [(i, " ".join(r.choices(vocabulary, k=r.choice([2, 3, 5, 7, 8, 9, 11, 13, 14, 20, 40])))) for i in range(40)]
+    items += [(40, "Unique"), (41, None), (42, ""), (43, items[5][1])]
+    docs = []
+    for d in range(160):
+        w = r.choices(vocabulary, k=r.choice([0, 3, 30, 120]))
+        q = (r.choice(items)[1] or "").split()
+        a = r.randrange(len(q) + 1) if r.random() < 0.4 else 0
+        q = q[a:]
+        for _ in range(r.choice([0, 1, 2, 3, len(q) // 6])):
+            if q:
+                q[r.randrange(len(q))] = "other"
+        at = r.randrange(len(w) + 1)
+        docs.append((d, " ".join(w[:at] + q + w[at:])))
+    docs += [(200, "so unique, so"), (201, None), (202, "")]
+    got = decontaminate.overlaps(shipped.createDataFrame(docs, EMPTY).repartition(3), shipped.createDataFrame(items, "item_id long, text string"))
+    assert {(x.doc_id, x.item_id) for x in got.collect()} == all_alignments(docs, items)
+
+
+def test_decontamination_of_short_items_and_unspaced_scripts(shipped):
+    chinese = "机器学习模型在评测数据集上的表现常常因为训练语料包含题目而被高估这是一个普遍的问题"
+    thai = "ประเทศไทยมีเมืองหลวงชื่อกรุงเทพมหานคร"
+    items = [(1, "what is the capital of old Ruritania"), (2, chinese), (3, thai), (4, "xyzzy"), (5, "two words")]
+    docs = [(1, "He asked: What is the capital of old Ruritania?"), (2, "前文很长。" + chinese + "后文。"), (3, "ก" + thai), (4, "say xyzzy now"), (5, "two, words"),
+            (10, "What is the capital of new Ruritania"), (11, chinese[::-1]), (12, "xyzzyx"), (13, "words two"),
+            (14, chinese[:10] + "完" + chinese[11:])]
+    got = decontaminate.overlaps(shipped.createDataFrame(docs, EMPTY), shipped.createDataFrame(items, "item_id long, text string"))
+    assert {(x.doc_id, x.item_id) for x in got.collect()} == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (14, 2)}
+
+
+def test_stages_keep_columns_whatever_their_names(edge_docs, shipped):
+    from lineark.llm import ngram_join
+    extra = edge_docs.selectExpr("*", "'a' as `hash`", "1 as row", "'b' as __doc_hash", "'c' as `dotted.name`")
+    bench = shipped.createDataFrame([(1, "no id here")], "item_id long, text string")
+    kept = decontaminate.decontaminate(extra, bench)
+    assert kept.columns == extra.columns
+    rows = [tuple(x) for x in extra.collect()]
+    assert Counter(map(tuple, kept.collect())) == Counter(x for x in rows if x[1] != "no id here")
+    one = ngram_join.one_of_each(extra, width=5, num=80)
+    assert one.columns == extra.columns and set(map(tuple, one.collect())) <= set(rows)
+    assert {x.doc_id for x in one.collect()} >= {0, 1, 2, 7, 8}
+
+
+def test_top_k_of_edges(edge_docs, shipped):
+    vecs = [(i * 50, [1.0 if i >> b & 1 else -1.0 for b in range(9)], "x") for i in range(30)] + [(None, [1.0], "x"), (7, None, "x"), (50, [1.0] * 9, "x"), (3, [None, 1.0], "x")]
+    df = shipped.createDataFrame(vecs + vecs[:4], "vec_id long, embedding array<double>, d string")
+    got = defaultdict(list)
+    for r in topk_codes.top_k(df, k=4).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.distance, r.neighbour_id))
+    bits = lambda v: [1 if b < len(v) and (v[b] or 0) > 0 else 0 for b in range(9)]
+    rows = [(i, bits(v)) for i, v, _ in vecs if i is not None and v is not None]
+    for q in {i for i, _ in rows if i % 50 == 0}:
+        near = {}
+        for i, c in rows:
+            if i != q:
+                near[i] = min(near.get(i, 99), min(sum(a != b for a, b in zip(c, o)) for j, o in rows if j == q))
+        assert got[q] == sorted((d, i) for i, d in near.items())[:4]
