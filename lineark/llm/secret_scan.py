@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lineark.llm.common import per_label, stored
+from lineark.llm.common import per_label, stored, with_row
 
 #: most labelled findings that training reads; those of each label with the smallest hashes
 TRAIN_ROWS = 20_000
@@ -22,59 +22,74 @@ TREES, DEPTH = 24, 7
 # Names that often stand before a secret, and words that mark a sample.
 _NAME = r"pass[ _-]?(?:word|wd|phrase|code|key)?|pwd|secret(?:[ _-]?key)?|token|(?:api|access|private)[ _-]?key|auth(?!or)|credential"
 NAMES = rf"(?i)(?:{_NAME})s?"
-#: what stands before an assigned value: a name, perhaps its quote, and a sign.  All parts are bounded, as Java
-#: wants them in a look-behind; the cheap tests before it keep it from most places.
-_SET = rf"(?<=[\s:=>\"'`])(?=[^\s])(?<=[:=>][ \t]{{0,16}}[\"'`]?)(?<=(?i:{_NAME})(?i:s?)(?:[_\-][\w\-]{{0,20}}|[0-9]{{0,3}})[\"'`\]]{{0,2}}[ \t]{{0,16}}(?::=|=>|==|[:=>])[ \t]{{0,16}}"
+_SIGN = r"[\"'`\]]*+[ \t]*+(?::=|=>|==|[:=>])[ \t]*+"
+
+
+def _set(names: str) -> str:
+    """An identifier that holds a name (at its end or before ``_``, ``-`` or a digit) and a sign.  It is entered at the
+    identifier's start only, and its loops are possessive, so that the time is linear however long identifiers
+    and blanks are."""
+    return rf"(?<![\w\-])(?=[\w\-]*?(?i:{names})(?i:s?)(?![A-Za-z]))[\w\-]++(?: (?i:key|word|wd|phrase|code)s?[\w\-]*+)?{_SIGN}"
+
+
+_SET = _set(_NAME)
+_LEAST, _LEAST_CODED = 6, 12
 _END = r"\\?[\"'`](?:[\s,;:)\]}>]|\z)"
-VALUES = (
+_QUOTED = lambda q: rf"(?<={q})(?=(?:[^{q}\\\r\n]|\\.){{{_LEAST}}})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+)*+(?={q})"
+#: what stands before a value, and the value
+FORMS = (
     # a whole private key; without its end, the lines that follow
-    r"-{4,5} ?BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)? ?-{4,5}(?:(?>[\s\S]*?-{4,5}) ?END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)? ?-{4,5}"
-    r"|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{16,}+={0,2})++)",
+    ("", r"-{4,5} ?BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)? ?-{4,5}(?:(?>[\s\S]*?-{4,5}) ?END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)? ?-{4,5}"
+         r"|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{16,}+={0,2})++)"),
     # a password in a URL
-    r"(?<=:)(?<=://[^\s/:@]{0,128}:)[^\s/\"'<>]+(?=@[^\s@])",
-    # quoted or not, what a secret's name is set to
-    _SET + r"\")(?:[^\"\\\r\n]|\\.){6,}+(?=\")",
-    _SET + r"')(?:[^'\\\r\n]|\\.){6,}+(?=')",
-    _SET + r"`)[^`\r\n]{6,}+(?=`)",
-    _SET + r"[\"'`]?)(?![\"'`])(?:(?![;&,][\w.\-]{1,40}=|[.,;:)\]}]{1,3}(?:\s|\z)|</|" + _END + r")\S){6,}+",
-    # at least 12 characters of common encodings, one of them a digit
-    r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}",
+    (r"://[^\s/:@]*+:", r"[^\s/\"'<>]+(?=@[^\s@])"),
+    # quoted or not, what a secret's name is set to (but not another name that is set itself)
+    (_SET + r"[\"'`]?+", "|".join(map(_QUOTED, "\"'`"))
+     + rf"|(?![\"'`])(?!{_SET})(?:(?![;&,][\w.\-]{{1,40}}=|[.,;:)\]}}]{{1,3}}(?:\s|\z)|</|{_END})\S){{{_LEAST},}}+"),
+    # common encodings, one character of them a digit, that are not a name which is set
+    ("", rf"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])(?!{_SET})[A-Za-z0-9+/_\-]{{{_LEAST_CODED},}}={{0,2}}"),
 )
-VALUE = "|".join(VALUES)
+_FORM = "|".join(f"({before})({value})" for before, value in FORMS)
+#: three noncharacters, put before what stands before a value, before the value and after it
+_MARKS = "\uFDD0\uFDD1\uFDD2"
+_MARKED = _MARKS[0] + "".join(f"${2 * i + 1}" for i in range(len(FORMS))) + _MARKS[1] + "".join(f"${2 * i + 2}" for i in range(len(FORMS))) + _MARKS[2]
 PEM = r"\A-{4,5} ?BEGIN "
-IN_URL = r"://[^\s/:@]{0,128}:\z"
+IN_URL = r"://[^\s/:@]*:\z"
 #: what stands where a value will be filled in, or code that gets it
 UNFILLED = r"(?i)\A(?:[$%]?[{(<\[]|%\w+%|\$\w+\z|[*.x]+\z|(?:none|null|true|false|undefined|password|secret)\z)|\A[\w.]+[(\[]"
 SAMPLES = r"(?i)(example|sample|dummy|placeholder|changeme|xxxx|test|todo|your[_-])"
 _CLASSES = ("[a-z]", "[A-Z]", "[0-9]")
 
 
+def _pieces(text: Column) -> Column:
+    """A text cut behind each candidate: every piece but the last ends in one.  One pass over the text."""
+    return F.split(F.regexp_replace(F.translate(text, _MARKS, "\uFFFD" * 3), _FORM, _MARKED), _MARKS[2], -1)
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """One row per candidate: ``doc_id, doc_hash, i, start, end, value, before, left_word,
     right_word, path``.  ``i`` counts a document's candidates from 0; ``start`` and ``end`` are
-    character positions.  ``doc_hash`` is a hash of id and text; repeated rows repeat."""
+    character positions.  ``doc_hash`` is a hash of id and text; repeated rows repeat.
+
+    Candidates are whole private keys, passwords in URLs, at least 6 characters that a secret's name
+    is set to, and at least 12 characters of common encodings with a digit.  What stands before a value
+    may be of any length.  ``before`` is what belongs to the candidate's form (name, sign, quote) and 80
+    characters before that; ``right_word`` is the next word if it begins within 40 characters."""
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    cut = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("doc_hash"), F.coalesce(path, F.lit("")).alias("path"),
-                      F.regexp_extract_all(text, F.lit(VALUE), 0).alias("value"), text.alias("text"))
-    cut = cut.where(F.size("value") > 0).select("doc_id", "doc_hash", "path", "value", F.split("text", VALUE, -1).alias("gap"))
-    # positions: a running sum over the candidates of one document
-    step = F.aggregate(
-        F.arrays_zip(F.slice("gap", 1, F.size("value")).alias("g"), F.col("value").alias("v")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda a, x: F.struct((a["at"] + F.length(x["g"]) + F.length(x["v"])).alias("at"),
-                              F.concat(a["out"], F.array(a["at"] + F.length(x["g"]))).alias("out")),
-        lambda a: a["out"])
-    spread = cut.select("doc_id", "doc_hash", "path", F.posexplode(F.arrays_zip(
-        step.alias("start"), F.col("value"),
-        F.transform(F.slice("gap", 1, F.size("value")), lambda g: F.right(g, F.lit(80))).alias("before"),
-        F.transform(F.slice("gap", 2, F.size("value")), lambda g: F.left(g, F.lit(40))).alias("after"))).alias("i", "c"))
-    beside = spread.select("doc_id", "doc_hash", "path", F.col("i").cast("long").alias("i"), F.col("c.start").cast("long").alias("start"),
-                           (F.col("c.start") + F.length("c.value")).cast("long").alias("end"), F.col("c.value").alias("value"),
-                           F.col("c.before").alias("before"), F.col("c.after").alias("after"))
+    cut = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("doc_hash"),
+                      F.coalesce(path, F.lit("")).alias("path"), _pieces(text).alias("piece"))
+    ends = F.transform(F.slice("piece", F.lit(2), F.size("piece") - 1), lambda p: F.left(F.substring_index(p, _MARKS[0], 1), F.lit(40)))
+    each = cut.select("row", "doc_id", "doc_hash", "path", F.posexplode(F.arrays_zip(F.slice("piece", F.lit(1), F.size("piece") - 1).alias("p"), ends.alias("after"))).alias("i", "c"))
+    part = lambda c, mark, at: F.substring_index(c, mark, at)
+    split = each.select("row", "doc_id", "doc_hash", "path", F.col("i").cast("long").alias("i"), part(F.col("c.p"), _MARKS[0], 1).alias("gap"),
+                        part(part(F.col("c.p"), _MARKS[0], -1), _MARKS[1], 1).alias("form"), part(F.col("c.p"), _MARKS[1], -1).alias("value"), F.col("c.after").alias("after"))
+    # positions: a running sum over the candidates of one input row
+    up = F.sum(F.length("gap") + F.length("form") + F.length("value")).over(Window.partitionBy("row").orderBy("i")).cast("long")
+    beside = split.select("doc_id", "doc_hash", "path", "i", "value", "after", up.alias("end"), F.concat(F.right("gap", F.lit(80)), "form").alias("before"))
     word = lambda c, at: F.lower(F.regexp_extract(c, at, 1))
-    return beside.select("doc_id", "doc_hash", "i", "start", "end", "value", "before",
-                         word(F.col("before"), r"([\p{L}\p{N}_\-]+)[^\p{L}\p{N}_\-]*\z").alias("left_word"),
+    return beside.select("doc_id", "doc_hash", "i", (F.col("end") - F.length("value")).alias("start"), "end", "value", "before",
+                         word(F.col("before"), r"(?<![\p{L}\p{N}_\-])([\p{L}\p{N}_\-]+)[^\p{L}\p{N}_\-]*\z").alias("left_word"),
                          word(F.col("after"), r"\A[^\p{L}\p{N}_\-]*([\p{L}\p{N}_\-]+)").alias("right_word"), "path")
 
 
@@ -140,7 +155,7 @@ def rule_labels(found: DataFrame) -> DataFrame:
     label (null)."""
     v, near = F.col("value"), F.concat_ws(" ", "left_word", F.right("before", F.lit(24)))
     vendor = v.rlike(r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^xox[abprs]-|^sk_live_|^AIza")
-    named = lambda names, end: near.rlike(f"(?i)(?:{names})s?(?:[_\\-][\\w\\-]{{0,20}}|[0-9]{{0,3}})[\"'`\\]]{{0,2}}\\s*(?::=|=>|==|[:=>])\\s*{end}\\z")
+    named = lambda names, end: F.col("before").rlike(rf"{_set(names)}{end}\z")
     mixed = v.rlike("[a-zA-Z]") & v.rlike("[^a-zA-Z\\s]") & ~v.rlike(r"\s")
     assigned = mixed & ((named(_NAME, "[\"'`]?") & v.rlike("[0-9]") & (F.length(v) >= 16)) | named(_NAME, "[\"'`]")
                         | (named("pass(?:word|wd|phrase|code)?|pwd", "") & v.rlike("[0-9]")))
@@ -166,7 +181,7 @@ def secret_scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
     BOOLEAN (score >= 0.5).  If all labels are of one kind, all candidates take that label; with
     none, all are kept as secrets (score 1), so that nothing leaks.  Null or empty texts have no
     candidates; repeated rows give equal, repeated findings; ids may be null; other columns
-    are ignored.
+    are ignored.  The noncharacters U+FDD0 to U+FDD2 count as U+FFFD.
     """
     all_found = stored(candidates(docs, id_col, text_col, path_col), "candidates")
     distinct = all_found.select(*CONTEXT).distinct()
@@ -202,12 +217,13 @@ def secret_scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
 
 def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every secret of ``findings`` replaced by ``mark``; all rows and columns stay."""
-    hits = (findings.where("is_secret").select("doc_hash", "i").distinct().groupBy("doc_hash")
-            .agg(F.collect_set("i").alias("__hits")).withColumnRenamed("doc_hash", "__doc_hash"))     # one document's own
-    keyed = docs.withColumn("__doc_hash", F.xxhash64(id_col, text_col)).join(hits, "__doc_hash", "left")
-    gaps, values = F.split(text_col, VALUE, -1), F.regexp_extract_all(F.col(text_col), F.lit(VALUE), 0)
-    cut = keyed.withColumn("__gap", F.when(F.col("__hits").isNotNull(), gaps)).withColumn("__value", F.when(F.col("__hits").isNotNull(), values))
-    parts = F.transform("__gap", lambda g, i: F.when(i == 0, g).otherwise(F.concat(
-        F.when(F.array_contains("__hits", i.cast("long") - 1), F.lit(mark)).otherwise(F.get("__value", i - 1)), g)))
-    new = F.when(F.col("__hits").isNotNull(), F.array_join(parts, "")).otherwise(F.col(text_col))
-    return cut.withColumn(text_col, new).select(*docs.columns)
+    each = findings.groupBy("doc_hash", "i").agg(F.max("is_secret").alias("on"))
+    hits = (each.groupBy(F.col("doc_hash").alias("hash")).agg(F.array_sort(F.collect_list(F.struct("i", "on"))).alias("hits"))     # one document's own
+            .where(F.exists("hits", lambda x: x["on"])))
+    marked = with_row(docs, hash=F.xxhash64(id_col, text_col), text=F.col(text_col)).join(hits, "hash", "left")
+    cut = marked.select("row", "text", "hits", F.when(F.col("hits").isNotNull(), _pieces(F.col("text"))).alias("pieces"))
+    # every piece but the last ends in the candidate of its number
+    shown = lambda p, i: F.when(F.get("hits", i)["on"], F.concat(
+        F.translate(F.substring_index(p, _MARKS[1], 1), _MARKS, ""), F.lit(mark))).otherwise(F.translate(p, _MARKS, ""))
+    new = F.when(F.col("hits").isNotNull(), F.array_join(F.transform("pieces", shown), "")).otherwise(F.col("text"))
+    return cut.select(F.col("row").withField(f"`{text_col}`", new).alias("row")).select("row.*")
