@@ -11,7 +11,7 @@ from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler, VectorSiz
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineark.llm.common import fold, stored
+from lineark.llm.common import fold, stored, with_row
 
 #: most labelled rows that training reads; the rows with the smallest id hashes
 TRAIN_ROWS = 20_000
@@ -99,13 +99,16 @@ def quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, i
     rows get equal scores.  Other columns are ignored.
     """
     model = train(docs, labels, id_col, text_col, size_col, keep=fold(F.col("id"), folds) != held)
-    columns = dict.fromkeys([id_col, text_col, *([size_col] if size_col else [])])
-    return scored(docs.select(*columns), model, text_col, size_col).select(
-        id_col, F.coalesce(fold(F.col(id_col), folds) == held, F.lit(False)).alias("held_out"),
+    size = F.col(size_col) if size_col else F.lit(None).cast("long")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), size.alias("size"))
+    return scored(rows, model, "text", "size").select(
+        F.col("id").alias(id_col), F.coalesce(fold(F.col("id"), folds) == held, F.lit(False)).alias("held_out"),
         F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
     """The rows of ``docs`` that the classifier, learned from all ``labels``, does not reject (score
     0.5 or more), all columns as they are.  Without a model all rows stay."""
-    return scored(docs, train(docs, labels, id_col, text_col, size_col), text_col, size_col).where("__score >= 0.5").select(*docs.columns)
+    model = train(docs, labels, id_col, text_col, size_col)
+    rows = with_row(docs, text=F.col(text_col), size=F.col(size_col) if size_col else F.lit(None).cast("long"))
+    return scored(rows, model, "text", "size").where("__score >= 0.5").select("row.*")

@@ -155,6 +155,19 @@ def test_secret_stages_on_edges(edge_docs):
     assert Counter(x for x in got if x[0] not in marked) == Counter(x for x in want if x[0] not in marked)
 
 
+def test_quality_stage_on_edges(edge_docs, shipped):
+    extra = edge_docs.selectExpr("*", "'a' as text2", "1 as row", "'b' as __x", "'c' as __score", "'d' as size", "'e' as `dotted.name`")
+    labels = shipped.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, quality int")
+    kept = quality.accepted(extra, labels)
+    assert kept.columns == extra.columns
+    scores = quality.quality(extra, labels)
+    assert scores.columns == ["doc_id", "held_out", "score", "predicted"] and scores.count() == extra.count()
+    same = scores.where("doc_id = 4").collect()          # repeated rows and ties
+    assert len({x.score for x in same}) == 1 and len(same) == 2
+    assert all(0 <= x.score <= 1 and x.predicted == (x.score >= 0.5) for x in scores.collect())
+    assert quality.accepted(extra, labels.where("false")).count() == extra.count()
+
+
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 
 
