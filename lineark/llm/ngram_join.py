@@ -41,8 +41,8 @@ from lineark.llm.common import Cache, as_bytes, discard, map_rows, stored, with_
 PARTS = 8
 #: bits of the map-side filter that keeps only candidates' texts for verification
 FILTER_BITS = 1 << 25
-#: centres per bucket in the first round; each later round takes four times as many
-CENTRES = 1
+#: centres per bucket in the first round; each later round takes ``MORE`` times as many
+CENTRES, MORE = 1, 16
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -332,16 +332,17 @@ def _grouped(docs: DataFrame, width: int, num: int, den: int, id_col: str, text_
             F.greatest("c.cid", "cid").alias("b"), F.when(smaller, F.col("n")).otherwise(F.col("c.n")).alias("nb")).distinct()
         pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs.select("a", "na", "b", "nb"), "pairs")
-        found = stored(_verified(pairs, tokens, num, den), "links")
-        tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
-        links = found if links is None else links.union(found)
-        left_over = [centre]
-        if not found.isEmpty():
+        left_over, found = [centre], None
+        if not pairs.isEmpty():
+            found = stored(_verified(pairs, tokens, num, den), "links")
+            tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
+        if found is not None and not found.isEmpty():
+            links = found if links is None else links.union(found)
             if hasattr(comps, "stored_at"):
                 left_over.append(comps)
             comps = components(links)
         live = live.join(centre.select("sig", F.col("c.cid").alias("cid")), ["sig", "cid"], "left_anti").select("sig", "cid", "n", "pos")
-        centres *= 4
+        centres *= MORE
     discard(live, tokens)
     return sets.join(comps, "cid", "left").select("doc_id", "doc_hash", "n", F.coalesce("comp", "cid").alias("g"))
 
