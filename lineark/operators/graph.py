@@ -118,7 +118,7 @@ def downstream_impact(edges: DataFrame, roots: DataFrame | None = None, src: str
 
 
 def provenance_edges(used: DataFrame, generated: DataFrame) -> DataFrame:
-    """Record links as graph edges ``used -> computation -> generated``."""
+    """Record links as graph edges ``used -> run -> generated``."""
     u = used.select(F.col("ref_id").alias("src"), F.col("job_id").alias("dst"))
     g = generated.select(F.col("job_id").alias("src"), F.col("dataset_id").alias("dst"))
     return u.unionByName(g).distinct()
@@ -199,7 +199,7 @@ def run_provenance(nodes: DataFrame, edges: DataFrame, reports: DataFrame, node_
     appended to its port.  A node used what its edges bring and its own input files; an
     input is looked up among its run's outputs first, then in the location map.
     Each node gets a software ID from the catalogue (minted once per new interface) and
-    a record ID.  Returns ``computations``, ``used``, ``generated``, ``new_software``.
+    a record ID.  Returns ``records``, ``used``, ``generated``, ``new_software``.
     """
     outs = workflow.node_outputs(reports.select("run", "node", "port", "seq", "value"))
     is_file = F.col("file_path") != "Not A File"
@@ -217,8 +217,8 @@ def run_provenance(nodes: DataFrame, edges: DataFrame, reports: DataFrame, node_
     used_ids = workflow.input_id_precedence(inputs, output_ids, location_ids, run="run")
     sw, new_sw = records.lookup_or_insert(nodes.select("run", "node", "interface"), catalogue, "interface", "id")
     comps = sw.select("run", "node", F.col("id").alias("software_id"),
-                      mint_id("Computation", "run", "node").alias("computation_id"))
-    ids = comps.select("run", "node", "computation_id")
-    used = used_ids.join(ids, ["run", "node"]).select("computation_id", "input", "id", "source")
-    generated = gen.join(ids, ["run", "node"]).select("computation_id", "output_name", "file_path", "id")
-    return {"computations": comps, "used": used, "generated": generated, "new_software": new_sw}
+                      mint_id("Job", "run", "node").alias("record_id"))
+    ids = comps.select("run", "node", "record_id")
+    used = used_ids.join(ids, ["run", "node"]).select("record_id", "input", "id", "source")
+    generated = gen.join(ids, ["run", "node"]).select("record_id", "output_name", "file_path", "id")
+    return {"records": comps, "used": used, "generated": generated, "new_software": new_sw}

@@ -1,4 +1,4 @@
-"""Provenance records as tables: computations, minted outputs, catalogue upserts, ID maps.
+"""Provenance records as tables: runs, minted outputs, catalogue upserts, ID maps.
 
 Records are long tables keyed by ID.  Per-record lists (used datasets,
 supports) are built with ``collect_list`` only where one request or one job's
@@ -18,6 +18,7 @@ from lineark.functions.text import to_record_time
 
 # Record vocabulary.
 EVI = "evi:"
+RUN_TYPE = "Computation"
 
 
 def file_id(run, path, ns: str = DEFAULT_NS) -> Column:
@@ -29,7 +30,7 @@ def file_id(run, path, ns: str = DEFAULT_NS) -> Column:
 def used_datasets(items: DataFrame, jobs: DataFrame, job: str = "job_id", pos: str = "pos",
                   dataset: str = "dataset_id", script: str = "script_id",
                   container: str = "container_id", job_type: str = "job_type") -> DataFrame:
-    """What each computation used, one row per reference: ``(job, role, pos, ref_id)``.
+    """What each run used, one row per reference: ``(job, role, pos, ref_id)``.
 
     ``usedDataset`` rows keep request order; ``usedSoftware`` is the script, and
     for custom jobs the container as a second entry."""
@@ -86,8 +87,8 @@ def all_minted(minted: DataFrame, job: str = "job_id") -> DataFrame:
                                    F.count(F.lit(1)).alias("n_outputs"))
 
 
-def upsert_computation(base: DataFrame, updates: DataFrame, key: str = "job_id") -> DataFrame:
-    """Finish computation records: ``status``, ``logs`` and ``end_ts`` come from
+def upsert_record(base: DataFrame, updates: DataFrame, key: str = "job_id") -> DataFrame:
+    """Finish run records: ``status``, ``logs`` and ``end_ts`` come from
     the update; ``supports`` is replaced only when the update lists outputs
     (non-empty), otherwise the old value stays.  Other fields are kept; updates
     for unknown jobs become new rows.  Of several updates of one job the one
@@ -116,8 +117,8 @@ def delete_records(records: DataFrame, ids: DataFrame, key: str = "job_id") -> D
     return records.join(ids.select(key), key, "left_anti")
 
 
-def computation_json(jobs: DataFrame, used: DataFrame, job: str = "job_id") -> DataFrame:
-    """JSON-LD Computation document per job (``@type``, name, startTime,
+def job_json(jobs: DataFrame, used: DataFrame, job: str = "job_id") -> DataFrame:
+    """JSON-LD document per job (``@type``, name, startTime,
     usedDataset, usedSoftware, status)."""
     ds = ordered_list(used.where(F.col("role") == "usedDataset"), job, "pos", "ref_id", "_ds")
     sw = ordered_list(used.where(F.col("role") == "usedSoftware"), job, "pos", "ref_id", "_sw")
@@ -127,8 +128,8 @@ def computation_json(jobs: DataFrame, used: DataFrame, job: str = "job_id") -> D
     software = F.when(F.size("_sw") > 1, F.parse_json(F.to_json(F.transform("_sw", ref)))) \
         .otherwise(F.parse_json(F.to_json(ref(F.col("_sw")[0]))))
     doc = F.struct(
-        F.lit(f"{EVI}Computation").alias("@type"),
-        F.lit("Computation").alias("name"),
+        F.lit(EVI + RUN_TYPE).alias("@type"),
+        F.lit(RUN_TYPE).alias("name"),
         to_record_time(F.col("start_ts")).alias("startTime"),
         F.transform(F.coalesce("_ds", F.array().cast("array<string>")), ref).alias(f"{EVI}usedDataset"),
         software.alias(f"{EVI}usedSoftware"),
@@ -202,7 +203,7 @@ def write_records(df: DataFrame, path: str, partition_by: list[str], mode: str =
 
 def upsert_table(spark, path: str, updates: DataFrame, key: str = "job_id",
                  partition_by: list[str] | None = None) -> DataFrame:
-    """Apply :func:`upsert_computation` to the record table at ``path``.
+    """Apply :func:`upsert_record` to the record table at ``path``.
 
     Only the partitions the updates touch are read (a semi join on the
     partition columns, which partition pruning turns into a directory filter)
@@ -215,7 +216,7 @@ def upsert_table(spark, path: str, updates: DataFrame, key: str = "job_id",
     affected = base.join(touched, parts, "left_semi")
     upd = updates.select(key, *parts, *[c for c in ("status", "logs", "end_ts", "supports") if c in updates.columns])
     known = upd.join(affected.select(key), key, "left_semi").drop(*parts)
-    merged = upsert_computation(affected, known, key)
+    merged = upsert_record(affected, known, key)
     # unknown jobs become new rows, in the partition their update names
     new_rows = upd.join(affected.select(key), key, "left_anti")
     if new_rows.take(1):

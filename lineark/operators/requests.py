@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lineark.operators.records import RUN_TYPE
+
 # Request messages and defaults.
 MSG_NOT_JSON = "Post json with keys datasetID and scriptID"
 MSG_NO_DATASET = "JSON missing required key datasetID"
 MSG_NO_SCRIPT = "JSON missing required key scriptID"
 MSG_NO_CONTAINER = "Missing required input containerID"
-MSG_NO_JOB = "Given ark either does not exist or is not a computation"
+MSG_NO_JOB = f"Given ark either does not exist or is not a {RUN_TYPE.lower()}"
 DEFAULTS = {
     "prefix": "breakfast/",
     "namespace": "99999",
@@ -111,10 +113,10 @@ def failure_stage(df: DataFrame, n_stages: str = "n_stages", job_ready: str = "j
     return df.withColumn("failed_stage", stage).withColumn("message", msg)
 
 
-def job_status(asked: DataFrame, computations: DataFrame, key: str = "job_id",
+def job_status(asked: DataFrame, runs: DataFrame, key: str = "job_id",
                status: str = "status") -> DataFrame:
     """Status of each asked job; unknown job or record without status -> error text."""
     # a record stored twice answers once, with a status if any row has one
-    st = computations.groupBy(key).agg(F.max(status).alias(status))
+    st = runs.groupBy(key).agg(F.max(status).alias(status))
     return (asked.join(st, key, "left")
             .withColumn("error", F.when(F.col(status).isNull(), F.lit(MSG_NO_JOB))))

@@ -1,14 +1,18 @@
 """Time-series features: lag alignment, third-order autocovariance (tc3), first zero of the ACF.
 
 Long form input is ``(key, order..., value)``.  A single series may hold a large
-share of all rows, so no unbounded series is put into one task: positions are
-computed by range partitioning (a hot series spans many partitions) and lagged
-values are brought together by an equi-shuffle on ``(key, position)``.  The same
-route serves series of every length.
+share of all rows, so no unbounded series is put into one task: rows are
+range-partitioned (a hot series spans many partitions).  ``tc3`` carries the values at
+the partitions' borders; where positions are needed, they are computed from the
+partitions' counts and lagged values are brought together by an equi-shuffle on
+``(key, position)``.  The same route serves series of every length.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,10 +23,11 @@ def _cols(x):
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
-def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", hint: str | None = None) -> DataFrame:
     """Join on ``keys`` with NULL-safe equality (a NULL series key is a series too);
-    the key columns appear once, from the left side."""
+    the key columns appear once, from the left side.  ``hint`` is for the right side."""
     r = right.select(*[F.col(c).alias(f"_rk_{c}") if c in keys else F.col(c) for c in right.columns])
+    r = r.hint(hint) if hint else r
     cond = [left[k].eqNullSafe(r[f"_rk_{k}"]) for k in keys]
     return left.join(r, cond, how).drop(*[f"_rk_{k}" for k in keys])
 
@@ -35,10 +40,10 @@ def with_series_index(df: DataFrame, key, order, name: str = "idx",
     Rows are range-partitioned on ``(key, order)``, numbered inside each
     partition, and shifted by the row counts of the same series in earlier
     partitions.  The per-(partition, series) count table has at most
-    ``#series + #partitions`` rows; the join with it is left to Spark, which
-    broadcasts it if its measured size allows and otherwise shuffles on
+    ``#series + #partitions`` rows; it is the build side of a hash join on
     ``(partition, key)``, balanced because a hot series is split over many
-    partitions.
+    partitions.  (Left to itself, Spark may broadcast the rows and keep the
+    partitions of the counts, all of a hot series' in one.)
     """
     keys, ords = _cols(key), _cols(order)
     spark = df.sparkSession
@@ -60,7 +65,7 @@ def with_series_index(df: DataFrame, key, order, name: str = "idx",
         Window.unboundedPreceding, -1)
     chunks = chunks.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))) \
         .select("_pid", *keys, "_first", "_off")
-    out = (_join(ranged, chunks, ["_pid", *keys])
+    out = (_join(ranged, chunks, ["_pid", *keys], hint="shuffle_hash")
            .withColumn(name, F.col("_loc") - F.col("_first") + F.col("_off"))
            .drop("_pid", "_loc", "_first", "_off"))
     return out
@@ -101,21 +106,26 @@ def _triple_slots(indexed: DataFrame, key: list[str], value: str, tau) -> DataFr
 
 
 def lag_triples(df: DataFrame, key, value: str, order, tau: int) -> DataFrame:
-    """Aligned values ``(y_i, y_{i+tau}, y_{i+2tau})`` for every complete triple,
-    with ``i`` (no key may have that name) the position of the first."""
+    """Aligned values ``(y_i, y_{i+tau}, y_{i+2tau})`` for every complete triple (no value
+    NULL), with ``i`` (no key may have that name) the position of the first."""
     keys, ords = _cols(key), _cols(order)
     slots = _triple_slots(with_series_index(df.select(*keys, *ords, value), keys, ords, name="_ix"),
                           keys, value, tau).withColumnRenamed("_i", "i")
-    return slots.where(F.col("y1").isNotNull() & F.col("y2").isNotNull())
+    return slots.where("y0 IS NOT NULL AND y1 IS NOT NULL AND y2 IS NOT NULL")
 
 
 def _tc3_from_slots(slots: DataFrame, key: list[str], digits: int | None) -> DataFrame:
-    full = F.col("y1").isNotNull() & F.col("y2").isNotNull()
+    full = F.col("y0").isNotNull() & F.col("y1").isNotNull() & F.col("y2").isNotNull()
     agg = slots.groupBy(*key).agg(
         F.count(F.when(full, F.lit(1))).alias("n_triples"),
         F.sum(F.when(full, F.col("y0") * F.col("y1") * F.col("y2"))).alias("_s3"),
         F.sum(F.when(full, F.col("y0") * F.col("y1"))).alias("_s2"),
     )
+    return _tc3_from_sums(agg, key, digits)
+
+
+def _tc3_from_sums(agg: DataFrame, key: list[str], digits: int | None) -> DataFrame:
+    """Features from the sums ``(key, n_triples, _s3, _s2)``."""
     n = F.col("n_triples").cast("double")
     num = F.when(F.col("n_triples") > 0, F.col("_s3").cast("double") / n)
     denom = F.when(F.col("n_triples") > 0,
@@ -133,40 +143,164 @@ def _tc3_from_slots(slots: DataFrame, key: list[str], digits: int | None) -> Dat
     return out
 
 
+def _carried(keys: list[str], tau: int):
+    """mapInArrow function over rows sorted by ``(keys, order)``, all of a partition: one row per series and
+    partition with the sums over the triples that lie in it, and, for the first and the last
+    series, which may go on in other partitions, the values at its borders: all of them, or the
+    first and the last ``2 tau``; behind them as many marks, NaN where a value is NULL."""
+    edge = 2 * tau
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        pid = None
+        carry, count, head = None, 0, None       # the last series so far: its last values, their number, its first values
+        open_key, sums, first = None, None, True
+
+        def row(last):
+            nonlocal first
+            border = first or last
+            whole = count <= 2 * edge
+            out = {**{f"_k{i}": [v] for i, v in enumerate(open_key)}, "_pid": [pid], "_n": [int(sums[0])], "_s3": [float(sums[1])], "_s2": [float(sums[2])], "_len": [count],
+                   "_head": [np.concatenate(head).tolist() if border else None],
+                   "_tail": [np.concatenate([x[len(x) - edge:] for x in carry]).tolist() if border and not whole else None]}
+            first = False
+            return out
+
+        def record(rows):
+            cols = {c: sum((r[c] for r in rows), []) for c in rows[0]}
+            types = {**{f"_k{i}": t for i, t in enumerate(key_types)}, "_pid": pa.int64(), "_n": pa.int64(), "_s3": pa.float64(), "_s2": pa.float64(),
+                     "_len": pa.int64(), "_head": pa.list_(pa.float64()), "_tail": pa.list_(pa.float64())}
+            return pa.RecordBatch.from_arrays([pa.array(cols[c], type=t) for c, t in types.items()], list(types))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key_types = [batch.column(k).type for k in keys]
+            pid = batch.column("_pid")[0].as_py()
+            y = batch.column("_y")
+            value, mark = y.to_numpy(zero_copy_only=False).astype(float), np.where(y.is_null().to_numpy(zero_copy_only=False), np.nan, 0.0)
+            changes = np.zeros(batch.num_rows, bool)
+            for k in keys:
+                c = batch.column(k)
+                a, b = c.slice(1), c.slice(0, len(c) - 1)
+                differ = pc.if_else(pc.and_(pc.is_null(a), pc.is_null(b)), False, pc.fill_null(pc.not_equal(a, b), True))
+                changes[1:] |= differ.to_numpy(zero_copy_only=False).astype(bool)
+            starts = np.append(np.flatnonzero(np.concatenate(([True], changes[1:]))), batch.num_rows)
+            rows = []
+            for s, e in zip(starts, starts[1:]):
+                key = tuple(batch.column(k)[int(s)].as_py() for k in keys)
+                if open_key is not None and key != open_key:
+                    rows.append(row(False))
+                    open_key = None
+                if open_key is None:
+                    open_key, sums, count = key, np.zeros(3), 0
+                    carry, head = (np.zeros(0),) * 2, (np.zeros(0),) * 2
+                own = value[s:e], mark[s:e]
+                if len(head[0]) < 2 * edge:
+                    head = tuple(np.concatenate((h, x[:2 * edge - len(h)])) for h, x in zip(head, own))
+                v, m = (np.concatenate((c, x)) for c, x in zip(carry, own))
+                sums = sums + _triple_sums(v, m, len(carry[0]), tau)
+                carry = v[max(0, len(v) - edge):], m[max(0, len(m) - edge):]
+                count += int(e - s)
+            if rows:
+                yield record(rows)
+        if open_key is not None:
+            yield record([row(True)])
+    return run
+
+
+def _triple_sums(v, m, known: int, tau: int):
+    """(count, sum of threes, sum of twos) of the complete triples of ``v`` that end at ``known`` or later; ``m``
+    is NaN where a value is missing."""
+    import numpy as np
+    at = np.arange(max(0, known - 2 * tau), len(v) - 2 * tau)
+    if not len(at):
+        return np.zeros(3)
+    at = at[~np.isnan(m[at] + m[at + tau] + m[at + 2 * tau])]
+    two = v[at] * v[at + tau]
+    return np.array([len(at), (two * v[at + 2 * tau]).sum(), two.sum()])
+
+
+def _across(tau: int):
+    """Pandas UDF: sums over the triples that cross partitions, from a series' borders in the order of partitions."""
+    edge = 2 * tau
+
+    @F.pandas_udf("struct<n: long, s3: double, s2: double>")
+    def sums(borders: pd.Series) -> pd.DataFrame:
+        import numpy as np
+        out = []
+        for parts in borders:
+            total = np.zeros(3)
+            before = np.zeros(0), np.zeros(0)
+            for p in parts:
+                both = [np.array(p[c] if p[c] is not None else [], float) for c in ("head", "tail")]
+                own, gone = [x[:len(x) // 2] for x in both], [x[len(x) // 2:] for x in both]
+                v, m = np.concatenate((before[0], own[0][:edge])), np.concatenate((before[1], gone[0][:edge]))
+                # of these, the triples that begin before this partition and end in it
+                inside = _triple_sums(own[0][:edge], gone[0][:edge], 0, tau)
+                total += _triple_sums(v, m, len(before[0]), tau) - inside
+                v, m = (own[1], gone[1]) if p["tail"] is not None else (np.concatenate((before[0], own[0])), np.concatenate((before[1], gone[0])))
+                before = v[max(0, len(v) - edge):], m[max(0, len(m) - edge):]
+            out.append(total)
+        n, s3, s2 = zip(*out) if out else ((), (), ())
+        return pd.DataFrame({"n": np.array(n, np.int64), "s3": np.array(s3, float), "s2": np.array(s2, float)})
+    return sums
+
+
 def tc3(df: DataFrame, key, value: str, order, tau: int,
         digits: int | None = None) -> DataFrame:
     """Normalised third-order autocovariance at lag ``tau``, one row per series.
 
     ``num = mean(y_i y_{i+tau} y_{i+2tau})``, ``denom = |mean(y_i y_{i+tau})|^1.5``,
-    ``raw = num / denom``, plus ``abs`` and ``absnum``.  Series with no complete
-    triple (N <= 2 tau) give NULL features.  A DECIMAL value column is summed
-    exactly before the final division.  ``digits`` rounds raw/abs to that many
-    decimals and the large-magnitude num/absnum/denom to ``digits - 4``.
+    ``raw = num / denom``, plus ``abs`` and ``absnum``, over the triples of which no value is
+    NULL.  Series with no such triple (N <= 2 tau) give NULL features.  Values are
+    taken as DOUBLE.  ``digits`` rounds raw/abs to that many decimals and the
+    large-magnitude num/absnum/denom to ``digits - 4``.
+
+    Rows are range-partitioned on ``(key, order)``, so a hot series spans many partitions, and
+    read once as sorted streams.  Each partition hands on one row per series, with the values at
+    its borders where the series may go on; these few rows are all that is shuffled again.
     """
     keys, ords = _cols(key), _cols(order)
-    slots = _triple_slots(with_series_index(df.select(*keys, *ords, value), keys, ords, name="_ix"),
-                          keys, value, tau)
-    return _tc3_from_slots(slots, keys, digits)
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*(F.col(k).alias(a) for k, a in zip(keys, names)), *(F.col(o).alias(f"_o{i}") for i, o in enumerate(ords)), F.col(value).cast("double").alias("_y"))
+    by = [*names, *(f"_o{i}" for i in range(len(ords)))]
+    sorted_rows = rows.repartitionByRange(n, *by).sortWithinPartitions(*by).select(*names, F.spark_partition_id().cast("long").alias("_pid"), "_y")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema)
+    parts = sorted_rows.mapInArrow(_carried(names, tau), (kinds + ", " if kinds else "") + "_pid long, _n long, _s3 double, _s2 double, _len long, _head array<double>, _tail array<double>")
+    border = F.when(F.col("_head").isNotNull(), F.struct("_pid", F.col("_head").alias("head"), F.col("_tail").alias("tail")))
+    # a series has one row in each partition that it spans, and only then borders
+    sums = parts.groupBy(*names).agg(F.sum("_n").alias("_n"), F.sum("_s3").alias("_s3"), F.sum("_s2").alias("_s2"), F.array_sort(F.collect_list(border)).alias("_b"))
+    crossed = sums.withColumn("_x", _across(tau)("_b"))
+    total = crossed.select(*(F.col(a).alias(k) for k, a in zip(keys, names)), (F.col("_n") + F.col("_x.n")).alias("n_triples"),
+                           (F.col("_s3") + F.col("_x.s3")).alias("_s3"), (F.col("_s2") + F.col("_x.s2")).alias("_s2"))
+    return _tc3_from_sums(total, keys, digits)
 
 
 def tc3_array(df: DataFrame, id_col: str, arr_col: str, tau: int,
               digits: int | None = None) -> DataFrame:
-    """tc3 per row of an array column: one series per row, no shuffle at all.
+    """tc3 per row of an array column: one series per row, no shuffle at all; triples
+    with a NULL do not count.
     Higher-order functions sum the triples in place; ``digits`` rounds every
     output to that many decimals."""
     y = f"transform({arr_col}, x -> CAST(x AS DOUBLE))"
     m = f"(size({arr_col}) - {2 * tau})"
     seq = f"sequence(0, {m} - 1)"
-    s3 = f"aggregate({seq}, CAST(0 AS DOUBLE), (a, i) -> a + _y[i] * _y[i + {tau}] * _y[i + {2 * tau}])"
-    s2 = f"aggregate({seq}, CAST(0 AS DOUBLE), (a, i) -> a + _y[i] * _y[i + {tau}])"
+    three = f"_y[i] * _y[i + {tau}] * _y[i + {2 * tau}]"         # NULL unless the triple is complete
+    full = f"size(filter({seq}, i -> {three} IS NOT NULL))"
+    s3 = f"aggregate({seq}, CAST(0 AS DOUBLE), (a, i) -> a + coalesce({three}, 0))"
+    s2 = f"aggregate({seq}, CAST(0 AS DOUBLE), (a, i) -> a + if({three} IS NULL, 0, _y[i] * _y[i + {tau}]))"
     base = df.select(id_col, F.expr(y).alias("_y"), F.expr(m).alias("_m"))
     sums = base.select(
         id_col,
-        F.greatest(F.col("_m"), F.lit(0)).alias("n_triples"),
+        F.when(F.col("_m") > 0, F.expr(full.replace(m, "_m"))).otherwise(0).alias("n_triples"),
         F.when(F.col("_m") > 0, F.expr(s3.replace(m, "_m"))).alias("_s3"),
         F.when(F.col("_m") > 0, F.expr(s2.replace(m, "_m"))).alias("_s2"),
     )
-    n = F.col("n_triples").cast("double")
+    n = F.when(F.col("n_triples") > 0, F.col("n_triples").cast("double"))
     out = sums.select(id_col, "n_triples", (F.col("_s3") / n).alias("num"),
                       F.pow(F.abs(F.col("_s2") / n), F.lit(1.5)).alias("denom"))
     out = out.select(id_col, "n_triples", F.try_divide("num", "denom").alias("raw"),
@@ -184,8 +318,9 @@ def first_zero_lag(df: DataFrame, key, value: str, order, max_lag: int = 16) ->
 
     Lags are tried in blocks (1..L, L+1..2L, ...) and only series without an
     answer go on to the next block, so the result is exact for every series;
-    a series with no such lag below N gets N.  The sign test uses
-    ``sum((n*y_i - S)(n*y_j - S))``, which is exact for DECIMAL input.
+    a series with no such lag below N (its number of rows) gets N.  The sign test uses
+    ``sum((n*y_i - S)(n*y_j - S))``, which is exact for DECIMAL input; ``n`` and ``S`` are of the values
+    that are not NULL, and pairs with a NULL count nothing.
     """
     keys, ords = _cols(key), _cols(order)
     base = with_series_index(df.select(*keys, *ords, value), keys, ords, name="_ix")
@@ -193,9 +328,9 @@ def first_zero_lag(df: DataFrame, key, value: str, order, max_lag: int = 16) ->
 
 
 def _first_zero(base: DataFrame, keys: list[str], value: str, max_lag: int) -> DataFrame:
-    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("_S"))
+    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("_v"), F.sum(value).alias("_S"))
     centred = (_join(base, stats, keys)
-               .select(*keys, "_ix", "n", (F.col("n") * F.col(value) - F.col("_S")).alias("d")))
+               .select(*keys, "_ix", "n", (F.col("_v") * F.col(value) - F.col("_S")).alias("d")))
     found = []
     pending = stats.select(*keys, "n")
     lo = 1

@@ -28,7 +28,7 @@ UNION ALL
 SELECT c.job_id, 'usedSoftware', CAST(2 AS BIGINT), c.container_id
 FROM f_job_containers c JOIN f_jobs j ON j.job_id = c.job_id WHERE j.job_type = 'custom'"""))
 def q_used_datasets(spark, sf_dir):
-    """What every computation used: datasets in request order, then script (and container)."""
+    """What every run used: datasets in request order, then script (and container)."""
     jobs = (fixture(spark, sf_dir, "f_jobs").select("job_id", "job_type")
             .join(fixture(spark, sf_dir, "f_scripts").select("job_id", "script_id"), "job_id")
             .join(fixture(spark, sf_dir, "f_job_containers"), "job_id"))
@@ -76,7 +76,7 @@ def _finished(spark, sf_dir):
             .join(sup, "job_id", "left"))
 
 
-@query("upsert_computation", oracle=with_views(["f_jobs", "f_logs", "f_outputs"], _OUT_SQL + f""",
+@query("upsert_record", oracle=with_views(["f_jobs", "f_logs", "f_outputs"], _OUT_SQL + f""",
 sup AS (SELECT job_id, string_agg({_mint_sql('Dataset', 'job_id', 'path')}, ',' ORDER BY path) AS s,
                COUNT(*) AS n FROM o GROUP BY job_id),
 u AS (SELECT j.job_id, l.status,
@@ -87,13 +87,13 @@ u AS (SELECT j.job_id, l.status,
 SELECT j.job_id, j.job_type, j.start_ts, coalesce(u.status, j.phase) AS status, u.logs, u.end_ts,
        CAST(coalesce(u.n, 0) AS INTEGER) AS n_supports, coalesce(u.s, '') AS supports
 FROM f_jobs j LEFT JOIN u ON u.job_id = j.job_id"""))
-def q_upsert_computation(spark, sf_dir):
-    """Computation records finished with status, logs, end time and what they support."""
+def q_upsert_record(spark, sf_dir):
+    """Run records finished with status, logs, end time and what they support."""
     base = fixture(spark, sf_dir, "f_jobs").select(
         "job_id", "job_type", "start_ts", F.col("phase").alias("status"),
         F.lit(None).cast("string").alias("logs"), F.lit(None).cast("timestamp_ntz").alias("end_ts"),
         F.array().cast("array<string>").alias("supports"))
-    merged = records.upsert_computation(base, _finished(spark, sf_dir))
+    merged = records.upsert_record(base, _finished(spark, sf_dir))
     return merged.select("job_id", "job_type", "start_ts", "status", "logs", "end_ts",
                          F.size("supports").alias("n_supports"),
                          F.array_join("supports", ",").alias("supports"))
@@ -111,7 +111,7 @@ def q_delete_records(spark, sf_dir):
 @query("record_json", oracle=with_views(["f_jobs", "f_used", "f_scripts", "f_job_containers"], """,
 ds AS (SELECT job_id, to_json(list(json_object('@id', dataset_id) ORDER BY pos)) AS l FROM f_used GROUP BY job_id)
 SELECT j.job_id, CAST(json_object(
-  '@type', 'evi:Computation', 'name', 'Computation',
+  '@type', 'evi:""" + records.RUN_TYPE + """', 'name', '""" + records.RUN_TYPE + """',
   'startTime', strftime(j.start_ts, '%A, %B %d, %Y %I:%M:%S'),
   'evi:usedDataset', coalesce(ds.l, CAST('[]' AS JSON)),
   'evi:usedSoftware', CASE WHEN j.job_type = 'custom'
@@ -121,12 +121,12 @@ SELECT j.job_id, CAST(json_object(
 FROM f_jobs j JOIN f_scripts s ON s.job_id = j.job_id JOIN f_job_containers c ON c.job_id = j.job_id
 LEFT JOIN ds ON ds.job_id = j.job_id"""))
 def q_record_json(spark, sf_dir):
-    """JSON-LD Computation document of every job."""
+    """JSON-LD document of every job."""
     jobs = (fixture(spark, sf_dir, "f_jobs").select("job_id", "job_type", "start_ts", F.col("phase").alias("status"))
             .join(fixture(spark, sf_dir, "f_scripts").select("job_id", "script_id"), "job_id")
             .join(fixture(spark, sf_dir, "f_job_containers"), "job_id"))
     used = records.used_datasets(_items(spark, sf_dir), jobs)
-    return records.computation_json(jobs.select("job_id", "start_ts", "status"), used)
+    return records.job_json(jobs.select("job_id", "start_ts", "status"), used)
 
 
 @query("lookup_or_insert", oracle=with_views(["f_interfaces", "f_catalogue"], f"""

@@ -99,7 +99,7 @@ def q_failure_stage(spark, sf_dir):
 
 @query("job_status", oracle=with_views(["f_asked", "f_logs"], """
 SELECT a.job_id, l.status,
-  CASE WHEN l.status IS NULL THEN 'Given ark either does not exist or is not a computation' END AS error
+  CASE WHEN l.status IS NULL THEN '""" + requests.MSG_NO_JOB + """' END AS error
 FROM f_asked a LEFT JOIN f_logs l ON l.job_id = a.job_id"""))
 def q_job_status(spark, sf_dir):
     """Status of each asked job, or the error for unknown ones."""

@@ -86,12 +86,12 @@ def q_ark_compose(spark, sf_dir):
 
 
 @query("mint_id", oracle=with_views(["f_jobs"], """
-SELECT job_id, 'ark:99999/' || substr(sha256('Computation|' || job_id || '|' || job_type), 1, 32) AS minted
+SELECT job_id, 'ark:99999/' || substr(sha256('Job|' || job_id || '|' || job_type), 1, 32) AS minted
 FROM f_jobs"""))
 def q_mint_id(spark, sf_dir):
     """A deterministic new ID per job record (same input, same ID on every retry)."""
     return fixture(spark, sf_dir, "f_jobs").select(
-        "job_id", ids.mint_id("Computation", "job_id", "job_type").alias("minted"))
+        "job_id", ids.mint_id("Job", "job_id", "job_type").alias("minted"))
 
 
 @query("job_names", oracle=with_views(["f_jobs"], f"""

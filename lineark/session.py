@@ -62,8 +62,7 @@ def shared_dir(spark: SparkSession) -> str:
             return current
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="lineark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = tempfile.mkdtemp(prefix="lineark-ckpt-")     # the context remembers it, see above
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path

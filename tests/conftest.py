@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -17,8 +16,6 @@ def spark():
                .config("spark.sql.session.timeZone", "UTC"))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lineark-test-"))
     from lineark.session import shared_dir
     shared_dir(s)
     yield s

@@ -19,12 +19,12 @@ def _provenance(spark):
 
 def test_inputs_known_paths_and_runs(spark):
     out = _provenance(spark)
-    of = {(r.run, r.node): r.computation_id for r in out["computations"].collect()}
+    of = {(r.run, r.node): r.record_id for r in out["records"].collect()}
     assert len(set(of.values())) == 4
-    made = {(r.computation_id, r.file_path): r.id for r in out["generated"].collect()}
+    made = {(r.record_id, r.file_path): r.id for r in out["generated"].collect()}
     assert made[of["r1", "a"], "/w/known"] == "ark:1/k"
     assert made[of["r1", "a"], "/w/new0"] != made[of["r2", "a"], "/w/new0"]
-    used = {(r.computation_id, r.id, r.source) for r in out["used"].collect()}
+    used = {(r.record_id, r.id, r.source) for r in out["used"].collect()}
     assert used == {
         (of["r1", "a"], "ark:1/x", "location"), (of["r2", "b"], "ark:1/x", "location"),
         # in r1 the known path replaces /w/new0, and /w/new2 is appended; r2 has no known path

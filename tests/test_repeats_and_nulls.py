@@ -33,7 +33,7 @@ def test_repeated_jobs_and_records(spark):
 def test_newest_of_several_updates(spark):
     kind = "job_id string, status string, logs string, end_ts int, supports array<string>"
     base = spark.createDataFrame([("x", "Running", None, None, None)], kind)
-    got = records.upsert_computation(base, spark.createDataFrame([("x", "Failed", "l", 1, ["a"]), ("x", "Succeeded", "m", 2, ["b"])], kind)).collect()
+    got = records.upsert_record(base, spark.createDataFrame([("x", "Failed", "l", 1, ["a"]), ("x", "Succeeded", "m", 2, ["b"])], kind)).collect()
     assert [(r.status, r.logs, r.supports) for r in got] == [("Succeeded", "m", ["b"])]
 
 

@@ -161,7 +161,7 @@ def test_upsert_keeps_supports_without_outputs(spark):
     upd = spark.createDataFrame([("j1", "Succeeded", "ok", ["new"]), ("j2", "Failed", "", []), ("j3", "Succeeded", "", ["x"])],
                                 "job_id string, status string, logs string, supports array<string>") \
         .withColumn("end_ts", F.lit(None).cast("timestamp_ntz"))
-    out = {r.job_id: r for r in records.upsert_computation(base, upd).collect()}
+    out = {r.job_id: r for r in records.upsert_record(base, upd).collect()}
     assert out["j1"].supports == ["new"] and out["j1"].status == "Succeeded"
     assert out["j2"].supports == ["keep"] and out["j2"].status == "Failed"
     assert out["j3"].supports == ["x"]

@@ -1,5 +1,7 @@
 """tc3, lag alignment, the skew-safe index and the first zero of the ACF against numpy."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -158,3 +160,61 @@ def test_hot_series_spreads_over_partitions(spark):
         spark.conf.set(key, old)
     assert sum(sizes) == 9000 and max(sizes) < 9000 / 2
     assert tuple(hot) == (0, 8999, 9000)
+
+
+def triples_by_hand(y, tau):
+    """(n, num) over complete triples."""
+    t = [(a, b, c) for a, b, c in zip(y, y[tau:], y[2 * tau:]) if None not in (a, b, c)]
+    return len(t), (sum(a * b * c for a, b, c in t) / len(t) if t else None)
+
+
+def test_nulls_count_alike_in_all_forms(spark):
+    cases = {"a": [None, 1.0, 2.0, None, 4.0, 5.0, 6.0, 7.0], "b": [1.0, None, 3.0], "c": [None] * 6, "d": [2.0] * 2, "e": [1.0, 2.0, 3.0, 4.0, None]}
+    rows = [(k, i, v) for k, y in cases.items() for i, v in enumerate(y)]
+    df = spark.createDataFrame(rows, "sid string, ts long, y double")
+    arrays = spark.createDataFrame(list(cases.items()), "sid string, e array<double>")
+    long = {r.sid: (r.n_triples, r.num) for r in series.tc3(df, "sid", "y", ["ts"], 1).collect()}
+    flat = {r.sid: (r.n_triples, r.num) for r in series.tc3_array(arrays, "sid", "e", 1).collect()}
+    want = {k: triples_by_hand(y, 1) for k, y in cases.items()}
+    assert long == flat == want
+    lags = series.lag_triples(df, "sid", "y", ["ts"], 1).groupBy("sid").count().collect()
+    assert {r.sid: r["count"] for r in lags} == {k: n for k, (n, _) in want.items() if n}
+    # first zero: centred on the values that are there
+    gap = [None if i % 7 == 3 else math.sin(i / 3.0) + 5 for i in range(60)]
+    fz = spark.createDataFrame([("g", i, v) for i, v in enumerate(gap)], "sid string, ts long, y double")
+    there = [v for v in gap if v is not None]
+    d = [None if v is None else v - sum(there) / len(there) for v in gap]
+    first = next(k for k in range(1, 60) if sum(a * b for a, b in zip(d, d[k:]) if a is not None and b is not None) <= 0)
+    assert series.first_zero_lag(fz, "sid", "y", ["ts"], max_lag=4).first().tau == first
+
+
+@pytest.mark.parametrize("tau,parts", [(1, 1), (1, 40), (3, 7), (5, 64), (20, 16)])
+def test_tc3_carries_over_partition_borders(spark, tau, parts):
+    r = np.random.RandomState(tau + parts)
+    cases = {"hot": 900, "x": 41, "y": 2 * tau, "z": 2 * tau + 1, None: 33, **{f"s{i}": int(r.randint(1, 9)) for i in range(30)}}
+    rows = []
+    for k, n in cases.items():
+        rows += [(k, i, None if r.rand() < 0.1 else float(r.randint(-9, 9))) for i in range(n)]
+    df = spark.createDataFrame(rows, "sid string, ts long, y double").repartition(5)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {x.sid: (x.n_triples, x.num) for x in series.tc3(df, "sid", "y", ["ts"], tau).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for k in cases:
+        n, num = triples_by_hand([v for s, _, v in rows if s == k], tau)
+        assert got[k][0] == n and (got[k][1] == num if num is None else got[k][1] == pytest.approx(num, abs=1e-9)), k
+    assert len(got) == len(cases)
+
+
+def test_tc3_shuffles_rows_once(spark):
+    df = spark.range(100).selectExpr("id % 3 as sid", "id as ts", "cast(id as double) as y")
+    plan = series.tc3(df, "sid", "y", ["ts"], 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 1 and "Generate" not in plan and "Join" not in plan
+
+
+def test_offsets_are_the_build_side(spark):
+    df = spark.range(100).selectExpr("id % 3 as sid", "id as ts")
+    plan = series.with_series_index(df, "sid", ["ts"])._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BuildRight" in plan and "BroadcastHashJoin" not in plan
