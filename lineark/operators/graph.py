@@ -69,15 +69,16 @@ def ordered_index(levels: DataFrame, node: str = "node", level: str = "level") -
 
 
 def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src", dst: str = "dst",
-            reverse: bool = False) -> DataFrame:
+            reverse: bool = False, cut_every: int = 4) -> DataFrame:
     """Everything reachable from each root, with the BFS distance: ``(root, node, dist)``.
 
     ``reverse=False`` follows ``src -> dst``; ``reverse=True`` follows edges
-    backwards.  All roots run together (default: every node).  Each round
-    extends only the newest frontier and cuts it against every pair seen so
-    far, so a pair is reached once, by its shortest path, and the loop ends on
-    cyclic graphs too.  A node in many roots' frontiers is a hot join key; AQE
-    splits such partitions.
+    backwards.  All roots run together (default: every node; with few roots the
+    work is in proportion to what they reach).  Each round extends only the newest
+    frontier; every ``cut_every`` rounds it is cut against every pair seen so far, so
+    the loop ends on cyclic graphs too, and pairs met again in between are brought
+    down to their shortest distance at the end.  A node in many roots' frontiers is a
+    hot join key; AQE splits such partitions.
     """
     a, b = (dst, src) if reverse else (src, dst)
     adj = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct().checkpoint()
@@ -90,7 +91,9 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",
     for d in count(1):
         step = (frontier.join(adj, "node").select("root", F.col("next").alias("node"))
                 .where(F.col("root") != F.col("node")).distinct())
-        step = step.join(seen, ["root", "node"], "left_anti").checkpoint()
+        if d % cut_every == 0:
+            step = step.join(seen, ["root", "node"], "left_anti")
+        step = step.checkpoint()
         if not step.take(1):
             break
         layers.append(step.withColumn("dist", F.lit(d).cast("bigint")))
@@ -101,7 +104,44 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",
     out = layers[0]
     for layer in layers[1:]:
         out = out.unionByName(layer)
-    return out
+    return out if cut_every == 1 else out.groupBy("root", "node").agg(F.min("dist").alias("dist"))
+
+
+def distances(edges: DataFrame, pairs: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Shortest distance along ``src -> dst`` for each asked pair: ``pairs(root, node)`` with ``dist``, NULL where
+    there is no path, 0 for a node itself.
+
+    A search from both ends: every round goes one step on from the roots or back from the
+    nodes of the pairs that are open, on the side whose newest frontier is smaller.  A pair is
+    answered when a node that both ends have reached lies on a path no longer than the steps
+    made, so neither end walks the whole graph."""
+    e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).distinct().checkpoint()
+    asked = pairs.select("root", "node").distinct().checkpoint()
+    open_ = asked.where("root <> node")
+    answers = asked.where("root = node").withColumn("dist", F.lit(0).cast("bigint"))
+    sides = {}
+    for side, col, (here, there) in (("root", "root", ("a", "b")), ("node", "node", ("b", "a"))):
+        start = open_.select(F.col(col).alias("id")).distinct().select("id", F.col("id").alias("at"), F.lit(0).cast("bigint").alias("far")).checkpoint()
+        sides[side] = {"seen": start, "new": start, "n": start.count(), "steps": 0, "by": e.select(F.col(here).alias("at"), F.col(there).alias("to"))}
+    while sides["root"]["n"] and sides["node"]["n"]:
+        s = min(sides.values(), key=lambda x: x["n"])
+        s["steps"] += 1
+        step = s["new"].join(s["by"], "at").select("id", F.col("to").alias("at")).distinct().join(s["seen"], ["id", "at"], "left_anti")
+        s["new"] = step.withColumn("far", F.lit(s["steps"]).cast("bigint")).checkpoint()
+        s["seen"] = s["seen"].unionByName(s["new"])
+        s["n"] = s["new"].count()
+        left, right = (sides[c]["seen"].select(F.col("id").alias(c), "at", F.col("far").alias(f"far_{c}")) for c in ("root", "node"))
+        met = open_.join(left, "root").join(right, ["node", "at"]).groupBy("root", "node").agg(F.min(F.col("far_root") + F.col("far_node")).alias("dist"))
+        found = met.where(F.col("dist") <= sides["root"]["steps"] + sides["node"]["steps"]).checkpoint()
+        if found.take(1):
+            answers = answers.unionByName(found.select("root", "node", "dist"))
+            open_ = open_.join(found, ["root", "node"], "left_anti").checkpoint()
+            for c in ("root", "node"):      # ends of answered pairs rest
+                live = open_.select(F.col(c).alias("id")).distinct()
+                sides[c]["new"] = sides[c]["new"].join(live, "id", "left_semi").checkpoint()
+                sides[c]["seen"] = sides[c]["seen"].join(live, "id", "left_semi")
+                sides[c]["n"] = sides[c]["new"].count()
+    return asked.join(answers, ["root", "node"], "left").select("root", "node", "dist")
 
 
 def evidence_graph(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",

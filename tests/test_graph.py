@@ -77,3 +77,24 @@ def test_ordered_index_display_names(spark):
     out = graph.ordered_index(graph.topo_levels(df)).orderBy("index").collect()
     assert [r["index"] for r in out] == list(range(12))
     assert out[3].display_name == "03_3"
+
+
+def test_distances_and_closure_on_random_graphs_with_cycles(spark):
+    import random
+    r = random.Random(4)
+    for n, m in ((12, 20), (30, 36), (25, 25)):
+        edges = sorted({(r.randrange(n), r.randrange(n)) for _ in range(m)}) + [(100, 101)]
+        out = {}
+        for s in {x for e in edges for x in e}:
+            far, front = {s: 0}, [s]
+            while front:
+                front = [b for a in front for x, b in edges if x == a and b not in far and not far.update({b: far[a] + 1})]
+            out[s] = far
+        df = spark.createDataFrame(edges, "src long, dst long")
+        pairs = [(a, b) for a in list(out)[:6] for b in list(out)[::3]] + [(100, 101), (101, 100), (7, 7), (-1, 3)]
+        got = {(x.root, x.node): x.dist for x in graph.distances(df, spark.createDataFrame(pairs + pairs[:2], "root long, node long")).collect()}
+        assert got == {(a, b): out.get(a, {}).get(b) for a, b in pairs} | {(7, 7): 0}
+        roots = spark.createDataFrame([(a,) for a in list(out)[:5]], "root long")
+        for every in (1, 3):
+            got = {(x.root, x.node): x.dist for x in graph.closure(df, roots, cut_every=every).collect()}
+            assert got == {(a, b): d for a in list(out)[:5] for b, d in out[a].items() if d}
