@@ -136,11 +136,16 @@ def parse_port_report(df: DataFrame, key: str, text_col: str, objects: DataFrame
 
 
 def fill_template(template, params) -> Column:
-    """Replace every ``{name}`` in ``template`` with ``params[name]`` (a map column)."""
+    """Replace every ``{name}`` in ``template`` with ``params[name]`` (a map column), in one pass:
+    a value that itself holds ``{other}`` stays as it is, and so does a name without a value."""
     t = F.col(template) if isinstance(template, str) else template
     p = F.col(params) if isinstance(params, str) else params
-    return F.aggregate(F.map_entries(p), t, lambda acc, e: F.replace(
-        acc, F.concat(F.lit("{"), e["key"], F.lit("}")), e["value"]))
+
+    def filled(piece, i):
+        value = F.element_at(p, F.substring_index(piece, "}", 1))
+        rest = F.substring(piece, F.instr(piece, "}") + 1, F.length(piece))
+        return F.when(i == 0, piece).when((F.instr(piece, "}") > 0) & value.isNotNull(), F.concat(value, rest)).otherwise(F.concat(F.lit("{"), piece))
+    return F.when(t.isNotNull() & p.isNotNull(), F.array_join(F.transform(F.split(t, r"\{"), filled), ""))
 
 
 def select_files(df: DataFrame, template: str, params: str, objects: DataFrame,
@@ -183,23 +188,23 @@ def param_sweep(values: DataFrame, node: str = "node", param: str = "param",
     per_param = values.groupBy(node, param).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(pos, value))), lambda s: s[value]).alias("_vals"))
     per_node = per_param.groupBy(node).agg(F.array_sort(F.collect_list(F.struct(param, "_vals"))).alias("_ps"))
-    # stride of parameter j = product of the value counts of the parameters after it
-    sizes = F.transform("_ps", lambda s: F.size(s["_vals"]))
-    total = F.aggregate(sizes, F.lit(1), lambda a, x: a * x)
-    with_total = per_node.select(node, "_ps", total.alias("_n"))
-    combos = with_total.select(node, "_ps", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_c"))
-    strides = F.transform("_ps", lambda s, j: F.aggregate(
-        F.slice(F.transform("_ps", lambda t: F.size(t["_vals"])), j + 2, 1 << 20), F.lit(1),
-        lambda a, x: a * x))
-    picked = combos.select(node, "_c", F.arrays_zip(F.col("_ps").alias("p"), strides.alias("st")).alias("_z"))
-    rows = picked.select(node, "_c", F.explode("_z").alias("_e")).select(
-        node, "_c", F.col("_e.p").getField(param).alias(param),
-        F.element_at(F.col("_e.p._vals"),
-                     (F.floor(F.col("_c") / F.col("_e.st")) % F.size(F.col("_e.p._vals"))).cast("int") + 1)
-        .alias(value))
-    name = rows.groupBy(node, "_c").agg(F.concat_ws(",", F.array_sort(F.collect_list(
-        F.concat(F.col(param), F.lit("="), F.col(value))))).alias("instance"))
-    return rows.join(name, [node, "_c"]).select(node, "instance", param, value)
+    # combination c of a node takes value c / stride_j % size_j of parameter j; the stride is the
+    # product of the value counts of the parameters after it
+    sizes = F.transform("_ps", lambda s: F.size(s["_vals"]).cast("long"))
+    product = lambda x: F.aggregate(x, F.lit(1).cast("long"), lambda a, n: a * n)
+    sized = per_node.select(node, "_ps", sizes.alias("_sizes")).withColumn("_n", product("_sizes"))
+    strides = F.transform("_sizes", lambda _, j: product(F.slice("_sizes", j + 2, F.greatest(F.size("_sizes") - j - 1, F.lit(0)))))
+    # blocks of about sqrt(n) combinations, dealt out before they are expanded: no row holds all of them
+    block = F.greatest(F.ceil(F.sqrt("_n")), F.lit(1024)).cast("long")
+    blocks = sized.select(node, "_ps", "_sizes", "_n", strides.alias("_st"), block.alias("_w"))
+    blocks = blocks.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / F.col("_w")))).alias("_b"))
+    blocks = blocks.repartition(F.xxhash64(node, "_b"))
+    combos = blocks.select(node, "_ps", "_sizes", "_st", F.explode(F.sequence(
+        F.col("_b") * F.col("_w"), F.least(F.col("_n"), (F.col("_b") + 1) * F.col("_w")) - 1)).alias("_c"))
+    picked = combos.select(node, F.transform("_ps", lambda s, j: F.struct(
+        s[param].alias(param), F.get(s["_vals"], (F.call_function("div", F.col("_c"), F.get("_st", j)) % F.get("_sizes", j)).cast("int")).alias(value))).alias("_e"))
+    name = F.concat_ws(",", F.array_sort(F.transform("_e", lambda e: F.concat(e[param], F.lit("="), e[value]))))
+    return picked.select(node, name.alias("instance"), F.explode("_e").alias("_e")).select(node, "instance", f"_e.{param}", f"_e.{value}")
 
 
 # Functions an edge may apply to an upstream value before it reaches a port.

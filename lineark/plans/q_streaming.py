@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lineark.operators import records
 from lineark.plans.fixtures import fixture, with_views
 from lineark.plans.q_records import STORE
 from lineark.plans.registry import query
@@ -67,3 +68,32 @@ def q_finalise_batch(spark, sf_dir):
     completion.run_finalise(spark, src, schema, outputs, table_dir, ckpt, id_prefix="ark:99999/job-", **STORE)
     out = spark.read.parquet(table_dir).drop("batch")
     return out.withColumn("end_ts", F.col("end_ts").cast("timestamp_ntz"))
+
+
+@query("finalise_records", oracle=with_views(["f_status", "f_outputs", "f_jobs"], """,
+first AS (SELECT 'ark:99999/job-' || CAST(job_id AS VARCHAR) AS job_id, ts, phase FROM (
+  SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ts, event_id) AS rn
+  FROM f_status WHERE phase IN ('Succeeded', 'Failed')) t WHERE rn = 1),
+o AS (SELECT 'ark:99999/' || split_part(path, '/', 2) AS job_id, path FROM f_outputs),
+sup AS (SELECT job_id, string_agg('ark:99999/' || substr(sha256('Dataset|' || job_id || '|' || path), 1, 32), ',' ORDER BY path) AS s
+        FROM o GROUP BY job_id)
+SELECT coalesce(j.job_id, f.job_id) AS job_id, coalesce(j.job_type, 'unknown') AS job_type, coalesce(f.phase, j.phase) AS status,
+       CASE WHEN f.phase = 'Failed' THEN 'Command Unrecognized.' WHEN f.phase IS NOT NULL THEN '' END AS logs, f.ts AS end_ts,
+       CASE WHEN f.job_id IS NOT NULL THEN sup.s END AS supports
+FROM f_jobs j FULL JOIN first f ON f.job_id = j.job_id LEFT JOIN sup ON sup.job_id = f.job_id"""))
+def q_finalise_records(spark, sf_dir):
+    """The stored job records after two stream runs: outputs listed, minted, and the records updated in place."""
+    first, second, schema = _feed(spark, sf_dir)
+    src, table_dir, ckpt, ledger = (scratch_path(spark, x) for x in ("status", "records", "ckpt", "ledger"))
+    base = fixture(spark, sf_dir, "f_jobs").select("job_id", "job_type", F.col("phase").alias("status"), F.lit(None).cast("string").alias("logs"),
+                                                   F.lit(None).cast("timestamp_ntz").alias("end_ts"), F.lit(None).cast("array<string>").alias("supports"))
+    records.write_records(base, table_dir, ["job_type"])
+    spark.createDataFrame([], completion.LEDGER).write.json(ledger)
+    listing = lambda s: fixture(s, sf_dir, "f_outputs").select(
+        F.concat(F.lit("ark:99999/"), F.split_part("path", F.lit("/"), F.lit(2))).alias("job_id"), "path")
+    write = completion.record_writer(listing, table_dir, ledger, id_prefix="ark:99999/job-", **STORE)
+    for part in (first, second):
+        part.write.mode("append").parquet(src)
+        completion.run_records(spark, src, schema, ckpt, write)
+    out = spark.read.parquet(table_dir)
+    return out.select("job_id", "job_type", "status", "logs", "end_ts", F.array_join("supports", ",").alias("supports"))

@@ -265,3 +265,22 @@ def test_duplicate_keys_resolve_deterministically(spark):
     ws = spark.createDataFrame([], "workflow string, key string, value string")
     got = [(r.key, r.value) for r in params.config_merge(nodes, ns, ws, {}).collect()]
     assert got == [("k", "2")]
+
+
+def test_template_is_filled_in_one_pass(spark):
+    df = spark.createDataFrame([("{a}/{b}/{none}/{", {"a": "{b}", "b": "x{a}"}), ("plain", {"a": "1"}), ("{a}", {}), (None, {"a": "1"}), ("{a}{a}", {"a": ""})],
+                               "t string, p map<string,string>")
+    got = [r[0] for r in df.select(params.fill_template("t", "p")).collect()]
+    assert got == ["{b}/x{a}/{none}/{", "plain", "{a}", None, ""]
+
+
+def test_sweep_with_many_combinations(spark):
+    rows = [("big", f"p{k}", i, f"v{i}") for k in range(5) for i in range(14)] + [("one", "q", 0, "z")]
+    df = spark.createDataFrame(rows, "node string, param string, pos int, value string")
+    out = params.param_sweep(df)
+    got = {r.node: (r.n, r.k) for r in out.groupBy("node").agg(F.count("*").alias("n"), F.approx_count_distinct("instance", 0.01).alias("k")).collect()}
+    assert got["big"][0] == 5 * 14**5 and abs(got["big"][1] / 14**5 - 1) < 0.05 and got["one"] == (1, 1)
+    assert out.where("node = 'one'").first().instance == "q=z"
+    # more combinations than an INT holds are still numbered
+    many = spark.createDataFrame([("m", f"p{k:02d}", i, str(i)) for k in range(33) for i in range(2)], "node string, param string, pos int, value string")
+    assert params.param_sweep(many.where("param < 'p16'")).count() == 16 * 2**16
