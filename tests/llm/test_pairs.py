@@ -94,7 +94,7 @@ def test_signatures_meet_for_every_linked_pair():
                 (sa, qa), (sb, qb) = cuts.signatures(a), cuts.signatures(b)
                 common = set(sa.tolist()) & set(sb.tolist())
                 # in some cut that both take, they share as many as either's quota asks
-                shared = Counter(int(q) >> 32 for v, q in zip(sa, qa) if int(v) in common)
+                shared = Counter(v & (1 << cuts.bits) - 1 for v in common)         # a hash's low bits name its cut
                 asked = [{int(q) >> 32: int(q) & 0xFFFFFFFF for q in qq} for qq in (qa, qb)]
                 assert any(shared[k] >= max(asked[0][k], asked[1][k]) for k in asked[0].keys() & asked[1].keys())
 
