@@ -1,9 +1,9 @@
 """Array maths on long voxel/series tables ``(image, coord..., v)``.
 
 The catalogued image tools, re-aimed at one row per value so that images of
-any size spread over the cluster: reductions are grouped aggregates, offsets
-(lag, smoothing, neighbourhoods) are equi-joins on shifted coordinates, and
-exact percentiles come from the range-partitioned rank, never from one
+any size spread over the cluster: reductions are grouped aggregates, the lag is an
+equi-join on the shifted coordinate, smoothing and neighbourhoods run on blocks
+with a halo, and exact percentiles come from the range-partitioned rank, never from one
 group's values gathered in one task.
 """
 
@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lineark.operators.blocks import extremes, gaussian, sliding
 from lineark.operators.series import _join, with_series_index
 
 
@@ -131,40 +132,34 @@ def image_stats(df: DataFrame, image, v: str = "v") -> DataFrame:
         F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
 
 
-def _neighbours(df: DataFrame, keys: list[str], dim: str, v: str, radius: int, weight=None) -> DataFrame:
-    """Each value sent to the coordinates within ``radius`` (an explode, then an
-    equi-shuffle on the target coordinate), kept only where a target exists."""
-    offs = F.sequence(F.lit(-radius), F.lit(radius))
-    sent = df.select(*keys, dim, v, F.explode(offs).alias("_o")).select(
-        *keys, (F.col(dim) + F.col("_o")).alias(dim), F.col(v).alias("_v"), "_o")
-    if weight is not None:
-        sent = sent.withColumn("_w", weight(F.col("_o")))
-    return _join(sent, df.select(*keys, dim).distinct(), [*keys, dim])
+def _smoothed(df: DataFrame, keys: list[str], dim: str, v: str, *sigmas: float) -> DataFrame:
+    r = max(math.ceil(3 * s) for s in sigmas)
+    merged = {"sum": F.sum(F.col(v).cast("double")), "n": F.count(v)}
+    out = sliding(df.select(*keys, dim, v), keys, dim, merged, r, r, gaussian(*sigmas), "_at long, _v double")
+    return out.select(*keys, F.col("_at").cast(df.schema[dim].dataType).alias(dim), F.col("_v").alias(v))
 
 
 def gaussian_smooth_1d(df: DataFrame, keys, dim: str, v: str = "v", sigma: float = 1.0) -> DataFrame:
-    """Gaussian-weighted mean along ``dim`` (radius ``ceil(3 sigma)``), weights
-    renormalised where the neighbourhood runs off the edge."""
-    keys = _cols(keys)
-    r = int(math.ceil(3 * sigma))
-    s = _neighbours(df, keys, dim, v, r, lambda o: F.exp(-(o * o) / F.lit(2.0 * sigma * sigma)))
-    return s.groupBy(*keys, dim).agg((F.sum(F.col("_w") * F.col("_v")) / F.sum("_w")).alias(v))
+    """Gaussian-weighted mean along ``dim`` (radius ``ceil(3 sigma)``), one row per coordinate;
+    weights are renormalised where the neighbourhood runs off the edge, over a missing
+    coordinate or over a NULL value (no value in reach: NULL).  Values at the same
+    coordinate count each.  Each value is shuffled about once, see :mod:`blocks`."""
+    return _smoothed(df, _cols(keys), dim, v, sigma)
 
 
 def temporal_filter(df: DataFrame, keys, dim: str, v: str = "v", fine: float = 1.0,
                     coarse: float = 4.0) -> DataFrame:
-    """Band-pass as the difference of a fine and a coarse Gaussian mean."""
-    keys = _cols(keys)
-    a = gaussian_smooth_1d(df, keys, dim, v, fine).withColumnRenamed(v, "_a")
-    b = gaussian_smooth_1d(df, keys, dim, v, coarse).withColumnRenamed(v, "_b")
-    return _join(a, b, [*keys, dim]).select(*keys, dim, (F.col("_a") - F.col("_b")).alias(v))
+    """Band-pass as the difference of a fine and a coarse Gaussian mean, both from one pass."""
+    return _smoothed(df, _cols(keys), dim, v, fine, coarse)
 
 
 def dilate_erode(df: DataFrame, keys, dim: str, v: str = "v", radius: int = 1) -> DataFrame:
-    """Maximum (dilate) and minimum (erode) over ``dim +- radius``."""
-    keys = _cols(keys)
-    s = _neighbours(df, keys, dim, v, radius)
-    return s.groupBy(*keys, dim).agg(F.max("_v").alias("dilated"), F.min("_v").alias("eroded"))
+    """Maximum (dilate) and minimum (erode) over ``dim +- radius``, one row per coordinate.
+    Values are taken as DOUBLE; a NULL value counts nothing (none in reach: NULL)."""
+    keys, y = _cols(keys), F.col(v).cast("double")
+    merged = {"max": F.max(y), "min": F.min(y), "n": F.count(v)}
+    out = sliding(df.select(*keys, dim, v), keys, dim, merged, radius, radius, extremes(radius), "_at long, _up double, _down double")
+    return out.select(*keys, F.col("_at").cast(df.schema[dim].dataType).alias(dim), F.col("_up").alias("dilated"), F.col("_down").alias("eroded"))
 
 
 def flag_outliers(df: DataFrame, keys, v: str = "v", k: float = 2.0) -> DataFrame:

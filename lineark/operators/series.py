@@ -11,10 +11,14 @@ partitions' counts and lagged values are brought together by an equi-shuffle on
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DecimalType, IntegralType
+
+from lineark.operators.blocks import lagged_sums, sliding
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition row number in the low 33 bits
 
@@ -316,11 +320,14 @@ def tc3_array(df: DataFrame, id_col: str, arr_col: str, tau: int,
 def first_zero_lag(df: DataFrame, key, value: str, order, max_lag: int = 16) -> DataFrame:
     """Per series, the first lag whose autocorrelation is <= 0 (``tau='ac'``).
 
-    Lags are tried in blocks (1..L, L+1..2L, ...) and only series without an
-    answer go on to the next block, so the result is exact for every series;
-    a series with no such lag below N (its number of rows) gets N.  The sign test uses
-    ``sum((n*y_i - S)(n*y_j - S))``, which is exact for DECIMAL input; ``n`` and ``S`` are of the values
-    that are not NULL, and pairs with a NULL count nothing.
+    Lags are tried in blocks, ``max_lag`` of them first and twice as many each next time,
+    and only series without an answer go on to the next block, so the result is exact for
+    every series; a series with no such lag below N (its number of rows) gets N.  The mean is of
+    the values that are not NULL, and pairs with a NULL count nothing.  For DECIMAL and whole
+    numbers the sign is decided by exact integers.
+
+    Products are summed where the rows lie, in blocks of positions with the next lags' rows as
+    halo (:mod:`blocks`); only one row per series, block and lag moves on.
     """
     keys, ords = _cols(key), _cols(order)
     base = with_series_index(df.select(*keys, *ords, value), keys, ords, name="_ix")
@@ -328,34 +335,37 @@ def first_zero_lag(df: DataFrame, key, value: str, order, max_lag: int = 16) ->
 
 
 def _first_zero(base: DataFrame, keys: list[str], value: str, max_lag: int) -> DataFrame:
-    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("_v"), F.sum(value).alias("_S"))
-    centred = (_join(base, stats, keys)
-               .select(*keys, "_ix", "n", (F.col("_v") * F.col(value) - F.col("_S")).alias("d")))
-    found = []
-    pending = stats.select(*keys, "n")
-    lo = 1
+    kind = base.schema[value].dataType
+    exact = isinstance(kind, (DecimalType, IntegralType))
+    scale = kind.scale if isinstance(kind, DecimalType) else 0
+    # the values as whole numbers, or as differences from the mean
+    rows = base.select(*keys, "_ix", (F.col(value).cast("decimal(38,0)") if not scale else
+                                      (F.col(value) * F.lit(Decimal(10) ** scale)).cast("decimal(38,0)")).alias("_y") if exact
+                       else F.col(value).cast("double").alias("_y"))
+    stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count("_y").alias("_c"), F.sum("_y").alias("_S")).checkpoint()
+    if not exact:
+        rows = _join(rows, stats, keys).select(*keys, "_ix", (F.col("_y") - F.col("_S") / F.col("_c")).alias("_y"))
+    number = "decimal(38,0)" if exact else "double"
+    found, pending, lo, width = [], stats, 1, max_lag
     while True:
-        hi = lo + max_lag - 1
-        live = centred if lo == 1 else _join(centred, pending.select(*keys), keys, "left_semi")
-        lags = F.sequence(F.lit(lo), F.least(F.lit(hi), F.col("n") - 1 - F.col("_ix")))
-        left = (live.where(F.col("_ix") + lo < F.col("n"))
-                .select(*keys, "_ix", "d", F.explode(lags).alias("lag")))
-        right = live.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
-                            F.col("_ix").alias("_j"), F.col("d").alias("_dj"))
-        cond = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
-        prods = (left.join(right, [*cond, F.col("_ix") + F.col("lag") == F.col("_j")])
-                 .select(*keys, "lag", (F.col("d") * F.col("_dj")).alias("p")))
-        acf = prods.groupBy(*keys, "lag").agg(F.sum("p").alias("c"))
+        hi = lo + width - 1
+        live = rows if lo == 1 else _join(rows, pending.select(*keys), keys, "left_semi")
+        sums = sliding(live, keys, "_ix", {"y": F.max("_y")}, 0, hi, lagged_sums(lo, hi, exact),
+                       f"lag long, m long, p {number}, a {number}, b {number}")
+        acf = sums.groupBy(*keys, "lag").agg(*(F.sum(c).alias(c) for c in ("m", "p", "a", "b")))
+        # a lag without pairs has no sign
+        if exact:
+            signed = _join(acf, stats.select(*keys, "_c", "_S"), keys).withColumn("_up", _above_zero("_c", "_S", "m", "p", "a", "b"))
+        else:
+            signed = acf.withColumn("_up", F.col("p") > 0)
         # one row per answered series: small, fixed once so the loop test below is cheap
-        hit = acf.where(F.col("c") <= 0).groupBy(*keys).agg(F.min("lag").alias("tau")).checkpoint()
+        hit = signed.where(~F.col("_up")).groupBy(*keys).agg(F.min("lag").alias("tau")).checkpoint()
         found.append(hit)
         pending = _join(pending, hit.select(*keys), keys, "left_anti").where(F.col("n") - 1 > hi)
         if not pending.take(1):
             break
         pending = pending.checkpoint()
-        if lo == 1:
-            centred = centred.checkpoint()
-        lo = hi + 1
+        lo, width = hi + 1, 2 * width
     hits = found[0]
     for h in found[1:]:
         hits = hits.unionByName(h)
@@ -363,6 +373,13 @@ def _first_zero(base: DataFrame, keys: list[str], value: str, max_lag: int) -> D
             .select(*keys, F.coalesce(F.col("tau"), F.col("n")).cast("bigint").alias("tau")))
 
 
+@F.pandas_udf(BooleanType())
+def _above_zero(c: pd.Series, s: pd.Series, m: pd.Series, p: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
+    """Is the sum of ``(c*y_i - s)(c*y_j - s)`` over ``m`` pairs above zero, from the sums of the products, firsts and seconds."""
+    return pd.Series([int(c) ** 2 * int(p) - int(c) * int(s) * (int(a) + int(b)) + int(m) * int(s) ** 2 > 0
+                      for c, s, m, p, a, b in zip(c, s, m, p, a, b)], dtype=bool)
+
+
 def tc3_auto(df: DataFrame, key, value: str, order, max_lag: int = 16,
              digits: int | None = None) -> DataFrame:
     """tc3 where each series uses its own ``tau`` from :func:`first_zero_lag`."""
