@@ -2,7 +2,7 @@
 
 Every loop works on whole frontiers (all nodes or all roots at once), ends
 when a frontier is empty, and fixes each round's small result with a reliable
-``checkpoint()`` (written to ``spark.checkpoint.dir``) so lineage stays short
+``checkpoint()`` or a table (both in ``spark.checkpoint.dir``) so lineage stays short
 and a lost executor re-reads instead of recomputing earlier rounds.
 """
 
@@ -16,33 +16,87 @@ from pyspark.sql import functions as F
 from lineark.functions.ids import mint_id
 from lineark.operators import records, workflow
 from lineark.operators.series import with_series_index
+from lineark.session import scratch_path
 
 
 def _nodes(edges: DataFrame, src: str, dst: str) -> DataFrame:
     return edges.select(F.col(src).alias("node")).unionByName(
-        edges.select(F.col(dst).alias("node"))).distinct()
+        edges.select(F.col(dst).alias("node"))).where(F.col("node").isNotNull()).distinct()
+
+
+def _chains(edges: DataFrame, single: DataFrame) -> DataFrame:
+    """``(node, anc, w)`` for the nodes ``single(node, pred)`` with one predecessor: ``anc`` is the nearest
+    ancestor with none or several, ``w`` steps back.  Pointers double each round, so a chain of n
+    nodes takes log n rounds.  A pointer that still moves then runs in a cycle: its ``anc`` is NULL."""
+    jump = single.select("node", F.col("pred").alias("anc"), F.lit(1).cast("bigint").alias("w")).checkpoint()
+    rounds = max(jump.count(), 1).bit_length() + 1
+    for r in range(rounds):
+        ahead = jump.select(F.col("node").alias("_n"), F.col("anc").alias("_a"), F.col("w").alias("_w"))
+        moved = jump.join(ahead, F.col("anc") == F.col("_n"), "left")
+        nxt = moved.select("node", F.coalesce("_a", "anc").alias("anc"), (F.col("w") + F.coalesce("_w", F.lit(0))).alias("w"),
+                           F.col("_n").isNotNull().alias("_moved")).checkpoint()
+        jump = nxt.select("node", "anc", "w")
+        if not nxt.where("_moved").take(1):
+            return jump
+    return nxt.select("node", F.when(~F.col("_moved"), F.col("anc")).alias("anc"), "w")
 
 
 def peel_levels(edges: DataFrame, src: str = "src", dst: str = "dst") -> tuple[DataFrame, DataFrame]:
-    """Kahn's algorithm by rounds.  Round r removes the nodes whose predecessors
-    are all gone, so r is the length of the longest path from a root.  Returns
-    ``(levels(node, level), left(node))``; ``left`` holds the nodes on or
-    behind a cycle and is empty for a DAG."""
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct().checkpoint()
-    left = _nodes(e, "src", "dst").checkpoint()
-    done = []
+    """Longest path from a root to every node.  Returns ``(levels(node, level), left(node))``;
+    ``left`` holds the nodes on or behind a cycle and is empty for a DAG.  An edge with a
+    NULL end only says that its other end exists.
+
+    Nodes with one predecessor hang on their chain's start and take no part in the rounds.  The
+    rest is peeled by counters: each finished node sends its level along its edges, and a
+    node is finished when as many edges have reached it as lead to it (a number that every edge
+    carries).  The edges are written once, by bucket of their source; a round reads only the
+    buckets of the nodes that it finishes, and writes those and the nodes that still wait.
+    """
+    spark = edges.sparkSession
+    every = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct().checkpoint()
+    nodes = _nodes(every, "src", "dst")
+    e = every.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    into = e.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_in"), F.min("src").alias("pred"))
+    chains = _chains(e, into.where("_in = 1"))
+    # edges into the other nodes, from the start of the chain that their source hangs on
+    several = into.where("_in > 1").select(F.col("node").alias("dst"), "_in")
+    core = (e.join(several, "dst").join(chains.select(F.col("node").alias("src"), "anc", "w"), "src", "left")
+            .where(F.col("w").isNull() | F.col("anc").isNotNull())
+            .select(F.coalesce("anc", "src").alias("src"), "dst", "_in", (F.coalesce("w", F.lit(0)) + 1).alias("w")))
+    # edges that share both ends go as one, which counts for all of them
+    core = core.groupBy("src", "dst", "_in").agg(F.max("w").alias("w"), F.count(F.lit(1)).alias("c"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.hash("node"), F.lit(n))
+    stored, state = scratch_path(spark, "edges"), scratch_path(spark, "levels")
+    (core.withColumn("bucket", F.pmod(F.hash("src"), F.lit(n))).hint("rebalance", "bucket")
+     .write.partitionBy("bucket").parquet(stored))
+    kind = core.schema["src"].dataType.simpleString()
+    edge_schema = f"src {kind}, dst {kind}, _in long, w long, c long, bucket int"
+    state_schema = f"node {kind}, level long, done boolean, _in long, got long"
+
+    def written(r: int) -> DataFrame:
+        return spark.read.schema(state_schema).parquet(f"{state}/round={r}")
+
+    first = nodes.join(into.select("node"), "node", "left_anti").select(
+        "node", F.lit(0).cast("bigint").alias("level"), F.lit(True).alias("done"), F.lit(0).cast("bigint").alias("_in"), F.lit(0).cast("bigint").alias("got"))
+    first.write.parquet(f"{state}/round=0")
     for r in count():
-        ready = left.join(e.select(F.col("dst").alias("node")), "node", "left_anti") \
-            .withColumn("level", F.lit(r).cast("bigint")).checkpoint()
-        if not ready.take(1):
+        now = written(r)
+        front = now.where("done").select("node", "level")
+        touched = [x[0] for x in front.select(bucket).distinct().collect()]     # at most n numbers
+        if not touched:
             break
-        done.append(ready)
-        left = left.join(ready.select("node"), "node", "left_anti").checkpoint()
-        e = e.join(ready.select(F.col("node").alias("src")), "src", "left_anti").checkpoint()
-    levels = done[0] if done else left.limit(0).withColumn("level", F.lit(0).cast("bigint"))
-    for d in done[1:]:
-        levels = levels.unionByName(d)
-    return levels, left
+        out = spark.read.schema(edge_schema).parquet(stored).where(F.col("bucket").isin(touched))
+        sent = out.join(front.withColumnRenamed("node", "src"), "src").select(
+            F.col("dst").alias("node"), (F.col("level") + F.col("w")).alias("level"), "_in", F.col("c").alias("got"))
+        waits = now.where("NOT done").select("node", "level", "_in", "got")
+        (sent.unionByName(waits).groupBy("node", "_in").agg(F.max("level").alias("level"), F.sum("got").alias("got"))
+         .select("node", "level", (F.col("got") == F.col("_in")).alias("done"), "_in", "got")
+         .write.parquet(f"{state}/round={r + 1}"))
+    peeled = spark.read.schema(state_schema).parquet(state).where("done").select("node", "level")
+    hung = chains.join(peeled.withColumnRenamed("node", "anc"), "anc").select("node", (F.col("level") + F.col("w")).alias("level"))
+    levels = peeled.unionByName(hung)
+    return levels, nodes.join(levels.select("node"), "node", "left_anti")
 
 
 def topo_levels(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -56,6 +110,58 @@ def acyclic_check(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataF
     return peel_levels(edges, src, dst)[1]
 
 
+def cycle_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """The nodes that lie on a cycle, ``(node, component)``; ``component`` is the smallest node of those that
+    reach each other.  Nodes merely behind a cycle, or between two, are not listed.
+
+    What can be peeled from the roots and from the leaves goes first.  Then, in turns: every node takes the
+    smallest node that reaches it as colour; the nodes that reach their colour's own node, inside the
+    colour, are its component.  All colours work at once; each turn settles one component a colour."""
+    def inside(e, nodes):
+        return (e.join(nodes.select(F.col("node").alias("src")), "src", "left_semi")
+                .join(nodes.select(F.col("node").alias("dst")), "dst", "left_semi"))
+
+    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
+    found = []
+    while True:
+        e = inside(e, peel_levels(e, "src", "dst")[1]).checkpoint()
+        e = inside(e, peel_levels(e, "dst", "src")[1]).checkpoint()
+        if not e.take(1):
+            break
+        colour = _nodes(e, "src", "dst").select("node", F.col("node").alias("colour"))
+        while True:                      # the smallest colour spreads along the edges; only changes are sent on
+            sent = e.join(colour.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(F.min("colour").alias("_c"))
+            nxt = colour.join(sent, "node", "left").select(
+                "node", F.least("colour", F.coalesce("_c", "colour")).alias("colour"),
+                (F.col("_c") < F.col("colour")).alias("_less")).checkpoint()
+            colour = nxt.select("node", "colour")
+            if not nxt.where("_less").take(1):
+                break
+        near = e.join(colour.select(F.col("node").alias("src"), F.col("colour").alias("_s")), "src") \
+            .join(colour.withColumnRenamed("node", "dst"), "dst").where("_s = colour").select("src", "dst", "colour").checkpoint()
+        # back from each colour's own node
+        front = colour.where("node = colour").checkpoint()
+        members = front
+        while True:
+            front = (near.join(front.select(F.col("node").alias("dst"), "colour"), ["dst", "colour"])
+                     .select(F.col("src").alias("node"), "colour").distinct()
+                     .join(members, ["node", "colour"], "left_anti").checkpoint())
+            if not front.take(1):
+                break
+            members = members.unionByName(front).checkpoint()
+        # a colour's own node need not be on a cycle by itself: it is if one of its edges stays inside
+        members = members.select("node", F.col("colour").alias("component"))
+        both = near.join(members.select(F.col("node").alias("src"), F.col("component").alias("_a")), "src") \
+            .join(members.select(F.col("node").alias("dst"), F.col("component").alias("_b")), "dst").where("_a = _b")
+        found.append(members.join(both.select(F.col("_a").alias("component")).distinct(), "component", "left_semi").select("node", "component").checkpoint())
+        e = e.join(members.select(F.col("node").alias("src")), "src", "left_anti").join(
+            members.select(F.col("node").alias("dst")), "dst", "left_anti").checkpoint()
+    out = found[0] if found else _nodes(e, "src", "dst").select("node", F.col("node").alias("component"))
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def ordered_index(levels: DataFrame, node: str = "node", level: str = "level") -> DataFrame:
     """Running index in topological order (by level, then node) and the display
     name ``<index zero-padded to ceil(log10 n)>_<node>``.  The index comes from

@@ -98,3 +98,59 @@ def test_distances_and_closure_on_random_graphs_with_cycles(spark):
         for every in (1, 3):
             got = {(x.root, x.node): x.dist for x in graph.closure(df, roots, cut_every=every).collect()}
             assert got == {(a, b): d for a in list(out)[:5] for b, d in out[a].items() if d}
+
+
+def brute_levels(edges):
+    nodes = {n for e in edges for n in e}
+    preds = {n: [a for a, b in edges if b == n] for n in nodes}
+    levels = {}
+    while True:
+        new = {n: max([levels[p] + 1 for p in preds[n]], default=0) for n in nodes
+               if n not in levels and all(p in levels for p in preds[n])}
+        if not new:
+            return levels
+        levels.update(new)
+
+
+def test_levels_and_components_of_random_graphs(spark):
+    random.seed(11)
+    for size, m in ((12, 18), (40, 44), (60, 60)):
+        edges = sorted({(random.randrange(size), random.randrange(size)) for _ in range(m)})     # self-loops too
+        df = spark.createDataFrame(edges + edges[:3], "src long, dst long")
+        want = brute_levels(edges)
+        nodes = {n for e in edges for n in e}
+        assert {r.node: r.level for r in graph.topo_levels(df).collect()} == want
+        assert {r.node for r in graph.acyclic_check(df).collect()} == nodes - set(want)
+        step = {n: {b for a, b in edges if a == n} for n in nodes}
+
+        def reach(n):
+            seen, todo = set(), list(step[n])
+            while todo:
+                x = todo.pop()
+                if x not in seen:
+                    seen.add(x)
+                    todo += step[x]
+            return seen
+        far = {n: reach(n) for n in nodes}
+        comp = {n: min(x for x in far[n] if n in far[x]) for n in nodes if n in far[n]}
+        assert {r.node: r.component for r in graph.cycle_components(df).collect()} == comp
+
+
+def test_levels_of_a_long_chain(spark):
+    # a chain of 2,000, a node that joins it from its start, a cycle of 300 and a tail behind it
+    edges = [(i, i + 1) for i in range(2000)] + [(0, 5000), (1999, 5000), (5000, 5001)]
+    edges += [(7000 + i, 7000 + (i + 1) % 300) for i in range(300)] + [(7000, 8000), (8000, 8001), (8001, 5002), (1, 5002)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    lv, left = graph.peel_levels(df)
+    got = {r.node: r.level for r in lv.collect()}
+    assert got == {**{i: i for i in range(2001)}, 5000: 2000, 5001: 2001}
+    assert {r.node for r in left.collect()} == {*range(7000, 7300), 8000, 8001, 5002}
+
+
+def test_levels_of_nulls_and_of_no_edges(spark):
+    df = spark.createDataFrame([(1, None), (None, 2), (None, None), (3, 4), (1, 4)], "src long, dst long")
+    assert {r.node: r.level for r in graph.topo_levels(df).collect()} == {1: 0, 2: 0, 3: 0, 4: 1}
+    none = df.limit(0)
+    assert graph.topo_levels(none).count() == graph.acyclic_check(none).count() == graph.cycle_components(none).count() == 0
+    names = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c")], "src string, dst string")
+    assert {r.node: r.level for r in graph.topo_levels(names).collect()} == {"a": 0, "b": 1, "c": 2}
