@@ -3,7 +3,7 @@
 The catalogued image tools, re-aimed at one row per value so that images of
 any size spread over the cluster: reductions are grouped aggregates, the lag is an
 equi-join on the shifted coordinate, smoothing and neighbourhoods run on blocks
-with a halo, and exact percentiles come from the range-partitioned rank, never from one
+with a halo, and exact percentiles come from counts of the values' leading bits, never from one
 group's values gathered in one task.
 """
 
@@ -12,37 +12,76 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType
 
 from lineark.operators.blocks import extremes, gaussian, sliding
-from lineark.operators.series import _join, with_series_index
+from lineark.operators.series import _join
 
 
 def _cols(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def exact_quantiles(df: DataFrame, keys, v: str, qs: dict[str, float], tie: str | None = None) -> DataFrame:
+_INFINITY = 0x7FF << 52     # its bits; above stands NaN, which pandas takes for NULL
+
+
+@F.pandas_udf(LongType())
+def _ordered_bits(v: pd.Series) -> pd.Series:
+    """The bits of a DOUBLE as a LONG that sorts as the number does (-0.0 as 0.0, NaN last)."""
+    import numpy as np
+    x = v.to_numpy(dtype=np.float64) + 0.0
+    x[np.isnan(x)] = np.nan
+    b = x.view(np.int64)
+    return pd.Series(np.where(b < 0, b ^ np.int64(0x7FFFFFFFFFFFFFFF), b))
+
+
+@F.pandas_udf(DoubleType())
+def _from_bits(b: pd.Series) -> pd.Series:
+    import numpy as np
+    x = b.to_numpy(dtype=np.int64)
+    return pd.Series(np.where(x < 0, x ^ np.int64(0x7FFFFFFFFFFFFFFF), x).view(np.float64))
+
+
+def exact_quantiles(df: DataFrame, keys, v: str, qs: dict[str, float]) -> DataFrame:
     """Exact linear-interpolated quantiles per group (same rule as
-    ``percentile``/``quantile_cont``), from each value's rank in its group.  NULL
-    values do not count; a NULL group key is a group; a group without values
-    has no row."""
+    ``percentile``/``quantile_cont``).  Values are taken as DOUBLE; NULL values do not count; a
+    NULL group key is a group; a group without values has no row.
+
+    Selection by counting: four times, the values that agree with the asked rank's value in the bits so
+    far are counted by their next 16 bits, and the running counts tell which 16 bits the rank
+    falls on.  Only counts are shuffled for a large group (at most 65,536 a task), nothing is
+    sorted, and no group is gathered."""
     keys = _cols(keys)
-    order = [v] + ([tie] if tie else [])
-    ranked = with_series_index(df.where(F.col(v).isNotNull()).select(*keys, *order), keys, order, name="_r")
-    n = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    picks = []
-    for name, q in qs.items():
-        h = (F.col("_n") - 1) * F.lit(q)
-        picks.append(F.struct(F.lit(name).alias("q"), F.floor(h).cast("bigint").alias("lo"),
-                              F.ceil(h).cast("bigint").alias("hi"), (h - F.floor(h)).alias("frac")))
-    want = n.select(*keys, F.explode(F.array(*picks)).alias("_p")).select(*keys, "_p.*")
-    lo = ranked.select(*keys, F.col("_r").alias("lo"), F.col(v).alias("_vlo"))
-    hi = ranked.select(*keys, F.col("_r").alias("hi"), F.col(v).alias("_vhi"))
-    got = _join(_join(want, lo, [*keys, "lo"]), hi, [*keys, "hi"])
-    val = F.col("_vlo") + F.col("frac") * (F.col("_vhi") - F.col("_vlo"))
-    return got.groupBy(*keys).pivot("q", list(qs)).agg(F.first(val))
+    bits = df.where(F.col(v).isNotNull()).select(*keys, _ordered_bits(F.col(v).cast("double")).alias("_bits"))
+    ranks = F.array(*[F.struct(F.lit(name).alias("q"), F.lit(end).alias("end"), fn((F.col("_n") - 1) * F.lit(float(q))).cast("bigint").alias("rank"))
+                      for name, q in qs.items() for end, fn in (("lo", F.floor), ("hi", F.ceil))])
+    picks = None
+    for shift in (48, 32, 16, 0):
+        part = F.shiftright("_bits", shift).alias("_at")
+        if picks is None:
+            counts = bits.select(*keys, part).groupBy(*keys, "_at").agg(F.count(F.lit(1)).alias("_c"))
+            group = Window.partitionBy(*keys)
+            counts = counts.withColumn("_n", F.sum("_c").over(group)).withColumn("_to", F.sum("_c").over(group.orderBy("_at")))
+            due = F.filter(ranks, lambda p: (p.rank >= F.col("_to") - F.col("_c")) & (p.rank < F.col("_to")))
+            picks = counts.select(*keys, "_n", "_at", "_to", "_c", F.explode(due).alias("_p")).select(
+                *keys, "_n", F.col("_p.q").alias("_q"), F.col("_p.end").alias("_end"), "_at", (F.col("_p.rank") - (F.col("_to") - F.col("_c"))).alias("_rank"))
+            continue
+        near = bits.select(*keys, F.shiftright("_bits", shift + 16).alias("_pre"), part)
+        asked = [*keys, "_n", "_q", "_end", "_rank"]
+        counts = (_join(near, picks.withColumnRenamed("_at", "_pre"), [*keys, "_pre"])
+                  .groupBy(*asked, "_at").agg(F.count(F.lit(1)).alias("_c"))
+                  .withColumn("_to", F.sum("_c").over(Window.partitionBy(*asked).orderBy("_at"))))
+        picks = counts.where((F.col("_rank") >= F.col("_to") - F.col("_c")) & (F.col("_rank") < F.col("_to"))).select(
+            *keys, "_n", "_q", "_end", "_at", (F.col("_rank") - (F.col("_to") - F.col("_c"))).alias("_rank"))
+    found = picks.select(*keys, "_n", "_q", "_end", F.when(F.col("_at") > _INFINITY, F.lit(float("nan"))).otherwise(_from_bits("_at")).alias("_v"))
+    at = {(q, e): F.max(F.when((F.col("_q") == q) & (F.col("_end") == e), F.col("_v"))) for q in qs for e in ("lo", "hi")}
+    h = {name: (F.max("_n") - 1) * F.lit(float(q)) for name, q in qs.items()}
+    return found.groupBy(*keys).agg(*[
+        F.when(at[q, "lo"] == at[q, "hi"], at[q, "lo"])
+        .otherwise(at[q, "lo"] + (h[q] - F.floor(h[q])) * (at[q, "hi"] - at[q, "lo"])).alias(q) for q in qs])
 
 
 def reduce_over_dim(df: DataFrame, keep, dim: str, v: str = "v") -> DataFrame:
@@ -52,7 +91,7 @@ def reduce_over_dim(df: DataFrame, keep, dim: str, v: str = "v") -> DataFrame:
     base = df.groupBy(*keep).agg(
         F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
         F.max(v).alias("max"), F.max_by(dim, F.struct(F.col(v), -F.col(dim))).alias("argmax"))
-    q = exact_quantiles(df, keep, v, {"median": 0.5, "p90": 0.9}, tie=dim)
+    q = exact_quantiles(df, keep, v, {"median": 0.5, "p90": 0.9})
     return _join(base, q, keep, "left")
 
 

@@ -157,6 +157,25 @@ def extremes(radius: int):
     return run
 
 
+def triples(tau: int):
+    """``reckon`` for the values (column ``y``) at a position, ``tau`` and ``2 tau`` after it, where none is missing."""
+
+    def run(at, place, cols, due):
+        import numpy as np
+        import pyarrow as pa
+        y = cols["y"].combine_chunks()
+        there = ~y.is_null().to_numpy(zero_copy_only=False)
+        rows = np.flatnonzero(due & there)
+        found = [rows]
+        for step in (tau, 2 * tau):
+            j = np.minimum(np.searchsorted(place, place[rows] + step), len(place) - 1)
+            found.append(np.where((place[j] == place[rows] + step) & there[j], j, -1))
+        full = (found[1] >= 0) & (found[2] >= 0)
+        rows = rows[full]
+        return rows, {"i": pa.array(cols["at"].to_numpy()[rows]), **{f"y{k}": y.take(pa.array(f[full])) for k, f in enumerate(found)}}
+    return run
+
+
 def lagged_sums(lo: int, hi: int, exact: bool):
     """``reckon`` for the sums over the pairs ``(y_i, y_{i+lag})`` of present values (column ``y``) for each lag
     from ``lo`` to ``hi``: their number, and the sums of the products, of the first and of the second values.

@@ -137,6 +137,67 @@ def job_json(jobs: DataFrame, used: DataFrame, job: str = "job_id") -> DataFrame
     return j.select(job, F.to_json(doc).alias("doc"))
 
 
+def download_json(minted: DataFrame) -> DataFrame:
+    """JSON-LD document ``(id, doc)`` of each output file's Download, from the rows of :func:`mint_outputs`."""
+    doc = F.struct(F.col("download_id").alias("@id"), F.lit("Download").alias("@type"), F.col("download_name").alias("name"),
+                   F.col("file_format").alias("fileFormat"), F.col("content_url").alias("contentUrl"))
+    return minted.where(F.col("error").isNull()).select(F.col("download_id").alias("id"), F.to_json(doc).alias("doc"))
+
+
+def dataset_json(minted: DataFrame) -> DataFrame:
+    """JSON-LD document ``(id, doc)`` of each output file's Dataset, its Download inside as the distribution."""
+    part = F.struct(F.col("download_id").alias("@id"), F.lit("Download").alias("@type"), F.col("download_name").alias("name"),
+                    F.col("file_format").alias("fileFormat"), F.col("content_url").alias("contentUrl"))
+    doc = F.struct(F.col("dataset_id").alias("@id"), F.lit("Dataset").alias("@type"), "name",
+                   F.struct(F.col("generated_by").alias("@id")).alias(f"{EVI}generatedBy"), F.array(part).alias("distribution"))
+    return minted.where(F.col("error").isNull()).select(F.col("dataset_id").alias("id"), F.to_json(doc).alias("doc"))
+
+
+def software_json(catalogue: DataFrame, key: str = "interface", id_col: str = "id", name: str = "name",
+                  citation: str | None = None) -> DataFrame:
+    """JSON-LD document ``(id, doc)`` of each software entry.  ``citation`` names an ``ARRAY<STRING>`` column: one
+    entry is written as text, several as a list, none not at all."""
+    fields = [F.col(id_col).alias("@id"), F.lit("SoftwareSourceCode").alias("@type"), F.col(name).alias("name"), F.col(key).alias("interface")]
+    if citation:
+        many = F.to_variant_object(F.col(citation))
+        one = F.to_variant_object(F.array(F.get(citation, 0)))
+        fields.append(F.when(F.size(citation) > 1, many).when(F.size(citation) == 1, F.variant_get(one, "$[0]", "variant")).alias("citation"))
+    return catalogue.select(F.col(id_col).alias("id"), F.to_json(F.struct(*fields)).alias("doc"))
+
+
+def read_documents(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """Documents of any kind as flat columns, one row each: ``id, type, name, interface, citation`` (a list),
+    ``generated_by, used`` (a list), ``software`` (a list), ``status, distribution`` (a list of
+    ``id, name, file_format, content_url``).  What may be one object or a list is always a list here."""
+    v = F.try_parse_json(doc)
+    text = lambda path: F.try_variant_get(v, path, "string")
+
+    def ids(path):
+        many = F.try_variant_get(v, path, "array<struct<`@id`: string>>")
+        one = F.try_variant_get(v, path, "struct<`@id`: string>")
+        return F.transform(F.coalesce(many, F.when(one.isNotNull(), F.array(one))), lambda x: x["@id"])
+
+    cites = F.coalesce(F.try_variant_get(v, "$.citation", "array<string>"), F.when(text("$.citation").isNotNull(), F.array(text("$.citation"))))
+    part = "struct<`@id`: string, name: string, fileFormat: string, contentUrl: string>"
+    parts = F.coalesce(F.try_variant_get(v, "$.distribution", f"array<{part}>"),
+                       F.when(F.try_variant_get(v, "$.distribution", part).isNotNull(), F.array(F.try_variant_get(v, "$.distribution", part))))
+    return docs.select(
+        text("$['@id']").alias("id"), text("$['@type']").alias("type"), text("$.name").alias("name"), text("$.interface").alias("interface"),
+        cites.alias("citation"), text(f"$['{EVI}generatedBy']['@id']").alias("generated_by"), ids(f"$['{EVI}usedDataset']").alias("used"),
+        ids(f"$['{EVI}usedSoftware']").alias("software"), text("$.status").alias("status"),
+        F.transform(parts, lambda x: F.struct(x["@id"].alias("id"), x["name"].alias("name"), x["fileFormat"].alias("file_format"),
+                                              x["contentUrl"].alias("content_url"))).alias("distribution"))
+
+
+def open_fields(docs: DataFrame, known: list[str], id_col: str = "id", doc: str = "doc") -> DataFrame:
+    """The open remainder of documents: one row ``(id, field, value)`` per top-level field that is not in ``known``,
+    the value as JSON text.  The documents' fields are exploded beside their row (a lateral join)."""
+    spark = docs.sparkSession
+    src = docs.select(F.col(id_col).alias("id"), F.try_parse_json(doc).alias("_v")).where(F.schema_of_variant("_v").startswith("OBJECT"))
+    out = spark.sql("SELECT d.id, f.key AS field, to_json(f.value) AS value FROM {d} AS d, LATERAL variant_explode(d._v) AS f", d=src)
+    return out.where(~F.col("field").isin(list(known)))
+
+
 def lookup_or_insert(keys: DataFrame, catalogue: DataFrame, key: str = "interface",
                      id_col: str = "id", kind: str = "Software") -> tuple[DataFrame, DataFrame]:
     """Reuse the catalogue ID of each key or mint one (once per distinct key).

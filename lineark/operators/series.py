@@ -2,8 +2,8 @@
 
 Long form input is ``(key, order..., value)``.  A single series may hold a large
 share of all rows, so no unbounded series is put into one task: rows are
-range-partitioned (a hot series spans many partitions).  ``tc3`` carries the values at
-the partitions' borders; where positions are needed, they are computed from the
+range-partitioned (a hot series spans many partitions).  ``tc3`` and ``status_changes`` carry
+what stands at the partitions' borders; where positions are needed, they are computed from the
 partitions' counts and lagged values are brought together by an equi-shuffle on
 ``(key, position)``.  The same route serves series of every length.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DecimalType, IntegralType
 
-from lineark.operators.blocks import lagged_sums, sliding
+from lineark.operators.blocks import lagged_sums, sliding, triples
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition row number in the low 33 bits
 
@@ -111,11 +111,12 @@ def _triple_slots(indexed: DataFrame, key: list[str], value: str, tau) -> DataFr
 
 def lag_triples(df: DataFrame, key, value: str, order, tau: int) -> DataFrame:
     """Aligned values ``(y_i, y_{i+tau}, y_{i+2tau})`` for every complete triple (no value
-    NULL), with ``i`` (no key may have that name) the position of the first."""
+    NULL), with ``i`` (no key may have that name) the position of the first.  Positions run in
+    blocks with a halo (:mod:`blocks`), so each value is shuffled about once after the numbering."""
     keys, ords = _cols(key), _cols(order)
-    slots = _triple_slots(with_series_index(df.select(*keys, *ords, value), keys, ords, name="_ix"),
-                          keys, value, tau).withColumnRenamed("_i", "i")
-    return slots.where("y0 IS NOT NULL AND y1 IS NOT NULL AND y2 IS NOT NULL")
+    rows = with_series_index(df.select(*keys, *ords, value), keys, ords, name="_ix").select(*keys, "_ix", F.col(value).alias("_y"))
+    kind = rows.schema["_y"].dataType.simpleString()
+    return sliding(rows, keys, "_ix", {"y": F.max("_y")}, 0, 2 * tau, triples(tau), f"i long, y0 {kind}, y1 {kind}, y2 {kind}")
 
 
 def _tc3_from_slots(slots: DataFrame, key: list[str], digits: int | None) -> DataFrame:
@@ -417,36 +418,102 @@ def flatten_features(df: DataFrame, struct_col: str, func: str,
     return df.select(*keep, *out)
 
 
+def _changes(keys: list[str]):
+    """mapInArrow function over rows sorted by ``(keys, order)``, all of a partition: the rows whose phase differs
+    from the one before in the series, with that phase and the time of the next change.  The first row of
+    the partition's first series counts as a change and is marked ``_head``, since its series may have begun
+    before; the last change is marked ``_tail``, since its series may go on."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def differs(table, names):
+            """Row i differs from row i - 1 in one of the columns, NULL being a value (True for row 0)."""
+            out = np.ones(table.num_rows, bool)
+            out[1:] = False
+            for name in names:
+                c = table.column(name)
+                a, b = c.slice(1), c.slice(0, len(c) - 1)
+                differ = pc.if_else(pc.and_(pc.is_null(a), pc.is_null(b)), False, pc.fill_null(pc.not_equal(a, b), True))
+                out[1:] |= differ.to_numpy().astype(bool)
+            return out
+
+        def with_next(table):
+            """Of change rows, the time of the next one of the same series."""
+            n = table.num_rows
+            same = np.append(~differs(table, keys)[1:], False)
+            following = pa.array(np.minimum(np.arange(1, n + 1), n - 1), mask=~same)
+            return table.set_column(table.schema.get_field_index("_next"), "_next", table.column("_ts").take(following))
+
+        last_row = waiting = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            head = last_row is None
+            if not head:
+                table = pa.concat_tables([last_row, table]).combine_chunks()
+            last_row = table.slice(table.num_rows - 1)
+            new_series = differs(table, keys)
+            change = new_series | differs(table, ["_phase"])
+            if not head:
+                change[0] = False                  # the row carried over
+            at = np.flatnonzero(change)
+            if not len(at):
+                continue
+            rows = table.take(pa.array(at))
+            prev = table.column("_phase").take(pa.array(np.maximum(at - 1, 0), mask=new_series[at]))
+            marks = np.zeros(len(at), bool)
+            marks[0] = head
+            rows = (rows.append_column("_prev", prev).append_column("_next", pa.nulls(len(at), rows.schema.field("_ts").type))
+                    .append_column("_head", pa.array(marks)).append_column("_tail", pa.array(np.zeros(len(at), bool))))
+            if waiting is not None:
+                rows = pa.concat_tables([waiting, rows]).combine_chunks()
+            rows = with_next(rows)
+            waiting = rows.slice(rows.num_rows - 1)
+            yield from rows.slice(0, rows.num_rows - 1).combine_chunks().to_batches()
+        if waiting is not None:
+            tail = waiting.set_column(waiting.schema.get_field_index("_tail"), "_tail", pa.array([True]))
+            yield from tail.combine_chunks().to_batches()
+    return run
+
+
 def status_changes(df: DataFrame, key, phase: str, order, ts: str) -> DataFrame:
     """Rows where a job's phase differs from the one before, with the time until
     the next change (``micros_in_phase``; NULL for the last phase).
 
-    A change into or out of a NULL phase counts.  Previous and next rows are
-    found through the position index and an equi-shuffle on ``(key, position)``,
-    so one very chatty job is still spread over many tasks.
+    A change into or out of a NULL phase counts.  Rows are range-partitioned on ``(key, order)``, so
+    one very chatty job spans many partitions, shuffled once and read as sorted streams.  The changes found are
+    written once; only the one at each end of a partition is looked at again, beside its
+    neighbours of the same job: at most two rows a partition.
     """
     keys, ords = _cols(key), _cols(order)
-    ix = with_series_index(df.select(*keys, *ords, phase, *([ts] if ts not in ords else [])), keys, ords, name="_ix")
-    pair = F.array(F.struct(F.col("_ix").alias("_i"), F.lit(0).alias("_r")),
-                   F.struct((F.col("_ix") + 1).alias("_i"), F.lit(1).alias("_r")))
-    ex = ix.select(*keys, ts, phase, F.explode(pair).alias("_s")).select(
-        *keys, ts, phase, F.col("_s._i").alias("_i"), F.col("_s._r").alias("_r"))
-    g = ex.groupBy(*keys, "_i").agg(
-        F.max(F.when(F.col("_r") == 0, F.struct(F.col(ts).alias("ts"), F.col(phase).alias("ph")))).alias("_own"),
-        F.max(F.when(F.col("_r") == 1, F.col(phase))).alias("prev_phase"))
-    own = g.where(F.col("_own").isNotNull()).select(
-        *keys, "_i", F.col("_own.ts").alias(ts), F.col("_own.ph").alias(phase), "prev_phase")
-    changes = own.where((F.col("_i") == 0) | ~F.col("prev_phase").eqNullSafe(F.col(phase)))
-    cx = with_series_index(changes, keys, ["_i"], name="_c")
-    pair2 = F.array(F.struct(F.col("_c").alias("_j"), F.lit(0).alias("_r")),
-                    F.struct((F.col("_c") - 1).alias("_j"), F.lit(1).alias("_r")))
-    ex2 = cx.select(*keys, ts, phase, "prev_phase", F.explode(pair2).alias("_s")).select(
-        *keys, ts, phase, "prev_phase", F.col("_s._j").alias("_j"), F.col("_s._r").alias("_r"))
-    g2 = ex2.groupBy(*keys, "_j").agg(
-        F.max(F.when(F.col("_r") == 0, F.struct(F.col(ts).alias("ts"), F.col(phase).alias("ph"),
-                                               F.col("prev_phase").alias("pp")))).alias("_own"),
-        F.max(F.when(F.col("_r") == 1, F.col(ts))).alias("next_change_ts"))
-    return g2.where(F.col("_own").isNotNull()).select(
-        *keys, F.col("_own.ts").alias(ts), F.col("_own.ph").alias(phase), F.col("_own.pp").alias("prev_phase"),
-        "next_change_ts",
-        F.expr("timestampdiff(MICROSECOND, _own.ts, next_change_ts)").alias("micros_in_phase"))
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    names = [f"_k{i}" for i in range(len(keys))]
+    by = [*names, *(f"_o{i}" for i in range(len(ords)))]
+    rows = df.select(*(F.col(k).alias(a) for k, a in zip(keys, names)), *(F.col(o).alias(f"_o{i}") for i, o in enumerate(ords)),
+                     F.col(ts).alias("_ts"), F.col(phase).alias("_phase"))
+    in_order = rows.repartitionByRange(n, *by).sortWithinPartitions(*by).select(
+        *names, "_ts", "_phase", F.spark_partition_id().alias("_pid"))
+    kind = {f.name: f.dataType.simpleString() for f in in_order.schema}
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in kind.items()), f"_prev {kind['_phase']}", f"_next {kind['_ts']}", "_head boolean", "_tail boolean"])
+    found = in_order.mapInArrow(_changes(names), schema).checkpoint()
+
+    ends = found.where("_head OR _tail")
+    job = Window.partitionBy(*names).orderBy("_pid", ~F.col("_head"))
+    before = F.lag(F.struct("_phase")).over(job)                    # the last phase in the partitions before
+    is_change = ~F.col("_head") | F.col("_b").isNull() | ~F.col("_b._phase").eqNullSafe(F.col("_phase"))
+    ends = ends.withColumn("_b", before).withColumn("_is", is_change)
+    # the first change that an end row knows of: itself, or the next in its partition
+    knows = F.when(F.col("_is"), F.struct("_ts")).when(~F.col("_tail") & F.col("_next").isNotNull(), F.struct(F.col("_next").alias("_ts")))
+    later = job.rowsBetween(1, Window.unboundedFollowing)
+    ends = (ends.withColumn("_knows", knows).withColumn("_later", F.first("_knows", ignorenulls=True).over(later)).where("_is")
+            .withColumn("_prev", F.when(F.col("_head"), F.col("_b._phase")).otherwise(F.col("_prev")))
+            .withColumn("_next", F.when(F.col("_tail"), F.col("_later._ts")).otherwise(F.col("_next"))))
+    cols = [*names, "_ts", "_phase", "_prev", "_next"]
+    out = found.where("NOT (_head OR _tail)").select(*cols).unionByName(ends.select(*cols))
+    return out.select(*(F.col(a).alias(k) for k, a in zip(keys, names)), F.col("_ts").alias(ts), F.col("_phase").alias(phase),
+                      F.col("_prev").alias("prev_phase"), F.col("_next").alias("next_change_ts"),
+                      F.expr("timestampdiff(MICROSECOND, _ts, _next)").alias("micros_in_phase"))

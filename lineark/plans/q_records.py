@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lineark.functions import text
 from lineark.operators import params, records, resolve, series
-from lineark.plans.fixtures import fixture, with_views
+from lineark.plans.fixtures import fixture, table, with_views
 from lineark.plans.q_resolve import _items, _resolved, _sql
 from lineark.plans.q_workflow import _REPORT
 from lineark.plans.registry import query
@@ -129,6 +129,57 @@ def q_record_json(spark, sf_dir):
     return records.job_json(jobs.select("job_id", "start_ts", "status"), used)
 
 
+_FILES = """,
+m AS (SELECT 'ark:99999/' || split_part(path, '/', 2) AS job_id, path, regexp_extract(path, '([^/]*)$', 1) AS name FROM f_outputs),
+r AS (SELECT job_id, path, name, 'ark:99999/' || substr(sha256('Download|' || job_id || '|' || path), 1, 32) AS download_id,
+             'ark:99999/' || substr(sha256('Dataset|' || job_id || '|' || path), 1, 32) AS dataset_id,
+             json_object('@id', 'ark:99999/' || substr(sha256('Download|' || job_id || '|' || path), 1, 32), '@type', 'Download',
+                         'name', '/results/' || path, 'fileFormat', regexp_extract(name, '([^.]*)$', 1),
+                         'contentUrl', 'objects:9000/results/' || path) AS part FROM m)"""
+
+
+def _minted_files(spark, sf_dir):
+    o = fixture(spark, sf_dir, "f_outputs")
+    return records.mint_outputs(o.select(
+        F.concat(F.lit("ark:99999/"), F.split_part("path", F.lit("/"), F.lit(2))).alias("job_id"), "path"), **STORE)
+
+
+@query("record_json_files", oracle=with_views(["f_outputs"], _FILES + """
+SELECT download_id AS id, CAST(part AS VARCHAR) AS doc FROM r
+UNION ALL
+SELECT dataset_id, CAST(json_object('@id', dataset_id, '@type', 'Dataset', 'name', name,
+                                    'evi:generatedBy', json_object('@id', job_id), 'distribution', json_array(part)) AS VARCHAR) FROM r"""))
+def q_record_json_files(spark, sf_dir):
+    """JSON-LD documents of the Download and the Dataset of every output file."""
+    minted = _minted_files(spark, sf_dir)
+    return records.download_json(minted).unionByName(records.dataset_json(minted))
+
+
+@query("record_json_software", oracle="""
+SELECT 'part-' || CAST(p_partkey AS VARCHAR) AS id, 'SoftwareSourceCode' AS type, p_name AS name, p_type AS interface,
+       CASE p_partkey % 3 WHEN 1 THEN CAST(p_partkey AS VARCHAR) WHEN 2 THEN CAST(p_partkey AS VARCHAR) || ';' || p_name END AS citation
+FROM part""")
+def q_record_json_software(spark, sf_dir):
+    """JSON-LD documents of software entries with no, one or two citations, read back as flat columns."""
+    part = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("interface"),
+        F.slice(F.array(F.col("p_partkey").cast("string"), "p_name"), 1, (F.col("p_partkey") % 3).cast("int")).alias("cites"))
+    back = records.read_documents(records.software_json(part, citation="cites"))
+    return back.select("id", "type", "name", "interface", F.array_join("citation", ";").alias("citation"))
+
+
+@query("open_fields", oracle=with_views(["f_dataset_docs"], """
+SELECT id, field, CASE WHEN NOT contains(value, '{') THEN value END AS value, length(value) AS n_chars
+FROM (SELECT dataset_id AS id, field, CAST(json_extract(doc, '$."' || field || '"') AS VARCHAR) AS value
+      FROM (SELECT dataset_id, doc, unnest(json_keys(doc)) AS field FROM f_dataset_docs) t WHERE field <> 'name') u"""))
+def q_open_fields(spark, sf_dir):
+    """The fields of every dataset document beside its name, one row each (objects by their text's length,
+    since a VARIANT sorts their keys)."""
+    out = records.open_fields(fixture(spark, sf_dir, "f_dataset_docs"), ["name"], id_col="dataset_id")
+    return out.select("id", "field", F.when(~F.contains("value", F.lit("{")), F.col("value")).alias("value"),
+                      F.length("value").cast("bigint").alias("n_chars"))
+
+
 @query("lookup_or_insert", oracle=with_views(["f_interfaces", "f_catalogue"], f"""
 SELECT i.node, i.interface, coalesce(c.id, {_mint_sql('Software', 'i.interface')}) AS id, c.id IS NULL AS is_new
 FROM f_interfaces i LEFT JOIN f_catalogue c ON c.interface = i.interface"""))

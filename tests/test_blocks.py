@@ -2,8 +2,10 @@
 
 import math
 import random
+from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from lineark.operators import arraymath as am
 from lineark.operators import blocks, series
@@ -108,3 +110,65 @@ def test_first_zero_lag_of_large_numbers(spark):
     y = [10 ** 12 + (1 if i % 4 < 2 else -1) for i in range(40)]
     df = spark.createDataFrame([("s", i, Decimal(v)) for i, v in enumerate(y)], "sid string, ts long, y decimal(20,0)")
     assert series.first_zero_lag(df, "sid", "y", ["ts"]).first().tau == _first_zero(y)
+
+
+def test_lag_triples_match_loops(spark, small_blocks, small_batches):
+    r = random.Random(8)
+    cases = {"a": [r.choice([None, *range(9)]) for _ in range(230)], None: list(range(25)), "b": [1, 2], "c": [None] * 9}
+    rows = [(k, i, v) for k, y in cases.items() for i, v in enumerate(y)]
+    df = spark.createDataFrame(rows, "sid string, ts long, y int").repartition(3)
+    got = sorted((x.sid or "", x.i, x.y0, x.y1, x.y2) for x in series.lag_triples(df, "sid", "y", ["ts"], 3).collect())
+    want = sorted((k or "", i, y[i], y[i + 3], y[i + 6]) for k, y in cases.items() for i in range(len(y) - 6)
+                  if None not in (y[i], y[i + 3], y[i + 6]))
+    assert got == want
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_status_changes_over_partition_borders(spark, small_batches, parts):
+    r = random.Random(parts)
+    rows = [("hot", i, "Running" if 30 < i < 330 else r.choice(["Pending", "Running", None])) for i in range(400)]
+    rows += [("still", i, "Pending") for i in range(200)] + [("nulls", i, None) for i in range(50)]
+    rows += [(k, i, r.choice("ab")) for k in [None, *(f"s{j}" for j in range(20))] for i in range(r.randint(1, 6))]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "job string, ts long, phase string").withColumn("at", F.timestamp_seconds("ts").cast("timestamp_ntz"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        out = series.status_changes(df, "job", "phase", ["ts"], "at").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    got = {(x.job, int((x["at"] - datetime(1970, 1, 1)).total_seconds())): (x.phase, x.prev_phase, x.micros_in_phase) for x in out}
+    want = {}
+    for k in {k for k, _, _ in rows}:
+        feed = sorted(((i, p) for j, i, p in rows if j == k), key=lambda x: x[0])
+        hits = [n for n in range(len(feed)) if n == 0 or feed[n][1] != feed[n - 1][1]]
+        for n, nxt in zip(hits, [*hits[1:], None]):
+            want[k, feed[n][0]] = (feed[n][1], feed[n - 1][1] if n else None, None if nxt is None else (feed[nxt][0] - feed[n][0]) * 1_000_000)
+    assert got == want and len(out) == len(want)
+
+
+def test_quantiles_by_counts(spark):
+    import numpy as np
+    r = np.random.RandomState(4)
+    cases = {"wide": r.randn(301) * 10.0 ** r.randint(-200, 200, 301), "ties": r.randint(-2, 3, 500) / 2, "one": [3.5], "two": [-1.0, 4.0],
+             None: r.rand(64), "near": 1 + np.arange(90) * 2.0 ** -52, "zero": [0.0, -0.0, -5e-324, 5e-324], "inf": [float("-inf"), 1.0, 2.0]}
+    rows = [(k, float(v)) for k, vs in cases.items() for v in vs] + [("one", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    out = am.exact_quantiles(df, "k", "v", {"a": 0.0, "median": 0.5, "p90": 0.9, "z": 1.0})
+    got = {x.k: (x.a, x.median, x.p90, x.z) for x in out.collect()}
+    assert set(got) == set(cases)
+    for k, vs in cases.items():
+        if k == "inf":
+            assert got[k][0] == float("-inf") and got[k][1] == 1.0 and got[k][3] == 2.0
+        else:
+            assert got[k] == pytest.approx(tuple(np.percentile(vs, [0, 50, 90, 100])), rel=1e-12, abs=0), k
+    nan = spark.createDataFrame([("n", 1.0), ("n", float("nan")), ("n", -float("nan"))], "k string, v double")
+    x = am.exact_quantiles(nan, "k", "v", {"lo": 0.0, "hi": 1.0}).first()
+    assert x.lo == 1.0 and math.isnan(x.hi)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
+def test_quantiles_shuffle_counts_only(spark):
+    df = spark.range(0, 200_000, 1, 4).selectExpr("id % 2 as k", "cast(id % 1000 as double) as v")
+    assert [tuple(x) for x in am.exact_quantiles(df, "k", "v", {"m": 0.5}).orderBy("k").collect()] == [(0, 499.0), (1, 500.0)]

@@ -284,3 +284,37 @@ def test_sweep_with_many_combinations(spark):
     # more combinations than an INT holds are still numbered
     many = spark.createDataFrame([("m", f"p{k:02d}", i, str(i)) for k in range(33) for i in range(2)], "node string, param string, pos int, value string")
     assert params.param_sweep(many.where("param < 'p16'")).count() == 16 * 2**16
+
+
+def test_documents_of_four_kinds_read_back(spark):
+    import json
+    outs = spark.createDataFrame([("ark:1/j", "a/b.csv"), ("ark:1/j", None)], "job_id string, path string")
+    minted = records.mint_outputs(outs, "store:9000", "/results/")
+    m = minted.where("error IS NULL").first()
+    part = (m.download_id, "/results/a/b.csv", "csv", "store:9000/results/a/b.csv")
+    d = records.read_documents(records.dataset_json(minted)).collect()
+    assert [(x.id, x.type, x.name, x.generated_by, [tuple(p) for p in x.distribution]) for x in d] == [
+        (m.dataset_id, "Dataset", "b.csv", "ark:1/j", [(part[0], part[1], part[2], part[3])])]
+    w = records.read_documents(records.download_json(minted)).first()
+    assert (w.id, w.type, w.name, w.distribution) == (m.download_id, "Download", "/results/a/b.csv", None)
+    soft = spark.createDataFrame([("s1", "n", "i", ["x"]), ("s2", "n", "i", ["x", "y, z"]), ("s3", "n", "i", []), ("s4", "n", None, None)],
+                                 "id string, name string, interface string, cites array<string>")
+    docs = records.software_json(soft, citation="cites")
+    raw = {r.id: json.loads(r.doc).get("citation") for r in docs.collect()}
+    assert raw == {"s1": "x", "s2": ["x", "y, z"], "s3": None, "s4": None}
+    back = {r.id: (r.type, r.interface, r.citation) for r in records.read_documents(docs).collect()}
+    assert back == {"s1": ("SoftwareSourceCode", "i", ["x"]), "s2": ("SoftwareSourceCode", "i", ["x", "y, z"]),
+                    "s3": ("SoftwareSourceCode", "i", None), "s4": ("SoftwareSourceCode", None, None)}
+    jobs = spark.createDataFrame([("j1", None, "Running"), ("j2", None, "Failed")], "job_id string, start_ts timestamp_ntz, status string")
+    used = spark.createDataFrame([("j1", "usedDataset", 2, "d2"), ("j1", "usedDataset", 1, "d1"), ("j1", "usedSoftware", 1, "s"),
+                                  ("j1", "usedSoftware", 2, "c"), ("j2", "usedSoftware", 1, "s")], "job_id string, role string, pos long, ref_id string")
+    runs = {r.status: (r.used, r.software) for r in records.read_documents(records.job_json(jobs, used)).collect()}
+    assert runs == {"Running": (["d1", "d2"], ["s", "c"]), "Failed": ([], ["s"])}
+
+
+def test_open_fields_and_bad_documents(spark):
+    docs = spark.createDataFrame([("a", '{"name":"n","x":1,"y":[1,2],"z":null}'), ("b", "not json"), ("c", "[1]"), ("d", None), ("e", "{}")], "id string, doc string")
+    got = sorted((r.id, r.field, r.value) for r in records.open_fields(docs, ["name"]).collect())
+    assert got == [("a", "x", "1"), ("a", "y", "[1,2]"), ("a", "z", "null")]
+    flat = {r.name for r in records.read_documents(docs).collect()}
+    assert flat == {"n", None}
