@@ -45,3 +45,42 @@ def run_job(spark: SparkSession, fn: Callable[[DataFrame, dict], DataFrame], inp
     result = fn(df, dict(params or {}))
     sink_result(result, output, fmt=out_fmt)
     return spark.read.format(out_fmt).schema(result.schema).load(output)
+
+
+def run_recorded_job(spark: SparkSession, fn: Callable[[DataFrame, dict], DataFrame], inputs: dict[str, str], output: str,
+                     job_id: str, script_id: str, records_dir: str, params: dict | None = None, fmt: str = "csv",
+                     out_fmt: str = "csv", store_url: str = "", job_type: str = "spark") -> DataFrame | None:
+    """:func:`run_job` that leaves its record.  ``inputs`` maps dataset IDs to paths.
+
+    Under ``records_dir`` it writes, each as one folder per job so that a repeated run replaces it:
+    ``runs`` (``job_id, job_type, start_ts, end_ts, status, logs, parameters``), ``used`` (``job_id, role, pos,
+    ref_id``, as :func:`records.used_datasets`) and, after success, ``outputs`` (the minted records of the files
+    written).  The run and what it uses are written as ``Running`` before it begins; a
+    failing ``fn`` or write leaves ``Failed`` with the error as the log, and None is returned."""
+    from datetime import datetime, timezone
+    from urllib.parse import quote
+
+    from lineark.operators import records
+    from lineark.sources.files import list_objects
+    folder = lambda name: f"{records_dir.rstrip('/')}/{name}/job={quote(job_id, safe='')}"
+    began = datetime.now(timezone.utc).replace(tzinfo=None)
+
+    def run_row(status: str, logs: str | None, end) -> None:
+        spark.createDataFrame([(job_id, job_type, began, end, status, logs, dict(params or {}))],
+                              "job_id string, job_type string, start_ts timestamp_ntz, end_ts timestamp_ntz, status string, logs string, "
+                              "parameters map<string,string>").coalesce(1).write.mode("overwrite").parquet(folder("runs"))
+
+    items = spark.createDataFrame([(job_id, i, d) for i, d in enumerate(inputs)], "job_id string, pos long, dataset_id string")
+    job = spark.createDataFrame([(job_id, script_id, None, job_type)], "job_id string, script_id string, container_id string, job_type string")
+    records.used_datasets(items, job).write.mode("overwrite").parquet(folder("used"))
+    run_row("Running", None, None)
+    try:
+        result = run_job(spark, fn, list(inputs.values()), output, params, fmt=fmt, out_fmt=out_fmt)
+    except Exception as e:          # whatever the user's function raises belongs in the record
+        run_row("Failed", str(e) or type(e).__name__, datetime.now(timezone.utc).replace(tzinfo=None))
+        return None
+    base = output.rstrip("/")
+    files = list_objects(spark, base).select(F.lit(job_id).alias("job_id"), F.element_at(F.split("path", "/"), -1).alias("path"))
+    records.mint_outputs(files, store_url, base + "/").write.mode("overwrite").parquet(folder("outputs"))
+    run_row("Finished", None, datetime.now(timezone.utc).replace(tzinfo=None))
+    return result
