@@ -6,7 +6,8 @@ stands for ``a`` to ``b`` words of any wording (1 to 3 where not given).  Each t
 compiles to a token automaton: states between words, an edge per mandatory word, a skip edge
 over an optional region and wildcard edges for a replaceable one.  A text is accepted at
 a place when the automaton reaches its end from there, so every mandatory word matched
-exactly, in order, without gaps.
+exactly, in order, without gaps.  ``TEMPLATES`` are short notices, ``license_texts.LICENSES`` whole
+licenses; a text that continues a shorter license (X11 after MIT) is accepted as both.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineark.llm.common import as_bytes, map_rows
+from lineark.llm.license_texts import LICENSES
 
 # Phrases whose places are counted, with their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -114,7 +116,7 @@ class Automaton:
             at += 1
 
 
-def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, id_col: str = "doc_id",
+def license_scan(docs: DataFrame, templates=TEMPLATES + LICENSES, phrases=PHRASES, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """License notices in every whole text.
 
