@@ -1,6 +1,7 @@
 """Tasks keep their size when the input grows; loops move only what changes."""
 
 from lineark import session
+from lineark.operators import graph
 
 
 def test_bounds_of_a_task(spark):
@@ -19,3 +20,17 @@ def test_bounds_of_a_task(spark):
     finally:
         for k, v in zip(keys, before):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_a_join_on_stored_edges_shuffles_the_other_side_only(spark):
+    import contextlib
+    import io
+    edges = spark.range(5000).selectExpr("id AS node", "id * 7 % 5000 AS next")
+    front = spark.range(0, 5000, 3).selectExpr("id AS root", "id * 3 % 5000 AS node")
+    with graph._stored_edges(edges, "node") as adj:
+        joined = front.join(adj.hint("merge"), "node")
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            joined.explain()
+        assert text.getvalue().count("Exchange hashpartitioning") == 1, text.getvalue()
+        assert joined.count() == 1667
