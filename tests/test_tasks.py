@@ -34,3 +34,16 @@ def test_a_join_on_stored_edges_shuffles_the_other_side_only(spark):
             joined.explain()
         assert text.getvalue().count("Exchange hashpartitioning") == 1, text.getvalue()
         assert joined.count() == 1667
+
+
+def test_distances_of_more_pairs_than_ends(spark):
+    """A hub with many pairs through it, asked for densely and sparsely: the same distances."""
+    n = 12
+    edges = [(i, 100) for i in range(n)] + [(100, 200 + i) for i in range(n)] + [(200, 300), (300, 0)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    dense = [(i, 200 + j) for i in range(n) for j in range(n)] + [(i, j) for i in range(n) for j in range(n)] + [(200, 201)]
+    sparse = [(i, 200 + i) for i in range(n)]
+    want = lambda a, b: 0 if a == b else 2 if a < 100 <= b else 4 if (a, b) == (200, 201) else 4 if b == 0 else None
+    for pairs in (dense, sparse):
+        got = {(x.root, x.node): x.dist for x in graph.distances(df, spark.createDataFrame(pairs, "root long, node long")).collect()}
+        assert got == {p: want(*p) for p in pairs}, got
