@@ -52,13 +52,16 @@ def _chains(edges: DataFrame, single: DataFrame) -> DataFrame:
     """``(node, anc, w)`` for the nodes ``single(node, pred)`` with one predecessor: ``anc`` is the nearest
     ancestor with none or several, ``w`` steps back.  Pointers double each round, so a chain of n
     nodes takes log n rounds.  A pointer that still moves then runs in a cycle: its ``anc`` is NULL."""
-    jump = single.select("node", F.col("pred").alias("anc"), F.lit(1).cast("bigint").alias("w")).checkpoint()
-    rounds = max(jump.count(), 1).bit_length() + 1
+    jump = single.select("node", F.col("pred").alias("anc"), F.lit(1).cast("bigint").alias("w"))
+    jump = _stored(jump, "chains")
+    rounds = jump.count().bit_length() + 1
+    if rounds == 1:
+        return jump
     for r in range(rounds):
         ahead = jump.select(F.col("node").alias("_n"), F.col("anc").alias("_a"), F.col("w").alias("_w"))
         moved = jump.join(ahead, F.col("anc") == F.col("_n"), "left")
-        nxt = moved.select("node", F.coalesce("_a", "anc").alias("anc"), (F.col("w") + F.coalesce("_w", F.lit(0))).alias("w"),
-                           F.col("_n").isNotNull().alias("_moved")).checkpoint()
+        nxt = _stored(moved.select("node", F.coalesce("_a", "anc").alias("anc"), (F.col("w") + F.coalesce("_w", F.lit(0))).alias("w"),
+                                   F.col("_n").isNotNull().alias("_moved")), "chains")
         jump = nxt.select("node", "anc", "w")
         if not nxt.where("_moved").take(1):
             return jump
@@ -76,8 +79,12 @@ def peel_levels(edges: DataFrame, src: str = "src", dst: str = "dst") -> tuple[D
     carries).  The edges are written once, by bucket of their source; a round reads only the
     buckets of the nodes that it finishes, and writes those and the nodes that still wait.
     """
-    spark = edges.sparkSession
-    every = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct().checkpoint()
+    return _peel(_stored(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct(), "every"))
+
+
+def _peel(every: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`peel_levels` of stored, distinct edges ``(src, dst)``."""
+    spark = every.sparkSession
     nodes = _nodes(every, "src", "dst")
     e = every.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     into = e.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_in"), F.min("src").alias("pred"))
@@ -138,54 +145,56 @@ def cycle_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> Da
     """The nodes that lie on a cycle, ``(node, component)``; ``component`` is the smallest node of those that
     reach each other.  Nodes merely behind a cycle, or between two, are not listed.
 
-    What can be peeled from the roots and from the leaves goes first.  Then, in turns: every node takes the
-    smallest node that reaches it as colour; the nodes that reach their colour's own node, inside the
-    colour, are its component.  All colours work at once; each turn settles one component a colour."""
+    What can be peeled from the roots and from the leaves goes first, from the side with more free ends to begin
+    with.  Then, in turns: every node takes the smallest node that reaches it and the smallest that it reaches.
+    Where both are the same node, the node belongs to that one's component; nodes of one component agree in
+    both, so an edge between nodes that do not is dropped.  Every piece that the dropped edges leave settles
+    at least its smallest node's component in the next turn, all pieces at once."""
     def inside(e, nodes):
-        return (e.join(nodes.select(F.col("node").alias("src")), "src", "left_semi")
-                .join(nodes.select(F.col("node").alias("dst")), "dst", "left_semi"))
-
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
+        return _stored(e.join(nodes.select(F.col("node").alias("src")), "src", "left_semi")
+                       .join(nodes.select(F.col("node").alias("dst")), "dst", "left_semi"), "edges")
+
+    e = _stored(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL").distinct(), "edges")
+    forth, back = ("src", "dst"), ("dst", "src")
+    more_leaves = e.select("src").distinct().count() < e.select("dst").distinct().count()
+    for a, b in (back, forth) if more_leaves else (forth, back):
+        e = inside(e, _peel(e.select(F.col(a).alias("src"), F.col(b).alias("dst")))[1])
     found = []
-    while True:
-        e = inside(e, peel_levels(e, "src", "dst")[1]).checkpoint()
-        e = inside(e, peel_levels(e, "dst", "src")[1]).checkpoint()
-        if not e.take(1):
-            break
-        colour = _nodes(e, "src", "dst").select("node", F.col("node").alias("colour"))
-        while True:                      # the smallest colour spreads along the edges; only changes are sent on
-            sent = e.join(colour.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(F.min("colour").alias("_c"))
-            nxt = colour.join(sent, "node", "left").select(
-                "node", F.least("colour", F.coalesce("_c", "colour")).alias("colour"),
-                (F.col("_c") < F.col("colour")).alias("_less")).checkpoint()
-            colour = nxt.select("node", "colour")
-            if not nxt.where("_less").take(1):
-                break
-        near = e.join(colour.select(F.col("node").alias("src"), F.col("colour").alias("_s")), "src") \
-            .join(colour.withColumnRenamed("node", "dst"), "dst").where("_s = colour").select("src", "dst", "colour").checkpoint()
-        # back from each colour's own node
-        front = colour.where("node = colour").checkpoint()
-        members = front
-        while True:
-            front = (near.join(front.select(F.col("node").alias("dst"), "colour"), ["dst", "colour"])
-                     .select(F.col("src").alias("node"), "colour").distinct()
-                     .join(members, ["node", "colour"], "left_anti").checkpoint())
-            if not front.take(1):
-                break
-            members = members.unionByName(front).checkpoint()
-        # a colour's own node need not be on a cycle by itself: it is if one of its edges stays inside
-        members = members.select("node", F.col("colour").alias("component"))
-        both = near.join(members.select(F.col("node").alias("src"), F.col("component").alias("_a")), "src") \
-            .join(members.select(F.col("node").alias("dst"), F.col("component").alias("_b")), "dst").where("_a = _b")
-        found.append(members.join(both.select(F.col("_a").alias("component")).distinct(), "component", "left_semi").select("node", "component").checkpoint())
-        e = e.join(members.select(F.col("node").alias("src")), "src", "left_anti").join(
-            members.select(F.col("node").alias("dst")), "dst", "left_anti").checkpoint()
+    while e.take(1):
+        label = _labels(e)
+        ends = lambda end, fore, aft: label.select(F.col("node").alias(end), F.col("fore").alias(fore), F.col("aft").alias(aft))
+        near = _stored(e.join(ends("src", "fore", "aft"), "src").join(ends("dst", "_f", "_a"), "dst")
+                       .where("fore = _f AND aft = _a").select("src", "dst", "fore", "aft"), "edges")
+        # a node that only reaches itself need not be on a cycle: it is if one of its edges stays inside
+        whole = near.where("fore = aft").select(F.col("fore").alias("component")).distinct()
+        found.append(label.where("fore = aft").select("node", F.col("fore").alias("component")).join(whole, "component", "left_semi").select("node", "component"))
+        e = near.where("fore <> aft").select("src", "dst")
     out = found[0] if found else _nodes(e, "src", "dst").select("node", F.col("node").alias("component"))
     for f in found[1:]:
         out = out.unionByName(f)
     return out
 
 
+def _labels(e: DataFrame) -> DataFrame:
+    """``(node, fore, aft)`` of the edges' nodes: the smallest node that reaches it and the smallest that it
+    reaches, itself included.  The edges are stored once, both ways; a round sends on only what has changed."""
+    label = _stored(_nodes(e, "src", "dst").select("node", F.col("node").alias("fore"), F.col("node").alias("aft")), "labels")
+    arcs = e.select("src", F.col("dst").alias("to"), F.lit(True).alias("forth")).unionByName(
+        e.select(F.col("dst").alias("src"), F.col("src").alias("to"), F.lit(False).alias("forth")))
+    with _stored_edges(arcs, "src") as arcs:
+        front = label
+        while True:
+            sent = (front.withColumnRenamed("node", "src").join(arcs, "src").groupBy(F.col("to").alias("node"))
+                    .agg(F.min(F.when(F.col("forth"), F.col("fore"))).alias("_f"), F.min(F.when(~F.col("forth"), F.col("aft"))).alias("_a")))
+            # least() passes over NULLs
+            nxt = _stored(label.join(sent, "node", "left").select(
+                "node", F.least("fore", "_f").alias("fore"), F.least("aft", "_a").alias("aft"),
+                (F.coalesce(F.col("_f") < F.col("fore"), F.lit(False)) | F.coalesce(F.col("_a") < F.col("aft"), F.lit(False))).alias("_less")), "labels")
+            label, front = nxt.select("node", "fore", "aft"), nxt.where("_less").select("node", "fore", "aft")
+            if not front.take(1):
+                return label
+
+
 def ordered_index(levels: DataFrame, node: str = "node", level: str = "level") -> DataFrame:
     """Running index in topological order (by level, then node) and the display
     name ``<index zero-padded to ceil(log10 n)>_<node>``.  The index comes from

@@ -47,3 +47,19 @@ def test_distances_of_more_pairs_than_ends(spark):
     for pairs in (dense, sparse):
         got = {(x.root, x.node): x.dist for x in graph.distances(df, spark.createDataFrame(pairs, "root long, node long")).collect()}
         assert got == {p: want(*p) for p in pairs}, got
+
+
+def test_components_behind_each_other_take_no_turn_each(spark):
+    """Cycles in a row are settled together: the number of jobs does not grow with their number."""
+    def jobs(n):
+        rings = [x for i in range(n) for x in ((10 * i, 10 * i + 1), (10 * i + 1, 10 * i), (10 * i + 1, 10 * i + 5), (10 * i + 5, 10 * i + 10))]
+        group = f"rings {n}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            got = {r.node: r.component for r in graph.cycle_components(spark.createDataFrame(rings + [(0, 0), (3, 3), (-5, -4)], "src long, dst long")).collect()}
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert got == {10 * i + j: 10 * i for i in range(n) for j in (0, 1)} | {3: 3}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    # only the rounds in which the smallest node spreads get more
+    assert jobs(6) < 2 * jobs(2)
