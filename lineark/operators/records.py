@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lineark.functions.ids import DEFAULT_NS, mint_id
 from lineark.functions.paths import file_format, file_name
 from lineark.functions.text import to_record_time
+from lineark.session import scratch_path
 
 # Record vocabulary.
 EVI = "evi:"
@@ -268,7 +269,7 @@ def upsert_table(spark, path: str, updates: DataFrame, key: str = "job_id",
 
     Only the partitions the updates touch are read (a semi join on the
     partition columns, which partition pruning turns into a directory filter)
-    and rewritten; the merged rows are checkpointed first, so the table is
+    and rewritten; the merged rows are written to the shared folder first, so the table is
     never overwritten while it is being read.  Updates must carry the
     partition columns.  Returns the rewritten rows."""
     parts = partition_by or ["job_type"]
@@ -284,6 +285,8 @@ def upsert_table(spark, path: str, updates: DataFrame, key: str = "job_id",
         fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema.fields
                 if f.name not in new_rows.columns]
         merged = merged.unionByName(new_rows.select(*new_rows.columns, *fill).select(*merged.columns))
-    merged = merged.checkpoint()
+    merged_path = scratch_path(spark, "merged")
+    merged.write.parquet(merged_path)
+    merged = spark.read.schema(merged.schema).parquet(merged_path)
     write_records(merged, path, parts)
     return merged

@@ -91,7 +91,7 @@ def q_finalise_records(spark, sf_dir):
     spark.createDataFrame([], completion.LEDGER).write.json(ledger)
     listing = lambda s: fixture(s, sf_dir, "f_outputs").select(
         F.concat(F.lit("ark:99999/"), F.split_part("path", F.lit("/"), F.lit(2))).alias("job_id"), "path")
-    write = completion.record_writer(listing, table_dir, ledger, id_prefix="ark:99999/job-", **STORE)
+    write = completion.record_writer(listing, table_dir, ledger, id_prefix="ark:99999/job-", session=spark, **STORE)
     for part in (first, second):
         part.write.mode("append").parquet(src)
         completion.run_records(spark, src, schema, ckpt, write)

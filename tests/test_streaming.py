@@ -105,3 +105,44 @@ def test_records_are_equal_however_often_a_batch_runs(spark):
     got = {r.job_id: r for r in spark.read.parquet(table_dir).collect()}
     assert got["1"].status == "Succeeded" and len(got["1"].supports) == 2 and got["2"].supports == ["old"]
     assert got["3"].job_type == "unknown" and got["3"].status == "Failed" and got["9"].status == "Running"
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    """The keyed state of a batch runs once, however often the finalising body uses its rows."""
+    from lineark.operators import records
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(pdfs):
+        for pdf in pdfs:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = [(1, 10, "Succeeded"), (2, 11, "Failed"), (7, 12, "Succeeded")]
+    batch = spark.createDataFrame(rows, "job_id long, ts long, phase string").mapInPandas(count, "job_id long, ts long, phase string")
+    outputs = spark.createDataFrame([("j1", "a/x.csv"), ("j1", "a/y.csv"), ("j9", "b/z.csv"), (None, "c")], "job_id string, path string")
+    completion.finalise_batch_writer(outputs, str(tmp_path / "final"), "s", "/r/", "j")(batch, 0)
+    got = {r.job_id: (r.status, r.end_ts, r.n_outputs) for r in spark.read.parquet(str(tmp_path / "final")).collect()}
+    assert got == {"j1": ("Succeeded", 10, 2), "j2": ("Failed", 11, 0), "j7": ("Succeeded", 12, 0)}
+    assert seen.value == len(rows)
+    completion.finalise_batch_writer(outputs, str(tmp_path / "none"), "s", "/r/", "j")(batch.where("job_id > 7"), 0)
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+
+    table, ledger = str(tmp_path / "records"), str(tmp_path / "ledger")
+    base = spark.createDataFrame([("j1", "a", "Running", None, None, None), ("j3", "b", "Running", None, None, ["o"])],
+                                 "job_id string, job_type string, status string, logs string, end_ts long, supports array<string>")
+    records.write_records(base, table, ["job_type"])
+    spark.createDataFrame([], completion.LEDGER).write.json(ledger)
+    seen.value = 0
+    completion.record_writer(lambda s: outputs, table, ledger, "s", "/r/", "j")(batch, 0)
+    got = {r.job_id: (r.job_type, r.status, r.end_ts, len(r.supports or [])) for r in spark.read.parquet(table).collect()}
+    assert got == {"j1": ("a", "Succeeded", 10, 2), "j2": ("unknown", "Failed", 11, 0), "j3": ("b", "Running", None, 1),
+                   "j7": ("unknown", "Succeeded", 12, 0)}
+    assert seen.value == len(rows)
+
+
+def test_earliest_row_is_that_of_a_sort():
+    import pandas as pd
+    t = pd.to_datetime(["2024-01-02", None, "2024-01-01", "2024-01-01"])
+    for event in ([1, 2, 9, 3], [1.0, 2.0, None, 3.0], ["a", "b", None, "c"], ["a", "b", "d", "c"]):
+        pdf = pd.DataFrame({"job_id": 1, "event_id": event, "ts": t, "phase": "Failed"})
+        assert completion._earliest(pdf).index[0] == pdf.sort_values(["ts", "event_id"]).index[0] == 3
