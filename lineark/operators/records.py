@@ -237,9 +237,19 @@ def id_map_merge(known: DataFrame, new: DataFrame, path: str = "path", id_col: s
 def outputs_minus_inputs(known: DataFrame, inputs: DataFrame, listed: DataFrame,
                          job: str = "job_id", id_col: str = "id") -> DataFrame:
     """Known IDs of a job that are neither its inputs nor already listed."""
-    return (known.select(job, id_col).distinct()
-            .join(inputs.select(job, id_col), [job, id_col], "left_anti")
-            .join(listed.select(job, id_col), [job, id_col], "left_anti"))
+    marked = _marked(known, inputs, listed, job, id_col)
+    return marked.where(marked["_other"]).select(job, id_col)
+
+
+def _marked(known: DataFrame, inputs: DataFrame, listed: DataFrame, job: str, id_col: str) -> DataFrame:
+    """Every ``(job, id)`` once, with ``_listed`` and ``_other`` (known, but neither an input nor listed): one shuffle
+    of all three sides.  A NULL job or ID equals none, so such a known row is always another."""
+    rows = [df.select(job, id_col, *[F.lit(k == i).alias(c) for k, c in enumerate(("_k", "_i", "_l"))])
+            for i, df in enumerate((known, inputs, listed))]
+    sides = rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy(job, id_col).agg(
+        F.bool_or("_k").alias("_k"), F.bool_or("_i").alias("_i"), F.bool_or("_l").alias("_listed"))
+    alone = F.col(job).isNull() | F.col(id_col).isNull() | ~(F.col("_i") | F.col("_listed"))
+    return sides.select(job, id_col, "_listed", (F.col("_k") & alone).alias("_other"))
 
 
 def supports_list(outputs: DataFrame, known: DataFrame, inputs: DataFrame, job: str = "job_id",
@@ -249,10 +259,10 @@ def supports_list(outputs: DataFrame, known: DataFrame, inputs: DataFrame, job:
     ID that is not an input.  ``(job, id, kind)`` with kind ``output``/``other``."""
     kn = known.select(job, path, F.col(id_col).alias("_kid"))
     outs = (outputs.select(job, path).join(kn, [job, path], "left")
-            .select(job, F.coalesce("_kid", file_id(job, path)).alias(id_col))
-            .distinct().withColumn("kind", F.lit("output")))
-    other = outputs_minus_inputs(known, inputs, outs, job, id_col).withColumn("kind", F.lit("other"))
-    return outs.unionByName(other)
+            .select(job, F.coalesce("_kid", file_id(job, path)).alias(id_col)))
+    # a row is both only where its job or ID is NULL
+    kinds = F.array_compact(F.array(F.when(F.col("_listed"), F.lit("output")), F.when(F.col("_other"), F.lit("other"))))
+    return _marked(known, inputs, outs, job, id_col).select(job, id_col, F.explode(kinds).alias("kind"))
 
 
 def write_records(df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite") -> None:

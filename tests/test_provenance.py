@@ -58,3 +58,21 @@ def test_list_objects_without_match(spark, tmp_path):
     (tmp_path / "a[1].txt").write_text("x")
     assert files.list_objects(spark, str(tmp_path), prefix="absent").count() == 0
     assert files.list_objects(spark, str(tmp_path), prefix="a[1]").count() == 1
+
+
+def test_supports_in_one_pass(spark):
+    """Outputs, known IDs and inputs meet in one shuffle; rows with a NULL job or ID equal nothing."""
+    rows = lambda data, cols: spark.createDataFrame(data, ", ".join(f"{c} string" for c in cols.split()))
+    files = rows([("a", "p"), ("a", "p"), ("a", "q"), (None, "p")], "job_id path")
+    known = rows([("a", "p", "P"), ("a", "x", "X"), ("a", "x", "X"), ("a", "i", "I"), ("b", "y", "Y"), (None, "p", "P"), ("b", "z", None)], "job_id path id")
+    inputs = rows([("a", "I"), ("b", "P"), (None, "P"), ("b", None)], "job_id id")
+    listed = records.supports_list(files, known, inputs)
+    got = sorted(((r.job_id, r.id, r.kind) for r in listed.collect()), key=str)
+    new = lambda job, path: spark.createDataFrame([(job, path)], "j string, p string").select(records.file_id("j", "p").alias("id")).first().id
+    assert got == sorted([("a", "P", "output"), ("a", new("a", "q"), "output"), (None, new(None, "p"), "output"), ("a", "X", "other"), ("b", "Y", "other"),
+                          (None, "P", "other"), ("b", None, "other")], key=str)
+    left = records.outputs_minus_inputs(known, inputs, rows([("a", "X"), (None, "P")], "job_id id"))
+    assert sorted(((r.job_id, r.id) for r in left.collect()), key=str) == sorted([("a", "P"), ("b", "Y"), (None, "P"), ("b", None)], key=str)
+    for df, most in ((listed, 3), (left, 1)):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("Exchange hashpartitioning") <= most, plan
