@@ -287,10 +287,14 @@ def upsert_table(spark, path: str, updates: DataFrame, key: str = "job_id",
     touched = updates.select(*parts).distinct()
     affected = base.join(touched, parts, "left_semi")
     upd = updates.select(key, *parts, *[c for c in ("status", "logs", "end_ts", "supports") if c in updates.columns])
-    known = upd.join(affected.select(key), key, "left_semi").drop(*parts)
+    # the stored keys that are updated, not all stored keys, are what the updates are told apart by
+    there_path = scratch_path(spark, "there")
+    affected.select(key).join(upd.select(key), key, "left_semi").distinct().write.parquet(there_path)
+    there = spark.read.schema(affected.select(key).schema).parquet(there_path)
+    known = upd.join(there, key, "left_semi").drop(*parts)
     merged = upsert_record(affected, known, key)
     # unknown jobs become new rows, in the partition their update names
-    new_rows = upd.join(affected.select(key), key, "left_anti")
+    new_rows = upd.join(there, key, "left_anti")
     if new_rows.take(1):
         fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema.fields
                 if f.name not in new_rows.columns]
