@@ -34,3 +34,9 @@ def test_no_cross_joins_anywhere(spark):
         plan = _executed(E.queries()[name](spark, SF))
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_requests_are_read_once_and_answers_not_broadcast(spark):
+    plan = _executed(E.queries()["resolve_all_or_fail"](spark, SF)).split("Initial Plan")[0]
+    assert sum("FileScan" in line and "l_orderkey" in line for line in plan.split("\n")) == 1
+    assert "ShuffledHashJoin" in plan

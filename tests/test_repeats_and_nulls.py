@@ -22,6 +22,21 @@ def test_one_answer_per_id_with_repeated_documents(spark):
     assert resolve.image_lookup(spark.createDataFrame([("c",)], "container_id string"), images).count() == 1
 
 
+def test_unknown_and_null_ids_beside_documents_without_entry(spark):
+    docs = spark.createDataFrame([("a", json.dumps({"distribution": []})), ("b", json.dumps({"distribution": [{"@id": "d"}]})), ("b", "{}"),
+                                  ("c", json.dumps({"distribution": [{"@id": "e"}]})), (None, "{}")], "dataset_id string, doc string")
+    pointers = spark.createDataFrame([("d", "p"), (None, "q")], "dist_id string, name string")
+    items = spark.createDataFrame([("j", 3, "a"), ("j", 2, "x"), ("j", 1, "b"), ("k", 1, "b"), ("l", 1, None), ("m", 1, None), ("m", 2, "c"),
+                                   (None, 1, "b")], "job_id string, pos int, dataset_id string")
+    r = resolve.resolve_distribution(items, docs, pointers)
+    assert r.columns == ["dataset_id", "job_id", "pos", "location", "status", "ok"]
+    assert {x.dataset_id: (x.location, x.status) for x in r.collect()} == {
+        "a": (None, resolve.MSG_NO_DIST), "b": ("p", "ok"), "c": (None, resolve.MSG_NO_DIST), "x": (None, resolve.MSG_NO_ID), None: (None, None)}
+    got = {x.job_id: (x.resolved, x.error, x.n_ids) for x in resolve.resolve_all_or_fail(items, docs, pointers).collect()}
+    assert got == {"j": (False, f"x {resolve.MSG_NO_ID}", 3), "k": (True, None, 1), "l": (None, None, 1),
+                   "m": (False, f"c {resolve.MSG_NO_DIST}", 2), None: (True, None, 1)}
+
+
 def test_repeated_jobs_and_records(spark):
     asked = spark.createDataFrame([("x",), ("y",)], "job_id string")
     jobs = spark.createDataFrame([("x", "Succeeded"), ("x", "Running")], "job_id string, phase string")
