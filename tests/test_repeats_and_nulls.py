@@ -1,5 +1,6 @@
 """Repeated rows, NULL keys and values, deep nesting, cycles: answers stay one per key and whole."""
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +38,18 @@ def test_unknown_and_null_ids_beside_documents_without_entry(spark):
                    "m": (False, f"c {resolve.MSG_NO_DIST}", 2), None: (True, None, 1)}
 
 
+def test_each_asked_id_is_resolved_once_and_locations_keep_their_order(spark):
+    url = lambda n: json.dumps({"distribution": {"@type": "DataDownload", "contentUrl": f"minio/b/{n}"}})
+    docs = spark.createDataFrame([(n, url(n)) for n in "abc"], "dataset_id string, doc string")
+    pointers = spark.createDataFrame([], "dist_id string, name string")
+    items = spark.createDataFrame([("j", p, "ba"[p % 2]) for p in range(12)] + [("k", 2, "c"), ("k", 1, "x"), ("l", 1, "a")], "job_id string, pos int, dataset_id string")
+    r = resolve.resolve_distribution(items, docs, pointers)
+    plan = r._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[(dataset_id|id)#\d+\], \[(dataset_id|id)#\d+( AS id#\d+)?\]", plan)     # the distinct IDs that are asked for
+    got = {x.job_id: x.locations for x in resolve.resolve_all_or_fail(items, docs, pointers).collect()}
+    assert got == {"j": ["b/" + "ba"[p % 2] for p in range(12)], "k": None, "l": ["b/a"]}
+
+
 def test_repeated_jobs_and_records(spark):
     asked = spark.createDataFrame([("x",), ("y",)], "job_id string")
     jobs = spark.createDataFrame([("x", "Succeeded"), ("x", "Running")], "job_id string, phase string")
