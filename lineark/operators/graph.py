@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lineark.functions.ids import mint_id
 from lineark.operators import records, workflow
 from lineark.operators.series import with_series_index
-from lineark.session import scratch_path
+from lineark.session import clean_shuffles, discard, scratch_path
 
 
 def _nodes(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -29,23 +29,26 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written once to the shared folder."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with clean_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def _stored_edges(edges: DataFrame, key: str):
-    """The rows as a table bucketed by ``key`` while the block runs: joins on it in a loop shuffle their other
-    side alone.  The files lie in the shared folder."""
+def _stored_edges(edges: DataFrame, key: str, n: int | None = None):
+    """The rows as a table in ``n`` buckets of ``key`` while the block runs: joins on it in a loop shuffle their
+    other side alone.  The files lie in the shared folder until then."""
     spark = edges.sparkSession
     path = scratch_path(spark, "buckets")
     table = path.rsplit("/", 1)[1].replace("-", "_")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges.repartition(n, key).write.bucketBy(n, key).option("path", path).saveAsTable(table)
+    n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with clean_shuffles(spark):
+        edges.repartition(n, key).write.bucketBy(n, key).option("path", path).saveAsTable(table)
     try:
         yield spark.table(table)
     finally:
         spark.sql(f"DROP TABLE {table}")
+        discard(spark, path)
 
 
 def _chains(edges: DataFrame, single: DataFrame) -> DataFrame:
@@ -212,7 +215,7 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",
     """Everything reachable from each root, with the BFS distance: ``(root, node, dist)``.
 
     ``reverse=False`` follows ``src -> dst``; ``reverse=True`` follows edges
-    backwards.  All roots run together (default: every node; with few roots the
+    backwards.  All roots run together (default: every node, see :func:`_all_pairs`; with few roots the
     work is in proportion to what they reach).  Each round extends only the newest
     frontier; every ``cut_every`` rounds (twice as long after a cut that left fewer rows than
     the one before) it is cut against every pair seen so far, so
@@ -220,10 +223,11 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",
     down to their shortest distance at the end.  The edges are stored once by bucket of the node that they
     leave, so a round shuffles pairs only.
     """
-    spark = edges.sparkSession
-    a, b = (dst, src) if reverse else (src, dst)
     if roots is None:
-        roots = _nodes(edges, src, dst)
+        root, node = ("dst", "src") if reverse else ("src", "dst")
+        return _all_pairs(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")), cut_every).select(
+            F.col(root).alias("root"), F.col(node).alias("node"), "dist")
+    a, b = (dst, src) if reverse else (src, dst)
     with _stored_edges(edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct(), "node") as adj:
         frontier = _stored(roots.select(F.col(roots.columns[0]).alias("root")).distinct().withColumn("node", F.col("root")), "pairs")
         seen = frontier
@@ -253,6 +257,73 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, src: str = "src",
     return out if cut_every == 1 else out.groupBy("root", "node").agg(F.min("dist").alias("dist"))
 
 
+# edges in one bucket of the table of all pairs, about
+BUCKET_EDGES = 1 << 15
+
+
+def _all_pairs(edges: DataFrame, cut_every: int) -> DataFrame:
+    """The closure of every node at once: ``(src, dst, dist)`` for each ``dst`` that ``src`` reaches.
+
+    What all nodes reach and what they are reached from are the same pairs, so they may grow at either end: it is the end
+    that has more nodes, over which the pairs spread.  All rounds lie in one table, in buckets of that end, as do the edges that
+    go on from it.  A round joins its newest pairs with those where they lie and shuffles what it makes once; its
+    distinct, the cut against the pairs seen and the shortest distances at the end run inside the buckets.  These
+    get more, not larger, with more edges.  The rounds and the cuts are those of :func:`closure`.
+    """
+    spark = edges.sparkSession
+    e = _stored(edges.where("src <> dst").distinct(), "edges")
+    ahead = e.select("dst").distinct().count() >= e.select("src").distinct().count()
+    far, at = ("src", "dst") if ahead else ("dst", "src")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-e.count() // BUCKET_EDGES))
+    path = scratch_path(spark, "pairs")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    kind = {f.name: f.dataType.simpleString() for f in e.schema}
+    # the folders of all rounds, read as one table
+    spark.sql(f"CREATE TABLE {table} (far {kind[far]}, at {kind[at]}, dist BIGINT) USING parquet "
+              f"OPTIONS (path '{path}', recursiveFileLookup 'true') CLUSTERED BY (at) INTO {n} BUCKETS")
+    rounds = []
+
+    def stored(rows: DataFrame, d: int) -> DataFrame:
+        rounds.append(f"{table}_{d}")
+        rows.select("far", "at", F.lit(d).cast("bigint").alias("dist")).write.bucketBy(n, "at").option("path", f"{path}/{d}").saveAsTable(rounds[-1])
+        return spark.table(rounds[-1])
+
+    def seen() -> DataFrame:
+        spark.catalog.refreshTable(table)
+        return spark.table(table)
+
+    whole = "spark.sql.requireAllClusterKeysForCoPartition"
+    kept = spark.conf.get(whole)
+    with _stored_edges(e.select(F.col(far).alias("at"), F.col(at).alias("to")), "at", n) as on, clean_shuffles(spark):
+        try:
+            spark.conf.set(whole, "false")      # the cut's two sides meet where they lie
+            frontier = stored(e.select(F.col(far).alias("far"), F.col(at).alias("at")).repartition(n, "at"), 1)
+            since, before = 1, 0
+            for d in count(2):
+                step = (frontier.join(on.hint("shuffle_hash"), "at").select("far", F.col("to").alias("at"))
+                        .where(F.col("far") != F.col("at")).repartition(n, "at").distinct())
+                since += 1
+                cut = since >= cut_every
+                if cut:
+                    step = step.join(seen().select("far", "at"), ["far", "at"], "left_anti")
+                frontier = stored(step, d)
+                new = frontier.count()
+                if not new:
+                    break
+                if cut:
+                    # a frontier that gets smaller ends by itself; one that does not is cut again
+                    since = 0 if cut_every == 1 or new >= before else -cut_every
+                    before = new
+            out = seen()
+        finally:
+            spark.conf.set(whole, kept)
+            for name in [table, *rounds]:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if cut_every > 1:
+        out = out.groupBy("far", "at").agg(F.min("dist").alias("dist"))
+    return out.select(F.col("far").alias(far), F.col("at").alias(at), "dist")
+
+
 def distances(edges: DataFrame, pairs: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Shortest distance along ``src -> dst`` for each asked pair: ``pairs(root, node)`` with ``dist``, NULL where
     there is no path, 0 for a node itself.

@@ -154,3 +154,18 @@ def test_levels_of_nulls_and_of_no_edges(spark):
     assert graph.topo_levels(none).count() == graph.acyclic_check(none).count() == graph.cycle_components(none).count() == 0
     names = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c")], "src string, dst string")
     assert {r.node: r.level for r in graph.topo_levels(names).collect()} == {"a": 0, "b": 1, "c": 2}
+
+
+def test_all_pairs_grow_inside_their_buckets(spark):
+    tables = {t.name for t in spark.catalog.listTables()}
+    fan = [(a, b) for a in range(3) for b in range(10, 18)] + [(12, 20), (20, 21), (21, 12), (5, 5)]
+    for edges in (fan, [(b, a) for a, b in fan], []):       # pairs grow at the end that has more nodes
+        want = {(str(a), str(b), d) for a, reach in brute_reach(edges, {n for e in edges for n in e}).items() for b, d in reach.items()}
+        df = spark.createDataFrame([(str(a), str(b)) for a, b in edges] + [(None, "1"), ("2", None)], "src string, dst string")
+        for every in (1, 2, 4):
+            down, up = (graph.closure(df, reverse=r, cut_every=every) for r in (False, True))
+            assert "Exchange" not in down._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(tuple, down.select("root", "node", "dist").collect())) == sorted(want)
+            if every == 4:
+                assert sorted(map(tuple, up.select("node", "root", "dist").collect())) == sorted(want)
+    assert {t.name for t in spark.catalog.listTables()} == tables and spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
