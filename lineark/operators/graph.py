@@ -485,17 +485,20 @@ def run_provenance(nodes: DataFrame, edges: DataFrame, reports: DataFrame, node_
     outs = workflow.node_outputs(reports.select("run", "node", "port", "seq", "value"))
     is_file = F.col("file_path") != "Not A File"
     loc = location_ids.groupBy(F.col("path").alias("file_path")).agg(F.min("id").alias("_known"))
-    gen = (outs.join(loc, "file_path", "left")
-           .select("run", "node", "output_name", "file_path", "seq", F.col("_known").isNotNull().alias("_is_known"),
-                   F.coalesce("_known", F.when(is_file, records.file_id("run", "file_path"))
-                              .otherwise(mint_id("Value", "run", "output_name"))).alias("id")))
+    # outputs and inputs are read several times: both are stored, so that no shuffle on the way to them is kept or repeated
+    gen = outs.join(loc, "file_path", "left").select(
+        "run", "node", "output_name", "file_path", "seq", F.col("_known").isNotNull().alias("_is_known"),
+        F.coalesce("_known", F.when(is_file, records.file_id("run", "file_path"))
+                   .otherwise(mint_id("Value", "run", "output_name"))).alias("id"))
+    gen = _stored(gen, "outputs")
     # the last known path of a port drops the entries before it
     last = gen.where("_is_known").groupBy("run", "output_name").agg(F.max("seq").alias("_from"))
     held = gen.join(last, ["run", "output_name"], "left").where(F.col("_from").isNull() | (F.col("seq") >= F.col("_from")))
     output_ids = held.select("run", F.col("output_name").alias("port"), "seq", "id")
     matched = workflow.edge_input_match(edges, output_ids, run="run").select("run", F.col("dst").alias("node"), "input")
     # an input may have many IDs: it meets its record before them, so the rows that they make are not shuffled
-    inputs = matched.unionByName(node_inputs.select("run", "node", "input")).distinct().join(nodes.select("run", "node"), ["run", "node"])
+    inputs = _stored(matched.unionByName(node_inputs.select("run", "node", "input")).distinct()
+                     .join(nodes.select("run", "node"), ["run", "node"]), "inputs")
     used_ids = workflow.input_id_precedence(inputs, output_ids, location_ids, run="run")
     sw, new_sw = records.lookup_or_insert(nodes.select("run", "node", "interface"), catalogue, "interface", "id")
     comps = sw.select("run", "node", F.col("id").alias("software_id"),

@@ -33,6 +33,12 @@ def test_inputs_known_paths_and_runs(spark):
     assert out["new_software"].count() == 1
 
 
+def test_reports_and_inputs_are_met_once(spark):
+    out = _provenance(spark)
+    for name in ("used", "generated"):      # they read the stored outputs and inputs, not the reports again
+        assert "value#" not in out[name]._jdf.queryExecution().optimizedPlan().toString(), name
+
+
 def test_every_operator_names_a_file_alike(spark):
     files = spark.createDataFrame([("j", "/w/a"), ("j", "/w/b"), (None, "/w/a")], "job_id string, path string")
     none = spark.createDataFrame([], "path string, id string")
